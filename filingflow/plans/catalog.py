@@ -210,3 +210,202 @@ def q_count_open(spark: SparkSession, d: str) -> DataFrame:
     classified = audit.audit_logs(derive.crawl_log(spark, d), derive.report_index(spark, d))
     clean = classified.where(F.col("status") == "clean")
     return audit.count_open(derive.symbol_list(spark, d), clean)
+
+
+# L4 cross-check ------------------------------------------------------------------
+from filingflow.functions import text as _T  # noqa: E402
+from filingflow.operators import crosscheck, mapping, quality  # noqa: E402
+
+
+def _case_first(expr: str, pairs) -> str:
+    whens = " ".join(f"WHEN contains({expr}, '{k}') THEN '{v}'" for k, v in pairs)
+    return f"CASE {whens} END"
+
+
+TITLES_CTE = r"""
+titles AS (
+  SELECT o_orderkey, o_custkey,
+    'Báo cáo tài chính ' ||
+    CASE o_orderkey % 6 WHEN 0 THEN 'hợp nhất' WHEN 1 THEN 'riêng' WHEN 2 THEN 'công ty mẹ'
+                        WHEN 3 THEN 'Tổng hợp' WHEN 4 THEN '' ELSE 'riêng hợp nhất' END
+    || ' ' ||
+    CASE WHEN o_orderkey % 5 = 0 THEN (CASE WHEN o_orderkey % 3 = 0 THEN 'bán niên' ELSE '' END)
+         WHEN o_orderkey % 11 = 0 THEN 'Quý ' ||
+              (CASE o_orderkey % 4 WHEN 0 THEN 'I' WHEN 1 THEN 'II' WHEN 2 THEN 'III' ELSE 'IV' END)
+              || '/' || CAST(year(o_orderdate) AS VARCHAR)
+         ELSE 'quý ' || CAST(o_orderkey % 4 + 1 AS VARCHAR) END
+    || ' ' ||
+    CASE WHEN o_orderkey % 7 = 0 THEN '' ELSE 'năm ' || CAST(year(o_orderdate) AS VARCHAR) END AS title
+  FROM orders
+)"""
+TAGGED_CTE = f"""
+tagged AS (
+  SELECT o_orderkey, o_custkey, title,
+         coalesce(nullif(regexp_extract(title, '([0-9]{{4}})', 1), ''), 'nan') AS year,
+         {_case_first('lower(title)', _T.PERIOD_KEYWORDS)} AS range,
+         coalesce({_case_first('lower(title)', _T.TYPE_KEYWORDS)}, 'Riêng') AS type
+  FROM titles
+),
+keyed AS (SELECT *, year || '_' || range || '_' || type AS key FROM tagged),
+truth AS (
+  SELECT nullif(year, 'nan') AS year, range, type,
+         min(lpad(CAST(o_custkey AS VARCHAR), 10, '0')) AS tax_code
+  FROM keyed WHERE o_orderkey % 3 = 0 GROUP BY 1, 2, 3
+),
+truth_keyed AS (
+  SELECT nullif(regexp_extract(year, '([0-9]{{4}})', 1), '') AS year, range, type, tax_code,
+         nullif(regexp_extract(year, '([0-9]{{4}})', 1), '') || '_' || range || '_' || type AS key
+  FROM truth
+),
+merged AS (
+  SELECT k.o_orderkey, k.o_custkey, k.title, k.year AS year_src, k.range AS range_src,
+         k.type AS type_src, k.key, t.year AS year_truth, t.range AS range_truth,
+         t.type AS type_truth, t.tax_code
+  FROM keyed k LEFT JOIN truth_keyed t ON k.key IS NOT DISTINCT FROM t.key
+)"""
+CROSS_WITH = "WITH " + TITLES_CTE + "," + TAGGED_CTE
+
+MERGED_COLS = [
+    "o_orderkey", "o_custkey", "title", "year_src", "range_src", "type_src", "key",
+    "year_truth", "range_truth", "type_truth", "tax_code",
+]
+
+
+def _merged(spark: SparkSession, d: str) -> DataFrame:
+    merged = crosscheck.map_source(derive.report_titles(spark, d), derive.truth_table(spark, d))
+    return merged.withColumnRenamed("Tên báo cáo", "title").select(*MERGED_COLS)
+
+
+@register("map_source", CROSS_WITH + "\nSELECT * FROM merged")
+def q_map_source(spark: SparkSession, d: str) -> DataFrame:
+    return _merged(spark, d)
+
+
+@register("mapped_reports", CROSS_WITH + "\nSELECT * FROM merged WHERE tax_code IS NOT NULL")
+def q_mapped_reports(spark: SparkSession, d: str) -> DataFrame:
+    return crosscheck.mapped_reports(_merged(spark, d))
+
+
+@register(
+    "map_counts",
+    CROSS_WITH
+    + """
+SELECT (SELECT count(*) FROM merged) AS n_source, (SELECT count(*) FROM truth) AS n_truth,
+       (SELECT count(*) FROM merged WHERE tax_code IS NOT NULL) AS n_mapped
+""",
+)
+def q_map_counts(spark: SparkSession, d: str) -> DataFrame:
+    return crosscheck.map_counts(_merged(spark, d), derive.truth_table(spark, d))
+
+
+# Symbol → tax code ---------------------------------------------------------------
+@register(
+    "tax_code_mode",
+    r"""
+WITH codes AS (
+  SELECT 'K' || CAST(o_custkey AS VARCHAR) AS symbol,
+         coalesce(CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE o_orderpriority END, 'nan') AS code
+  FROM orders),
+cnt AS (SELECT symbol, code, count(*) AS n FROM codes GROUP BY symbol, code),
+best AS (
+  SELECT symbol, code FROM (
+    SELECT symbol, code, row_number() OVER (PARTITION BY symbol ORDER BY n DESC, code ASC) AS rn FROM cnt) r
+  WHERE rn = 1)
+SELECT 'K' || CAST(c_custkey AS VARCHAR) AS Symbol, b.code AS tax_code
+FROM customer c LEFT JOIN best b ON 'K' || CAST(c.c_custkey AS VARCHAR) = b.symbol
+""",
+)
+def q_tax_code_mode(spark: SparkSession, d: str) -> DataFrame:
+    return mapping.tax_code_mode(derive.tax_index(spark, d), derive.tax_symbols(spark, d))
+
+
+# Contamination marker ----------------------------------------------------------------
+DOC_MARKER = " la "
+MARKER_WITH = rf"""
+WITH idx AS (
+  SELECT lang AS symbol,
+         CASE WHEN n_chars % 10 = 0 THEN NULL
+              ELSE './crawl_table/' || lang || '/' || CAST(doc_id AS VARCHAR) END AS saving_path
+  FROM documents),
+lines AS (
+  SELECT doc_id, lang, length(text) = 0 AS unreadable, unnest(string_split(text, chr(10))) AS line
+  FROM documents WHERE doc_id IN (SELECT doc_id FROM labels)),
+flags AS (
+  SELECT '/' || lang || '/' || CAST(doc_id AS VARCHAR) AS report_dir,
+         bool_or(contains(split_part(line, ',', 1), '{DOC_MARKER}')) AS has_marker,
+         bool_or(unreadable) AS unreadable
+  FROM lines GROUP BY 1),
+existing AS (
+  SELECT i.symbol, f.has_marker, f.unreadable FROM idx i
+  JOIN flags f ON regexp_replace(i.saving_path, '^\./crawl_table', '') = f.report_dir
+  WHERE i.saving_path IS NOT NULL)
+"""
+
+
+def _marker_existing(spark: SparkSession, d: str) -> DataFrame:
+    flags = quality.marker_flags(derive.document_cells(spark, d), DOC_MARKER)
+    return quality.existing_index_rows(derive.document_index(spark, d), flags)
+
+
+@register(
+    "marker_rate",
+    MARKER_WITH
+    + """
+SELECT symbol, count(*) AS total_files, count(*) FILTER (WHERE has_marker) AS error_files,
+       count(*) FILTER (WHERE unreadable) AS unreadable_files,
+       CASE WHEN count(*) > 0 THEN 100.0 * CAST(count(*) FILTER (WHERE has_marker) AS DOUBLE)
+            / CAST(count(*) AS DOUBLE) ELSE 0.0 END AS error_rate
+FROM existing GROUP BY symbol
+""",
+)
+def q_marker_rate(spark: SparkSession, d: str) -> DataFrame:
+    return quality.marker_rate(_marker_existing(spark, d), by=["symbol"])
+
+
+@register(
+    "marker_total",
+    MARKER_WITH
+    + """
+SELECT count(*) AS total_files, count(*) FILTER (WHERE has_marker) AS error_files,
+       count(*) FILTER (WHERE unreadable) AS unreadable_files,
+       CASE WHEN count(*) > 0 THEN 100.0 * CAST(count(*) FILTER (WHERE has_marker) AS DOUBLE)
+            / CAST(count(*) AS DOUBLE) ELSE 0.0 END AS error_rate
+FROM existing
+""",
+)
+def q_marker_total(spark: SparkSession, d: str) -> DataFrame:
+    return quality.marker_rate(_marker_existing(spark, d))
+
+
+# Duplicate statements ------------------------------------------------------------------
+DUP_WITH = r"""
+WITH st AS (
+  SELECT l_orderkey,
+         string_agg(l_returnflag || ',' || l_linestatus, '|'
+                    ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS sig
+  FROM lineitem GROUP BY l_orderkey),
+rep AS (
+  SELECT o_custkey, sig, count(*) AS c FROM st JOIN orders ON o_orderkey = l_orderkey
+  GROUP BY o_custkey, sig),
+per_symbol AS (
+  SELECT CAST(o_custkey AS VARCHAR) AS symbol, CAST(sum(c * (c - 1) // 2) AS BIGINT) AS dup_pairs
+  FROM rep GROUP BY o_custkey)
+"""
+
+
+def _dup_per_symbol(spark: SparkSession, d: str) -> DataFrame:
+    fps = quality.statement_fingerprints(derive.lineitem_cells(spark, d))
+    return quality.duplicate_pairs(fps)
+
+
+@register("duplicate_pairs", DUP_WITH + "SELECT symbol, dup_pairs FROM per_symbol")
+def q_duplicate_pairs(spark: SparkSession, d: str) -> DataFrame:
+    return _dup_per_symbol(spark, d)
+
+
+@register(
+    "duplicate_total",
+    DUP_WITH + "SELECT CAST(coalesce(sum(dup_pairs), 0) AS BIGINT) AS total_duplicates FROM per_symbol",
+)
+def q_duplicate_total(spark: SparkSession, d: str) -> DataFrame:
+    return quality.duplicate_total(_dup_per_symbol(spark, d))

@@ -70,3 +70,133 @@ def symbol_list(spark: SparkSession, data_dir: str) -> DataFrame:
     """All symbols of the crawl: ``C<o_orderkey div 2>``, distinct."""
     o = read_table(spark, data_dir, "orders").select("o_orderkey")
     return o.select(_sym("C", _idiv("o_orderkey", 2)).alias("symbol")).distinct()
+
+
+# Report titles and truth table (cross-check) ------------------------------------
+def report_titles(spark: SparkSession, data_dir: str) -> DataFrame:
+    """orders → report listing rows with a Vietnamese report title.
+
+    Type words by ``o_orderkey % 6`` (one without type word, one with two),
+    ``quý N`` unless ``k % 5 = 0`` (then ``bán niên`` when ``k % 3 = 0``),
+    Roman ``Quý N/yyyy`` when ``k % 11 = 0``, ``năm yyyy`` unless ``k % 7 = 0``.
+    """
+    o = read_table(spark, data_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    k = F.col("o_orderkey")
+    yr = F.year("o_orderdate").cast("string")
+    type_word = (
+        F.when(k % 6 == 0, "hợp nhất")
+        .when(k % 6 == 1, "riêng")
+        .when(k % 6 == 2, "công ty mẹ")
+        .when(k % 6 == 3, "Tổng hợp")
+        .when(k % 6 == 4, "")
+        .otherwise("riêng hợp nhất")
+    )
+    roman = F.when(k % 4 == 0, "I").when(k % 4 == 1, "II").when(k % 4 == 2, "III").otherwise("IV")
+    period = (
+        F.when(k % 5 == 0, F.when(k % 3 == 0, F.lit("bán niên")).otherwise(F.lit("")))
+        .when(k % 11 == 0, F.concat(F.lit("Quý "), roman, F.lit("/"), yr))
+        .otherwise(F.concat(F.lit("quý "), (k % 4 + 1).cast("string")))
+    )
+    year_part = F.when(k % 7 == 0, F.lit("")).otherwise(F.concat(F.lit("năm "), yr))
+    title = F.concat(
+        F.lit("Báo cáo tài chính "), type_word, F.lit(" "), period, F.lit(" "), year_part
+    )
+    return o.select("o_orderkey", "o_custkey", title.alias("Tên báo cáo"))
+
+
+def truth_table(spark: SparkSession, data_dir: str) -> DataFrame:
+    """A check table from every third report: one row per (year, range,
+    type) group with the smallest zero-padded customer key as tax code.
+    Groups without a period or year give null keys (they match null keys)."""
+    from filingflow.operators.crosscheck import tag_reports
+
+    t = tag_reports(report_titles(spark, data_dir)).where(F.col("o_orderkey") % 3 == 0)
+    return t.groupBy(
+        F.nullif(F.col("year"), F.lit("nan")).alias("year"), "range", "type"
+    ).agg(F.min(F.lpad(F.col("o_custkey").cast("string"), 10, "0")).alias("tax_code"))
+
+
+# Tax codes -----------------------------------------------------------------------
+def tax_index(spark: SparkSession, data_dir: str) -> DataFrame:
+    """orders → index rows (symbol ``K<custkey>``, code = priority, missing
+    when ``o_orderkey % 7 = 0``)."""
+    o = read_table(spark, data_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
+    return o.select(
+        _sym("K", F.col("o_custkey")).alias("symbol"),
+        F.when(F.col("o_orderkey") % 7 == 0, F.lit(None).cast("string"))
+        .otherwise(F.col("o_orderpriority"))
+        .alias("Mã doanh nghiệp"),
+    )
+
+
+def tax_symbols(spark: SparkSession, data_dir: str) -> DataFrame:
+    c = read_table(spark, data_dir, "customer").select("c_custkey")
+    return c.select(_sym("K", F.col("c_custkey")).alias("symbol"))
+
+
+# Statement files from documents (marker check) ------------------------------------
+def document_index(spark: SparkSession, data_dir: str) -> DataFrame:
+    """documents → index rows (symbol = lang, saved path, null when
+    ``n_chars % 10 = 0``)."""
+    d = read_table(spark, data_dir, "documents").select("doc_id", "lang", "n_chars")
+    path = F.concat(F.lit("./crawl_table/"), F.col("lang"), F.lit("/"), F.col("doc_id").cast("string"))
+    return d.select(
+        F.col("lang").alias("symbol"),
+        F.when(F.col("n_chars") % 10 == 0, F.lit(None).cast("string")).otherwise(path).alias("Saving_path"),
+    )
+
+
+def document_cells(spark: SparkSession, data_dir: str) -> DataFrame:
+    """Statement files = labelled documents; lines are rows, the text before
+    the first comma is the first column (only that column is produced)."""
+    d = read_table(spark, data_dir, "documents").select("doc_id", "lang", "text")
+    lab = read_table(spark, data_dir, "labels").select("doc_id")
+    d = d.join(lab, "doc_id", "left_semi")
+    rows = d.select(
+        F.col("lang").alias("symbol"),
+        F.concat(F.lit("/"), F.col("lang"), F.lit("/"), F.col("doc_id").cast("string")).alias("report_dir"),
+        (F.length("text") == 0).alias("unreadable"),
+        F.posexplode(F.split("text", "\n")).alias("row_idx", "line"),
+    )
+    return rows.select(
+        "symbol",
+        "report_dir",
+        F.lit("KQKD").alias("statement"),
+        F.col("row_idx").cast("bigint").alias("row_idx"),
+        F.lit(0).cast("bigint").alias("col_idx"),
+        F.lit(None).cast("string").alias("col_name"),
+        F.substring_index("line", ",", 1).alias("value"),
+        "unreadable",
+    )
+
+
+# Statement tables from line items (duplicate check) --------------------------------
+def lineitem_cells(spark: SparkSession, data_dir: str) -> DataFrame:
+    """Report = customer, statement = order, rows = its line items in
+    (linenumber, partkey, suppkey, extendedprice) order, two columns."""
+    from filingflow.operators.ordering import ordered_index
+
+    li = read_table(spark, data_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice",
+        "l_returnflag", "l_linestatus",
+    )
+    o = read_table(spark, data_dir, "orders").select("o_orderkey", "o_custkey")
+    li = ordered_index(
+        li, ["l_orderkey"], ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"], "pos"
+    )
+    li = li.join(o, li["l_orderkey"] == o["o_orderkey"], "inner")
+    cells = li.select(
+        F.col("o_custkey").cast("string").alias("symbol"),
+        F.col("o_custkey").cast("string").alias("report_dir"),
+        F.col("l_orderkey").cast("string").alias("statement"),
+        (F.col("pos") - 1).alias("row_idx"),
+        F.inline(
+            F.array(
+                F.struct(F.lit(0).cast("bigint").alias("col_idx"), F.lit("returnflag").alias("col_name"),
+                         F.col("l_returnflag").alias("value")),
+                F.struct(F.lit(1).cast("bigint").alias("col_idx"), F.lit("linestatus").alias("col_name"),
+                         F.col("l_linestatus").alias("value")),
+            )
+        ),
+    )
+    return cells.withColumn("unreadable", F.lit(False))
