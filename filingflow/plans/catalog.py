@@ -409,3 +409,347 @@ def q_duplicate_pairs(spark: SparkSession, d: str) -> DataFrame:
 )
 def q_duplicate_total(spark: SparkSession, d: str) -> DataFrame:
     return quality.duplicate_total(_dup_per_symbol(spark, d))
+
+
+# Resume and checkpoints -----------------------------------------------------------------
+from filingflow.operators import batches, listing, naming, reconcile, resume  # noqa: E402
+
+EVENTS_WITH = r"""
+WITH lst AS (
+  SELECT 'U' || CAST(user_id AS VARCHAR) AS symbol, event_id, event_type, ts,
+         row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS p
+  FROM events),
+l2 AS (SELECT symbol, event_id, event_type, ts, p // 15 + 1 AS page, p % 15 AS row_idx FROM lst),
+cp AS (
+  SELECT DISTINCT 'U' || CAST(user_id AS VARCHAR) AS symbol, user_id % 5 + 1 AS current_page,
+         CASE WHEN user_id % 3 = 0 THEN 0 ELSE user_id % 15 END AS last_row_index
+  FROM events WHERE user_id % 4 <> 0),
+res AS (
+  SELECT l.* FROM l2 l LEFT JOIN cp c ON l.symbol = c.symbol
+  WHERE l.page > coalesce(c.current_page, 1)
+     OR (l.page = coalesce(c.current_page, 1) AND l.row_idx >= coalesce(c.last_row_index, 0)))
+"""
+
+
+def _resumed(spark: SparkSession, d: str) -> DataFrame:
+    return resume.resume_rows(derive.event_listing(spark, d), derive.event_checkpoints(spark, d))
+
+
+@register("resume_rows", EVENTS_WITH + "SELECT symbol, page, row_idx, event_id FROM res")
+def q_resume_rows(spark: SparkSession, d: str) -> DataFrame:
+    return _resumed(spark, d).select("symbol", "page", "row_idx", "event_id")
+
+
+CUTOFF = "2024-01-16 00:00:00"
+
+
+@register(
+    "advance_checkpoint",
+    EVENTS_WITH
+    + f""",
+proc AS (SELECT * FROM res WHERE ts < TIMESTAMP '{CUTOFF}'),
+last AS (
+  SELECT symbol, page, row_idx FROM (
+    SELECT symbol, page, row_idx,
+           row_number() OVER (PARTITION BY symbol ORDER BY page DESC, row_idx DESC) AS rn FROM proc) r
+  WHERE rn = 1),
+sizes AS (SELECT symbol, page, count(*) AS n_rows FROM l2 GROUP BY symbol, page),
+new AS (
+  SELECT t.symbol,
+         CASE WHEN t.row_idx + 1 >= s.n_rows THEN t.page + 1 ELSE t.page END AS current_page,
+         CASE WHEN t.row_idx + 1 >= s.n_rows THEN 0 ELSE t.row_idx + 1 END AS last_row_index
+  FROM last t LEFT JOIN sizes s ON t.symbol = s.symbol AND t.page = s.page),
+allcp AS (
+  SELECT * FROM new
+  UNION ALL SELECT symbol, current_page, last_row_index FROM cp WHERE symbol NOT IN (SELECT symbol FROM new)),
+np AS (SELECT symbol, max(page) AS number_pages FROM l2 GROUP BY symbol)
+SELECT a.symbol, a.current_page, a.last_row_index, a.current_page > np.number_pages AS complete
+FROM allcp a LEFT JOIN np ON a.symbol = np.symbol
+""",
+)
+def q_advance_checkpoint(spark: SparkSession, d: str) -> DataFrame:
+    lst = derive.event_listing(spark, d)
+    processed = _resumed(spark, d).where(F.col("ts") < F.lit(CUTOFF).cast("timestamp_ntz"))
+    sizes = lst.groupBy("symbol", "page").agg(F.count(F.lit(1)).alias("n_rows"))
+    new = resume.advance_checkpoints(processed, sizes, derive.event_checkpoints(spark, d))
+    pages = lst.groupBy(F.col("symbol").alias("_np_symbol")).agg(F.max("page").alias("number_pages"))
+    j = new.join(pages, new["symbol"] == pages["_np_symbol"], "left")
+    return j.select(
+        "symbol", "current_page", "last_row_index", resume.is_complete().alias("complete")
+    )
+
+
+@register(
+    "reset_checkpoint",
+    EVENTS_WITH
+    + r""",
+err AS (
+  SELECT 'U' || CAST(user_id AS VARCHAR) AS symbol FROM events GROUP BY user_id
+  HAVING count(*) FILTER (WHERE event_type = 'error') > count(*) FILTER (WHERE event_type = 'purchase'))
+SELECT symbol, current_page, last_row_index FROM cp WHERE symbol NOT IN (SELECT symbol FROM err)
+UNION ALL
+SELECT symbol, 1 AS current_page, 0 AS last_row_index FROM err
+""",
+)
+def q_reset_checkpoint(spark: SparkSession, d: str) -> DataFrame:
+    return resume.reset_checkpoints(derive.event_checkpoints(spark, d), derive.event_error_symbols(spark, d))
+
+
+# Reconciliation ---------------------------------------------------------------------------
+RECON_WITH = r"""
+WITH pager AS (
+  SELECT 'O' || CAST(o_orderkey AS VARCHAR) AS symbol,
+         CASE WHEN o_orderkey % 9 = 0 THEN 'Không có dữ liệu'
+              ELSE '1-15 / ' || CAST(o_orderkey % 8 AS VARCHAR) END AS pager_text
+  FROM orders),
+nums AS (
+  SELECT symbol, pager_text, regexp_extract_all(pager_text, '([0-9]+)', 1) AS n FROM pager),
+pg AS (
+  SELECT symbol,
+         len(n) >= 3 AND coalesce(TRY_CAST(n[2] AS BIGINT) <> 0, false) AS paged,
+         coalesce(TRY_CAST(n[3] AS BIGINT), 0) AS total,
+         CASE WHEN len(n) >= 3 AND coalesce(TRY_CAST(n[2] AS BIGINT) <> 0, false)
+              THEN CAST(ceil(TRY_CAST(n[3] AS BIGINT) / TRY_CAST(n[2] AS BIGINT)) AS BIGINT)
+              ELSE 1 END AS number_pages
+  FROM nums),
+arrived AS (
+  SELECT 'O' || CAST(l_orderkey AS VARCHAR) AS symbol, count(*) AS a FROM lineitem
+  WHERE l_returnflag <> 'R' GROUP BY l_orderkey),
+expected AS (
+  SELECT pg.symbol, CASE WHEN paged THEN total ELSE total + coalesce(a, 0) END AS expected, number_pages
+  FROM pg LEFT JOIN arrived ON pg.symbol = arrived.symbol),
+got AS (
+  SELECT 'O' || CAST(l_orderkey AS VARCHAR) AS symbol, count(DISTINCT l_linenumber) AS got
+  FROM lineitem GROUP BY l_orderkey)
+"""
+
+
+@register(
+    "reconcile_counts",
+    RECON_WITH
+    + r"""
+SELECT e.symbol, coalesce(g.got, 0) AS got, e.expected,
+       CASE WHEN coalesce(g.got, 0) = e.expected THEN 'success' ELSE 'warning' END AS status,
+       CAST(coalesce(g.got, 0) AS VARCHAR) || '/' || CAST(e.expected AS VARCHAR) AS message
+FROM expected e LEFT JOIN got g ON e.symbol = g.symbol
+""",
+)
+def q_reconcile_counts(spark: SparkSession, d: str) -> DataFrame:
+    expected = reconcile.expected_reports(derive.order_pager(spark, d), derive.order_arrivals(spark, d))
+    got = reconcile.reports_per_symbol(derive.order_catalog(spark, d))
+    return reconcile.reconcile(expected, got)
+
+
+@register(
+    "pager_pages",
+    RECON_WITH + "SELECT symbol, paged, total, number_pages FROM pg",
+)
+def q_pager_pages(spark: SparkSession, d: str) -> DataFrame:
+    from filingflow.functions import text as T
+
+    p = derive.order_pager(spark, d)
+    return p.select(
+        "symbol",
+        T.pager_is_paged("pager_text").alias("paged"),
+        T.pager_total("pager_text").alias("total"),
+        T.pager_pages("pager_text").alias("number_pages"),
+    )
+
+
+# Report folders ---------------------------------------------------------------------------
+PATH_MAX_TITLE = 50
+PATH_MAX_LEN = 90
+
+
+@register(
+    "report_paths",
+    rf"""
+WITH lst AS (
+  SELECT 'P' || CAST(page_id % 7 AS VARCHAR) AS symbol, page_id, url AS title,
+         lpad(CAST(page_id % 28 + 1 AS VARCHAR), 2, '0') || '/' || lpad(CAST(page_id % 12 + 1 AS VARCHAR), 2, '0')
+           || '/2024 00:00:00' AS dt,
+         CASE WHEN page_id % 9 = 0 THEN 'x' ELSE 'Báo cáo ' || CAST(page_id % 3 AS VARCHAR) END AS backup,
+         page_id // 15 + 1 AS page, page_id % 15 AS row_idx
+  FROM pages),
+named AS (
+  SELECT *, CASE WHEN title IS NULL OR length(translate(title, '<>:"/\|?*', '_________')) > {PATH_MAX_TITLE}
+                      OR length(title) < 2
+                 THEN translate(backup, '<>:"/\|?*', '_________')
+                 ELSE translate(title, '<>:"/\|?*', '_________') END AS chosen
+  FROM lst),
+based AS (
+  SELECT *, CASE WHEN length('./crawl_table/' || symbol || '/' || chosen || '_' || translate(dt, '<>:"/\|?*', '_________')) > {PATH_MAX_LEN}
+                      OR backup IS NULL OR length(backup) < 2
+                 THEN './crawl_table/' || symbol || '/NO_NAME'
+                 ELSE './crawl_table/' || symbol || '/' || chosen || '_' || translate(dt, '<>:"/\|?*', '_________') END AS base
+  FROM named),
+numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY symbol, base ORDER BY page, row_idx) - 1 AS n FROM based)
+SELECT symbol, page_id, base,
+       CASE WHEN n = 0 THEN base ELSE base || '__' || CAST(n AS VARCHAR) END AS report_dir
+FROM numbered
+""",
+)
+def q_report_paths(spark: SparkSession, d: str) -> DataFrame:
+    lst = naming.base_folders(
+        derive.page_listing(spark, d), max_title=PATH_MAX_TITLE, max_path=PATH_MAX_LEN
+    )
+    return naming.assign_paths(lst).select("symbol", "page_id", "base", "report_dir")
+
+
+# Search and submissions --------------------------------------------------------------------
+@register(
+    "search_listing",
+    r"""
+SELECT 'K' || CAST(o_custkey AS VARCHAR) AS symbol, o_orderkey,
+       strptime(strftime(o_orderdate, '%d/%m/%Y %H:%M:%S'), '%d/%m/%Y %H:%M:%S') AS submitted_at
+FROM orders
+WHERE contains('K' || CAST(o_custkey AS VARCHAR), '12')
+  AND o_orderdate >= TIMESTAMP '1998-01-01' AND o_orderdate < TIMESTAMP '1999-01-01'
+""",
+)
+def q_search_listing(spark: SparkSession, d: str) -> DataFrame:
+    return listing.search_listing(
+        derive.order_submissions(spark, d), symbol_contains="12", date_from="1998-01-01", date_to="1998-12-31"
+    )
+
+
+@register(
+    "search_symbol",
+    r"""
+SELECT 'K' || CAST(o_custkey AS VARCHAR) AS symbol, o_orderkey,
+       strptime(strftime(o_orderdate, '%d/%m/%Y %H:%M:%S'), '%d/%m/%Y %H:%M:%S') AS submitted_at
+FROM orders WHERE o_custkey = 100
+""",
+)
+def q_search_symbol(spark: SparkSession, d: str) -> DataFrame:
+    return listing.search_listing(derive.order_submissions(spark, d), symbol="K100")
+
+
+SUBMIT_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
+SUBMIT_SQL = r"""
+SELECT symbol, submitted_at, l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_returnflag FROM (
+  SELECT 'O' || CAST(l_orderkey AS VARCHAR) AS symbol, CAST(year(l_shipdate) AS BIGINT) AS submitted_at,
+         l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_returnflag,
+         row_number() OVER (PARTITION BY l_orderkey, year(l_shipdate)
+                            ORDER BY l_linenumber {d}, l_partkey {d}, l_suppkey {d}, l_extendedprice {d}) AS rn
+  FROM lineitem) r WHERE rn = 1
+"""
+
+
+@register("first_submission", SUBMIT_SQL.format(d="ASC"))
+def q_first_submission(spark: SparkSession, d: str) -> DataFrame:
+    return listing.first_submission(
+        derive.lineitem_submissions(spark, d), ["symbol", "submitted_at"], SUBMIT_ORDER
+    )
+
+
+@register("last_write", SUBMIT_SQL.format(d="DESC"))
+def q_last_write(spark: SparkSession, d: str) -> DataFrame:
+    return listing.last_write(derive.lineitem_submissions(spark, d), ["symbol", "submitted_at"], SUBMIT_ORDER)
+
+
+@register(
+    "new_submissions",
+    r"""
+WITH s AS (
+  SELECT 'S' || CAST(l_suppkey AS VARCHAR) AS symbol, strftime(l_shipdate, '%d/%m/%Y %H:%M:%S') AS submitted_at,
+         l_orderkey, l_linenumber, l_returnflag FROM lineitem)
+SELECT symbol, submitted_at, l_orderkey, l_linenumber, l_returnflag FROM s
+WHERE l_returnflag <> 'R'
+  AND NOT EXISTS (SELECT 1 FROM s k WHERE k.l_returnflag = 'R' AND k.symbol = s.symbol
+                  AND k.submitted_at = s.submitted_at)
+""",
+)
+def q_new_submissions(spark: SparkSession, d: str) -> DataFrame:
+    s = derive.supplier_submissions(spark, d)
+    return listing.new_submissions(s.where(F.col("l_returnflag") != "R"), s.where(F.col("l_returnflag") == "R"))
+
+
+@register(
+    "work_batches",
+    r"""
+SELECT 'K' || CAST(c_custkey AS VARCHAR) AS symbol,
+       CAST((row_number() OVER (ORDER BY c_custkey) - 1) // 20 AS BIGINT) AS batch
+FROM customer
+""",
+)
+def q_work_batches(spark: SparkSession, d: str) -> DataFrame:
+    from filingflow.sources.tables import read_table
+
+    c = read_table(spark, d, "customer").select("c_custkey")
+    b = batches.assign_batches(c, ["c_custkey"])
+    return b.select(F.concat(F.lit("K"), F.col("c_custkey").cast("string")).alias("symbol"), "batch")
+
+
+# Listing rows from row texts -----------------------------------------------------------------
+@register(
+    "listing_rows",
+    r"""
+WITH t AS (
+  SELECT event_id,
+    CAST(event_id AS VARCHAR) || chr(10) || chr(9) ||
+    CASE WHEN event_type = 'signup' THEN 'Tên báo cáo'
+         WHEN event_type = 'error' THEN 'Filter ' || CAST(event_id AS VARCHAR)
+         ELSE event_type || ' report' END || chr(9) ||
+    'Đơn vị ' || CAST(user_id AS VARCHAR) || chr(10) || props || chr(9) ||
+    strftime(ts, '%d/%m/%Y %H:%M:%S') || chr(9) || chr(10) AS row_text
+  FROM events),
+c AS (
+  SELECT event_id,
+         string_split(regexp_replace(regexp_replace(row_text, '[\n\t]+', ',', 'g'), '^,+|,+$', '', 'g'), ',') AS cells
+  FROM t)
+SELECT event_id, coalesce(cells[1], '') AS row_no, coalesce(cells[2], '') AS report_name,
+       coalesce(cells[3], '') AS unit, coalesce(cells[4], '') AS summary,
+       coalesce(cells[5], '') AS submitted_text
+FROM c
+WHERE NOT (coalesce(cells[2], '') IN ('STT', 'Tên báo cáo', 'Đơn vị', 'Trích yếu', 'Thời gian gửi'))
+  AND NOT contains(coalesce(cells[2], ''), 'Filter')
+""",
+)
+def q_listing_rows(spark: SparkSession, d: str) -> DataFrame:
+    rows = listing.filter_listing_names(listing.listing_from_text(derive.event_row_texts(spark, d)))
+    return rows.select(
+        "event_id",
+        F.col("STT").alias("row_no"),
+        F.col("Tên báo cáo").alias("report_name"),
+        F.col("Đơn vị").alias("unit"),
+        F.col("Trích yếu").alias("summary"),
+        F.col("Thời gian gửi").alias("submitted_text"),
+    )
+
+
+CLEAN_SQL = r"regexp_replace(regexp_replace(text, '[\n\t]+', ',', 'g'), '^,+|,+$', '', 'g')"
+
+
+@register(
+    "clean_row_text",
+    rf"""
+SELECT conv_id, turn, {CLEAN_SQL} AS cleaned, CAST(len(string_split({CLEAN_SQL}, ',')) AS BIGINT) AS n_cells
+FROM conversations
+""",
+)
+def q_clean_row_text(spark: SparkSession, d: str) -> DataFrame:
+    from filingflow.functions import text as T
+    from filingflow.sources.tables import read_table
+
+    c = read_table(spark, d, "conversations").select("conv_id", "turn", "text")
+    cleaned = T.clean_row_text("text")
+    return c.select("conv_id", "turn", cleaned.alias("cleaned"), F.size(T.split_cells(cleaned)).cast("bigint").alias("n_cells"))
+
+
+@register(
+    "listing_cells_filter",
+    rf"""
+SELECT conv_id, turn, CAST(len(cells) AS BIGINT) AS n_cells FROM (
+  SELECT conv_id, turn, string_split({CLEAN_SQL}, ',') AS cells FROM conversations) c
+WHERE len(cells) BETWEEN 5 AND 6 AND length(cells[4]) > 1
+""",
+)
+def q_listing_cells_filter(spark: SparkSession, d: str) -> DataFrame:
+    from filingflow.functions import text as T
+    from filingflow.sources.tables import read_table
+
+    c = read_table(spark, d, "conversations").select("conv_id", "turn", "text")
+    c = c.select("conv_id", "turn", T.split_cells(T.clean_row_text("text")).alias("cells"))
+    return listing.filter_listing_cells(c).select("conv_id", "turn", F.size("cells").cast("bigint").alias("n_cells"))

@@ -200,3 +200,155 @@ def lineitem_cells(spark: SparkSession, data_dir: str) -> DataFrame:
         ),
     )
     return cells.withColumn("unreadable", F.lit(False))
+
+
+# Paged listing and checkpoints from events ------------------------------------------
+ROWS_PER_PAGE = 15
+
+
+def event_listing(spark: SparkSession, data_dir: str) -> DataFrame:
+    """events → listing rows of symbol ``U<user_id>`` in (ts, event_id) order,
+    15 rows per page: (symbol, event_id, event_type, ts, page, row_idx)."""
+    from filingflow.operators.ordering import ordered_index
+
+    e = read_table(spark, data_dir, "events").select("event_id", "user_id", "event_type", "ts")
+    e = e.select(_sym("U", F.col("user_id")).alias("symbol"), "event_id", "event_type", "ts")
+    e = ordered_index(e, ["symbol"], ["ts", "event_id"], "_pos")
+    p = F.col("_pos") - 1
+    return e.select(
+        "symbol",
+        "event_id",
+        "event_type",
+        "ts",
+        (F.floor(p / ROWS_PER_PAGE) + 1).cast("bigint").alias("page"),
+        (p % ROWS_PER_PAGE).cast("bigint").alias("row_idx"),
+    )
+
+
+def event_checkpoints(spark: SparkSession, data_dir: str) -> DataFrame:
+    """A stored checkpoint for users with ``user_id % 4 <> 0``."""
+    e = read_table(spark, data_dir, "events").select("user_id")
+    u = e.where(F.col("user_id") % 4 != 0).distinct()
+    return u.select(
+        _sym("U", F.col("user_id")).alias("symbol"),
+        (F.col("user_id") % 5 + 1).cast("bigint").alias("current_page"),
+        F.when(F.col("user_id") % 3 == 0, F.lit(0))
+        .otherwise(F.col("user_id") % ROWS_PER_PAGE)
+        .cast("bigint")
+        .alias("last_row_index"),
+    )
+
+
+def event_error_symbols(spark: SparkSession, data_dir: str) -> DataFrame:
+    """Users with more error events than purchases."""
+    e = read_table(spark, data_dir, "events").select("user_id", "event_type")
+    g = e.groupBy("user_id").agg(
+        F.count_if(F.col("event_type") == "error").alias("_err"),
+        F.count_if(F.col("event_type") == "purchase").alias("_buy"),
+    )
+    return g.where(F.col("_err") > F.col("_buy")).select(_sym("U", F.col("user_id")).alias("symbol"))
+
+
+# Reconciliation from orders / line items --------------------------------------------
+def order_pager(spark: SparkSession, data_dir: str) -> DataFrame:
+    o = read_table(spark, data_dir, "orders").select("o_orderkey")
+    text = F.when(F.col("o_orderkey") % 9 == 0, F.lit("Không có dữ liệu")).otherwise(
+        F.concat(F.lit("1-15 / "), (F.col("o_orderkey") % 8).cast("string"))
+    )
+    return o.select(_sym("O", F.col("o_orderkey")).alias("symbol"), text.alias("pager_text"))
+
+
+def order_catalog(spark: SparkSession, data_dir: str) -> DataFrame:
+    """Captured report folders: one per (order, line number)."""
+    li = read_table(spark, data_dir, "lineitem").select("l_orderkey", "l_linenumber")
+    return li.select(
+        _sym("O", F.col("l_orderkey")).alias("symbol"),
+        F.concat(F.lit("r"), F.col("l_linenumber").cast("string")).alias("report_dir"),
+    )
+
+
+def order_arrivals(spark: SparkSession, data_dir: str) -> DataFrame:
+    """Listing rows processed on unpaged listings (return flag not R)."""
+    li = read_table(spark, data_dir, "lineitem").select("l_orderkey", "l_returnflag")
+    return li.where(F.col("l_returnflag") != "R").select(_sym("O", F.col("l_orderkey")).alias("symbol"))
+
+
+# Report folders from pages ------------------------------------------------------------
+def page_listing(spark: SparkSession, data_dir: str) -> DataFrame:
+    p = read_table(spark, data_dir, "pages").select("page_id", "url")
+    pid = F.col("page_id")
+    date = F.concat(
+        F.lpad((pid % 28 + 1).cast("string"), 2, "0"), F.lit("/"),
+        F.lpad((pid % 12 + 1).cast("string"), 2, "0"), F.lit("/2024 00:00:00"),
+    )
+    backup = F.when(pid % 9 == 0, F.lit("x")).otherwise(F.concat(F.lit("Báo cáo "), (pid % 3).cast("string")))
+    return p.select(
+        _sym("P", pid % 7).alias("symbol"),
+        "page_id",
+        F.col("url").alias("Tiêu đề"),
+        date.alias("Thời gian gửi"),
+        backup.alias("Trích yếu"),
+        (F.floor(pid / ROWS_PER_PAGE) + 1).cast("bigint").alias("page"),
+        (pid % ROWS_PER_PAGE).cast("bigint").alias("row_idx"),
+    )
+
+
+# Submissions -------------------------------------------------------------------------
+def order_submissions(spark: SparkSession, data_dir: str) -> DataFrame:
+    from filingflow.operators.listing import submitted_at
+
+    o = read_table(spark, data_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    text = F.date_format("o_orderdate", "dd/MM/yyyy HH:mm:ss")
+    return o.select(
+        _sym("K", F.col("o_custkey")).alias("symbol"),
+        "o_orderkey",
+        submitted_at(text).alias("submitted_at"),
+    )
+
+
+def lineitem_submissions(spark: SparkSession, data_dir: str) -> DataFrame:
+    li = read_table(spark, data_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_returnflag", "l_shipdate"
+    )
+    return li.select(
+        _sym("O", F.col("l_orderkey")).alias("symbol"),
+        F.year("l_shipdate").cast("bigint").alias("submitted_at"),
+        "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_returnflag",
+    )
+
+
+def supplier_submissions(spark: SparkSession, data_dir: str) -> DataFrame:
+    li = read_table(spark, data_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_suppkey", "l_returnflag", "l_shipdate"
+    )
+    return li.select(
+        _sym("S", F.col("l_suppkey")).alias("symbol"),
+        F.date_format("l_shipdate", "dd/MM/yyyy HH:mm:ss").alias("submitted_at"),
+        "l_orderkey", "l_linenumber", "l_returnflag",
+    )
+
+
+# Listing row texts ---------------------------------------------------------------------
+LISTING_HEADER = ["STT", "Tên báo cáo", "Đơn vị", "Trích yếu", "Thời gian gửi"]
+
+
+def event_row_texts(spark: SparkSession, data_dir: str) -> DataFrame:
+    """events → inner text of a listing row (cells split by tabs/newlines)
+    with the page header; signups carry a header text as name, errors a
+    ``Filter`` name."""
+    e = read_table(spark, data_dir, "events").select("event_id", "user_id", "event_type", "props", "ts")
+    name = (
+        F.when(F.col("event_type") == "signup", F.lit("Tên báo cáo"))
+        .when(F.col("event_type") == "error", F.concat(F.lit("Filter "), F.col("event_id").cast("string")))
+        .otherwise(F.concat(F.col("event_type"), F.lit(" report")))
+    )
+    text = F.concat(
+        F.col("event_id").cast("string"), F.lit("\n\t"), name, F.lit("\t"),
+        F.lit("Đơn vị "), F.col("user_id").cast("string"), F.lit("\n"), F.col("props"), F.lit("\t"),
+        F.date_format("ts", "dd/MM/yyyy HH:mm:ss"), F.lit("\t\n"),
+    )
+    return e.select(
+        "event_id",
+        text.alias("row_text"),
+        F.array(*[F.lit(h) for h in LISTING_HEADER]).alias("headers"),
+    )
