@@ -561,9 +561,7 @@ PATH_MAX_TITLE = 50
 PATH_MAX_LEN = 90
 
 
-@register(
-    "report_paths",
-    rf"""
+PATHS_SQL = rf"""
 WITH lst AS (
   SELECT 'P' || CAST(page_id % 7 AS VARCHAR) AS symbol, page_id, url AS title,
          lpad(CAST(page_id % 28 + 1 AS VARCHAR), 2, '0') || '/' || lpad(CAST(page_id % 12 + 1 AS VARCHAR), 2, '0')
@@ -588,8 +586,10 @@ numbered AS (
 SELECT symbol, page_id, base,
        CASE WHEN n = 0 THEN base ELSE base || '__' || CAST(n AS VARCHAR) END AS report_dir
 FROM numbered
-""",
-)
+"""
+
+
+@register("report_paths", PATHS_SQL)
 def q_report_paths(spark: SparkSession, d: str) -> DataFrame:
     lst = naming.base_folders(
         derive.page_listing(spark, d), max_title=PATH_MAX_TITLE, max_path=PATH_MAX_LEN
@@ -753,3 +753,121 @@ def q_listing_cells_filter(spark: SparkSession, d: str) -> DataFrame:
     c = read_table(spark, d, "conversations").select("conv_id", "turn", "text")
     c = c.select("conv_id", "turn", T.split_cells(T.clean_row_text("text")).alias("cells"))
     return listing.filter_listing_cells(c).select("conv_id", "turn", F.size("cells").cast("bigint").alias("n_cells"))
+
+
+# Extraction from captured pages ------------------------------------------------------------
+from filingflow.operators import extract  # noqa: E402
+from filingflow.sources.tables import read_table  # noqa: E402
+
+PAGE_FLAT = {"header": "div.ad, article h1", "row": "nav li"}
+PAGE_FIRM = {"code": "div.ad", "name": "title", "title": "article h1"}
+PAGE_SPANS = {"table": "article", "header": "h1", "row": "p", "cell": "b"}
+PAGE_RENDERED = {"table": "body", "header": "nav li", "row": "article p", "cell": "b"}
+
+
+def _decode(x: str) -> str:
+    out = x
+    for ent, ch in [("&quot;", '"'), ("&#39;", "''"), ("&lt;", "<"), ("&gt;", ">"),
+                    ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&")]:
+        out = f"replace({out}, '{ent}', '{ch}')"
+    return out
+
+
+LINKS_CTE = rf"""
+lk AS (
+  SELECT page_id, list_transform(regexp_extract_all(html, '<li><a href="[^"]*">([^<]*)</a></li>', 1),
+                                 lambda x: trim({_decode('x')})) AS cells
+  FROM pages),
+lrows AS (
+  SELECT page_id, i AS row_no, cells[2 * i + 1] AS cell_1, cells[2 * i + 2] AS cell_2
+  FROM (SELECT page_id, cells, unnest(range(0, CAST(ceil(len(cells) / 2) AS BIGINT))) AS i FROM lk) c)"""
+FIRM_CTE = rf"""
+firm AS (
+  SELECT page_id,
+    CASE WHEN regexp_matches(html, '<div class="ad">') THEN trim({_decode("regexp_extract(html, '<div class=\"ad\">([^<]*)</div>', 1)")}) END AS code,
+    CASE WHEN regexp_matches(html, '<title>') THEN trim({_decode("regexp_extract(html, '<title>([^<]*)</title>', 1)")}) END AS name,
+    CASE WHEN regexp_matches(html, '<h1>') THEN trim({_decode("regexp_extract(html, '<h1>([^<]*)</h1>', 1)")}) END AS title
+  FROM pages)"""
+
+
+def _page_link_rows(spark: SparkSession, d: str) -> DataFrame:
+    pages = read_table(spark, d, "pages")
+    return extract.table_rows(extract.extract_cells(pages, PAGE_FLAT, "flat"), "flat")
+
+
+@register("page_links", "WITH " + LINKS_CTE + "\nSELECT page_id, row_no, cell_1, cell_2 FROM lrows")
+def q_page_links(spark: SparkSession, d: str) -> DataFrame:
+    rows = _page_link_rows(spark, d)
+    return rows.select(
+        "page_id",
+        F.col("row_no").cast("bigint").alias("row_no"),
+        F.try_element_at("row", F.lit(1)).alias("cell_1"),
+        F.try_element_at("row", F.lit(2)).alias("cell_2"),
+    )
+
+
+@register("page_title", "WITH " + FIRM_CTE + "\nSELECT page_id, code, name, title FROM firm")
+def q_page_title(spark: SparkSession, d: str) -> DataFrame:
+    return extract.firm_info(read_table(spark, d, "pages"), PAGE_FIRM)
+
+
+@register(
+    "assembled_report",
+    "WITH paths AS (" + PATHS_SQL + ")," + LINKS_CTE + "," + FIRM_CTE
+    + """
+SELECT p.page_id, p.symbol, p.report_dir, f.code, f.name, f.title,
+       CAST(coalesce(r.n, 0) AS BIGINT) AS n_rows
+FROM paths p LEFT JOIN firm f ON p.page_id = f.page_id
+LEFT JOIN (SELECT page_id, count(*) AS n FROM lrows GROUP BY page_id) r ON p.page_id = r.page_id
+""",
+)
+def q_assembled_report(spark: SparkSession, d: str) -> DataFrame:
+    lst = naming.assign_paths(
+        naming.base_folders(derive.page_listing(spark, d), max_title=PATH_MAX_TITLE, max_path=PATH_MAX_LEN)
+    ).select("page_id", "symbol", "report_dir")
+    firm = extract.firm_info(read_table(spark, d, "pages"), PAGE_FIRM)
+    out = extract.assemble_report(lst, firm, _page_link_rows(spark, d))
+    return out.select("page_id", "symbol", "report_dir", "code", "name", "title", "n_rows")
+
+
+@register("page_table")
+def q_page_table(spark: SparkSession, d: str) -> DataFrame:
+    ex = extract.extract_cells(read_table(spark, d, "pages"), PAGE_SPANS, "spans")
+    rows = extract.table_rows(ex, "spans")
+    return rows.select(
+        "page_id",
+        F.col("row_no").cast("bigint").alias("row_no"),
+        F.size("row").cast("bigint").alias("n_cells"),
+        F.try_element_at("row", F.lit(1)).alias("first_cell"),
+        "malformed",
+    )
+
+
+@register("page_rendered")
+def q_page_rendered(spark: SparkSession, d: str) -> DataFrame:
+    ex = extract.extract_cells(read_table(spark, d, "pages"), PAGE_RENDERED, "rendered")
+    rows = extract.table_rows(ex, "rendered")
+    return rows.select(
+        "page_id",
+        F.col("row_no").cast("bigint").alias("row_no"),
+        F.size("headers").cast("bigint").alias("n_headers"),
+        F.size("row").cast("bigint").alias("n_cells"),
+        "malformed",
+    )
+
+
+@register(
+    "page_link_pairs",
+    r"""
+SELECT page_id, CAST(len(regexp_extract_all(html, '<li><a href="([^"]*)">([^<]*)</a></li>', 1)) AS BIGINT) AS n_links,
+       regexp_extract_all(html, '<li><a href="([^"]*)">([^<]*)</a></li>', 1)[1] AS first_href
+FROM pages
+""",
+)
+def q_page_link_pairs(spark: SparkSession, d: str) -> DataFrame:
+    lk = extract.links(read_table(spark, d, "pages"))
+    return lk.select(
+        "page_id",
+        F.size("links").cast("bigint").alias("n_links"),
+        F.try_element_at("links", F.lit(1))["href"].alias("first_href"),
+    )
