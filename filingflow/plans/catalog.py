@@ -871,3 +871,254 @@ def q_page_link_pairs(spark: SparkSession, d: str) -> DataFrame:
         F.size("links").cast("bigint").alias("n_links"),
         F.try_element_at("links", F.lit(1))["href"].alias("first_href"),
     )
+
+
+# Array functions ----------------------------------------------------------------------------
+from filingflow.functions import arrays as _A  # noqa: E402
+
+
+def _conv(spark: SparkSession, d: str) -> DataFrame:
+    return read_table(spark, d, "conversations").select("conv_id", "turn", "text")
+
+
+@register(
+    "chunk_cells",
+    r"""
+WITH w AS (SELECT conv_id, turn, string_split(text, ' ') AS cells, turn % 4 + 2 AS n FROM conversations),
+c AS (SELECT conv_id, turn, n, cells, unnest(range(0, CAST(ceil(len(cells) / n) AS BIGINT))) AS i FROM w),
+s AS (SELECT conv_id, turn, i, n, list_slice(cells, i * n + 1, i * n + n) AS chunk FROM c)
+SELECT conv_id, turn, i AS chunk_no, array_to_string(chunk, '|') AS chunk_text,
+       CAST(n - len(chunk) AS BIGINT) AS n_null, CAST(n AS BIGINT) AS chunk_size
+FROM s
+""",
+)
+def q_chunk_cells(spark: SparkSession, d: str) -> DataFrame:
+    c = _conv(spark, d).select(
+        "conv_id", "turn", _A.chunk_cells(F.split("text", " "), (F.col("turn") % 4 + 2).cast("int")).alias("rows")
+    )
+    c = c.select("conv_id", "turn", F.posexplode("rows").alias("chunk_no", "chunk"))
+    return c.select(
+        "conv_id",
+        "turn",
+        F.col("chunk_no").cast("bigint").alias("chunk_no"),
+        F.array_join(F.filter("chunk", lambda x: x.isNotNull()), "|").alias("chunk_text"),
+        F.size(F.filter("chunk", lambda x: x.isNull())).cast("bigint").alias("n_null"),
+        F.size("chunk").cast("bigint").alias("chunk_size"),
+    )
+
+
+@register(
+    "pad_row",
+    r"""
+WITH w AS (SELECT conv_id, turn, string_split(text, ' ') AS cells FROM conversations)
+SELECT conv_id, turn,
+       CAST(len(list_concat(cells, list_transform(range(greatest(12 - len(cells), 0)), lambda x: ''))) AS BIGINT) AS padded_size,
+       array_to_string(list_concat(cells, list_transform(range(greatest(12 - len(cells), 0)), lambda x: '')), '|') AS padded_text,
+       len(cells) > 12 AS malformed
+FROM w
+""",
+)
+def q_pad_row(spark: SparkSession, d: str) -> DataFrame:
+    c = _conv(spark, d).select("conv_id", "turn", F.split("text", " ").alias("cells"))
+    padded = _A.pad_row("cells", 12)
+    return c.select(
+        "conv_id",
+        "turn",
+        F.size(padded).cast("bigint").alias("padded_size"),
+        F.array_join(padded, "|").alias("padded_text"),
+        _A.row_too_long("cells", 12).alias("malformed"),
+    )
+
+
+@register(
+    "dedupe_row",
+    r"""
+WITH w AS (SELECT conv_id, turn, string_split(text, ' ') AS cells FROM conversations),
+u AS (SELECT conv_id, turn, list_filter(cells, lambda x, i: list_position(cells, x) = i) AS d FROM w)
+SELECT conv_id, turn, CAST(len(d) AS BIGINT) AS n_distinct, array_to_string(d, '|') AS row_text FROM u
+""",
+)
+def q_dedupe_row(spark: SparkSession, d: str) -> DataFrame:
+    dd = _A.dedupe_row(F.split("text", " "))
+    return _conv(spark, d).select(
+        "conv_id", "turn", F.size(dd).cast("bigint").alias("n_distinct"), F.array_join(dd, "|").alias("row_text")
+    )
+
+
+@register(
+    "drop_empty_cells",
+    r"""
+WITH w AS (SELECT conv_id, turn, string_split(regexp_replace(text, '[.,]', ' ', 'g'), ' ') AS cells FROM conversations),
+u AS (SELECT conv_id, turn, cells, list_filter(cells, lambda x: x <> '') AS kept FROM w)
+SELECT conv_id, turn, CAST(len(cells) AS BIGINT) AS n_cells, CAST(len(kept) AS BIGINT) AS n_kept,
+       array_to_string(kept, '|') AS row_text
+FROM u
+""",
+)
+def q_drop_empty_cells(spark: SparkSession, d: str) -> DataFrame:
+    cells = F.split(F.regexp_replace("text", "[.,]", " "), " ")
+    kept = _A.drop_empty(cells)
+    return _conv(spark, d).select(
+        "conv_id",
+        "turn",
+        F.size(cells).cast("bigint").alias("n_cells"),
+        F.size(kept).cast("bigint").alias("n_kept"),
+        F.array_join(kept, "|").alias("row_text"),
+    )
+
+
+@register(
+    "header_half",
+    r"""
+WITH w AS (SELECT conv_id, turn, string_split(text, ' ') AS cells FROM conversations),
+h AS (SELECT conv_id, turn, list_slice(cells, len(cells) // 2 + 1, len(cells)) AS half FROM w)
+SELECT conv_id, turn, CAST(len(half) AS BIGINT) AS n_half, array_to_string(half, '|') AS half_text FROM h
+""",
+)
+def q_header_half(spark: SparkSession, d: str) -> DataFrame:
+    half = _A.second_half(F.split("text", " "))
+    return _conv(spark, d).select(
+        "conv_id", "turn", F.size(half).cast("bigint").alias("n_half"), F.array_join(half, "|").alias("half_text")
+    )
+
+
+@register(
+    "row_pairs",
+    r"""
+WITH w AS (SELECT conv_id, turn, string_split(text, ' ') AS cells FROM conversations),
+hr AS (SELECT conv_id, turn, list_slice(cells, 1, 3) AS h,
+              CASE WHEN len(cells) > 3 THEN list_slice(cells, 4, len(cells)) ELSE [] END AS r FROM w)
+SELECT conv_id, turn,
+       array_to_string(list_transform(range(1, len(h) + 1), lambda i: h[i] || '=' || coalesce(r[i], '~')), ';') AS pairs_text
+FROM hr
+""",
+)
+def q_row_pairs(spark: SparkSession, d: str) -> DataFrame:
+    cells = F.split("text", " ")
+    h = F.slice(cells, 1, 3)
+    r = F.slice(cells, 4, F.greatest(F.size(cells) - 3, F.lit(0)))
+    pairs = _A.row_to_pairs(h, r)
+    text = F.array_join(
+        F.transform(pairs, lambda p: F.concat(p["name"], F.lit("="), F.coalesce(p["value"], F.lit("~")))), ";"
+    )
+    return _conv(spark, d).select("conv_id", "turn", text.alias("pairs_text"))
+
+
+@register(
+    "aligned_truncate",
+    r"""
+WITH w AS (SELECT conv_id, turn, string_split(text, ' ') AS a, string_split(text, '.') AS b,
+                  string_split(text, chr(10)) AS c FROM conversations)
+SELECT conv_id, turn, CAST(least(len(a), len(b), len(c)) AS BIGINT) AS n_aligned,
+       a[least(len(a), len(b), len(c))] || '#' || b[least(len(a), len(b), len(c))] || '#' ||
+       c[least(len(a), len(b), len(c))] AS last_triple
+FROM w
+""",
+)
+def q_aligned_truncate(spark: SparkSession, d: str) -> DataFrame:
+    z = _A.align_truncate(F.split("text", " "), F.split("text", "[.]"), F.split("text", "\n"))
+    last = F.element_at(z, -1)
+    fields = ["0", "1", "2"]
+    trip = F.concat(last[fields[0]], F.lit("#"), last[fields[1]], F.lit("#"), last[fields[2]])
+    return _conv(spark, d).select("conv_id", "turn", F.size(z).cast("bigint").alias("n_aligned"), trip.alias("last_triple"))
+
+
+# Scalars, appends, drops -----------------------------------------------------------------------
+@register(
+    "scalar_bundle",
+    r"""
+SELECT o_orderkey,
+       regexp_replace('./crawl_table/K' || CAST(o_custkey AS VARCHAR) || '/r' || CAST(o_orderkey AS VARCHAR),
+                      '^\./crawl_table', '') AS rebased,
+       CAST(length(o_orderpriority) AS BIGINT) AS priority_len,
+       CAST(strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS TIMESTAMP) AS log_ts,
+       o_orderkey % 9 > o_orderkey % 7 AS complete
+FROM orders
+""",
+)
+def q_scalar_bundle(spark: SparkSession, d: str) -> DataFrame:
+    from filingflow.functions import text as T
+
+    o = read_table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderpriority", "o_orderdate")
+    path = F.concat(F.lit("./crawl_table/K"), F.col("o_custkey").cast("string"), F.lit("/r"), F.col("o_orderkey").cast("string"))
+    line = F.concat(F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"), F.lit(",000 - INFO - x"))
+    o = o.withColumn("_cur", F.col("o_orderkey") % 9).withColumn("_pages", F.col("o_orderkey") % 7)
+    return o.select(
+        "o_orderkey",
+        T.rebase_path(path).alias("rebased"),
+        T.text_length("o_orderpriority").alias("priority_len"),
+        T.log_time(line).alias("log_ts"),
+        resume.is_complete("_cur", "_pages").alias("complete"),
+    )
+
+
+@register(
+    "latest_log_file",
+    "WITH " + LOG_CTE + "\nSELECT max(file) AS file FROM log",
+)
+def q_latest_log_file(spark: SparkSession, d: str) -> DataFrame:
+    return derive.crawl_log(spark, d).agg(F.max("file").alias("file"))
+
+
+@register(
+    "first_row",
+    """
+SELECT o_orderkey, o_orderdate FROM orders ORDER BY o_orderdate, o_orderkey LIMIT 1
+""",
+)
+def q_first_row(spark: SparkSession, d: str) -> DataFrame:
+    o = read_table(spark, d, "orders").select("o_orderkey", "o_orderdate")
+    return audit.first_row(o, ["o_orderdate", "o_orderkey"])
+
+
+@register(
+    "append_results",
+    """
+SELECT o_orderkey, o_orderstatus, NULL::DOUBLE AS o_totalprice FROM orders WHERE o_orderstatus = 'F'
+UNION ALL
+SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderstatus = 'O'
+UNION ALL
+SELECT o_orderkey, o_orderstatus, NULL::DOUBLE AS o_totalprice FROM orders WHERE o_orderstatus = 'P'
+""",
+)
+def q_append_results(spark: SparkSession, d: str) -> DataFrame:
+    o = read_table(spark, d, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    f = o.where(F.col("o_orderstatus") == "F").select("o_orderkey", "o_orderstatus")
+    oo = o.where(F.col("o_orderstatus") == "O")
+    p = o.where(F.col("o_orderstatus") == "P").select("o_orderstatus", "o_orderkey")
+    return listing.append_results(f, oo, p).select("o_orderkey", "o_orderstatus", "o_totalprice")
+
+
+@register(
+    "drop_symbols",
+    AUDIT_WITH + "\nSELECT symbol, STT FROM idx WHERE symbol NOT IN (SELECT symbol FROM classified WHERE status = 'error')",
+)
+def q_drop_symbols(spark: SparkSession, d: str) -> DataFrame:
+    classified = audit.audit_logs(derive.crawl_log(spark, d), derive.report_index(spark, d))
+    errors = classified.where(F.col("status") == "error")
+    return resume.drop_symbols(derive.report_index(spark, d), errors)
+
+
+@register(
+    "existing_rows",
+    r"""
+SELECT l_orderkey, l_linenumber, o_orderstatus
+FROM lineitem JOIN orders
+  ON regexp_replace('./crawl_table/O' || CAST(l_orderkey AS VARCHAR), '^\./crawl_table', '') = '/O' || CAST(o_orderkey AS VARCHAR)
+WHERE l_linenumber <> 7 AND o_orderkey % 3 <> 0
+""",
+)
+def q_existing_rows(spark: SparkSession, d: str) -> DataFrame:
+    li = read_table(spark, d, "lineitem").select("l_orderkey", "l_linenumber")
+    index = li.select(
+        "l_orderkey",
+        "l_linenumber",
+        F.when(F.col("l_linenumber") == 7, F.lit(None).cast("string"))
+        .otherwise(F.concat(F.lit("./crawl_table/O"), F.col("l_orderkey").cast("string")))
+        .alias("Saving_path"),
+    )
+    o = read_table(spark, d, "orders").select("o_orderkey", "o_orderstatus")
+    files = o.where(F.col("o_orderkey") % 3 != 0).select(
+        F.concat(F.lit("/O"), F.col("o_orderkey").cast("string")).alias("report_dir"), "o_orderstatus"
+    )
+    return quality.existing_index_rows(index, files).select("l_orderkey", "l_linenumber", "o_orderstatus")
