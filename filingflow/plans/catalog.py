@@ -1122,3 +1122,214 @@ def q_existing_rows(spark: SparkSession, d: str) -> DataFrame:
         F.concat(F.lit("/O"), F.col("o_orderkey").cast("string")).alias("report_dir"), "o_orderstatus"
     )
     return quality.existing_index_rows(index, files).select("l_orderkey", "l_linenumber", "o_orderstatus")
+
+
+# Re-scrape plan (M4) ---------------------------------------------------------------------------
+from filingflow.plans import flows  # noqa: E402
+
+RESCRAPE_WITH = AUDIT_WITH + r""",
+syms AS (SELECT DISTINCT 'C' || CAST(o_orderkey // 2 AS VARCHAR) AS symbol FROM orders),
+open_syms AS (SELECT symbol FROM syms WHERE symbol NOT IN (SELECT symbol FROM classified WHERE status = 'clean')),
+cps AS (
+  SELECT DISTINCT 'C' || CAST(o_orderkey // 2 AS VARCHAR) AS symbol, (o_orderkey // 2) % 4 + 1 AS current_page,
+         (o_orderkey // 2) % 3 AS last_row_index
+  FROM orders WHERE (o_orderkey // 2) % 5 <> 0)
+"""
+
+
+@register(
+    "rescrape_plan",
+    RESCRAPE_WITH
+    + """
+SELECT symbol, current_page, last_row_index FROM cps WHERE symbol NOT IN (SELECT symbol FROM open_syms)
+UNION ALL
+SELECT symbol, 1 AS current_page, 0 AS last_row_index FROM open_syms
+""",
+)
+def q_rescrape_plan(spark: SparkSession, d: str) -> DataFrame:
+    _, cp = flows.rescrape_plan(
+        derive.crawl_log(spark, d), derive.report_index(spark, d), derive.symbol_list(spark, d),
+        derive.symbol_checkpoints(spark, d),
+    )
+    return cp
+
+
+# Sources and sinks through the shared work folder ------------------------------------------------
+from filingflow.session import new_work_dir  # noqa: E402
+from filingflow.sources import files  # noqa: E402
+
+
+@register(
+    "files_roundtrip_symbols",
+    "SELECT DISTINCT 'C' || CAST(o_orderkey // 2 AS VARCHAR) AS symbol FROM orders",
+)
+def q_files_roundtrip_symbols(spark: SparkSession, d: str) -> DataFrame:
+    path = new_work_dir(spark, "symbols")
+    files.write_symbols(derive.symbol_list(spark, d).withColumnRenamed("symbol", "ticker").withColumnRenamed("ticker", "symbol"), path)
+    return files.read_symbols(spark, path)
+
+
+@register(
+    "files_roundtrip_checkpoints",
+    EVENTS_WITH
+    + r""",
+err AS (
+  SELECT 'U' || CAST(user_id AS VARCHAR) AS symbol FROM events GROUP BY user_id
+  HAVING count(*) FILTER (WHERE event_type = 'error') > count(*) FILTER (WHERE event_type = 'purchase')),
+latest AS (
+  SELECT symbol, current_page, last_row_index FROM cp WHERE symbol NOT IN (SELECT symbol FROM err)
+  UNION ALL SELECT symbol, 1, 0 FROM err),
+users AS (SELECT DISTINCT 'U' || CAST(user_id AS VARCHAR) AS symbol FROM events)
+SELECT u.symbol, coalesce(l.current_page, 1) AS current_page, coalesce(l.last_row_index, 0) AS last_row_index
+FROM users u LEFT JOIN latest l ON u.symbol = l.symbol
+""",
+)
+def q_files_roundtrip_checkpoints(spark: SparkSession, d: str) -> DataFrame:
+    path = new_work_dir(spark, "checkpoints")
+    cp = derive.event_checkpoints(spark, d)
+    files.write_checkpoints(cp, path, version=1)
+    reset = resume.reset_checkpoints(cp, derive.event_error_symbols(spark, d))
+    files.write_checkpoints(reset.join(derive.event_error_symbols(spark, d), "symbol", "left_semi"), path, version=2)
+    users = read_table(spark, d, "events").select(
+        F.concat(F.lit("U"), F.col("user_id").cast("string")).alias("symbol")
+    )
+    return files.read_checkpoints(spark, path, symbols=users)
+
+
+@register(
+    "files_roundtrip_index",
+    r"""
+SELECT 'C' || CAST(l_orderkey // 2 AS VARCHAR) AS symbol, CAST(l_linenumber AS BIGINT) AS STT,
+       './crawl_table/C' || CAST(l_orderkey // 2 AS VARCHAR) || '/r' || CAST(l_linenumber AS VARCHAR) AS Saving_path,
+       'success' AS status
+FROM lineitem WHERE l_returnflag <> 'R'
+""",
+)
+def q_files_roundtrip_index(spark: SparkSession, d: str) -> DataFrame:
+    path = new_work_dir(spark, "index")
+    li = read_table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag")
+    sym = F.concat(F.lit("C"), F.expr("l_orderkey div 2").cast("string"))
+    rows = li.select(
+        sym.alias("symbol"),
+        F.col("l_linenumber").cast("bigint").alias("STT"),
+        F.concat(F.lit("./crawl_table/"), sym, F.lit("/r"), F.col("l_linenumber").cast("string")).alias("Saving_path"),
+        F.when(F.col("l_returnflag") == "R", "warning").otherwise("success").alias("status"),
+    )
+    files.write_report_index(rows, path)
+    return files.read_report_index_table(spark, path, "success").select("symbol", "STT", "Saving_path", "status")
+
+
+@register(
+    "files_roundtrip_logs",
+    "WITH " + LOG_CTE + rf"""
+SELECT value,
+       CAST(substr(value, 1, 19) AS TIMESTAMP) + to_milliseconds(CAST(substr(value, 21, 3) AS BIGINT)) AS ts,
+       coalesce(nullif(regexp_extract(value, 'INFO - Scraping Successfully ({W}+):', 1), ''),
+                nullif(regexp_extract(value, 'WARNING - Not enough reports ({W}+):', 1), '')) AS symbol
+FROM log
+""",
+)
+def q_files_roundtrip_logs(spark: SparkSession, d: str) -> DataFrame:
+    path = new_work_dir(spark, "logs")
+    files.write_log_lines(derive.crawl_log(spark, d), path)
+    parsed = audit.parse_log(files.read_logs(spark, path, glob="*.txt"))
+    return parsed.select("value", "ts", "symbol")
+
+
+@register(
+    "files_roundtrip_statements",
+    r"""
+SELECT '/r' || CAST(l_orderkey AS VARCHAR) AS report_dir,
+       CASE l_orderkey % 4 WHEN 0 THEN 'BCDKT' WHEN 1 THEN 'KQKD' WHEN 2 THEN 'LCTT_TT' ELSE 'LCTT_GT' END AS statement,
+       CAST(2 * count(*) AS BIGINT) AS n_cells
+FROM lineitem GROUP BY l_orderkey
+""",
+)
+def q_files_roundtrip_statements(spark: SparkSession, d: str) -> DataFrame:
+    path = new_work_dir(spark, "statements")
+    li = read_table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus")
+    cells = li.select(
+        F.lit("ALL").alias("symbol"),
+        F.concat(F.lit("/r"), F.col("l_orderkey").cast("string")).alias("report_dir"),
+        F.element_at(
+            F.array(*[F.lit(n) for n in files.STATEMENT_FILES]), (F.col("l_orderkey") % 4 + 1).cast("int")
+        ).alias("statement"),
+        F.col("l_linenumber").cast("bigint").alias("row_idx"),
+        F.inline(F.array(
+            F.struct(F.lit(0).cast("bigint").alias("col_idx"), F.lit("returnflag").alias("col_name"), F.col("l_returnflag").alias("value")),
+            F.struct(F.lit(1).cast("bigint").alias("col_idx"), F.lit("linestatus").alias("col_name"), F.col("l_linestatus").alias("value")),
+        )),
+        F.lit(False).alias("unreadable"),
+    )
+    first = cells.where(F.expr("CAST(substring(report_dir, 3) AS BIGINT) % 2 = 0"))
+    files.write_statements(first, path)
+    # Second pass: every statement again; those already held are skipped.
+    files.write_statements(cells, path, existing=files.read_statement_table(spark, path))
+    table = files.read_statement_table(spark, path)
+    return table.groupBy("report_dir", "statement").agg(F.count(F.lit(1)).alias("n_cells"))
+
+
+@register(
+    "files_roundtrip_truth",
+    CROSS_WITH
+    + """
+SELECT (SELECT count(*) FROM merged) AS n_source, (SELECT count(*) FROM truth) AS n_truth,
+       (SELECT count(*) FROM merged WHERE tax_code IS NOT NULL) AS n_mapped
+""",
+)
+def q_files_roundtrip_truth(spark: SparkSession, d: str) -> DataFrame:
+    path = new_work_dir(spark, "truth")
+    derive.truth_table(spark, d).withColumn("stock_code", F.lit("ALL")).write.mode("overwrite").option(
+        "header", True
+    ).csv(path)
+    truth = files.read_truth(spark, path)
+    merged = crosscheck.map_source(derive.report_titles(spark, d), truth)
+    return crosscheck.map_counts(merged, truth)
+
+
+@register("file_count")
+def q_file_count(spark: SparkSession, d: str) -> DataFrame:
+    return files.count_files(files.file_catalog(spark, d, "*.parquet"))
+
+
+# Streams ----------------------------------------------------------------------------------------
+from filingflow.streaming import status as streams  # noqa: E402
+
+
+@register("stream_status", "WITH " + LOG_CTE + "," + SETS_CTE + "\nSELECT symbol, in_success, in_warning FROM sets")
+def q_stream_status(spark: SparkSession, d: str) -> DataFrame:
+    base = new_work_dir(spark, "stream-status")
+    src, out, ck = f"{base}/logs", f"{base}/out", f"{base}/checkpoint"
+    derive.crawl_log(spark, d).select("value").repartition(4).write.text(src)
+    q = streams.run_status(spark, src, out, ck, max_files_per_trigger=1)
+    q.awaitTermination()
+    return spark.read.parquet(out)
+
+
+@register(
+    "stream_first_submission",
+    r"""
+SELECT symbol, submitted_at, l_orderkey, l_linenumber, l_returnflag FROM (
+  SELECT 'S' || CAST(l_suppkey AS VARCHAR) AS symbol, strftime(l_shipdate, '%d/%m/%Y %H:%M:%S') AS submitted_at,
+         l_orderkey, l_linenumber, l_returnflag,
+         row_number() OVER (PARTITION BY l_suppkey, strftime(l_shipdate, '%d/%m/%Y %H:%M:%S')
+                            ORDER BY l_returnflag, l_orderkey, l_linenumber) AS rn
+  FROM lineitem) r WHERE rn = 1
+""",
+)
+def q_stream_first_submission(spark: SparkSession, d: str) -> DataFrame:
+    import time
+
+    base = new_work_dir(spark, "stream-intake")
+    src, out, ck = f"{base}/in", f"{base}/out", f"{base}/checkpoint"
+    subs = derive.supplier_submissions(spark, d)
+    # Arrivals in three waves (return flag A, then N, then R).
+    for flag in ("A", "N", "R"):
+        subs.where(F.col("l_returnflag") == flag).write.mode("append").parquet(src)
+        time.sleep(1.1)
+    q = streams.run_first_submission(
+        spark, src, subs.schema, out, ck, order=("l_returnflag", "l_orderkey", "l_linenumber"),
+        max_files_per_trigger=2,
+    )
+    q.awaitTermination()
+    return streams.read_admitted(spark, out).select("symbol", "submitted_at", "l_orderkey", "l_linenumber", "l_returnflag")

@@ -352,3 +352,15 @@ def event_row_texts(spark: SparkSession, data_dir: str) -> DataFrame:
         text.alias("row_text"),
         F.array(*[F.lit(h) for h in LISTING_HEADER]).alias("headers"),
     )
+
+
+def symbol_checkpoints(spark: SparkSession, data_dir: str) -> DataFrame:
+    """Checkpoints for the audit's symbols ``C<k>`` with ``k % 5 <> 0``."""
+    o = read_table(spark, data_dir, "orders").select("o_orderkey")
+    k = F.expr("o_orderkey div 2")
+    s = o.select(k.alias("k")).distinct().where(F.col("k") % 5 != 0)
+    return s.select(
+        _sym("C", F.col("k")).alias("symbol"),
+        (F.col("k") % 4 + 1).cast("bigint").alias("current_page"),
+        (F.col("k") % 3).cast("bigint").alias("last_row_index"),
+    )
