@@ -38,6 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from filingflow.functions import arrays as A
+from filingflow.operators.common import explode_positions
 
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 RAW_TEXT = {"script", "style"}
@@ -314,9 +315,8 @@ def table_rows(extracted: DataFrame, mode: str = "flat") -> DataFrame:
         )
     else:
         raise ValueError(f"unknown mode {mode!r}")
-    return shaped.select(
-        "page_id", "headers", F.posexplode(F.coalesce("_rows", F.array().cast("array<array<string>>"))).alias("row_no", "row")
-    ).withColumn("malformed", A.row_too_long("row", F.size("headers")))
+    rows = explode_positions(shaped, F.col("_rows"), "row_no", "row", ["page_id", "headers"])
+    return rows.withColumn("malformed", A.row_too_long("row", F.size("headers")))
 
 
 def firm_info(pages: DataFrame, config: dict, html: str = "html") -> DataFrame:

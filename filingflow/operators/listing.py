@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from filingflow.functions import text as T
+from filingflow.operators.common import keep_rows
 from filingflow.operators.ordering import first_per_key
 
 SUBMITTED_FORMAT = "dd/MM/yyyy HH:mm:ss"
@@ -54,7 +55,7 @@ def filter_listing_names(df: DataFrame, headers: str = "headers", cols: str = "c
     bad = F.coalesce(F.array_contains(F.col(headers), name), F.lit(False)) | F.coalesce(
         name.contains("Filter"), F.lit(False)
     )
-    return df.where(~bad)
+    return keep_rows(df, ~bad)
 
 
 # F3 -------------------------------------------------------------------------
@@ -62,7 +63,7 @@ def filter_listing_cells(df: DataFrame, cells: str = "cells") -> DataFrame:
     """Table rows with 5 or 6 cells whose summary (4th cell) is longer than
     one character (a 4-cell row fails in the reference; it is dropped)."""
     c = F.col(cells)
-    return df.where(F.size(c).between(5, 6) & (F.length(F.try_element_at(c, F.lit(4))) > 1))
+    return keep_rows(df, F.size(c).between(5, 6) & (F.length(F.try_element_at(c, F.lit(4))) > 1))
 
 
 # F4, F5, F12 -------------------------------------------------------------------

@@ -14,12 +14,13 @@ largest task is bounded by the data size divided by the partition count:
    counts into offsets;
 4. offsets are joined back on (partition, group).
 
-The numbered rows are materialised once with ``checkpoint()`` (reliable, in
-the shared checkpoint folder).  Both the count branch and the join branch
-must see the same partition of every row; two independent range exchanges
-would each sample the keys with their own seed and could cut the ranges
-differently.  The checkpoint also cuts the lineage, so a lost executor does
-not re-run the range shuffle.
+The numbered rows are materialised once as a Parquet table in the shared
+work folder (``spark.checkpoint.dir``).  Both the count branch and the join
+branch must see the same partition of every row; two independent range
+exchanges would each sample the keys with their own seed and could cut the
+ranges differently.  The written table also cuts the lineage, so a lost
+executor does not re-run the range shuffle, and it is computed once (an RDD
+``checkpoint()`` computes its input twice and stores Java-serialised rows).
 
 This is the distributed ``zipWithIndex`` idea expressed with DataFrame
 operators.  The order must be total (ties make the numbering depend on the
@@ -33,7 +34,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from filingflow.session import work_root
+from filingflow.session import new_work_dir
 
 
 def _partitions(df: DataFrame, num_partitions: int | None) -> int:
@@ -60,8 +61,9 @@ def ordered_index(
         .withColumn("_ff_mid", F.monotonically_increasing_id())
         .withColumn("_ff_pid", F.shiftright(F.col("_ff_mid"), 33))
     )
-    work_root(df.sparkSession)  # sets a checkpoint folder only where none is configured
-    ranged = ranged.checkpoint(eager=True)
+    path = new_work_dir(df.sparkSession, "ordered")
+    ranged.write.mode("overwrite").parquet(path)
+    ranged = df.sparkSession.read.parquet(path)
     stats = ranged.groupBy("_ff_pid", *by).agg(
         F.count(F.lit(1)).alias("_ff_cnt"), F.min("_ff_mid").alias("_ff_first")
     )

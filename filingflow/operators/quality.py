@@ -117,10 +117,6 @@ def marker_rate(existing: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 
 # H24 ------------------------------------------------------------------------
-def _xor_hash(seed: str, *cols) -> F.Column:
-    return F.bit_xor(F.xxhash64(F.lit(seed), *cols))
-
-
 def statement_fingerprints(cells: DataFrame, key: Sequence[str] = STATEMENT_KEY) -> DataFrame:
     """One row per statement: (key..., n_rows, n_cols, fp1, fp2, unreadable)."""
     key = list(key)
@@ -140,10 +136,13 @@ def statement_fingerprints(cells: DataFrame, key: Sequence[str] = STATEMENT_KEY)
     is_num = pv.rlike(NUM_RE)
     is_bool = pv.isin(BOOL_WORDS)
     null_tok = F.lit("\u0000missing")
+    # Each canonical form is only used when the whole column has that type,
+    # so a cell is converted only when it passes that type's test (a failed
+    # text-to-double conversion costs an exception per cell).
     canon = {
-        "int": F.coalesce(F.trim(pv).try_cast("bigint").cast("string"), null_tok),
-        "double": F.coalesce(F.trim(pv).try_cast("double").cast("string"), null_tok),
-        "bool": F.coalesce(F.lower(pv), null_tok),
+        "int": F.coalesce(F.when(is_int, F.trim(pv).try_cast("bigint").cast("string")), null_tok),
+        "double": F.coalesce(F.when(is_num, F.trim(pv).try_cast("double").cast("string")), null_tok),
+        "bool": F.coalesce(F.when(is_bool, F.lower(pv)), null_tok),
         "text": F.coalesce(pv, null_tok),
     }
     pos = [F.col("row_idx"), F.col("col_idx")]

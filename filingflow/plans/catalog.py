@@ -875,6 +875,7 @@ def q_page_link_pairs(spark: SparkSession, d: str) -> DataFrame:
 
 # Array functions ----------------------------------------------------------------------------
 from filingflow.functions import arrays as _A  # noqa: E402
+from filingflow.operators.common import explode_positions  # noqa: E402
 
 
 def _conv(spark: SparkSession, d: str) -> DataFrame:
@@ -893,10 +894,11 @@ FROM s
 """,
 )
 def q_chunk_cells(spark: SparkSession, d: str) -> DataFrame:
-    c = _conv(spark, d).select(
-        "conv_id", "turn", _A.chunk_cells(F.split("text", " "), (F.col("turn") % 4 + 2).cast("int")).alias("rows")
-    )
-    c = c.select("conv_id", "turn", F.posexplode("rows").alias("chunk_no", "chunk"))
+    # The cell list is its own column: a lambda over an inline split would
+    # split the text again for every chunk.
+    c = _conv(spark, d).select("conv_id", "turn", F.split("text", " ").alias("cells"))
+    c = c.select("conv_id", "turn", _A.chunk_cells("cells", (F.col("turn") % 4 + 2).cast("int")).alias("rows"))
+    c = explode_positions(c, F.col("rows"), "chunk_no", "chunk", ["conv_id", "turn"])
     return c.select(
         "conv_id",
         "turn",

@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from filingflow.operators.common import explode_positions
 from filingflow.sources.tables import read_table
 
 
@@ -152,11 +153,14 @@ def document_cells(spark: SparkSession, data_dir: str) -> DataFrame:
     d = read_table(spark, data_dir, "documents").select("doc_id", "lang", "text")
     lab = read_table(spark, data_dir, "labels").select("doc_id")
     d = d.join(lab, "doc_id", "left_semi")
-    rows = d.select(
+    d = d.select(
         F.col("lang").alias("symbol"),
         F.concat(F.lit("/"), F.col("lang"), F.lit("/"), F.col("doc_id").cast("string")).alias("report_dir"),
         (F.length("text") == 0).alias("unreadable"),
-        F.posexplode(F.split("text", "\n")).alias("row_idx", "line"),
+        "text",
+    )
+    rows = explode_positions(
+        d, F.split("text", "\n"), "row_idx", "line", ["symbol", "report_dir", "unreadable"]
     )
     return rows.select(
         "symbol",
