@@ -1034,7 +1034,8 @@ SELECT o_orderkey,
                       '^\./crawl_table', '') AS rebased,
        CAST(length(o_orderpriority) AS BIGINT) AS priority_len,
        CAST(strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS TIMESTAMP) AS log_ts,
-       o_orderkey % 9 > o_orderkey % 7 AS complete
+       o_orderkey % 9 > o_orderkey % 7 AS complete,
+       'C' || CAST(o_orderkey // 2 AS VARCHAR) AS checkpoint_symbol
 FROM orders
 """,
 )
@@ -1051,6 +1052,9 @@ def q_scalar_bundle(spark: SparkSession, d: str) -> DataFrame:
         T.text_length("o_orderpriority").alias("priority_len"),
         T.log_time(line).alias("log_ts"),
         resume.is_complete("_cur", "_pages").alias("complete"),
+        T.symbol_from_file(
+            F.concat(F.lit("checkpoint_C"), F.expr("o_orderkey div 2").cast("string"), F.lit(".json"))
+        ).alias("checkpoint_symbol"),
     )
 
 
@@ -1335,3 +1339,29 @@ def q_stream_first_submission(spark: SparkSession, d: str) -> DataFrame:
     )
     q.awaitTermination()
     return streams.read_admitted(spark, out).select("symbol", "submitted_at", "l_orderkey", "l_linenumber", "l_returnflag")
+
+
+@register(
+    "status_log_lines",
+    RECON_WITH
+    + r"""
+, st AS (
+  SELECT e.symbol, coalesce(g.got, 0) AS got, e.expected,
+         CASE WHEN coalesce(g.got, 0) = e.expected THEN 'success' ELSE 'warning' END AS status,
+         CAST(coalesce(g.got, 0) AS VARCHAR) || '/' || CAST(e.expected AS VARCHAR) AS message
+  FROM expected e LEFT JOIN got g ON e.symbol = g.symbol),
+ts AS (SELECT 'O' || CAST(o_orderkey AS VARCHAR) AS symbol, o_orderdate AS ts FROM orders)
+SELECT strftime(ts.ts, '%Y-%m-%d %H:%M:%S') || ',000' ||
+       CASE WHEN status = 'success' THEN ' - INFO - Scraping Successfully ' ELSE ' - WARNING - Not enough reports ' END
+       || st.symbol || ': ' || message AS value
+FROM st JOIN ts ON st.symbol = ts.symbol
+""",
+)
+def q_status_log_lines(spark: SparkSession, d: str) -> DataFrame:
+    expected = reconcile.expected_reports(derive.order_pager(spark, d), derive.order_arrivals(spark, d))
+    status = reconcile.reconcile(expected, reconcile.reports_per_symbol(derive.order_catalog(spark, d)))
+    o = read_table(spark, d, "orders").select(
+        F.concat(F.lit("O"), F.col("o_orderkey").cast("string")).alias("_ts_symbol"), F.col("o_orderdate").alias("ts")
+    )
+    status = status.join(o, status["symbol"] == o["_ts_symbol"], "inner")
+    return reconcile.format_log_lines(status)
