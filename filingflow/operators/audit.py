@@ -131,14 +131,19 @@ def latest_log(logs: DataFrame, file: str = "file") -> DataFrame:
 
 def log_summary(logs: DataFrame, line: str = "value", file: str = "file") -> DataFrame:
     """Positional summary of the newest log: success rows, then warning rows
-    whose symbol has no success row (duplicates kept)."""
+    whose symbol has no success row (duplicates kept).
+
+    The per-symbol "has a success row" flag is an aggregation joined back,
+    so the newest-log rows are derived in two branches, not three.
+    """
     parsed = latest_log(logs, file).select(T.parse_log_tokens(line).alias("p")).select("p.*")
     parsed = parsed.where(F.col("kind").isNotNull())
-    ok = parsed.where(F.col("kind") == "success")
-    warn = parsed.where(F.col("kind") == "warning")
-    ok_symbols = ok.select(F.col("symbol").alias("_ok_symbol")).distinct()
-    warn = warn.join(ok_symbols, warn["symbol"].eqNullSafe(ok_symbols["_ok_symbol"]), "left_anti")
-    return ok.unionByName(warn).select(
+    ok_symbols = parsed.groupBy(F.col("symbol").alias("_ok_symbol")).agg(
+        F.bool_or(F.col("kind") == "success").alias("_has_ok")
+    )
+    j = parsed.join(ok_symbols, parsed["symbol"].eqNullSafe(ok_symbols["_ok_symbol"]), "left")
+    keep = (F.col("kind") == "success") | ~F.coalesce(F.col("_has_ok"), F.lit(False))
+    return j.where(keep).select(
         F.col("symbol").alias("Symbol"), F.col("report_count").alias("report_count"), "kind"
     )
 

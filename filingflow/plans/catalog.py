@@ -1307,7 +1307,7 @@ def q_stream_status(spark: SparkSession, d: str) -> DataFrame:
     base = new_work_dir(spark, "stream-status")
     src, out, ck = f"{base}/logs", f"{base}/out", f"{base}/checkpoint"
     derive.crawl_log(spark, d).select("value").repartition(4).write.text(src)
-    q = streams.run_status(spark, src, out, ck, max_files_per_trigger=1)
+    q = streams.run_status(spark, src, out, ck, max_files_per_trigger=2)
     q.awaitTermination()
     return spark.read.parquet(out)
 

@@ -77,3 +77,20 @@ def new_work_dir(spark: SparkSession, name: str) -> str:
     import uuid
 
     return f"{root}/{name}-{uuid.uuid4().hex}"
+
+
+def scale_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Partition sizing for a cluster run over ``input_bytes`` of input.
+
+    Scan splits and shuffle partitions of about ``target_partition_bytes``
+    (fit in an executor core's memory share with room for sort buffers), at
+    least three waves of tasks over all cores; AQE coalesces small shuffle
+    partitions and splits skewed ones at run time.
+    """
+    shuffle = max(3 * total_cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+    }

@@ -203,6 +203,22 @@ def read_logs(spark: SparkSession, path: str, glob: str = "*.log") -> DataFrame:
     return df.select("value", F.col("_metadata.file_name").alias("file"))
 
 
+def read_latest_log(spark: SparkSession, path: str, glob: str = "*.log") -> DataFrame:
+    """S11 on a log folder: only the file greatest by name is scanned.
+
+    The newest name comes from the file listing (no file content is read);
+    the one name is the only value that reaches the driver.
+    """
+    names = (
+        spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
+        .select(F.col("path")).agg(F.max("path").alias("p"))
+    )
+    newest = names.first()["p"]
+    if newest is None:
+        return spark.createDataFrame([], "value string, file string")
+    return spark.read.text(newest).select("value", F.col("_metadata.file_name").alias("file"))
+
+
 def write_log_lines(lines: DataFrame, path: str) -> None:
     lines.select("value").write.mode("append").text(path)
 

@@ -35,3 +35,20 @@ def test_logs_and_catalog(spark, tmp_path):
     assert n["n_files"] >= 0
     cells = files.read_statements(spark, str(tmp_path / "tree"), names=["KQKD"])
     assert sorted((r["row_idx"], r["value"]) for r in cells.collect()) == [(-1, None), (0, "1")]
+
+
+def test_read_latest_log(spark, tmp_path):
+    d = tmp_path / "logging"
+    d.mkdir()
+    (d / "20241112_113700_crawl.log").write_text("old\n")
+    (d / "20241113_090000_crawl.log").write_text("new1\nnew2\n")
+    got = sorted(r["value"] for r in files.read_latest_log(spark, str(d)).collect())
+    assert got == ["new1", "new2"]
+
+
+def test_scale_conf():
+    from filingflow.session import scale_conf
+
+    conf = scale_conf(100 << 40, 8000)
+    assert int(conf["spark.sql.shuffle.partitions"]) == 409600
+    assert int(scale_conf(1 << 20, 8)["spark.sql.shuffle.partitions"]) == 24
