@@ -232,27 +232,40 @@ def _spans_visible(row: Node, cell: str) -> list[str]:
 
 
 def extract_page(html: str, cfg: dict, mode: str, faithful: bool = False):
+    """One page → (headers, flat cells, rows of cells).
+
+    ``header`` is matched inside the first ``header_scope`` element (the
+    document when unset); ``row`` inside the first ``table`` element (the
+    document when unset).  A selector can carry its own ancestors, so "all
+    matches anywhere" and "inside the first container" are both expressible.
+    """
     root = parse_html(html)
-    tables = select(root, cfg["table"]) if cfg.get("table") else [root]
+
+    def scope(key: str) -> Node | None:
+        sel = cfg.get(key)
+        if not sel:
+            return root
+        found = select(root, sel)
+        return found[0] if found else None
+
+    hscope, tscope = scope("header_scope"), scope("table")
     headers: list[str] = []
     rows: list[list[str]] = []
     cells: list[str] = []
-    for t in tables[:1]:
-        if cfg.get("header"):
-            hs = select(t, cfg["header"])
-            headers = [stripped_text(h) if mode == "spans" else inner_text(h) for h in hs]
-        row_nodes = select(t, cfg["row"]) if cfg.get("row") else []
-        if mode == "flat":
-            cells = [inner_text(r) for r in row_nodes]
-        elif mode == "spans":
-            cell = cfg.get("cell", "span")
-            pick = _spans_faithful if faithful else _spans_visible
-            rows = [pick(r, cell) for r in row_nodes]
-        elif mode == "rendered":
-            cell = cfg.get("cell", "span")
-            rows = [[inner_text(s) for s in r.iter() if s.tag == cell] for r in row_nodes]
-        else:
-            raise ValueError(f"unknown mode {mode!r}")
+    if hscope is not None and cfg.get("header"):
+        hs = select(hscope, cfg["header"])
+        headers = [stripped_text(h) if mode == "spans" else inner_text(h) for h in hs]
+    row_nodes = select(tscope, cfg["row"]) if tscope is not None and cfg.get("row") else []
+    cell = cfg.get("cell", "span")
+    if mode == "flat":
+        cells = [inner_text(r) for r in row_nodes]
+    elif mode == "spans":
+        pick = _spans_faithful if faithful else _spans_visible
+        rows = [pick(r, cell) for r in row_nodes]
+    elif mode == "rendered":
+        rows = [[inner_text(s) for s in r.iter() if s.tag == cell] for r in row_nodes]
+    else:
+        raise ValueError(f"unknown mode {mode!r}")
     return headers, cells, rows
 
 

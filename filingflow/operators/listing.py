@@ -66,6 +66,16 @@ def filter_listing_cells(df: DataFrame, cells: str = "cells") -> DataFrame:
     return keep_rows(df, F.size(c).between(5, 6) & (F.length(F.try_element_at(c, F.lit(4))) > 1))
 
 
+def filter_listing(df: DataFrame, style: str = "name", **kw) -> DataFrame:
+    """F2 (``style='name'``, the header-projected crawler) or F3
+    (``style='cells'``, the table-row crawler)."""
+    if style == "name":
+        return filter_listing_names(df, **kw)
+    if style == "cells":
+        return filter_listing_cells(df, **kw)
+    raise ValueError(f"style must be 'name' or 'cells', not {style!r}")
+
+
 # F4, F5, F12 -------------------------------------------------------------------
 def submitted_at(c: Column | str) -> Column:
     """Submission time text ``dd/MM/yyyy HH:mm:ss`` → timestamp (no zone)."""

@@ -116,6 +116,21 @@ def marker_rate(existing: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     return agg.withColumn("error_rate", T.error_rate("error_files", "total_files"))
 
 
+def contamination_rate(
+    index: DataFrame,
+    cells: DataFrame,
+    statement: str = "KQKD",
+    marker: str = T.BALANCE_SHEET_MARKER,
+    by: Sequence[str] = (),
+    new_root: str = "",
+) -> DataFrame:
+    """F6 + J5 + F9 + A6 in one call: index rows with a saved path whose
+    ``statement`` file exists, and the share whose first column holds the
+    marker (cells read headerless, so the header line counts)."""
+    flags = marker_flags(cells.where(F.col("statement") == statement), marker)
+    return marker_rate(existing_index_rows(index, flags, new_root=new_root), by)
+
+
 # H24 ------------------------------------------------------------------------
 def statement_fingerprints(cells: DataFrame, key: Sequence[str] = STATEMENT_KEY) -> DataFrame:
     """One row per statement: (key..., n_rows, n_cols, fp1, fp2, unreadable)."""
@@ -201,17 +216,26 @@ def duplicate_pairs(
     fingerprints: DataFrame,
     report: Sequence[str] = ("symbol", "report_dir"),
     symbol: str = "symbol",
+    index: DataFrame | None = None,
 ) -> DataFrame:
     """Pairs of equal statements inside each report, summed per symbol.
 
     Unreadable files are left out, as the reference skips files it cannot
     read.  Σ n(n-1)/2 over groups of equal fingerprints equals the number of
-    equal pairs found by comparing every pair.
+    equal pairs found by comparing every pair.  With ``index`` (report-index
+    rows carrying the report columns) a report is counted once per index row
+    that lists it, as the reference walks the index rows.
     """
     fp = fingerprints.where(~F.col("unreadable"))
     groups = fp.groupBy(*report, "n_rows", "n_cols", "fp1", "fp2").agg(F.count(F.lit(1)).alias("_n"))
     pairs = groups.withColumn("_pairs", (F.col("_n") * (F.col("_n") - 1) / 2).cast("bigint"))
-    return pairs.groupBy(symbol).agg(F.sum("_pairs").cast("bigint").alias("dup_pairs"))
+    per_report = pairs.groupBy(*report).agg(F.sum("_pairs").alias("_pairs"))
+    if index is not None:
+        listed = index.groupBy(*report).agg(F.count(F.lit(1)).alias("_listed"))
+        per_report = per_report.join(listed, list(report), "inner").withColumn(
+            "_pairs", F.col("_pairs") * F.col("_listed")
+        )
+    return per_report.groupBy(symbol).agg(F.sum("_pairs").cast("bigint").alias("dup_pairs"))
 
 
 def duplicate_total(per_symbol: DataFrame) -> DataFrame:

@@ -1324,44 +1324,16 @@ SELECT symbol, submitted_at, l_orderkey, l_linenumber, l_returnflag FROM (
 """,
 )
 def q_stream_first_submission(spark: SparkSession, d: str) -> DataFrame:
-    import time
-
     base = new_work_dir(spark, "stream-intake")
     src, out, ck = f"{base}/in", f"{base}/out", f"{base}/checkpoint"
     subs = derive.supplier_submissions(spark, d)
-    # Arrivals in three waves (return flag A, then N, then R).
+    # Three arrival waves (return flag A, then N, then R); after each wave the
+    # intake runs incrementally from its checkpoint and admits new keys only.
     for flag in ("A", "N", "R"):
         subs.where(F.col("l_returnflag") == flag).write.mode("append").parquet(src)
-        time.sleep(1.1)
-    q = streams.run_first_submission(
-        spark, src, subs.schema, out, ck, order=("l_returnflag", "l_orderkey", "l_linenumber"),
-        max_files_per_trigger=2,
-    )
-    q.awaitTermination()
+        q = streams.run_first_submission(
+            spark, src, subs.schema, out, ck, order=("l_returnflag", "l_orderkey", "l_linenumber"),
+            max_files_per_trigger=None,
+        )
+        q.awaitTermination()
     return streams.read_admitted(spark, out).select("symbol", "submitted_at", "l_orderkey", "l_linenumber", "l_returnflag")
-
-
-@register(
-    "status_log_lines",
-    RECON_WITH
-    + r"""
-, st AS (
-  SELECT e.symbol, coalesce(g.got, 0) AS got, e.expected,
-         CASE WHEN coalesce(g.got, 0) = e.expected THEN 'success' ELSE 'warning' END AS status,
-         CAST(coalesce(g.got, 0) AS VARCHAR) || '/' || CAST(e.expected AS VARCHAR) AS message
-  FROM expected e LEFT JOIN got g ON e.symbol = g.symbol),
-ts AS (SELECT 'O' || CAST(o_orderkey AS VARCHAR) AS symbol, o_orderdate AS ts FROM orders)
-SELECT strftime(ts.ts, '%Y-%m-%d %H:%M:%S') || ',000' ||
-       CASE WHEN status = 'success' THEN ' - INFO - Scraping Successfully ' ELSE ' - WARNING - Not enough reports ' END
-       || st.symbol || ': ' || message AS value
-FROM st JOIN ts ON st.symbol = ts.symbol
-""",
-)
-def q_status_log_lines(spark: SparkSession, d: str) -> DataFrame:
-    expected = reconcile.expected_reports(derive.order_pager(spark, d), derive.order_arrivals(spark, d))
-    status = reconcile.reconcile(expected, reconcile.reports_per_symbol(derive.order_catalog(spark, d)))
-    o = read_table(spark, d, "orders").select(
-        F.concat(F.lit("O"), F.col("o_orderkey").cast("string")).alias("_ts_symbol"), F.col("o_orderdate").alias("ts")
-    )
-    status = status.join(o, status["symbol"] == o["_ts_symbol"], "inner")
-    return reconcile.format_log_lines(status)

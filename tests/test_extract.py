@@ -51,3 +51,14 @@ def test_unclosed_paragraphs(spark):
     cfg = {"table": "article", "header": "h1", "row": "p", "cell": "b"}
     rows = extract.extract_cells(pages(spark, html), cfg, "spans").first()["rows"]
     assert rows == [["Head"], [], ["B"]]
+
+
+def test_header_scope_first_container(spark):
+    html = ('<table class="h"><tr><th scope="col">A</th></tr></table>'
+            '<table class="h"><tr><th scope="col">B</th></tr></table>'
+            '<div class="t"><div class="r"><span>1</span></div></div>')
+    cfg = {"header_scope": ".h", "header": 'th[scope="col"]', "table": ".t", "row": ".r"}
+    ex = extract.extract_cells(pages(spark, html), cfg, "spans").first()
+    assert ex["headers"] == ["A"] and ex["rows"] == [["1"]]
+    cfg = {"header": '.h th[scope="col"]', "row": ".t .r span"}
+    assert extract.extract_cells(pages(spark, html), cfg, "flat").first()["headers"] == ["A", "B"]

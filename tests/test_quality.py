@@ -97,3 +97,21 @@ def test_tax_code_mode(spark):
     assert got == {"S1": "a", "S2": "nan", "S3": None}
     got = {r["Symbol"]: r["tax_code"] for r in mapping.tax_code_mode(idx, code="code", drop_missing=True).collect()}
     assert got == {"S1": "a", "S2": "x"}
+
+
+def test_duplicates_counted_per_index_row(spark):
+    tables = {"A": (["x"], [["1"]]), "B": (["x"], [["1"]])}
+    fps = quality.statement_fingerprints(cells_df(spark, tables))
+    idx = spark.createDataFrame([("S", "R"), ("S", "R")], "symbol string, report_dir string")
+    got = quality.duplicate_pairs(fps, index=idx).first()
+    assert got["dup_pairs"] == 2
+
+
+def test_contamination_rate_wrapper(spark, tmp_path):
+    root = write_tree(str(tmp_path / "crawl"))
+    idx = files.read_report_index(spark, root)
+    cells = files.read_statements(spark, root, header=False)
+    r = quality.contamination_rate(idx, cells, new_root=root).first()
+    assert (r["total_files"], r["error_files"]) == (1, 1)
+    r = quality.contamination_rate(idx, cells, statement="LCTT_TT", new_root=root).first()
+    assert (r["total_files"], r["error_files"]) == (1, 0)

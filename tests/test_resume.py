@@ -101,3 +101,16 @@ def test_listing_projection_and_filters(spark):
     out = listing.filter_listing_names(listing.listing_from_text(df))
     got = [(r["STT"], r["Tên báo cáo"], r["Đơn vị"], r["Trích yếu"]) for r in out.collect()]
     assert got == [("1", "BC quý 1", "Cty A", None), ("4", "", "", None)]
+
+
+def test_range_partitioning_spreads_hot_group(spark):
+    # The basis of ordered_index: a group holding most rows is cut over many
+    # partitions instead of landing in one task.
+    rows = [("HOT", i) for i in range(6000)] + [("C%d" % i, 0) for i in range(300)]
+    df = spark.createDataFrame(rows, "symbol string, k long")
+    sizes = (
+        df.repartitionByRange(8, "symbol", "k")
+        .groupBy(F.spark_partition_id().alias("p")).count().collect()
+    )
+    hot_share = max(r["count"] for r in sizes) / len(rows)
+    assert len(sizes) >= 6 and hot_share < 0.3
