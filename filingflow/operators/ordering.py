@@ -23,7 +23,11 @@ executor does not re-run the range shuffle, and it is computed once (an RDD
 ``checkpoint()`` computes its input twice and stores Java-serialised rows).
 
 This is the distributed ``zipWithIndex`` idea expressed with DataFrame
-operators.  The order must be total (ties make the numbering depend on the
+operators.  It is the path for hot groups; before taking it, one aggregation
+measures the largest group (a single number reaches the driver).  When every
+group fits one task (``max_group_rows``), a plain ``row_number`` window —
+one shuffle, no written table — gives the same numbers; like a broadcast
+behind a size check, with the split path beyond it.  The order must be total (ties make the numbering depend on the
 shuffle's arrival order), which every caller guarantees by adding key columns.
 """
 
@@ -37,6 +41,10 @@ from pyspark.sql import functions as F
 from filingflow.session import new_work_dir
 
 
+# Largest group that one task numbers with a window (rows).
+MAX_GROUP_ROWS = 1_000_000
+
+
 def _partitions(df: DataFrame, num_partitions: int | None) -> int:
     if num_partitions:
         return num_partitions
@@ -49,11 +57,19 @@ def ordered_index(
     order: Sequence[Column | str],
     name: str = "rn",
     num_partitions: int | None = None,
+    max_group_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
-    """Add ``name`` = 1-based position of the row in its ``by`` group."""
+    """Add ``name`` = 1-based position of the row in its ``by`` group.
+
+    ``max_group_rows=0`` forces the split path (used by the tests)."""
     by = list(by)
     order_cols = [F.col(o) if isinstance(o, str) else o for o in order]
     keys = [F.col(c) for c in by] + order_cols
+    if by and max_group_rows > 0:
+        biggest = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0]
+        if (biggest or 0) <= max_group_rows:
+            w = Window.partitionBy(*by).orderBy(*order_cols)
+            return df.withColumn(name, F.row_number().over(w).cast("bigint"))
     n = _partitions(df, num_partitions)
     ranged = (
         df.repartitionByRange(n, *keys)

@@ -18,14 +18,14 @@ aggregations that Spark combines map-side:
 
 1. per (statement, column): counts that decide the column's parsed type, and
    for each candidate type the XOR of 64-bit hashes of
-   ``(row_idx, col_idx, canonical value)`` — two independent hash families;
+   ``(row_idx, col_idx, canonical value)``;
 2. per statement: XOR of the chosen column hashes and of hashes of
    ``(col_idx, label, type)``, plus the row and column counts.
 
 XOR of position-salted hashes needs no ordering and no collected lists, so a
-statement of any size is combined in every task that holds part of it.  The
-chance that two different tables share both 64-bit hashes and both counts is
-about 2^-128.
+statement of any size is combined in every task that holds part of it.
+Fingerprints are only compared between statements of one report (a few
+pairs each), so a false match has a chance of about 2^-64 per pair.
 """
 
 from __future__ import annotations
@@ -133,7 +133,7 @@ def contamination_rate(
 
 # H24 ------------------------------------------------------------------------
 def statement_fingerprints(cells: DataFrame, key: Sequence[str] = STATEMENT_KEY) -> DataFrame:
-    """One row per statement: (key..., n_rows, n_cols, fp1, fp2, unreadable)."""
+    """One row per statement: (key..., n_rows, n_cols, fp, unreadable)."""
     key = list(key)
     v = F.col("value")
     missing = v.isNull() | v.isin(NA_TOKENS)
@@ -147,8 +147,8 @@ def statement_fingerprints(cells: DataFrame, key: Sequence[str] = STATEMENT_KEY)
         F.when(missing, None).otherwise(v).alias("_v"),
     )
     pv = F.col("_v")
-    is_int = pv.rlike(INT_RE)
     is_num = pv.rlike(NUM_RE)
+    is_int = is_num & pv.rlike(INT_RE)
     is_bool = pv.isin(BOOL_WORDS)
     null_tok = F.lit("\u0000missing")
     # Each canonical form is only used when the whole column has that type,
@@ -172,10 +172,7 @@ def statement_fingerprints(cells: DataFrame, key: Sequence[str] = STATEMENT_KEY)
         F.max("row_idx").alias("_max_row"),
     ]
     for t, expr in canon.items():
-        for seed in ("a", "b"):
-            aggs.append(
-                F.bit_xor(F.when(data, F.xxhash64(F.lit(seed), *pos, expr))).alias(f"_h_{t}_{seed}")
-            )
+        aggs.append(F.bit_xor(F.when(data, F.xxhash64(*pos, expr))).alias(f"_h_{t}"))
     per_col = c.groupBy(*key, "col_idx").agg(*aggs)
     n, present = F.col("_n"), F.col("_present")
     tag = (
@@ -188,25 +185,22 @@ def statement_fingerprints(cells: DataFrame, key: Sequence[str] = STATEMENT_KEY)
     )
     per_col = per_col.withColumn("_tag", tag)
 
-    def chosen(seed: str) -> F.Column:
-        out = F.when(F.col("_tag") == "empty", F.lit(0).cast("bigint"))
-        for t in canon:
-            out = out.when(F.col("_tag") == t, F.col(f"_h_{t}_{seed}"))
-        return F.coalesce(out.otherwise(F.lit(0).cast("bigint")), F.lit(0).cast("bigint"))
+    chosen = F.when(F.col("_tag") == "empty", F.lit(0).cast("bigint"))
+    for t in canon:
+        chosen = chosen.when(F.col("_tag") == t, F.col(f"_h_{t}"))
+    chosen = F.coalesce(chosen.otherwise(F.lit(0).cast("bigint")), F.lit(0).cast("bigint"))
 
     per_col = per_col.select(
         *key,
         "_bad",
         "_max_row",
         "col_idx",
-        (chosen("a").bitwiseXOR(F.xxhash64(F.lit("la"), "col_idx", "_name", "_tag"))).alias("_ca"),
-        (chosen("b").bitwiseXOR(F.xxhash64(F.lit("lb"), "col_idx", "_name", "_tag"))).alias("_cb"),
+        chosen.bitwiseXOR(F.xxhash64(F.lit("label"), "col_idx", "_name", "_tag")).alias("_c"),
     )
     return per_col.groupBy(*key).agg(
         (F.coalesce(F.max("_max_row"), F.lit(-1)) + 1).cast("bigint").alias("n_rows"),
         F.count(F.lit(1)).alias("n_cols"),
-        F.bit_xor("_ca").alias("fp1"),
-        F.bit_xor("_cb").alias("fp2"),
+        F.bit_xor("_c").alias("fp"),
         F.bool_or("_bad").alias("unreadable"),
     )
 
@@ -227,7 +221,7 @@ def duplicate_pairs(
     that lists it, as the reference walks the index rows.
     """
     fp = fingerprints.where(~F.col("unreadable"))
-    groups = fp.groupBy(*report, "n_rows", "n_cols", "fp1", "fp2").agg(F.count(F.lit(1)).alias("_n"))
+    groups = fp.groupBy(*report, "n_rows", "n_cols", "fp").agg(F.count(F.lit(1)).alias("_n"))
     pairs = groups.withColumn("_pairs", (F.col("_n") * (F.col("_n") - 1) / 2).cast("bigint"))
     per_report = pairs.groupBy(*report).agg(F.sum("_pairs").alias("_pairs"))
     if index is not None:

@@ -68,7 +68,9 @@ def test_ordered_index_hot_group(spark):
     # One symbol holds most rows: numbering must still be 1..n in order.
     rows = [("HOT", i) for i in range(500)] + [("COLD", i) for i in range(7)]
     df = spark.createDataFrame(rows, "symbol string, k long")
-    out = ordering.ordered_index(df, ["symbol"], ["k"], "rn", num_partitions=8)
+    out = ordering.ordered_index(df, ["symbol"], ["k"], "rn", num_partitions=8, max_group_rows=0)
+    small = ordering.ordered_index(df, ["symbol"], ["k"], "rn")
+    assert sorted(tuple(r) for r in small.collect()) == sorted(tuple(r) for r in out.collect())
     got = {(r["symbol"], r["k"]): r["rn"] for r in out.collect()}
     assert all(got[("HOT", i)] == i + 1 for i in range(500))
     assert all(got[("COLD", i)] == i + 1 for i in range(7))
