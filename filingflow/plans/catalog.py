@@ -472,7 +472,9 @@ def q_advance_checkpoint(spark: SparkSession, d: str) -> DataFrame:
     processed = _resumed(spark, d).where(F.col("ts") < F.lit(CUTOFF).cast("timestamp_ntz"))
     sizes = lst.groupBy("symbol", "page").agg(F.count(F.lit(1)).alias("n_rows"))
     new = resume.advance_checkpoints(processed, sizes, derive.event_checkpoints(spark, d))
-    pages = lst.groupBy(F.col("symbol").alias("_np_symbol")).agg(F.max("page").alias("number_pages"))
+    # Page count per symbol from the (symbol, page) sizes, not another pass
+    # over the listing.
+    pages = sizes.groupBy(F.col("symbol").alias("_np_symbol")).agg(F.max("page").alias("number_pages"))
     j = new.join(pages, new["symbol"] == pages["_np_symbol"], "left")
     return j.select(
         "symbol", "current_page", "last_row_index", resume.is_complete().alias("complete")
