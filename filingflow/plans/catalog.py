@@ -469,9 +469,10 @@ FROM allcp a LEFT JOIN np ON a.symbol = np.symbol
 )
 def q_advance_checkpoint(spark: SparkSession, d: str) -> DataFrame:
     lst = derive.event_listing(spark, d)
-    processed = _resumed(spark, d).where(F.col("ts") < F.lit(CUTOFF).cast("timestamp_ntz"))
+    cps = derive.event_checkpoints(spark, d)
+    processed = resume.resume_rows(lst, cps).where(F.col("ts") < F.lit(CUTOFF).cast("timestamp_ntz"))
     sizes = lst.groupBy("symbol", "page").agg(F.count(F.lit(1)).alias("n_rows"))
-    new = resume.advance_checkpoints(processed, sizes, derive.event_checkpoints(spark, d))
+    new = resume.advance_checkpoints(processed, sizes, cps)
     # Page count per symbol from the (symbol, page) sizes, not another pass
     # over the listing.
     pages = sizes.groupBy(F.col("symbol").alias("_np_symbol")).agg(F.max("page").alias("number_pages"))
