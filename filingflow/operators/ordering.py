@@ -65,10 +65,13 @@ def ordered_index(
     by = list(by)
     order_cols = [F.col(o) if isinstance(o, str) else o for o in order]
     keys = [F.col(c) for c in by] + order_cols
-    if by and max_group_rows > 0:
-        biggest = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0]
+    if max_group_rows > 0:
+        if by:
+            biggest = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0]
+        else:
+            biggest = df.count()
         if (biggest or 0) <= max_group_rows:
-            w = Window.partitionBy(*by).orderBy(*order_cols)
+            w = Window.partitionBy(*by).orderBy(*order_cols) if by else Window.orderBy(*order_cols)
             return df.withColumn(name, F.row_number().over(w).cast("bigint"))
     n = _partitions(df, num_partitions)
     ranged = (

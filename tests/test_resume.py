@@ -80,6 +80,9 @@ def test_batches_of_twenty(spark):
     df = spark.range(45).withColumnRenamed("id", "k")
     got = {r["k"]: r["batch"] for r in batches.assign_batches(df, ["k"]).collect()}
     assert got[0] == 0 and got[19] == 0 and got[20] == 1 and got[44] == 2
+    # The split path (no single-partition window) gives the same positions.
+    split = ordering.ordered_index(df, [], ["k"], "rn", num_partitions=4, max_group_rows=0)
+    assert sorted((r["k"], r["rn"]) for r in split.collect()) == [(i, i + 1) for i in range(45)]
 
 
 def test_first_and_last_per_key(spark):
