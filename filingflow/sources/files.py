@@ -21,6 +21,7 @@ import io
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -171,8 +172,14 @@ def read_statements(
     header line as row 0.  Unparseable files give one row with
     ``unreadable`` true.  All reports of all symbols end up in one table (U6).
     """
-    globs = [f"{root.rstrip('/')}/*/*/{n}.csv" for n in names]
-    raw = spark.read.text(globs, wholetext=True).select(_file_path().alias("path"), "value")
+    pattern = f"{root.rstrip('/')}/*/*/{{{','.join(names)}}}.csv"
+    try:
+        raw = spark.read.text(pattern, wholetext=True)
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        return spark.createDataFrame([], CELL_SCHEMA)
+    raw = raw.select(_file_path().alias("path"), "value")
     return raw.mapInPandas(_parse_statements(header), CELL_SCHEMA)
 
 
@@ -224,15 +231,23 @@ def write_log_lines(lines: DataFrame, path: str) -> None:
 
 
 # S13, A2 ------------------------------------------------------------------------
-def file_catalog(spark: SparkSession, root: str, glob: str = "*.csv") -> DataFrame:
-    """Recursive listing as a table (path, bytes, mtime); file contents are
-    not read (the binary source prunes ``content``)."""
-    df = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", glob)
-        .option("recursiveFileLookup", True)
-        .load(root)
-    )
+def file_catalog(spark: SparkSession, root: str, glob: str = "*.csv", max_depth: int = 4) -> DataFrame:
+    """Listing of matching files up to ``max_depth`` folders deep, as a table
+    (path, bytes, mtime); file contents are not read (the binary source
+    prunes ``content``).
+
+    One glob with alternatives per depth (``{*.csv,*/*.csv,...}``): a
+    recursive listing would skip folders whose name starts with ``_`` or
+    ``.``, and a sanitised report title can start with ``_``.
+    """
+    alts = ",".join("/".join(["*"] * k + [glob]) for k in range(max_depth))
+    pattern = f"{root.rstrip('/')}/{{{alts}}}"
+    try:
+        df = spark.read.format("binaryFile").load(pattern)
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        return spark.createDataFrame([], "path string, bytes bigint, mtime timestamp")
     return df.select(
         T.decode_path(F.col("path")).alias("path"),
         F.col("length").alias("bytes"),

@@ -31,8 +31,11 @@ def test_logs_and_catalog(spark, tmp_path):
     ]
     os.makedirs(tmp_path / "tree" / "AAA" / "_r")
     (tmp_path / "tree" / "AAA" / "_r" / "KQKD.csv").write_text("x\n1\n")
+    (tmp_path / "tree" / "AAA" / "success.csv").write_text("STT\n1\n")
     n = files.count_files(files.file_catalog(spark, str(tmp_path / "tree"), "*.csv")).first()
-    assert n["n_files"] >= 0
+    assert n["n_files"] == 2  # the "_r" folder is listed too
+    assert files.count_files(files.file_catalog(spark, str(tmp_path / "none"), "*.csv")).first()["n_files"] == 0
+    assert files.read_statements(spark, str(tmp_path / "none")).count() == 0
     cells = files.read_statements(spark, str(tmp_path / "tree"), names=["KQKD"])
     assert sorted((r["row_idx"], r["value"]) for r in cells.collect()) == [(-1, None), (0, "1")]
 
