@@ -25,12 +25,16 @@ from filingflow.functions import text as T
 from filingflow.operators.ordering import first_per_key
 
 
-def stream_status(spark: SparkSession, log_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
+def stream_status(
+    spark: SparkSession, log_dir: str, max_files_per_trigger: int | None = None, glob: str | None = None
+) -> DataFrame:
     """Streaming DataFrame of (symbol, in_success, in_warning), update/complete
-    mode, from ``*.log``/text files under ``log_dir``."""
+    mode, from text files under ``log_dir`` (``glob`` e.g. ``"*.log"``)."""
     reader = spark.readStream.format("text")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
     lines = reader.load(log_dir)
     hits = lines.select(
         F.inline(
@@ -44,7 +48,7 @@ def stream_status(spark: SparkSession, log_dir: str, max_files_per_trigger: int
 
 
 def run_status(spark: SparkSession, log_dir: str, out_dir: str, checkpoint_dir: str,
-               max_files_per_trigger: int | None = None) -> StreamingQuery:
+               max_files_per_trigger: int | None = None, glob: str | None = None) -> StreamingQuery:
     """Drain the available logs into a Parquet table (complete mode, the
     table is replaced each epoch)."""
 
@@ -52,7 +56,7 @@ def run_status(spark: SparkSession, log_dir: str, out_dir: str, checkpoint_dir:
         batch.write.mode("overwrite").parquet(out_dir)
 
     q = (
-        stream_status(spark, log_dir, max_files_per_trigger)
+        stream_status(spark, log_dir, max_files_per_trigger, glob)
         .writeStream.outputMode("complete")
         .option("checkpointLocation", checkpoint_dir)
         .foreachBatch(sink)
