@@ -1173,9 +1173,16 @@ from filingflow.sources import files  # noqa: E402
     "SELECT DISTINCT 'C' || CAST(o_orderkey // 2 AS VARCHAR) AS symbol FROM orders",
 )
 def q_files_roundtrip_symbols(spark: SparkSession, d: str) -> DataFrame:
-    path = new_work_dir(spark, "symbols")
-    files.write_symbols(derive.symbol_list(spark, d).withColumnRenamed("symbol", "ticker").withColumnRenamed("ticker", "symbol"), path)
-    return files.read_symbols(spark, path)
+    base = new_work_dir(spark, "symbols")
+    # S2 writes the list; a market listing names the column "ticker", which
+    # S1 accepts as well.
+    files.write_symbols(derive.symbol_list(spark, d), f"{base}/symbols")
+    derive.symbol_list(spark, d).withColumnRenamed("symbol", "ticker").write.option("header", True).csv(
+        f"{base}/listing"
+    )
+    a = files.read_symbols(spark, f"{base}/symbols")
+    b = files.read_symbols(spark, f"{base}/listing")
+    return a.join(b, "symbol", "inner")
 
 
 @register(
