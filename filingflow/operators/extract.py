@@ -321,11 +321,13 @@ def table_rows(extracted: DataFrame, mode: str = "flat") -> DataFrame:
         )
     elif mode == "rendered":
         half = A.second_half("headers")
+        # Not aliased "headers" in this select: a lambda's reference to
+        # "headers" would resolve to that lateral alias instead of the input.
         shaped = extracted.select(
             "page_id",
-            half.alias("headers"),
+            half.alias("_half"),
             F.transform("rows", lambda r: A.pad_row(A.dedupe_row(r), F.size(half))).alias("_rows"),
-        )
+        ).withColumnRenamed("_half", "headers")
     else:
         raise ValueError(f"unknown mode {mode!r}")
     rows = explode_positions(shaped, F.col("_rows"), "row_no", "row", ["page_id", "headers"])

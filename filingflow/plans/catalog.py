@@ -1347,3 +1347,31 @@ def q_stream_first_submission(spark: SparkSession, d: str) -> DataFrame:
         )
         q.awaitTermination()
     return streams.read_admitted(spark, out).select("symbol", "submitted_at", "l_orderkey", "l_linenumber", "l_returnflag")
+
+
+# SQL forms of the two HTML-table queries: the article split at each <p>
+# (a <p> start closes the open paragraph, and the unclosed <b> with it).
+ARTICLE_ROWS_CTE = rf"""
+art AS (
+  SELECT page_id,
+         substr(html, strpos(html, '<article>'), strpos(html, '</article>') - strpos(html, '<article>')) AS a,
+         len(regexp_extract_all(html, '<li><a href="[^"]*">([^<]*)</a></li>', 1)) AS n_li
+  FROM pages),
+parts AS (SELECT page_id, n_li, string_split(a, '<p>') AS ps FROM art),
+prow AS (SELECT page_id, n_li, ps, unnest(range(len(ps) - 1)) AS row_no FROM parts),
+chunk AS (
+  SELECT page_id, n_li, row_no,
+         CASE WHEN starts_with(ps[row_no + 2], '<b>')
+              THEN array_to_string(list_transform(string_split_regex(substr(ps[row_no + 2], 4), '<[^>]*>'),
+                                                  lambda x: trim({_decode('x')}, ' ' || chr(9) || chr(10) || chr(13))), '')
+              ELSE '' END AS cell
+  FROM prow)"""
+ORACLE["page_table"] = "WITH " + ARTICLE_ROWS_CTE + """
+SELECT page_id, row_no, CAST(1 AS BIGINT) AS n_cells, cell AS first_cell, false AS malformed FROM chunk
+"""
+ORACLE["page_rendered"] = "WITH " + ARTICLE_ROWS_CTE + """
+SELECT page_id, row_no, CAST(n_li - n_li // 2 AS BIGINT) AS n_headers,
+       CAST(greatest(CASE WHEN cell = '' THEN 0 ELSE 1 END, n_li - n_li // 2) AS BIGINT) AS n_cells,
+       (CASE WHEN cell = '' THEN 0 ELSE 1 END) > n_li - n_li // 2 AS malformed
+FROM chunk
+"""
