@@ -1401,3 +1401,33 @@ def q_status_log_lines(spark: SparkSession, d: str) -> DataFrame:
     )
     status = status.join(o, status["symbol"] == o["_ts_symbol"], "inner")
     return reconcile.format_log_lines(status)
+
+
+# L1 crawl pass ---------------------------------------------------------------------------------------
+CRAWL_MAX_PATH = 200
+
+
+@register(
+    "crawl_pass",
+    EVENTS_WITH
+    + rf""",
+named AS (
+  SELECT symbol,
+         './crawl_table/' || symbol || '/' ||
+         translate(event_type || ' ' || CAST(event_id AS VARCHAR), '<>:"/\|?*', '_________') || '_' ||
+         translate(strftime(ts, '%d/%m/%Y %H:%M:%S'), '<>:"/\|?*', '_________') AS base
+  FROM res),
+got AS (SELECT symbol, count(DISTINCT base) AS got FROM named GROUP BY symbol),
+expected AS (SELECT 'U' || CAST(user_id AS VARCHAR) AS symbol, count(*) AS expected FROM events GROUP BY user_id)
+SELECT e.symbol, coalesce(g.got, 0) AS got, e.expected,
+       CASE WHEN coalesce(g.got, 0) = e.expected THEN 'success' ELSE 'warning' END AS status,
+       CAST(coalesce(g.got, 0) AS VARCHAR) || '/' || CAST(e.expected AS VARCHAR) AS message
+FROM expected e LEFT JOIN got g ON e.symbol = g.symbol
+""",
+)
+def q_crawl_pass(spark: SparkSession, d: str) -> DataFrame:
+    out = flows.crawl_pass(
+        derive.event_listing_rows(spark, d), derive.event_checkpoints(spark, d), derive.event_pager(spark, d),
+        max_path=CRAWL_MAX_PATH,
+    )
+    return out["status"]

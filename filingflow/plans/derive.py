@@ -368,3 +368,25 @@ def symbol_checkpoints(spark: SparkSession, data_dir: str) -> DataFrame:
         (F.col("k") % 4 + 1).cast("bigint").alias("current_page"),
         (F.col("k") % 3).cast("bigint").alias("last_row_index"),
     )
+
+
+def event_listing_rows(spark: SparkSession, data_dir: str) -> DataFrame:
+    """The paged event listing with report-listing columns: title
+    ``<event_type> <event_id>``, submission time, summary ``Tóm tắt <user>``."""
+    lst = event_listing(spark, data_dir)
+    return lst.select(
+        "*",
+        F.concat(F.col("event_type"), F.lit(" "), F.col("event_id").cast("string")).alias("Tiêu đề"),
+        F.date_format("ts", "dd/MM/yyyy HH:mm:ss").alias("Thời gian gửi"),
+        F.concat(F.lit("Tóm tắt "), F.substring("symbol", 2, 20)).alias("Trích yếu"),
+    )
+
+
+def event_pager(spark: SparkSession, data_dir: str) -> DataFrame:
+    """Pager text per user: ``1-15 / <number of events>``."""
+    e = read_table(spark, data_dir, "events").select("user_id")
+    g = e.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
+    return g.select(
+        _sym("U", F.col("user_id")).alias("symbol"),
+        F.concat(F.lit("1-15 / "), F.col("n").cast("string")).alias("pager_text"),
+    )
