@@ -265,6 +265,10 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_truth(spark: SparkSession, path: str) -> DataFrame:
-    """External check CSV; the five used columns as strings plus the rest."""
+    """External check CSV, all columns as strings; the columns the
+    cross-check uses must be present (``stock_code`` only selects rows)."""
     df = spark.read.option("header", True).option("inferSchema", False).csv(path)
+    missing = [c for c in TRUTH_COLUMNS if c != "stock_code" and c not in df.columns]
+    if missing:
+        raise ValueError(f"truth table lacks columns {missing}")
     return df

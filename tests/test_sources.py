@@ -55,3 +55,18 @@ def test_scale_conf():
     conf = scale_conf(100 << 40, 8000)
     assert int(conf["spark.sql.shuffle.partitions"]) == 409600
     assert int(scale_conf(1 << 20, 8)["spark.sql.shuffle.partitions"]) == 24
+
+
+def test_legacy_statement_names_and_truth_columns(spark, tmp_path):
+    rep = tmp_path / "tree" / "HHG" / "Bao cao quy 2"
+    rep.mkdir(parents=True)
+    (rep / "KQKT.csv").write_text("a,b\nTÀI SẢN NGẮN HẠN,1\n")
+    (rep / "LCTT_TT2.csv").write_text("a,b\nx,2\n")
+    cells = files.read_statements(spark, str(tmp_path / "tree"), names=files.LEGACY_STATEMENT_FILES, header=False)
+    assert sorted({r["statement"] for r in cells.collect()}) == ["KQKT", "LCTT_TT2"]
+    bad = tmp_path / "truth.csv"
+    bad.write_text("stock_code,year\nHHG,2024\n")
+    import pytest
+
+    with pytest.raises(ValueError):
+        files.read_truth(spark, str(bad))
