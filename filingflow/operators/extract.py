@@ -239,7 +239,11 @@ def extract_page(html: str, cfg: dict, mode: str, faithful: bool = False):
     document when unset).  A selector can carry its own ancestors, so "all
     matches anywhere" and "inside the first container" are both expressible.
     """
-    root = parse_html(html)
+    return extract_tree(parse_html(html), cfg, mode, faithful)
+
+
+def extract_tree(root: Node, cfg: dict, mode: str, faithful: bool = False):
+    """:func:`extract_page` on an already parsed page."""
 
     def scope(key: str) -> Node | None:
         sel = cfg.get(key)
@@ -352,12 +356,50 @@ def firm_info(pages: DataFrame, config: dict, html: str = "html") -> DataFrame:
     return pages.select("page_id", html).mapInPandas(run, FIRM_SCHEMA)
 
 
-def assemble_report(listing: DataFrame, firm: DataFrame, rows: DataFrame, key: str = "page_id") -> DataFrame:
-    """Listing row + firm info + number of table rows, joined on the page."""
-    counts = rows.groupBy(F.col(key).alias("_r_key")).agg(F.count(F.lit(1)).alias("n_rows"))
-    f = firm.withColumnRenamed(key, "_f_key")
+PAGE_SCHEMA = (
+    "page_id bigint, code string, name string, title string, "
+    "headers array<string>, cells array<string>, rows array<array<string>>"
+)
+
+
+def parse_pages(
+    pages: DataFrame, table_config: dict, firm_config: dict, mode: str = "flat",
+    faithful: bool = False, html: str = "html",
+) -> DataFrame:
+    """X5 and X1-X3 from one parse of each page: firm fields plus the table
+    lists (what :func:`firm_info` and :func:`extract_cells` give apart)."""
+    tcfg, fcfg = dict(table_config), dict(firm_config)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            out = {k: [] for k in ("page_id", "code", "name", "title", "headers", "cells", "rows")}
+            for pid, doc in zip(pdf["page_id"], pdf[html]):
+                root = parse_html(doc)
+                h, c, r = extract_tree(root, tcfg, mode, faithful)
+                out["page_id"].append(int(pid))
+                for k in ("code", "name", "title"):
+                    out[k].append(_first_text(root, fcfg.get(k)))
+                out["headers"].append(h)
+                out["cells"].append(c)
+                out["rows"].append(r)
+            yield pd.DataFrame(out)
+
+    return pages.select("page_id", html).mapInPandas(run, PAGE_SCHEMA)
+
+
+def page_summary(parsed: DataFrame, mode: str = "flat") -> DataFrame:
+    """(page_id, code, name, title, n_rows) from :func:`parse_pages`, in the
+    same stage as the parse (the row count is an array size, not a join)."""
+    n = F.size(F.coalesce(A.chunk_cells("cells", F.size("headers")), F.array().cast("array<array<string>>"))) \
+        if mode == "flat" else F.size("rows")
+    return parsed.select("page_id", "code", "name", "title", n.cast("bigint").alias("n_rows"))
+
+
+def assemble_report(listing: DataFrame, summary: DataFrame, key: str = "page_id") -> DataFrame:
+    """Listing row + firm info + number of table rows, joined on the page
+    (``summary`` from :func:`page_summary`, one row per page)."""
+    f = summary.withColumnRenamed(key, "_f_key")
     j = listing.join(f, listing[key] == f["_f_key"], "left").drop("_f_key")
-    j = j.join(counts, j[key] == counts["_r_key"], "left").drop("_r_key")
     return j.withColumn("n_rows", F.coalesce("n_rows", F.lit(0)).cast("bigint"))
 
 

@@ -828,8 +828,9 @@ def q_assembled_report(spark: SparkSession, d: str) -> DataFrame:
     lst = naming.assign_paths(
         naming.base_folders(derive.page_listing(spark, d), max_title=PATH_MAX_TITLE, max_path=PATH_MAX_LEN)
     ).select("page_id", "symbol", "report_dir")
-    firm = extract.firm_info(read_table(spark, d, "pages"), PAGE_FIRM)
-    out = extract.assemble_report(lst, firm, _page_link_rows(spark, d))
+    # One parse per page gives both the firm fields and the table row count.
+    parsed = extract.parse_pages(read_table(spark, d, "pages"), PAGE_FLAT, PAGE_FIRM, "flat")
+    out = extract.assemble_report(lst, extract.page_summary(parsed, "flat"))
     return out.select("page_id", "symbol", "report_dir", "code", "name", "title", "n_rows")
 
 
