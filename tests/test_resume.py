@@ -119,3 +119,20 @@ def test_range_partitioning_spreads_hot_group(spark):
     )
     hot_share = max(r["count"] for r in sizes) / len(rows)
     assert len(sizes) >= 6 and hot_share < 0.3
+
+
+@settings(max_examples=8, deadline=None)
+@given(titles=st.lists(st.sampled_from(["a", "b", "c"]), min_size=1, max_size=12), m=st.integers(0, 3))
+def test_assigned_paths_unique(spark, titles, m):
+    rows = [("S", i // 4 + 1, i % 4, t, "d", "summary") for i, t in enumerate(titles)]
+    df = spark.createDataFrame(
+        rows, "symbol string, page long, row_idx long, `Tiêu đề` string, `Thời gian gửi` string, `Trích yếu` string"
+    )
+    based = naming.base_folders(df, max_title=50, max_path=200)
+    # The first m names of the series for title "a" are already on disk.
+    base_a = "./crawl_table/S/a_d"
+    ex = [base_a if k == 0 else f"{base_a}__{k}" for k in range(m)]
+    existing_df = spark.createDataFrame([(p,) for p in ex], "report_dir string") if ex else None
+    paths = [r["report_dir"] for r in naming.assign_paths(based, existing_df).collect()]
+    assert len(paths) == len(set(paths))
+    assert not set(paths) & set(ex)
