@@ -794,7 +794,7 @@ firm AS (
 
 
 def _page_link_rows(spark: SparkSession, d: str) -> DataFrame:
-    pages = read_table(spark, d, "pages")
+    pages = files.read_pages(spark, f"{d}/pages.parquet")
     return extract.table_rows(extract.extract_cells(pages, PAGE_FLAT, "flat"), "flat")
 
 
@@ -811,7 +811,7 @@ def q_page_links(spark: SparkSession, d: str) -> DataFrame:
 
 @register("page_title", "WITH " + FIRM_CTE + "\nSELECT page_id, code, name, title FROM firm")
 def q_page_title(spark: SparkSession, d: str) -> DataFrame:
-    return extract.firm_info(read_table(spark, d, "pages"), PAGE_FIRM)
+    return extract.firm_info(files.read_pages(spark, f"{d}/pages.parquet"), PAGE_FIRM)
 
 
 @register(
@@ -829,14 +829,14 @@ def q_assembled_report(spark: SparkSession, d: str) -> DataFrame:
         naming.base_folders(derive.page_listing(spark, d), max_title=PATH_MAX_TITLE, max_path=PATH_MAX_LEN)
     ).select("page_id", "symbol", "report_dir")
     # One parse per page gives both the firm fields and the table row count.
-    parsed = extract.parse_pages(read_table(spark, d, "pages"), PAGE_FLAT, PAGE_FIRM, "flat")
+    parsed = extract.parse_pages(files.read_pages(spark, f"{d}/pages.parquet"), PAGE_FLAT, PAGE_FIRM, "flat")
     out = extract.assemble_report(lst, extract.page_summary(parsed, "flat"))
     return out.select("page_id", "symbol", "report_dir", "code", "name", "title", "n_rows")
 
 
 @register("page_table")
 def q_page_table(spark: SparkSession, d: str) -> DataFrame:
-    ex = extract.extract_cells(read_table(spark, d, "pages"), PAGE_SPANS, "spans")
+    ex = extract.extract_cells(files.read_pages(spark, f"{d}/pages.parquet"), PAGE_SPANS, "spans")
     rows = extract.table_rows(ex, "spans")
     return rows.select(
         "page_id",
@@ -849,7 +849,7 @@ def q_page_table(spark: SparkSession, d: str) -> DataFrame:
 
 @register("page_rendered")
 def q_page_rendered(spark: SparkSession, d: str) -> DataFrame:
-    ex = extract.extract_cells(read_table(spark, d, "pages"), PAGE_RENDERED, "rendered")
+    ex = extract.extract_cells(files.read_pages(spark, f"{d}/pages.parquet"), PAGE_RENDERED, "rendered")
     rows = extract.table_rows(ex, "rendered")
     return rows.select(
         "page_id",
@@ -869,7 +869,7 @@ FROM pages
 """,
 )
 def q_page_link_pairs(spark: SparkSession, d: str) -> DataFrame:
-    lk = extract.links(read_table(spark, d, "pages"))
+    lk = extract.links(files.read_pages(spark, f"{d}/pages.parquet"))
     return lk.select(
         "page_id",
         F.size("links").cast("bigint").alias("n_links"),
