@@ -1330,7 +1330,8 @@ SELECT symbol, submitted_at, l_orderkey, l_linenumber, l_returnflag FROM (
   SELECT 'S' || CAST(l_suppkey AS VARCHAR) AS symbol, strftime(l_shipdate, '%d/%m/%Y %H:%M:%S') AS submitted_at,
          l_orderkey, l_linenumber, l_returnflag,
          row_number() OVER (PARTITION BY l_suppkey, strftime(l_shipdate, '%d/%m/%Y %H:%M:%S')
-                            ORDER BY l_returnflag, l_orderkey, l_linenumber) AS rn
+                            ORDER BY CASE l_returnflag WHEN 'R' THEN 0 WHEN 'N' THEN 1 ELSE 2 END,
+                                     l_orderkey, l_linenumber) AS rn
   FROM lineitem) r WHERE rn = 1
 """,
 )
@@ -1338,12 +1339,14 @@ def q_stream_first_submission(spark: SparkSession, d: str) -> DataFrame:
     base = new_work_dir(spark, "stream-intake")
     src, out, ck = f"{base}/in", f"{base}/out", f"{base}/checkpoint"
     subs = derive.supplier_submissions(spark, d)
-    # Three arrival waves (return flag A, then N, then R); after each wave the
-    # intake runs incrementally from its checkpoint and admits new keys only.
-    for flag in ("A", "N", "R"):
+    # Three arrival waves (return flag R, then N, then A); after each wave the
+    # intake runs incrementally from its checkpoint.  A key admitted in an
+    # earlier wave keeps its row even when a later wave has a smaller
+    # (orderkey, linenumber) for it.
+    for flag in ("R", "N", "A"):
         subs.where(F.col("l_returnflag") == flag).write.mode("append").parquet(src)
         q = streams.run_first_submission(
-            spark, src, subs.schema, out, ck, order=("l_returnflag", "l_orderkey", "l_linenumber"),
+            spark, src, subs.schema, out, ck, order=("l_orderkey", "l_linenumber"),
             max_files_per_trigger=None,
         )
         q.awaitTermination()

@@ -7,10 +7,11 @@ the reference never forgets a symbol, and the state grows with the number of
 symbols, not with the log volume.
 
 R2 admits each (symbol, submission time) once: the first arrival wins, and
-inside one micro-batch the smallest arrival order.  The seen keys are a table
-in the shared work folder, written per epoch (a retried epoch overwrites its
-own folder, so the sink is idempotent).  File sources treat files as
-immutable, so logs must be rotated (complete) before they are picked up.
+inside one micro-batch the smallest arrival order.  Admitted keys are state
+of a streaming aggregation; the sink writes one folder per epoch (a retried
+epoch overwrites its own folder, so the sink is idempotent).  File sources
+treat files as immutable, so logs must be rotated (complete) before they are
+picked up.
 """
 
 from __future__ import annotations
@@ -76,37 +77,47 @@ def run_first_submission(
     order: Sequence[str] = ("page", "row_idx"),
     max_files_per_trigger: int | None = 1,
 ) -> StreamingQuery:
-    """R2: admit the first arrival of each key into the table at ``out_dir``."""
+    """R2: admit the first arrival of each key into the table at ``out_dir``.
+
+    A streaming aggregation keeps, per key, the row with the smallest
+    ``(batch time, arrival order)``; ``current_timestamp()`` is fixed for a
+    micro-batch and grows from one to the next, so a key admitted once keeps
+    its row.  The state lives in the state store (keyed lookups per batch,
+    nothing rescanned), and the aggregation combines map-side, so a key
+    repeated many times in one batch is reduced before its shuffle.  Update
+    mode re-emits keys touched again with the same row; each epoch is
+    written to its own folder (a retried epoch replaces only its output) and
+    :func:`read_admitted` keeps one row per key.
+    """
     key, order = list(key), list(order)
     reader = spark.readStream.schema(schema).format("parquet")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.load(source_dir)
+    rest = [c for c in stream.columns if c not in key]
+    # The batch time is a projected column: aggregate arguments must be
+    # deterministic expressions of the input.
+    stream = stream.withColumn("_arrival", F.current_timestamp())
+    first = stream.groupBy(*key).agg(
+        F.min_by(
+            F.struct(*[F.col(c) for c in rest]),
+            F.struct(F.col("_arrival"), *[F.col(c) for c in order]),
+        ).alias("_row")
+    )
+    admitted = first.select(*key, *[F.col("_row")[c].alias(c) for c in rest])
 
     def sink(batch: DataFrame, epoch: int) -> None:
-        first = first_per_key(batch, key, order)
-        try:
-            seen = spark.read.parquet(out_dir).where(F.col("epoch_id") != epoch)
-            seen_keys = seen.select(*[F.col(c).alias(f"_s_{c}") for c in key]).distinct()
-            cond = None
-            for c in key:
-                e = first[c] == seen_keys[f"_s_{c}"]
-                cond = e if cond is None else cond & e
-            first = first.join(seen_keys, cond, "left_anti")
-        except Exception as e:  # noqa: BLE001 - first epoch: no table yet
-            if "PATH_NOT_FOUND" not in str(e) and "Unable to infer schema" not in str(e):
-                raise
-        # Folder per epoch (partition column epoch_id): a retried epoch
-        # replaces only its own output.
-        first.write.mode("overwrite").parquet(f"{out_dir}/epoch_id={epoch}")
+        batch.write.mode("overwrite").parquet(f"{out_dir}/epoch_id={epoch}")
 
     return (
-        stream.writeStream.option("checkpointLocation", checkpoint_dir)
+        admitted.writeStream.outputMode("update")
+        .option("checkpointLocation", checkpoint_dir)
         .foreachBatch(sink)
         .trigger(availableNow=True)
         .start()
     )
 
 
-def read_admitted(spark: SparkSession, out_dir: str) -> DataFrame:
-    return spark.read.parquet(out_dir).drop("epoch_id")
+def read_admitted(spark: SparkSession, out_dir: str, key: Sequence[str] = ("symbol", "submitted_at")) -> DataFrame:
+    """The admitted rows, one per key (the earliest epoch that wrote it)."""
+    return first_per_key(spark.read.parquet(out_dir), list(key), ["epoch_id"]).drop("epoch_id")
