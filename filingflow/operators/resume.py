@@ -15,7 +15,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from filingflow.operators.ordering import first_per_key
 
 START_PAGE = 1
 START_ROW = 0
@@ -116,8 +115,3 @@ def drop_symbols(df: DataFrame, symbols: DataFrame, symbol: str = "symbol") -> D
     """Everything captured for the listed symbols removed (anti-join)."""
     s = symbols.select(F.col(symbol).alias("_drop_symbol"))
     return df.join(s, df[symbol] == s["_drop_symbol"], "left_anti")
-
-
-def latest_checkpoints(history: DataFrame, symbol: str = "symbol", version: str = "version") -> DataFrame:
-    """S4 upsert: newest checkpoint row per symbol from an append-only table."""
-    return first_per_key(history, [symbol], [version], descending=True)

@@ -136,3 +136,16 @@ def test_assigned_paths_unique(spark, titles, m):
     paths = [r["report_dir"] for r in naming.assign_paths(based, existing_df).collect()]
     assert len(paths) == len(set(paths))
     assert not set(paths) & set(ex)
+
+
+def test_filter_listing_styles_and_purge(spark):
+    from filingflow.plans import flows
+
+    df = spark.createDataFrame(
+        [(["1", "a", "b", "long summary", "t"],), (["1", "a", "b", "x", "t"],), (["1", "a", "b", "sum"],)],
+        "cells array<string>",
+    )
+    assert listing.filter_listing(df, "cells").count() == 1
+    captured = spark.createDataFrame([("AAA", 1), ("BBB", 2)], "symbol string, v long")
+    gone = spark.createDataFrame([("BBB",)], "symbol string")
+    assert [r["symbol"] for r in flows.purge_captured(captured, gone).collect()] == ["AAA"]
