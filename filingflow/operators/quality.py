@@ -30,6 +30,7 @@ pairs each), so a false match has a chance of about 2^-64 per pair.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -67,6 +68,24 @@ NUM_RE = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
 STATEMENT_KEY = ("symbol", "report_dir", "statement")
 
 
+def _root(new_root: str) -> str:
+    """File readers report absolute paths; a relative local root is made
+    absolute so re-rooted index paths compare equal to them."""
+    if new_root and "://" not in new_root and not new_root.startswith(("/", "file:")):
+        return os.path.abspath(new_root)
+    return new_root
+
+
+# F6, H13 ---------------------------------------------------------------------------
+def index_reports(
+    index: DataFrame, new_root: str = "", path_col: str = "Saving_path", old_prefix: str = T.CRAWL_ROOT
+) -> DataFrame:
+    """Index rows → (symbol, report_dir): rows without a saved path dropped,
+    the path re-rooted under ``new_root`` (one row per index row)."""
+    rows = index.where(F.col(path_col).isNotNull())
+    return rows.select("symbol", T.rebase_path(path_col, old_prefix, _root(new_root)).alias("report_dir"))
+
+
 # F6, H13, J5 ---------------------------------------------------------------------
 def existing_index_rows(
     index: DataFrame,
@@ -83,7 +102,7 @@ def existing_index_rows(
     reference).
     """
     rows = index.where(F.col(path_col).isNotNull()).withColumn(
-        "_path", T.rebase_path(path_col, old_prefix, new_root)
+        "_path", T.rebase_path(path_col, old_prefix, _root(new_root))
     )
     return rows.join(files, rows["_path"] == files[file_key], "inner").drop("_path")
 

@@ -125,3 +125,20 @@ def test_stream_status_incremental(spark, tmp_path):
     lines = spark.createDataFrame([(x,) for x in LOG1 + LOG2], "value string")
     batch = {r["symbol"]: (r["in_success"], r["in_warning"]) for r in audit.log_sets(lines).collect()}
     assert after == batch
+
+
+def test_readme_usage_runs(spark, tmp_path, monkeypatch):
+    import shutil
+
+    build(str(tmp_path))
+    monkeypatch.chdir(tmp_path)
+    pd.DataFrame({"symbol": ["AAA", "BBB", "CCC", "DDD"]}).to_csv("symbols_all.csv")
+    shutil.copy("truth.csv", "test_kqkt.csv")
+    readme = open(os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "README.md")).read()
+    code = readme.split("## Usage on a crawl tree")[1].split("```python")[1].split("```")[0]
+    ns: dict = {}
+    exec(code, ns)  # noqa: S102 - the documented example itself
+    assert [tuple(r) for r in ns["redo"].collect()] == [("DDD",), ("BBB",)]
+    assert ns["rate"].first()["error_files"] == 1
+    assert sorted(tuple(r) for r in ns["dups"].collect()) == [("AAA", 2), ("CCC", 1)]
+    assert ns["mapped"].count() == 1
