@@ -131,11 +131,15 @@ def test_readme_usage_runs(spark, tmp_path, monkeypatch):
     import shutil
 
     build(str(tmp_path))
-    monkeypatch.chdir(tmp_path)
+    monkeypatch.chdir(tmp_path)  # for the pandas writes below
     pd.DataFrame({"symbol": ["AAA", "BBB", "CCC", "DDD"]}).to_csv("symbols_all.csv")
     shutil.copy("truth.csv", "test_kqkt.csv")
     readme = open(os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "README.md")).read()
     code = readme.split("## Usage on a crawl tree")[1].split("```python")[1].split("```")[0]
+    # Spark resolves relative paths against its own working directory.
+    for rel in ("logging", "crawl_table", "symbols_all.csv", "checkpoints", "test_kqkt.csv"):
+        code = code.replace(f'"{rel}"', f'"{tmp_path}/{rel}"')
+    code = code.replace('"out/', f'"{tmp_path}/out/')
     ns: dict = {}
     exec(code, ns)  # noqa: S102 - the documented example itself
     assert [tuple(r) for r in ns["redo"].collect()] == [("DDD",), ("BBB",)]
