@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from filingflow.functions import text as T
 from filingflow.operators.ordering import first_per_key
+from filingflow.operators.quality import NA_TOKENS
 
 STATEMENT_FILES = ("BCDKT", "KQKD", "LCTT_TT", "LCTT_GT")
 # Older trees name the same statements differently.
@@ -102,13 +103,25 @@ def read_checkpoints(spark: SparkSession, path: str, symbols: DataFrame | None =
 
 
 # S5, S6 ----------------------------------------------------------------------
-def read_report_index(spark: SparkSession, root: str, status: str = "success") -> DataFrame:
+def read_report_index(
+    spark: SparkSession, root: str, status: str = "success", pandas_na: bool = True
+) -> DataFrame:
     """``root/SYM/<status>.csv`` files (reference layout) → index rows with
-    ``symbol`` (from the folder) and ``status``; all strings."""
+    ``symbol`` (from the folder) and ``status``; all strings.
+
+    With ``pandas_na`` the missing-value words a pandas CSV read recognises
+    (``NA``, ``null``, ``nan``, …) are missing here as well, as in the
+    reference's reads; empty fields are missing either way.
+    """
     df = spark.read.option("header", True).option("inferSchema", False).csv(f"{root.rstrip('/')}/*/{status}.csv")
     keep = [c for c in df.columns if c in T.LISTING_COLUMNS]
+    cols = [
+        F.when(F.col(f"`{c}`").isin(NA_TOKENS), F.lit(None).cast("string")).otherwise(F.col(f"`{c}`")).alias(c)
+        if pandas_na else F.col(f"`{c}`")
+        for c in keep
+    ]
     return df.select(
-        *keep,
+        *cols,
         T.symbol_from_path(_file_path()).alias("symbol"),
         F.lit(status).alias("status"),
     )

@@ -70,3 +70,16 @@ def test_legacy_statement_names_and_truth_columns(spark, tmp_path):
 
     with pytest.raises(ValueError):
         files.read_truth(spark, str(bad))
+
+
+def test_report_index_pandas_missing_words(spark, tmp_path):
+    import pandas as pd
+
+    d = tmp_path / "crawl" / "AAA"
+    d.mkdir(parents=True)
+    pd.DataFrame({"STT": ["1", "2"], "Mã doanh nghiệp": ["NA", "0100"], "Saving_path": ["null", "./crawl_table/AAA/r"]}) \
+        .to_csv(d / "success.csv")
+    rows = files.read_report_index(spark, str(tmp_path / "crawl")).orderBy("STT").collect()
+    assert [(r["Mã doanh nghiệp"], r["Saving_path"]) for r in rows] == [(None, None), ("0100", "./crawl_table/AAA/r")]
+    raw = files.read_report_index(spark, str(tmp_path / "crawl"), pandas_na=False).orderBy("STT").first()
+    assert raw["Mã doanh nghiệp"] == "NA"
