@@ -67,7 +67,7 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     runs = int(os.environ.get("BENCH_RUNS", "3"))
     names = [n for n in (sys.argv[1:] or HEADLINE) if n in QUERIES]
-    spark = build_session(f"local[{cpus}]", shuffle_partitions=int(cpus) * 2, app_name="filingflow-bench")
+    spark = build_session(f"local[{cpus}]", shuffle_partitions=int(cpus) * 4, app_name="filingflow-bench")
     times: dict[str, list[float]] = {n: [] for n in names}
     for n in names:  # warm-up
         run_spark(spark, n, sf)
