@@ -66,14 +66,33 @@ def log_sets(logs: DataFrame, line: str = "value") -> DataFrame:
 
 
 # A5 -------------------------------------------------------------------------
+# A number as pandas reads it from a CSV cell (public pandas behaviour).
+_NUMBER = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
+
+
 def stt_uniqueness(index: DataFrame, symbol: str = "symbol", stt: str = "STT") -> DataFrame:
-    """Rows vs distinct STT per symbol; a null STT counts as one value."""
-    return index.groupBy(F.col(symbol).alias("symbol")).agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        (
-            F.count_distinct(F.col(stt))
-            + F.max(F.col(stt).isNull().cast("bigint"))
-        ).alias("n_distinct"),
+    """Rows vs distinct STT per symbol, as a pandas read of the index sees it.
+
+    A column whose values are all numbers is compared numerically (``1`` and
+    ``1.0`` are one value), otherwise as text; a missing STT counts as one
+    value.  Rows are first reduced to (symbol, STT) pairs, so a symbol with
+    a third of all rows is combined map-side like any other.
+    """
+    pairs = index.groupBy(
+        F.col(symbol).alias("symbol"), F.col(stt).cast("string").alias("_stt")
+    ).agg(F.count(F.lit(1)).alias("_n"))
+    v = F.col("_stt")
+    is_num = v.rlike(_NUMBER)
+    per = pairs.groupBy("symbol").agg(
+        F.sum("_n").cast("bigint").alias("n_rows"),
+        F.count(v).alias("_n_text"),
+        F.max(v.isNull().cast("bigint")).alias("_has_null"),
+        F.bool_and(F.coalesce(is_num, F.lit(True))).alias("_all_num"),
+        F.count_distinct(F.when(is_num, F.trim(v).try_cast("double"))).alias("_n_num"),
+    )
+    n_distinct = F.when(F.col("_all_num"), F.col("_n_num")).otherwise(F.col("_n_text")) + F.col("_has_null")
+    return per.select(
+        "symbol", "n_rows", n_distinct.cast("bigint").alias("n_distinct")
     ).withColumn("stt_unique", F.col("n_rows") == F.col("n_distinct"))
 
 

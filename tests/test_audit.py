@@ -92,3 +92,20 @@ def test_classified_sets_disjoint_and_complete(spark, ok, warn, idx):
     assert clean.isdisjoint(error)
     assert clean | error == ok | warn
     assert clean <= ok
+
+
+def test_stt_compared_as_pandas_reads_it(spark):
+    import io
+
+    import pandas as pd
+
+    cases = {"N": ["1", "1.0", "2"], "T": ["1", "a", "1.0"], "M": ["1", None, "2"], "D": [None, None, "3"]}
+    rows = [(k, v) for k, vals in cases.items() for v in vals]
+    got = {r["symbol"]: r["stt_unique"] for r in
+           audit.stt_uniqueness(spark.createDataFrame(rows, "symbol string, STT string")).collect()}
+    for k, vals in cases.items():
+        # With the index column the crawler writes (a lone empty cell would be
+        # a blank line, which pandas skips).
+        csv = ",STT\n" + "\n".join(f"{i}," + ("" if v is None else v) for i, v in enumerate(vals)) + "\n"
+        col = pd.read_csv(io.StringIO(csv))["STT"]
+        assert got[k] == (len(col) == len(col.unique())), k
