@@ -769,10 +769,16 @@ PAGE_RENDERED = {"table": "body", "header": "nav li", "row": "article p", "cell"
 
 
 def _decode(x: str) -> str:
+    """HTML character references in SQL.  The legacy names (amp, lt, gt,
+    quot, copy) are also references without the closing semicolon, as an
+    HTML parser reads them; ``&amp`` goes last so nothing is decoded twice."""
     out = x
-    for ent, ch in [("&quot;", '"'), ("&#39;", "''"), ("&lt;", "<"), ("&gt;", ">"),
-                    ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&")]:
-        out = f"replace({out}, '{ent}', '{ch}')"
+    for ent, ch, legacy in [("quot", '"', True), ("#39", "''", False), ("lt", "<", True), ("gt", ">", True),
+                            ("copy", "©", True), ("middot", "·", False), ("amp", "&", True)]:
+        if legacy:
+            out = f"regexp_replace({out}, '&{ent};?', '{ch}', 'g')"
+        else:
+            out = f"replace({out}, '&{ent};', '{ch}')"
     return out
 
 
