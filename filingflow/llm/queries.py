@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from filingflow.llm import bpe, embedding_dedup, sharding, simhash, warc
+from filingflow.llm import bpe, embedding_dedup, language_id, mixing, sharding, simhash, warc
 from filingflow.session import new_work_dir
 
 
@@ -28,11 +28,25 @@ def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicates(_read(spark, sf_dir, "embeddings"), threshold=0.93)
 
 
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document at least once, the rarest source at most twice."""
+    units = _read(spark, sf_dir, "documents").select("doc_id", "source", mixing.word_tokens(F.col("text")).alias("tokens"))
+    return mixing.mix(units, repetition_limit=2.0)
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(_read(spark, sf_dir, "documents"), words_per_shingle=4, max_bits=4)
     return found.select("doc_id", simhash.hex_fingerprint(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents")
+    fold = language_id.held_out(F.col("doc_id"))
+    model = language_id.fit(docs.where(~fold))
+    found = language_id.predict(docs, model)
+    return found.select("doc_id", fold.alias("held_out"), "lang_pred", "score", "cross_entropy", "rejected")
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     return bpe.encode_documents(_read(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN, ids=False)
@@ -47,7 +61,9 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_embedding_dedup": op2_embedding_dedup,
+    "op3_mixing": op3_mixing,
     "op6_simhash": op6_simhash,
+    "op7_language_id": op7_language_id,
     "op9_bpe": op9_bpe,
     "op10_warc": op10_warc,
 }
