@@ -29,6 +29,14 @@ def drop_work_table(spark: SparkSession, df: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def salted(rows: DataFrame, small: DataFrame, *spread: str, salts: int = 32) -> tuple[DataFrame, DataFrame]:
+    """Both sides of a join with a column ``_ff_salt`` more: a hash of the
+    ``spread`` columns of ``rows``, every value of it in ``small``.  Joined on
+    it too, the rows of one hot key go to ``salts`` tasks."""
+    salt = F.pmod(F.xxhash64(F.lit("salt"), *spread), F.lit(salts)).cast("int")
+    return rows.withColumn("_ff_salt", salt), small.withColumn("_ff_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+
+
 def worker_cache(name: str) -> dict:
     """A dictionary that lives as long as the Python worker process."""
     return sys.__dict__.setdefault("_filingflow_worker_cache", {}).setdefault(name, {})

@@ -21,7 +21,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from filingflow.llm.common import work_table
+from filingflow.llm.common import salted, work_table
 
 
 def _offsets(buckets: DataFrame, by: Sequence[str], bucket: str, name: str) -> DataFrame:
@@ -52,7 +52,8 @@ def interleave_shards(
     rows = df.withColumn("_ff_src", F.coalesce(F.concat(F.lit("="), F.col(source).cast("string")), F.lit("")))
     rows = rows.withColumn("_ff_u", F.xxhash64(F.lit(seed), *key).bitwiseAND(F.lit((1 << 53) - 1)) / F.lit(float(1 << 53)))
     sources = rows.groupBy("_ff_src").agg(F.count(F.lit(1)).alias("_ff_n"))
-    rows = rows.join(sources, "_ff_src")
+    rows, sources = salted(rows, sources, *key)
+    rows = rows.join(sources, ["_ff_src", "_ff_salt"])
     rows = rows.withColumn("_ff_b", F.floor(F.col("_ff_u") * F.ceil(F.col("_ff_n") / bucket_rows)))
 
     # The counting branch reads the key and the source only.
