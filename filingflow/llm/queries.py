@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from filingflow.llm import bpe, embedding_dedup, language_id, mixing, sharding, simhash, warc
+from filingflow.llm import bpe, embedding_dedup, language_id, line_dedup, mixing, sharding, simhash, warc
 from filingflow.session import new_work_dir
 
 
@@ -47,6 +47,11 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", fold.alias("held_out"), "lang_pred", "score", "cross_entropy", "rejected")
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup.dedup_lines(_read(spark, sf_dir, "documents"), min_words=25)
+    return found.select("doc_id", "n_lines", "n_removed", "n_runs", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     return bpe.encode_documents(_read(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN, ids=False)
@@ -64,6 +69,7 @@ QUERIES = {
     "op3_mixing": op3_mixing,
     "op6_simhash": op6_simhash,
     "op7_language_id": op7_language_id,
+    "op8_line_dedup": op8_line_dedup,
     "op9_bpe": op9_bpe,
     "op10_warc": op10_warc,
 }
@@ -88,6 +94,45 @@ ORACLE = {
         SELECT e.vec_id, (SELECT count(*) FROM links l WHERE l.a = e.vec_id) AS n_links, c.component_id, e.vec_id = c.component_id AS kept
         FROM embeddings e JOIN comp c ON c.a = e.vec_id
     """,
+    "op8_line_dedup": """
+        WITH l AS (
+            SELECT doc_id, i AS pos, trim(s[i + 1], ' ') AS line, greatest(1, len(regexp_extract_all(s[i + 1], '[^\\s]+'))) AS words
+            FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS s FROM documents) t, unnest(range(len(s))) u(i)
+        ),
+        often AS (SELECT line FROM l GROUP BY line HAVING count(*) > 1),
+        r AS (SELECT l.*, pos - row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS island FROM l JOIN often USING (line)),
+        c AS (SELECT *, sum(words) OVER (PARTITION BY doc_id, island ORDER BY pos) AS ends FROM r),
+        ahead AS (
+            SELECT a.doc_id, a.pos AS start, max(b.pos) AS stop FROM c a JOIN c b
+            ON a.doc_id = b.doc_id AND a.island = b.island AND b.pos >= a.pos AND b.ends - b.words < a.ends - a.words + 25
+            GROUP BY a.doc_id, a.pos, a.ends, a.words HAVING max(b.ends) - (a.ends - a.words) >= 25
+        ),
+        behind AS (
+            SELECT a.doc_id, min(b.pos) AS start, a.pos AS stop FROM c a JOIN c b
+            ON a.doc_id = b.doc_id AND a.island = b.island AND b.pos <= a.pos AND b.ends > a.ends - 25
+            GROUP BY a.doc_id, a.pos, a.ends HAVING a.ends - min(b.ends - b.words) >= 25
+        ),
+        w AS (SELECT * FROM ahead UNION SELECT * FROM behind),
+        named AS (
+            SELECT w.doc_id, w.start, w.stop, string_agg(c.line, chr(10) ORDER BY c.pos) AS run
+            FROM w JOIN c ON c.doc_id = w.doc_id AND c.pos BETWEEN w.start AND w.stop GROUP BY ALL
+        ),
+        firsts AS (SELECT run, min((doc_id, start)) AS f FROM named GROUP BY run),
+        gone AS (
+            SELECT DISTINCT n.doc_id, unnest(range(n.start, n.stop + 1)) AS pos FROM named n JOIN firsts USING (run)
+            WHERE n.doc_id <> f[1] OR n.start - f[2] > n.stop - n.start
+        ),
+        opened AS (SELECT *, coalesce(pos - lag(pos) OVER (PARTITION BY doc_id ORDER BY pos) > 1, true) AS opens FROM gone),
+        runs AS (SELECT doc_id, count(*) AS n, count(*) FILTER (opens) AS r FROM opened GROUP BY doc_id),
+        kept AS (
+            SELECT t.doc_id, string_agg(s[i + 1], chr(10) ORDER BY i) FILTER (g.pos IS NULL) AS text
+            FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS s FROM documents) t, unnest(range(len(s))) u(i)
+            LEFT JOIN gone g ON g.doc_id = t.doc_id AND g.pos = u.i GROUP BY t.doc_id
+        )
+        SELECT d.doc_id, CASE WHEN d.text IS NULL THEN 0 ELSE len(string_split(d.text, chr(10))) END AS n_lines,
+               coalesce(n, 0) AS n_removed, coalesce(r, 0) AS n_runs, sha256(coalesce(kept.text, '')) AS kept_sha256
+        FROM documents d LEFT JOIN runs USING (doc_id) JOIN kept ON kept.doc_id = d.doc_id
+    """,
     "op10_warc": """
         WITH p AS (
             SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages
