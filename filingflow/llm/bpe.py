@@ -6,7 +6,7 @@ token-position rows, joins neighbouring tokens to the merge table, finds every
 piece's leftmost pair of minimum rank and contracts it, until no piece has a
 pair left.  Decoding joins token ids to the vocabulary and concatenates their
 bytes by an ordered aggregation.  Pieces seen before come from a cache of the
-worker process, which is emptied when it exceeds ``CACHE_BYTES``.
+worker process; a generation of ``CACHE_BYTES`` is dropped when the next is full.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Iterator
+from itertools import chain
 
 import duckdb
 import numpy as np
@@ -23,8 +24,8 @@ from pyspark.sql import DataFrame
 
 from filingflow.llm.common import worker_cache
 
-#: Estimated memory of the pieces that a worker process remembers.
-CACHE_BYTES = 120 << 20
+#: Estimated memory of each of the two generations of pieces that a worker process remembers.
+CACHE_BYTES = 100 << 20
 #: Pieces up to this many bytes keep all rounds of the recursion until it ends; longer ones only the last.
 SHORT_PIECE = 48
 
@@ -44,10 +45,11 @@ _ENCODE = f"""
     )
     SELECT w, arg_max(toks, step) AS toks FROM state GROUP BY w
 """
-_COLLECT = """
-    SELECT f.w, string_agg(CAST(f.tok AS VARCHAR), ' ' ORDER BY f.pos) AS ids, count(*) AS n, string_agg(v.hex, '' ORDER BY f.pos) AS hex
+_DECODE = """
+    SELECT f.w, unhex(string_agg(v.hex, '' ORDER BY f.pos)) AS text
     FROM (SELECT w, unnest(toks) AS tok, unnest(range(len(toks))) AS pos FROM fixpoint) f JOIN vocabulary v ON v.id = f.tok GROUP BY f.w
 """
+_COLLECT = f"SELECT w, array_to_string(toks, ' ') || ' ' AS ids, text FROM fixpoint JOIN ({_DECODE}) USING (w)"
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -69,7 +71,8 @@ class Tokenizer:
         self.con.register("pairs", pa.table({"l": left, "r": right, "m": merged}))
         self.con.register("tokens", pa.table({"id": pa.array(list(ranks.values()), pa.int32()), "hex": [t.hex() for t in ranks]}))
         self.con.execute("CREATE TABLE merges AS FROM pairs; CREATE TABLE vocabulary AS FROM tokens")
-        self.known: dict[str, tuple[str, int, bytes]] = {}
+        self.known: dict[str, tuple[bytes, bytes]] = {}
+        self.older: dict[str, tuple[bytes, bytes]] = {}
         self.size = 0
 
     def _start(self, pieces: list[bytes]) -> pa.Table:
@@ -99,38 +102,59 @@ class Tokenizer:
         whole = [self.ranks.get(b) for b in raw]
         for p, b, r in zip(pieces, raw, whole, strict=True):
             if r is not None:  # a piece that is a token needs no merges
-                self.known[p] = (str(r), 1, b)
-                self.size += 300
+                self.known[p] = (b"%d " % r, b)
         rest = [i for i, r in enumerate(whole) if r is None]
         short = [i for i in rest if len(raw[i]) <= SHORT_PIECE]
         for part in [short[k : k + 100_000] for k in range(0, len(short), 100_000)] + [[i for i in rest if len(raw[i]) > SHORT_PIECE]]:
             if not part:
                 continue
             self.con.register("fixpoint", self._fixpoint([raw[i] for i in part]))
-            for w, ids, n, text in zip(*(c.to_pylist() for c in self.con.sql(_COLLECT).to_arrow_table().columns), strict=True):
-                self.known[pieces[part[w]]] = (ids, n, bytes.fromhex(text))
-                self.size += 350 + 2 * len(ids) + len(text)
+            for w, ids, text in zip(*(c.to_pylist() for c in self.con.sql(_COLLECT).to_arrow_table().columns), strict=True):
+                self.known[pieces[part[w]]] = (ids.encode(), text)
+        self.size += sum(map(len, raw)) * 3 + 260 * len(raw)
 
-    def encode_batch(self, texts: list[str]) -> list[tuple[int, str, bytes]]:
+    def encode_batch(self, texts: list[str]) -> list[tuple[int, bytes, bytes]]:
         """(number of ids, ids joined by one blank, decoded bytes) per text."""
         cut = [self.pattern.findall(t) for t in texts]
-        known = self.known
-        new = list(dict.fromkeys(p for c in cut for p in c if p not in known))
+        ends = np.cumsum([len(c) for c in cut])
+        pieces = pa.array(chain.from_iterable(cut), pa.large_string(), size=int(ends[-1])).dictionary_encode()
+        distinct = pieces.dictionary.to_pylist()
+        new = []
+        for p in distinct:
+            if p not in self.known:
+                if p in self.older:
+                    self.known[p] = self.older[p]
+                    self.size += 3 * len(p) + 260
+                else:
+                    new.append(p)
         if new:
             self.learn(new)
-        out = []
-        for c in cut:
-            got = [known[p] for p in c]
-            out.append((sum(g[1] for g in got), " ".join([g[0] for g in got]), b"".join([g[2] for g in got])))
-        if self.size > CACHE_BYTES:
-            self.known, self.size = {}, 0
+        rows = [self.known[p] for p in distinct]
+        if self.size > CACHE_BYTES:  # pieces that the next batches do not ask for go with the older half
+            self.known, self.older, self.size = {}, self.known, 0
+        # One gather lays the pieces' results end to end; a text's are a slice.
+        ids, ids_at = _gather([r[0] for r in rows], pieces.indices)
+        decoded, decoded_at = _gather([r[1] for r in rows], pieces.indices)
+        out, first = [], 0
+        for end in ends.tolist():
+            joined = bytes(ids[ids_at[first] : ids_at[end]])[:-1]
+            out.append((joined.count(b" ") + (end > first), joined, bytes(decoded[decoded_at[first] : decoded_at[end]])))
+            first = end
         return out
 
     def decode_batch(self, ids: list[list[int]]) -> list[bytes]:
         """Bytes of each id list, by an ordered aggregation."""
         self.con.register("fixpoint", pa.table({"w": np.arange(len(ids)), "toks": pa.array(ids, pa.list_(pa.int32()))}))
-        got = dict(self.con.sql("SELECT w, hex FROM (" + _COLLECT + ")").fetchall())
-        return [bytes.fromhex(got.get(i, "")) for i in range(len(ids))]
+        got = dict(self.con.sql(_DECODE).fetchall())
+        return [got.get(i, b"") for i in range(len(ids))]
+
+
+def _gather(values: list[bytes], indices: pa.Array) -> tuple[memoryview, np.ndarray]:
+    """Bytes of the indexed values end to end, and the offset of each."""
+    taken = pa.array(values, pa.large_binary()).take(indices)
+    _, offsets, data = taken.buffers()
+    at = np.frombuffer(offsets, np.int64, len(taken) + 1) if offsets else np.zeros(1, np.int64)
+    return memoryview(data or b""), at
 
 
 def tokenizer(path: str, pattern: str) -> Tokenizer:
@@ -171,11 +195,11 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, key: str = "doc_i
                 cols = [
                     keys.slice(at, len(rows)),
                     pa.array([n for n, _, _ in rows], pa.int64()),
-                    pa.array([hashlib.sha256(i.encode()).hexdigest() for _, i, _ in rows], pa.string()),
+                    pa.array([hashlib.sha256(i).hexdigest() for _, i, _ in rows], pa.string()),
                     pa.array([hashlib.sha256(d).hexdigest() for _, _, d in rows], pa.string()),
                 ]
                 if ids:
-                    cols.append(pa.array([np.array(i.split(), np.int32) for _, i, _ in rows], pa.list_(pa.int32())))
+                    cols.append(pa.array([np.fromstring(i.decode(), np.int32, sep=" ") for _, i, _ in rows], pa.list_(pa.int32())))
                 yield pa.RecordBatch.from_arrays(cols, names)
                 at += len(rows)
 
