@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from filingflow.llm import bpe, embedding_dedup, language_id, line_dedup, mixing, sharding, simhash, warc
+from filingflow.llm import bpe, embedding_dedup, language_id, line_dedup, mixing, sharding, simhash, suffix_dedup, warc
 from filingflow.session import new_work_dir
 
 
@@ -34,6 +34,10 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(units, repetition_limit=2.0)
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(_read(spark, sf_dir, "documents"), window=200, texts=False)
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(_read(spark, sf_dir, "documents"), words_per_shingle=4, max_bits=4)
     return found.select("doc_id", simhash.hex_fingerprint(F.col("fp")).alias("fingerprint"), "component_id")
@@ -67,6 +71,7 @@ QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_embedding_dedup": op2_embedding_dedup,
     "op3_mixing": op3_mixing,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op6_simhash": op6_simhash,
     "op7_language_id": op7_language_id,
     "op8_line_dedup": op8_line_dedup,
