@@ -280,3 +280,20 @@ def predict(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "tex
 def held_out(key) -> F.Column:
     """Fold of the documents that are never learned from (null keys too)."""
     return F.coalesce(F.crc32(F.encode(key.cast("string"), "UTF-8")) % 5 == 0, F.lit(True))
+
+
+def keep_accepted(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
+    """The rows of ``docs``, unchanged, whose text the model does not reject;
+    scored where they are read, without a shuffle."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    place = docs.columns.index(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = 0
+            for group in _groups(batch.column(place).to_pylist()):
+                keep = ~shared.value.predict(group)["rejected"].to_numpy(bool)
+                yield batch.slice(at, len(group)).filter(pa.array(keep))
+                at += len(group)
+
+    return docs.mapInArrow(run, docs.schema)

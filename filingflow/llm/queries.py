@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from filingflow.llm import bpe, embedding_dedup, language_id, line_dedup, mixing, sharding, simhash, suffix_dedup, warc
+from filingflow.llm import bpe, embedding_dedup, fingerprints, language_id, line_dedup, mixing, sharding, simhash, suffix_dedup, warc
 from filingflow.session import new_work_dir
 
 
@@ -34,6 +34,18 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(units, repetition_limit=2.0)
 
 
+def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    samples = 32
+    found = fingerprints.fingerprint_documents(_read(spark, sf_dir, "documents"), samples=samples)
+    return found.select(
+        "doc_id", "n_chars", "edited_sha256",
+        fingerprints.to_string(F.col("signature"), samples).alias("fingerprint"),
+        fingerprints.to_string(F.col("edited_signature"), samples).alias("edited_fingerprint"),
+        fingerprints.likeness(F.col("signature"), F.col("edited_signature")).alias("near_edited"),
+        fingerprints.likeness(F.col("signature"), F.col("next_signature")).alias("near_next"),
+    )
+
+
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(_read(spark, sf_dir, "documents"), window=200, texts=False)
 
@@ -71,6 +83,7 @@ QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_embedding_dedup": op2_embedding_dedup,
     "op3_mixing": op3_mixing,
+    "op4_fingerprints": op4_fingerprints,
     "op5_suffix_dedup": op5_suffix_dedup,
     "op6_simhash": op6_simhash,
     "op7_language_id": op7_language_id,
