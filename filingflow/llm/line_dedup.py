@@ -37,13 +37,13 @@ def _lines(text: Column) -> Column:
 
 def _keyed(docs: DataFrame, key: str, text: str) -> DataFrame:
     """Adds the document's identity: its key and a hash of its text."""
-    return docs.withColumns({"_ff_id": F.col(key), "_ff_text": F.xxhash64(F.coalesce(text, F.lit("")))})
+    return docs.withColumns({"_ff_id": F.col(key), "_ff_text": F.xxhash64(text)})
 
 
 def repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(_ff_id, _ff_text, pos, c0, words) of the lines whose content occurs at
     two places at least."""
-    rows = _keyed(docs.select(key, text), key, text).select(*_DOC, F.posexplode(_lines(F.col(text))).alias("pos", "line"))
+    rows = _keyed(docs.select(key, text).where(F.col(text).isNotNull()), key, text).select(*_DOC, F.posexplode(_lines(F.col(text))).alias("pos", "line"))
     words = F.greatest(F.lit(1), F.regexp_count("line", F.lit(r"[^\s]+")))
     rows = rows.select(*_DOC, "pos", F.xxhash64(F.trim("line")).alias("c0"), words.cast("long").alias("words"))
     often = rows.groupBy("c0").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("c0")
@@ -133,8 +133,8 @@ def dedup_lines(docs: DataFrame, min_words: int = 25, key: str = "doc_id", text:
     rebuilt = F.array_join(F.transform(kept, lambda i: F.col("_ff_lines")[i]), "\n")
     counts = {
         "n_lines": F.when(F.col(text).isNull(), 0).otherwise(F.size("_ff_lines")).cast("long"),
-        "n_removed": F.coalesce(F.size("_ff_gone"), F.lit(0)).cast("long"),
-        "n_runs": F.coalesce("_ff_runs", F.lit(0)).cast("long"),
-        text: F.when(F.col("_ff_gone").isNotNull(), rebuilt).otherwise(F.col(text)),
+        "n_removed": F.when(F.col(text).isNull(), 0).otherwise(F.coalesce(F.size("_ff_gone"), F.lit(0))).cast("long"),
+        "n_runs": F.when(F.col(text).isNull(), 0).otherwise(F.coalesce("_ff_runs", F.lit(0))).cast("long"),
+        text: F.when(F.col("_ff_gone").isNotNull() & F.col(text).isNotNull(), rebuilt).otherwise(F.col(text)),
     }
     return joined.select(*[counts.get(c, F.col(c)).alias(c) for c in docs.columns], *[counts[c].alias(c) for c in ("n_lines", "n_removed", "n_runs")])
