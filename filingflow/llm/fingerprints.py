@@ -81,7 +81,7 @@ def half_replaced(text: Column, following: Column) -> Column:
 
 def fingerprint_documents(
     docs: DataFrame, edit: Callable[[Column, Column], Column] = half_replaced, samples: int = 32, key: str = "doc_id",
-    text: str = "text", range_rows: int = 1000,
+    text: str = "text", range_rows: int = 500,
 ) -> DataFrame:
     """One row per document: ``key, n_chars, edited_sha256, signature,
     edited_signature, next_signature`` (null without words).
@@ -93,7 +93,8 @@ def fingerprint_documents(
     result; other columns are ignored.  A document that is alone follows
     itself."""
     rows = docs.select(F.col(key).alias("_ff_key"), F.coalesce(text, F.lit("")).alias("_ff_text"))
-    rows = rows.withColumn("_ff_range", _place(F.col("_ff_key"), _key_bounds(rows.select("_ff_key"), range_rows)))
+    bounds = _key_bounds(rows.select("_ff_key"), range_rows)
+    rows = rows.withColumn("_ff_range", _place(F.col("_ff_key"), bounds))
 
     # The first document of every range; the range's largest key is one row per range.
     order = [F.desc_nulls_last("_ff_key"), F.col("_ff_text")]
@@ -111,8 +112,10 @@ def fingerprint_documents(
     )
     heads = work_table(heads.drop("h_range"), "heads")
 
+    # Two ranges to a partition: its bags of words fit in the memory of a task.
     inside = Window.partitionBy("_ff_range").orderBy(*order)
-    numbered = rows.withColumns({"_ff_row": F.row_number().over(inside), "_ff_next": F.lead("_ff_text").over(inside)})
+    numbered = rows.repartition(len(bounds) // 2 + 1, "_ff_range")
+    numbered = numbered.withColumns({"_ff_row": F.row_number().over(inside), "_ff_next": F.lead("_ff_text").over(inside)})
     numbered = numbered.join(heads.select("_ff_range", "h_text"), "_ff_range")
     following = F.coalesce("_ff_next", "h_text")
     edited = numbered.withColumn("_ff_edited", edit(F.col("_ff_text"), following))
