@@ -9,7 +9,7 @@ def brute(rows, min_words):
     runs, gone = {}, [set() for _ in docs]
     order = sorted(range(len(docs)), key=lambda d: (docs[d][0] is not None, docs[d][0] or 0))
     for d in order:
-        lines = [x.strip(" ") for x in docs[d][1]]
+        lines = [x.strip(" ") for x in docs[d][1]] if rows[d][1] is not None else []
         for i in range(len(lines)):
             for j in range(i, len(lines)):
                 run = tuple(lines[i : j + 1])
