@@ -121,12 +121,14 @@ def fingerprint_documents(
     edited = numbered.withColumn("_ff_edited", edit(F.col("_ff_text"), following))
     both = edited.select("_ff_range", "_ff_row", F.explode(F.array(F.struct(F.lit(0).alias("v"), F.col("_ff_text").alias("s")), F.struct(F.lit(1).alias("v"), F.col("_ff_edited").alias("s")))).alias("x"))
     both = both.select("_ff_range", "_ff_row", F.col("x.v").alias("_ff_v"), F.col("x.s").alias("_ff_s"))
-    drawn = work_table(signatures(both, ["_ff_range", "_ff_row", "_ff_v"], "_ff_s", samples), "signatures")
-
-    facts = edited.select("_ff_range", "_ff_row", F.col("_ff_key").alias(key), F.length("_ff_text").cast("long").alias("n_chars"), F.sha2("_ff_edited", 256).alias("edited_sha256"))
+    drawn = signatures(both, ["_ff_range", "_ff_row", "_ff_v"], "_ff_s", samples)
+    facts = edited.select("_ff_range", "_ff_row", F.lit(2).alias("_ff_v"), F.col("_ff_key").alias(key), F.length("_ff_text").cast("long").alias("n_chars"), F.sha2("_ff_edited", 256).alias("edited_sha256"))
+    # One job for both: the texts are shuffled once.
+    found = work_table(drawn.unionByName(facts, allowMissingColumns=True), "signatures")
     keys = ["_ff_range", "_ff_row"]
-    own = drawn.where("_ff_v = 0").select(*keys, "signature")
-    other = drawn.where("_ff_v = 1").select(*keys, F.col("signature").alias("edited_signature"))
+    facts = found.where("_ff_v = 2").select(*keys, key, "n_chars", "edited_sha256")
+    own = found.where("_ff_v = 0").select(*keys, "signature")
+    other = found.where("_ff_v = 1").select(*keys, F.col("signature").alias("edited_signature"))
     joined = facts.join(own, keys, "left").join(other, keys, "left").join(heads.select("_ff_range", "h_signature"), "_ff_range")
     following = Window.partitionBy("_ff_range").orderBy("_ff_row")
     is_last = F.lead("_ff_row").over(following).isNull()
