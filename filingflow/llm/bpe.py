@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from filingflow.llm.common import worker_cache
 
 #: Estimated memory of each of the two generations of pieces that a worker process remembers.
-CACHE_BYTES = 100 << 20
+CACHE_BYTES = 48 << 20
 #: Pieces up to this many bytes keep all rounds of the recursion until it ends; longer ones only the last.
 SHORT_PIECE = 48
 
@@ -66,7 +66,7 @@ class Tokenizer:
         self.pattern = regex.compile(pattern)
         pairs = [(ranks[t[:i]], ranks[t[i:]], r) for t, r in ranks.items() for i in range(1, len(t)) if t[:i] in ranks and t[i:] in ranks]
         self.bytes_id = np.array([ranks.get(bytes([b]), -1) for b in range(256)], np.int32)
-        self.con = duckdb.connect(config={"threads": 1, "memory_limit": "400MB"})
+        self.con = duckdb.connect(config={"threads": 1, "memory_limit": "300MB"})
         left, right, merged = (pa.array(c, pa.int32()) for c in zip(*pairs, strict=True))
         self.con.register("pairs", pa.table({"l": left, "r": right, "m": merged}))
         self.con.register("tokens", pa.table({"id": pa.array(list(ranks.values()), pa.int32()), "hex": [t.hex() for t in ranks]}))
@@ -165,7 +165,7 @@ def tokenizer(path: str, pattern: str) -> Tokenizer:
     return cache[path, pattern]
 
 
-def _batches(texts: list[str], limit: int = 8 << 20) -> Iterator[list[str]]:
+def _batches(texts: list[str], limit: int = 4 << 20) -> Iterator[list[str]]:
     group: list[str] = []
     size = 0
     for t in texts:
@@ -184,7 +184,7 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, key: str = "doc_i
 
     A null text is an empty one (no ids); repeated rows and ids stay rows of
     their own; no row of a large text is cut, a batch holds at most one text
-    more than 8 million characters.  ``path`` must be readable on executors."""
+    more than 4 million characters.  ``path`` must be readable on executors."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok = tokenizer(path, pattern)
