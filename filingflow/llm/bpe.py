@@ -22,7 +22,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from filingflow.llm.common import worker_cache
+from filingflow.llm.common import text_batches, worker_cache
 
 #: Estimated memory of each of the two generations of pieces that a worker process remembers.
 CACHE_BYTES = 48 << 20
@@ -165,17 +165,22 @@ def tokenizer(path: str, pattern: str) -> Tokenizer:
     return cache[path, pattern]
 
 
-def _batches(texts: list[str], limit: int = 4 << 20) -> Iterator[list[str]]:
-    group: list[str] = []
-    size = 0
-    for t in texts:
-        if group and size + len(t) > limit:
-            yield group
-            group, size = [], 0
-        group.append(t)
-        size += len(t)
-    if group:
-        yield group
+def _held(batches: Iterator[pa.RecordBatch], limit: int = 4 << 20) -> Iterator[tuple[pa.Array, list[str]]]:
+    """Keys and texts of whole rows with about ``limit`` characters together,
+    across Arrow batches: DuckDB's rounds cost the same for few pieces."""
+    keys, texts, size = [], [], 0
+    for batch in batches:
+        first = 0
+        for i, t in enumerate(batch.column(1)):
+            texts.append(t.as_py() or "")
+            size += len(texts[-1])
+            if size >= limit:
+                yield pa.concat_arrays([*keys, batch.column(0).slice(first, i + 1 - first)]), texts
+                keys, texts, size, first = [], [], 0, i + 1
+        if first < batch.num_rows:
+            keys.append(batch.column(0).slice(first))
+    if texts:
+        yield pa.concat_arrays(keys), texts
 
 
 def encode_documents(docs: DataFrame, path: str, pattern: str, key: str = "doc_id", text: str = "text", ids: bool = True) -> DataFrame:
@@ -188,21 +193,20 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, key: str = "doc_i
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok = tokenizer(path, pattern)
-        for batch in batches:
-            keys, at = batch.column(0), 0
-            for group in _batches([t or "" for t in batch.column(1).to_pylist()]):
-                rows = tok.encode_batch(group)
-                cols = [
-                    keys.slice(at, len(rows)),
-                    pa.array([n for n, _, _ in rows], pa.int64()),
-                    pa.array([hashlib.sha256(i).hexdigest() for _, i, _ in rows], pa.string()),
-                    pa.array([hashlib.sha256(d).hexdigest() for _, _, d in rows], pa.string()),
-                ]
-                if ids:
-                    cols.append(pa.array([np.fromstring(i.decode(), np.int32, sep=" ") for _, i, _ in rows], pa.list_(pa.int32())))
-                yield pa.RecordBatch.from_arrays(cols, names)
-                at += len(rows)
-
+        for keys, texts in _held(batches):
+            rows = tok.encode_batch(texts)
+            cols = [
+                keys,
+                pa.array([n for n, _, _ in rows], pa.int64()),
+                pa.array([hashlib.sha256(i).hexdigest() for _, i, _ in rows], pa.string()),
+                pa.array([hashlib.sha256(d).hexdigest() for _, _, d in rows], pa.string()),
+            ]
+            if ids:
+                cols.append(pa.array([np.fromstring(i.decode(), np.int32, sep=" ") for _, i, _ in rows], pa.list_(pa.int32())))
+            yield pa.RecordBatch.from_arrays(cols, names)
+        pa.default_memory_pool().release_unused()
+
+    text_batches(docs.sparkSession)
     names = [key, "n_tokens", "ids_sha256", "decoded_sha256"] + ["ids"] * ids
     kind = dict(docs.dtypes)[key]
     schema = f"`{key}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * ids

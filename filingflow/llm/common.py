@@ -29,6 +29,14 @@ def drop_work_table(spark: SparkSession, df: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def text_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Arrow batches of ``rows`` rows at most for this session: a batch of
+    Spark's default 10,000 texts is held several times by executor and worker."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(name, "10000")) > rows:
+        spark.conf.set(name, str(rows))
+
+
 def salted(rows: DataFrame, small: DataFrame, *spread: str, salts: int = 32) -> tuple[DataFrame, DataFrame]:
     """Both sides of a join with a column ``_ff_salt`` more: a hash of the
     ``spread`` columns of ``rows``, every value of it in ``small``.  Joined on

@@ -24,6 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from filingflow.llm.common import text_batches
+
 UNDETERMINED = "und"
 _NOT_LETTERS = re.compile(r"[\W\d_]+")
 _MULTIPLIERS = np.random.default_rng(2024).integers(1 << 62, 1 << 63, 8).astype(np.uint64) * np.uint64(2) + np.uint64(1)
@@ -176,7 +178,7 @@ class Model:
         return out
 
 
-def _groups(texts: list, limit: int = 1 << 20) -> Iterator[list]:
+def _groups(texts: list, limit: int = 1 << 19) -> Iterator[list]:
     group: list = []
     size = 0
     for t in texts:
@@ -192,6 +194,7 @@ def _groups(texts: list, limit: int = 1 << 20) -> Iterator[list]:
 def _gram_counts(sample: DataFrame, order: int) -> DataFrame:
     """(lang, c0 .., n): counts of the sample's n-grams."""
     names = [f"c{i}" for i in range(order)]
+    text_batches(sample.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -262,6 +265,7 @@ def predict(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "tex
     and one without a letter are ``und``, score 0, rejected.  Whole texts are
     scored, in slices of bounded memory; repeated rows stay rows."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the fit's sample
+    text_batches(docs.sparkSession)
     names = [key, "lang_pred", "score", "cross_entropy", "deviation", "rejected"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -287,6 +291,7 @@ def keep_accepted(docs: DataFrame, model: Model, text: str = "text") -> DataFram
     scored where they are read, without a shuffle."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     place = docs.columns.index(text)
+    text_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

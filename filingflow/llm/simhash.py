@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from filingflow.llm.common import connected_components, star_forest, work_table
+from filingflow.llm.common import connected_components, star_forest, text_batches, work_table
 
 _BITS = 64
 
@@ -52,6 +52,8 @@ def text_fingerprint(data: bytes, words_per_shingle: int) -> int:
 def fingerprints(docs: DataFrame, words_per_shingle: int = 4, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, fp): the SimHash of every whole text; null texts have no words."""
 
+    text_batches(docs.sparkSession)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(1).cast(pa.binary())
