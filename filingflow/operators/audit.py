@@ -83,29 +83,44 @@ def stt_uniqueness(index: DataFrame, symbol: str = "symbol", stt: str = "STT") -
     ).agg(F.count(F.lit(1)).alias("_n"))
     v = F.col("_stt")
     is_num = v.rlike(_NUMBER)
+    whole = F.when(v.rlike(r"^\s*[+-]?[0-9]+\s*$"), F.trim(v).try_cast("decimal(38,0)"))
     per = pairs.groupBy("symbol").agg(
         F.sum("_n").cast("bigint").alias("n_rows"),
         F.count(v).alias("_n_text"),
         F.max(v.isNull().cast("bigint")).alias("_has_null"),
         F.bool_and(F.coalesce(is_num, F.lit(True))).alias("_all_num"),
+        F.bool_and(F.coalesce(whole.isNotNull(), v.isNull())).alias("_all_whole"),
         F.count_distinct(F.when(is_num, F.trim(v).try_cast("double"))).alias("_n_num"),
+        F.count_distinct(whole).alias("_n_whole"),
     )
-    n_distinct = F.when(F.col("_all_num"), F.col("_n_num")).otherwise(F.col("_n_text")) + F.col("_has_null")
+    # whole numbers are compared exactly: a double holds them up to 2**53 only
+    n_distinct = (
+        F.when(F.col("_all_whole"), F.col("_n_whole")).when(F.col("_all_num"), F.col("_n_num")).otherwise(F.col("_n_text"))
+    ) + F.col("_has_null")
     return per.select(
         "symbol", "n_rows", n_distinct.cast("bigint").alias("n_distinct")
     ).withColumn("stt_unique", F.col("n_rows") == F.col("n_distinct"))
 
 
 # U2, U3, J9 ---------------------------------------------------------------------
-def classify_symbols(sets: DataFrame, index_stats: DataFrame) -> DataFrame:
+def classify_symbols(sets: DataFrame, index_stats: DataFrame, index_files: DataFrame | None = None) -> DataFrame:
     """(symbol, status, reason): clean or error; the two sets are disjoint.
 
     error = (warning − success) ∪ (success without a readable index)
             ∪ (success whose index repeats an STT); clean = the rest of success.
+
+    ``index_files`` (column ``symbol``) lists the index files present; one
+    with a header and no rows repeats nothing.  Without it only symbols with
+    index rows have an index.
     """
     stats = index_stats.select(
         F.col("symbol").alias("_idx_symbol"), F.col("stt_unique").alias("_stt_unique")
     )
+    if index_files is not None:
+        present = index_files.select(F.col("symbol").alias("_file_symbol")).distinct()
+        stats = present.join(stats, F.col("_file_symbol") == F.col("_idx_symbol"), "full").select(
+            F.coalesce("_idx_symbol", "_file_symbol").alias("_idx_symbol"), F.coalesce("_stt_unique", F.lit(True)).alias("_stt_unique")
+        )
     joined = sets.join(stats, sets["symbol"] == stats["_idx_symbol"], "left")
     reason = (
         F.when(~F.col("in_success"), F.lit("warning_only"))
@@ -119,9 +134,9 @@ def classify_symbols(sets: DataFrame, index_stats: DataFrame) -> DataFrame:
     )
 
 
-def audit_logs(logs: DataFrame, index: DataFrame, line: str = "value") -> DataFrame:
+def audit_logs(logs: DataFrame, index: DataFrame, line: str = "value", index_files: DataFrame | None = None) -> DataFrame:
     """Logs + report index → classified symbols (the reference's audit)."""
-    return classify_symbols(log_sets(logs, line), stt_uniqueness(index))
+    return classify_symbols(log_sets(logs, line), stt_uniqueness(index), index_files)
 
 
 # A1 -------------------------------------------------------------------------

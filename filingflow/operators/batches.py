@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from filingflow.operators.ordering import ordered_index
@@ -12,11 +12,16 @@ from filingflow.operators.ordering import ordered_index
 BATCH_SIZE = 20
 
 
-def assign_batches(df: DataFrame, order: Sequence[str], size: int = BATCH_SIZE) -> DataFrame:
+def assign_batches(df: DataFrame, order: Sequence[str], size: int = BATCH_SIZE, bucket: Column | None = None) -> DataFrame:
     """``batch`` = floor(position / size) under a total ``order``.
 
-    A global position without a single-partition window: range partitioning
-    plus per-partition offsets (see :func:`ordered_index`).
+    ``bucket`` cuts the list into ranges that follow the order (default:
+    ranges of 10,000 of an integer first key, the first four characters of
+    another one), so rows are numbered range by range, never by one task.
     """
-    numbered = ordered_index(df, [], list(order), "_w2_rn")
+    if bucket is None:
+        kind = dict(df.dtypes)[order[0]]
+        key = F.col(order[0])
+        bucket = F.floor(key / 10_000) if kind in ("tinyint", "smallint", "int", "bigint") else F.substring(key.cast("string"), 1, 4)
+    numbered = ordered_index(df, [], list(order), "_w2_rn", bucket=bucket)
     return numbered.withColumn("batch", F.floor((F.col("_w2_rn") - 1) / size).cast("bigint")).drop("_w2_rn")

@@ -183,6 +183,10 @@ def _hidden(n: Node) -> bool:
     return n.tag == "span" and n.attrs.get("style", "").replace(" ", "").lower().rstrip(";") == "display:none"
 
 
+def _hidden_exact(n: Node) -> bool:
+    return n.tag == "span" and n.attrs.get("style") == "display:none"
+
+
 def inner_text(n: Node) -> str:
     """Rendered text: hidden spans contribute nothing; trimmed."""
     if _hidden(n):
@@ -203,7 +207,7 @@ def _spans_faithful(row: Node, cell: str) -> list[str]:
         if s.removed:
             continue
         for h in s.iter():
-            if _hidden(h):
+            if _hidden_exact(h):
                 h.removed = True
         text = stripped_text(s)
         if text:

@@ -1,7 +1,7 @@
 """Collision-free report folders (H3, H4 via :mod:`text`, W1).
 
 Reports whose base folder is equal get ``base``, ``base__1``, ``base__2`` …
-in arrival order ``(page, row_idx)``; names already on disk are skipped.
+in arrival order ``(page, row_idx)``; numbers in use on disk are skipped.
 The numbering is :func:`ordered_index`, so a base shared by a third of all
 reports (``NO_NAME`` is exactly that case) is numbered by many tasks.
 """
@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from filingflow.functions import text as T
@@ -34,6 +34,27 @@ def base_folders(
     )
 
 
+def _taken_numbers(folders: DataFrame | None, bases: DataFrame) -> DataFrame:
+    """(base, runs): the numbers of ``base, base__1, …`` in use, as runs of
+    (free numbers before the run, numbers in use up to its end).  A folder
+    uses its own name and its number in a shorter name's series, a base of the
+    listing only the latter."""
+    names = bases if folders is None else bases.unionByName(folders)
+    suffix = names.where(F.col("name").rlike(r"__[1-9][0-9]{0,17}$")).select(
+        F.regexp_replace("name", r"__[0-9]+$", "").alias("_ex_base"),
+        F.regexp_extract("name", r"__([0-9]+)$", 1).cast("bigint").alias("_ex_n"),
+    )
+    used = suffix if folders is None else suffix.unionByName(
+        folders.select(F.col("name").alias("_ex_base"), F.lit(0).cast("bigint").alias("_ex_n"))
+    )
+    used = used.distinct()
+    order = Window.partitionBy("_ex_base").orderBy("_ex_n")
+    # inside a run of consecutive numbers the count of free ones before is constant
+    used = used.withColumn("_ex_rank", F.row_number().over(order)).withColumn("_ex_free", F.col("_ex_n") - F.col("_ex_rank") + 1)
+    runs = used.groupBy("_ex_base", "_ex_free").agg(F.max("_ex_rank").alias("_ex_used"))
+    return runs.groupBy("_ex_base").agg(F.array_sort(F.collect_list(F.struct("_ex_free", "_ex_used"))).alias("_ex_runs"))
+
+
 def assign_paths(
     listing: DataFrame,
     existing: DataFrame | None = None,
@@ -42,22 +63,23 @@ def assign_paths(
 ) -> DataFrame:
     """``report_dir`` per row from its ``base`` column.
 
-    ``existing`` (column ``report_dir``) lists folders already on disk.  For
-    each base, the existing names of the series ``base, base__1, …`` are
-    counted and the new reports continue after them.
+    New reports of a base take the free numbers of ``base, base__1, …`` in
+    order.  In use are the folders of ``existing`` (column ``report_dir``),
+    gaps included, and, so that all names differ (Q17), every base of this
+    listing that is itself written ``base__N`` of another.  The rows of a hot
+    base are numbered page by page.
     """
-    numbered = ordered_index(listing, [symbol, "base"], list(order), "_w1_rn")
-    n = F.col("_w1_rn") - 1
-    if existing is not None:
-        series = existing.select(
-            F.regexp_replace("report_dir", r"__[0-9]+$", "").alias("_ex_base"), "report_dir"
-        ).distinct()
-        taken = series.groupBy("_ex_base").agg(F.count(F.lit(1)).alias("_ex_n"))
-        numbered = numbered.join(taken, numbered["base"] == taken["_ex_base"], "left").drop("_ex_base")
-        n = n + F.coalesce(F.col("_ex_n"), F.lit(0))
+    numbered = ordered_index(listing, [symbol, "base"], list(order), "_w1_rn", bucket=order[0])
+    folders = None if existing is None else existing.select(F.col("report_dir").alias("name"))
+    taken = _taken_numbers(folders, listing.select(F.col("base").alias("name")).distinct())
+    numbered = numbered.join(taken, numbered["base"] == taken["_ex_base"], "left")
+    i = F.col("_w1_rn") - 1
+    skipped = F.aggregate(
+        F.col("_ex_runs"), F.lit(0).cast("bigint"), lambda acc, r: F.when(r["_ex_free"] <= i, r["_ex_used"].cast("bigint")).otherwise(acc)
+    )
+    n = i + F.coalesce(skipped, F.lit(0))
     path = F.when(n == 0, F.col("base")).otherwise(F.concat(F.col("base"), F.lit("__"), n.cast("string")))
-    out = numbered.withColumn("report_dir", path).drop("_w1_rn")
-    return out.drop("_ex_n") if existing is not None else out
+    return numbered.withColumn("report_dir", path).drop("_w1_rn", "_ex_base", "_ex_runs")
 
 
 def path_conflicts(paths: DataFrame, path: str = "report_dir") -> DataFrame:

@@ -2,33 +2,19 @@
 
 ``row_number().over(Window.partitionBy(g).orderBy(o))`` moves every row of a
 group into one task.  When one symbol owns a third of all rows that task is
-the whole job.  :func:`ordered_index` computes the same numbers in a way whose
-largest task is bounded by the data size divided by the partition count:
-
-1. range-partition on ``(group, order)`` (Spark samples the key distribution,
-   so a hot group is cut into many partitions) and sort inside partitions;
-2. ``monotonically_increasing_id`` then numbers rows in sorted order inside
-   each partition (partition id in the upper bits);
-3. a partial aggregation counts rows per (partition, group) — at most
-   ``partitions`` rows per group — and a window over that small table turns the
-   counts into offsets;
-4. offsets are joined back on (partition, group).
-
-The numbered rows are materialised once as a Parquet table in the shared
-work folder (``spark.checkpoint.dir``).  Both the count branch and the join
-branch must see the same partition of every row; two independent range
-exchanges would each sample the keys with their own seed and could cut the
-ranges differently.  The written table also cuts the lineage, so a lost
-executor does not re-run the range shuffle, and it is computed once (an RDD
-``checkpoint()`` computes its input twice and stores Java-serialised rows).
-
-This is the distributed ``zipWithIndex`` idea expressed with DataFrame
-operators.  It is the path for hot groups; before taking it, one aggregation
-measures the largest group (a single number reaches the driver).  When every
-group fits one task (``max_group_rows``), a plain ``row_number`` window —
-one shuffle, no written table — gives the same numbers; like a broadcast
-behind a size check, with the split path beyond it.  The order must be total (ties make the numbering depend on the
-shuffle's arrival order), which every caller guarantees by adding key columns.
+the whole job.  :func:`ordered_index` numbers in two steps instead, the same
+for every size of data:
+
+1. rows are counted per (group, bucket), where ``bucket`` is a coarse value
+   that never falls along the order (the page of a listing, the day of a
+   time, a range of a key); the counts are combined map-side and a running sum
+   over that small table gives the rows before each bucket;
+2. ``row_number`` runs inside one (group, bucket), and the offset is joined on.
+
+No job runs while the plan is built, nothing is written, and the largest task
+is the largest bucket.  The order must be total (ties make the numbering
+depend on the shuffle's arrival order), which every caller guarantees by
+adding key columns.
 """
 
 from __future__ import annotations
@@ -38,76 +24,37 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from filingflow.session import new_work_dir
-
-
-# Largest group that one task numbers with a window (rows).
-MAX_GROUP_ROWS = 1_000_000
-
-
-def _partitions(df: DataFrame, num_partitions: int | None) -> int:
-    if num_partitions:
-        return num_partitions
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-
 
 def ordered_index(
     df: DataFrame,
     by: Sequence[str],
     order: Sequence[Column | str],
     name: str = "rn",
-    num_partitions: int | None = None,
-    max_group_rows: int = MAX_GROUP_ROWS,
+    bucket: Column | str | None = None,
 ) -> DataFrame:
     """Add ``name`` = 1-based position of the row in its ``by`` group.
 
-    ``max_group_rows=0`` forces the split path (used by the tests)."""
+    Without ``bucket`` a group is numbered by one task: only for groups that
+    are small by their key (the lines of an order)."""
     by = list(by)
     order_cols = [F.col(o) if isinstance(o, str) else o for o in order]
-    keys = [F.col(c) for c in by] + order_cols
-    if max_group_rows > 0:
-        if by:
-            biggest = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0]
-        else:
-            biggest = df.count()
-        if (biggest or 0) <= max_group_rows:
-            w = Window.partitionBy(*by).orderBy(*order_cols) if by else Window.orderBy(*order_cols)
-            return df.withColumn(name, F.row_number().over(w).cast("bigint"))
-    n = _partitions(df, num_partitions)
-    ranged = (
-        df.repartitionByRange(n, *keys)
-        .sortWithinPartitions(*keys)
-        .withColumn("_ff_mid", F.monotonically_increasing_id())
-        .withColumn("_ff_pid", F.shiftright(F.col("_ff_mid"), 33))
-    )
-    path = new_work_dir(df.sparkSession, "ordered")
-    ranged.write.mode("overwrite").parquet(path)
-    ranged = df.sparkSession.read.parquet(path)
-    stats = ranged.groupBy("_ff_pid", *by).agg(
-        F.count(F.lit(1)).alias("_ff_cnt"), F.min("_ff_mid").alias("_ff_first")
-    )
-    before = Window.partitionBy(*by).orderBy("_ff_pid").rowsBetween(Window.unboundedPreceding, -1)
-    stats = stats.withColumn("_ff_off", F.coalesce(F.sum("_ff_cnt").over(before), F.lit(0)))
-    stats = stats.select(
-        F.col("_ff_pid").alias("_ff_spid"),
+    if bucket is None:
+        return df.withColumn(name, F.row_number().over(Window.partitionBy(*by).orderBy(*order_cols)).cast("bigint"))
+    rows = df.withColumn("_ff_b", F.col(bucket) if isinstance(bucket, str) else bucket)
+    before = Window.partitionBy(*by).orderBy(F.asc_nulls_first("_ff_b")).rowsBetween(Window.unboundedPreceding, -1)
+    counts = rows.groupBy(*by, "_ff_b").agg(F.count(F.lit(1)).alias("_ff_cnt"))
+    counts = counts.select(
         *[F.col(c).alias(f"_ff_s_{i}") for i, c in enumerate(by)],
-        "_ff_first",
-        "_ff_off",
+        F.col("_ff_b").alias("_ff_sb"),
+        F.coalesce(F.sum("_ff_cnt").over(before), F.lit(0)).alias("_ff_off"),
     )
-    if not by:
-        # One row per partition: the side is bounded by the partition count.
-        stats = F.broadcast(stats)
-    cond = F.col("_ff_pid") == F.col("_ff_spid")
+    inside = Window.partitionBy(*by, "_ff_b").orderBy(*order_cols)
+    cond = F.col("_ff_b").eqNullSafe(F.col("_ff_sb"))
     for i, c in enumerate(by):
-        cond = cond & ranged[c].eqNullSafe(F.col(f"_ff_s_{i}"))
-    joined = ranged.join(stats, cond, "inner")
-    out = joined.withColumn(
-        name, (F.col("_ff_mid") - F.col("_ff_first") + F.col("_ff_off") + 1).cast("bigint")
-    )
-    drop = ["_ff_mid", "_ff_pid", "_ff_spid", "_ff_first", "_ff_off"] + [
-        f"_ff_s_{i}" for i in range(len(by))
-    ]
-    return out.drop(*drop)
+        cond = cond & F.col(c).eqNullSafe(F.col(f"_ff_s_{i}"))
+    joined = rows.withColumn("_ff_rn", F.row_number().over(inside)).join(counts, cond, "inner")
+    out = joined.withColumn(name, (F.col("_ff_rn") + F.col("_ff_off")).cast("bigint"))
+    return out.drop("_ff_b", "_ff_sb", "_ff_rn", "_ff_off", *[f"_ff_s_{i}" for i in range(len(by))])
 
 
 def first_per_key(

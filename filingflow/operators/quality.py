@@ -185,6 +185,7 @@ def statement_fingerprints(cells: DataFrame, key: Sequence[str] = STATEMENT_KEY)
         F.count_if(data).alias("_n"),
         F.count_if(data & pv.isNotNull()).alias("_present"),
         F.count_if(data & is_int).alias("_int"),
+        F.count_if(data & is_int & F.trim(pv).try_cast("bigint").isNull()).alias("_wide"),
         F.count_if(data & is_num).alias("_num"),
         F.count_if(data & is_bool).alias("_bool"),
         F.bool_or("_bad").alias("_bad"),
@@ -197,6 +198,8 @@ def statement_fingerprints(cells: DataFrame, key: Sequence[str] = STATEMENT_KEY)
     tag = (
         F.when(n == 0, F.lit("empty"))
         .when(present == 0, F.lit("double"))
+        # an integer beyond 64 bits leaves the column's cells as they are written
+        .when((F.col("_int") == n) & (F.col("_wide") > 0), F.lit("text"))
         .when((F.col("_int") == n), F.lit("int"))
         .when(F.col("_num") == present, F.lit("double"))
         .when((F.col("_bool") == n), F.lit("bool"))

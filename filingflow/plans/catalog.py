@@ -1073,7 +1073,7 @@ def q_scalar_bundle(spark: SparkSession, d: str) -> DataFrame:
     "WITH " + LOG_CTE + "\nSELECT max(file) AS file FROM log",
 )
 def q_latest_log_file(spark: SparkSession, d: str) -> DataFrame:
-    return derive.crawl_log(spark, d).agg(F.max("file").alias("file"))
+    return audit.latest_log(derive.crawl_log(spark, d)).select("file").distinct()
 
 
 @register(

@@ -217,7 +217,7 @@ def event_listing(spark: SparkSession, data_dir: str) -> DataFrame:
 
     e = read_table(spark, data_dir, "events").select("event_id", "user_id", "event_type", "ts")
     e = e.select(_sym("U", F.col("user_id")).alias("symbol"), "event_id", "event_type", "ts")
-    e = ordered_index(e, ["symbol"], ["ts", "event_id"], "_pos")
+    e = ordered_index(e, ["symbol"], ["ts", "event_id"], "_pos", bucket=F.to_date("ts"))
     p = F.col("_pos") - 1
     return e.select(
         "symbol",

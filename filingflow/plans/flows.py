@@ -17,11 +17,11 @@ from filingflow.operators import audit, naming, quality, reconcile, resume
 
 
 def rescrape_plan(
-    logs: DataFrame, index: DataFrame, symbols: DataFrame, checkpoints: DataFrame
+    logs: DataFrame, index: DataFrame, symbols: DataFrame, checkpoints: DataFrame, index_files: DataFrame | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """(symbols to capture again, sorted descending; checkpoint table after
-    resetting them to {1, 0})."""
-    classified = audit.audit_logs(logs, index)
+    resetting them to {1, 0}).  ``index_files``: see :func:`audit.classify_symbols`."""
+    classified = audit.audit_logs(logs, index, index_files=index_files)
     clean = classified.where(F.col("status") == "clean")
     open_syms = audit.open_symbols(symbols, clean)
     new_cp = resume.reset_checkpoints(checkpoints, open_syms)
@@ -56,12 +56,17 @@ def crawl_pass(
     max_path: int = 20,
 ) -> dict[str, DataFrame]:
     """One crawl pass over captured listing rows: resumed rows with report
-    folders, reconciliation per symbol, and the advanced checkpoints."""
+    folders, reconciliation per symbol (folders on disk and new ones), and the
+    advanced checkpoints."""
     todo = resume.resume_rows(listing, checkpoints)
     named = naming.assign_paths(
         naming.base_folders(todo, max_title=max_title, max_path=max_path), existing_paths
     )
-    got = reconcile.reports_per_symbol(named)
+    held = named.select("symbol", "report_dir")
+    if existing_paths is not None:
+        folder = F.regexp_replace("report_dir", "/+$", "")
+        held = held.unionByName(existing_paths.select(F.element_at(F.split(folder, "/"), -2).alias("symbol"), folder.alias("report_dir")))
+    got = reconcile.reports_per_symbol(held)
     status = reconcile.reconcile(reconcile.expected_reports(pager, todo), got)
     sizes = listing.groupBy("symbol", "page").agg(F.count(F.lit(1)).alias("n_rows"))
     new_cp = resume.advance_checkpoints(todo, sizes, checkpoints)

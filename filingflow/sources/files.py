@@ -17,6 +17,7 @@ hides folders whose name starts with ``_`` (a sanitised title can).
 
 from __future__ import annotations
 
+import csv
 import io
 from collections.abc import Iterator, Sequence
 
@@ -45,11 +46,16 @@ def _file_path() -> F.Column:
     return T.decode_path(F.col("_metadata.file_path"))
 
 
+def _pandas_csv(spark: SparkSession):
+    """Reader of CSV files as pandas writes them: quotes are doubled, a cell may hold newlines."""
+    return spark.read.option("header", True).option("inferSchema", False).option("escape", '"').option("multiLine", True)
+
+
 # S1, S2 ----------------------------------------------------------------------
 def read_symbols(spark: SparkSession, path: str, column: str = "symbol", alias_of: str = "ticker") -> DataFrame:
     """Symbol list CSV → (symbol); an index column is ignored, ``ticker`` is
     accepted as the column name."""
-    df = spark.read.option("header", True).option("inferSchema", False).csv(path)
+    df = _pandas_csv(spark).csv(path)
     if column not in df.columns and alias_of in df.columns:
         df = df.withColumnRenamed(alias_of, column)
     return df.select(F.col(column).alias("symbol"))
@@ -113,18 +119,49 @@ def read_report_index(
     (``NA``, ``null``, ``nan``, …) are missing here as well, as in the
     reference's reads; empty fields are missing either way.
     """
-    df = spark.read.option("header", True).option("inferSchema", False).csv(f"{root.rstrip('/')}/*/{status}.csv")
-    keep = [c for c in df.columns if c in T.LISTING_COLUMNS]
+    raw = _index_texts(spark, root, status)
+    if raw is None:
+        return spark.createDataFrame([], ", ".join(f"`{c}` string" for c in (*T.LISTING_COLUMNS, "symbol", "status")))
+    rows = raw.mapInPandas(_parse_index, ", ".join(f"`{c}` string" for c in ("path", *T.LISTING_COLUMNS)))
     cols = [
-        F.when(F.col(f"`{c}`").isin(NA_TOKENS), F.lit(None).cast("string")).otherwise(F.col(f"`{c}`")).alias(c)
-        if pandas_na else F.col(f"`{c}`")
-        for c in keep
+        F.when((F.col(f"`{c}`") == "") | (F.col(f"`{c}`").isin(NA_TOKENS) if pandas_na else F.lit(False)), F.lit(None).cast("string"))
+        .otherwise(F.col(f"`{c}`")).alias(c)
+        for c in T.LISTING_COLUMNS
     ]
-    return df.select(
-        *cols,
-        T.symbol_from_path(_file_path()).alias("symbol"),
-        F.lit(status).alias("status"),
-    )
+    return rows.select(*cols, T.symbol_from_path("path").alias("symbol"), F.lit(status).alias("status"))
+
+
+def _index_texts(spark: SparkSession, root: str, status: str) -> DataFrame | None:
+    try:
+        raw = spark.read.text(f"{root.rstrip('/')}/*/{status}.csv", wholetext=True)
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        return None
+    return raw.select(_file_path().alias("path"), "value")
+
+
+def _parse_index(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Columns are found by each file's own header; a yield holds one file."""
+    for pdf in batches:
+        for path, text in zip(pdf["path"], pdf["value"], strict=True):
+            lines = csv.reader(io.StringIO(text, newline=""))
+            header = next(lines, [])
+            rows = [r for r in lines if r]
+            at = {c: header.index(c) for c in T.LISTING_COLUMNS if c in header}
+            cells = {c: [r[at[c]] if c in at and at[c] < len(r) else None for r in rows] for c in T.LISTING_COLUMNS}
+            yield pd.DataFrame({"path": [path] * len(rows), **cells}, dtype=object)
+
+
+def index_symbols(spark: SparkSession, root: str, status: str = "success") -> DataFrame:
+    """(symbol) of the index files present, rows or not (a listing, no content)."""
+    try:
+        files = spark.read.format("binaryFile").load(f"{root.rstrip('/')}/*/{status}.csv")
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        return spark.createDataFrame([], "symbol string")
+    return files.select(T.symbol_from_path(T.decode_path(F.col("path"))).alias("symbol"))
 
 
 def write_report_index(df: DataFrame, path: str, mode: str = "append") -> None:
@@ -244,8 +281,18 @@ def write_log_lines(lines: DataFrame, path: str) -> None:
 
 
 # S13, A2 ------------------------------------------------------------------------
-def file_catalog(spark: SparkSession, root: str, glob: str = "*.csv", max_depth: int = 4) -> DataFrame:
-    """Listing of matching files up to ``max_depth`` folders deep, as a table
+def _folder_depth(spark: SparkSession, root: str) -> int:
+    """Levels of folders below ``root``, by globs of one level each."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(root).getFileSystem(spark._jsc.hadoopConfiguration())
+    depth, pattern = 0, root.rstrip("/") + "/*"
+    while any(s.isDirectory() for s in fs.globStatus(path(pattern)) or ()):
+        depth, pattern = depth + 1, pattern + "/*"
+    return depth
+
+
+def file_catalog(spark: SparkSession, root: str, glob: str = "*.csv") -> DataFrame:
+    """Listing of matching files in folders of any depth, as a table
     (path, bytes, mtime); file contents are not read (the binary source
     prunes ``content``).
 
@@ -253,7 +300,7 @@ def file_catalog(spark: SparkSession, root: str, glob: str = "*.csv", max_depth:
     recursive listing would skip folders whose name starts with ``_`` or
     ``.``, and a sanitised report title can start with ``_``.
     """
-    alts = ",".join("/".join(["*"] * k + [glob]) for k in range(max_depth))
+    alts = ",".join("/".join(["*"] * k + [glob]) for k in range(_folder_depth(spark, root) + 1))
     pattern = f"{root.rstrip('/')}/{{{alts}}}"
     try:
         df = spark.read.format("binaryFile").load(pattern)
@@ -280,7 +327,7 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
 def read_truth(spark: SparkSession, path: str) -> DataFrame:
     """External check CSV, all columns as strings; the columns the
     cross-check uses must be present (``stock_code`` only selects rows)."""
-    df = spark.read.option("header", True).option("inferSchema", False).csv(path)
+    df = _pandas_csv(spark).csv(path)
     missing = [c for c in TRUTH_COLUMNS if c != "stock_code" and c not in df.columns]
     if missing:
         raise ValueError(f"truth table lacks columns {missing}")

@@ -109,6 +109,9 @@ def test_crawl_pass(spark):
     assert (st["got"], st["expected"], st["status"]) == (2, 6, "warning")
     cp = out["checkpoints"].first()
     assert (cp["current_page"], cp["last_row_index"]) == (3, 0)
+    held = spark.createDataFrame([(f"./crawl_table/AAA/old {i}",) for i in range(4)], "report_dir string")
+    st = flows.crawl_pass(listing, cps, pager, held, max_path=200)["status"].first()
+    assert (st["got"], st["expected"], st["status"]) == (6, 6, "success")
 
 
 def test_stream_status_incremental(spark, tmp_path):

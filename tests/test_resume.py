@@ -68,7 +68,7 @@ def test_ordered_index_hot_group(spark):
     # One symbol holds most rows: numbering must still be 1..n in order.
     rows = [("HOT", i) for i in range(500)] + [("COLD", i) for i in range(7)]
     df = spark.createDataFrame(rows, "symbol string, k long")
-    out = ordering.ordered_index(df, ["symbol"], ["k"], "rn", num_partitions=8, max_group_rows=0)
+    out = ordering.ordered_index(df, ["symbol"], ["k"], "rn", bucket=F.floor(F.col("k") / 16))
     small = ordering.ordered_index(df, ["symbol"], ["k"], "rn")
     assert sorted(tuple(r) for r in small.collect()) == sorted(tuple(r) for r in out.collect())
     got = {(r["symbol"], r["k"]): r["rn"] for r in out.collect()}
@@ -80,8 +80,8 @@ def test_batches_of_twenty(spark):
     df = spark.range(45).withColumnRenamed("id", "k")
     got = {r["k"]: r["batch"] for r in batches.assign_batches(df, ["k"]).collect()}
     assert got[0] == 0 and got[19] == 0 and got[20] == 1 and got[44] == 2
-    # The split path (no single-partition window) gives the same positions.
-    split = ordering.ordered_index(df, [], ["k"], "rn", num_partitions=4, max_group_rows=0)
+    # Other buckets give the same positions.
+    split = ordering.ordered_index(df, [], ["k"], "rn", bucket=F.floor(F.col("k") / 7))
     assert sorted((r["k"], r["rn"]) for r in split.collect()) == [(i, i + 1) for i in range(45)]
 
 
@@ -108,17 +108,16 @@ def test_listing_projection_and_filters(spark):
     assert got == [("1", "BC quý 1", "Cty A", None), ("4", "", "", None)]
 
 
-def test_range_partitioning_spreads_hot_group(spark):
-    # The basis of ordered_index: a group holding most rows is cut over many
-    # partitions instead of landing in one task.
-    rows = [("HOT", i) for i in range(6000)] + [("C%d" % i, 0) for i in range(300)]
-    df = spark.createDataFrame(rows, "symbol string, k long")
-    sizes = (
-        df.repartitionByRange(8, "symbol", "k")
-        .groupBy(F.spark_partition_id().alias("p")).count().collect()
+def test_new_reports_take_free_numbers(spark):
+    df = spark.createDataFrame(
+        [("S", 1, i, b) for i, b in enumerate(["r/S/base"] * 4 + ["r/S/only1"] * 2 + ["r/S/x", "r/S/x", "r/S/x__1", "r/S/x__1"])],
+        "symbol string, page long, row_idx long, base string",
     )
-    hot_share = max(r["count"] for r in sizes) / len(rows)
-    assert len(sizes) >= 6 and hot_share < 0.3
+    existing = spark.createDataFrame([("r/S/base",), ("r/S/base__2",), ("r/S/only1__1",)], "report_dir string")
+    got = [r["report_dir"] for r in naming.assign_paths(df, existing).orderBy("row_idx").collect()]
+    assert got[:6] == ["r/S/base__1", "r/S/base__3", "r/S/base__4", "r/S/base__5", "r/S/only1", "r/S/only1__2"]
+    # a base written like another's second name keeps its own; the other skips it
+    assert got[6:] == ["r/S/x", "r/S/x__2", "r/S/x__1", "r/S/x__1__1"]
 
 
 @settings(max_examples=8, deadline=None)
