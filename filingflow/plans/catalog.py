@@ -60,8 +60,11 @@ sets AS (
 )"""
 INDEX_CTE = r"""
 idx AS (
-  SELECT 'C' || CAST(l_orderkey // 2 AS VARCHAR) AS symbol, CAST(l_linenumber AS BIGINT) AS STT
-  FROM lineitem WHERE l_orderkey % 2 = 0
+  SELECT 'C' || CAST(l_orderkey // 2 AS VARCHAR) AS symbol, CAST(l_orderkey % 2 * 10 + l_linenumber AS BIGINT) AS STT
+  FROM lineitem
+),
+idx_files AS (
+  SELECT DISTINCT 'C' || CAST(o_orderkey // 2 AS VARCHAR) AS symbol FROM orders WHERE o_orderpriority = '5-LOW'
 ),
 idx_stats AS (
   SELECT symbol, count(*) AS n_rows,
@@ -73,13 +76,19 @@ classified AS (
   SELECT symbol, CASE WHEN reason IS NULL THEN 'clean' ELSE 'error' END AS status, reason FROM (
     SELECT s.symbol,
            CASE WHEN NOT s.in_success THEN 'warning_only'
-                WHEN st.symbol IS NULL THEN 'no_index'
-                WHEN st.n_rows <> st.n_distinct THEN 'duplicate_stt' END AS reason
-    FROM sets s LEFT JOIN idx_stats st ON s.symbol = st.symbol) r
+                WHEN st.n_rows <> st.n_distinct THEN 'duplicate_stt'
+                WHEN st.symbol IS NULL AND f.symbol IS NULL THEN 'no_index' END AS reason
+    FROM sets s LEFT JOIN idx_stats st ON s.symbol = st.symbol LEFT JOIN idx_files f ON s.symbol = f.symbol) r
 )"""
 AUDIT_WITH = "WITH " + ",".join([LOG_CTE, SETS_CTE, INDEX_CTE, CLASSIFY_CTE])
 
 
+def _classified(spark: SparkSession, d: str) -> DataFrame:
+    return audit.audit_logs(
+        derive.crawl_log(spark, d), derive.report_index(spark, d), index_files=derive.index_files(spark, d)
+    )
+
+
 # L2 audit ---------------------------------------------------------------------
 @register(
     "parse_crawl_log",
@@ -106,7 +115,7 @@ def q_parse_crawl_log(spark: SparkSession, d: str) -> DataFrame:
 
 @register("classify_symbols", AUDIT_WITH + "\nSELECT symbol, status, reason FROM classified")
 def q_classify_symbols(spark: SparkSession, d: str) -> DataFrame:
-    return audit.audit_logs(derive.crawl_log(spark, d), derive.report_index(spark, d))
+    return _classified(spark, d)
 
 
 @register(
@@ -121,9 +130,7 @@ FROM (SELECT count(*) FILTER (WHERE status = 'clean') AS success,
 """,
 )
 def q_crawl_kpi(spark: SparkSession, d: str) -> DataFrame:
-    return audit.crawl_kpi(
-        audit.audit_logs(derive.crawl_log(spark, d), derive.report_index(spark, d))
-    )
+    return audit.crawl_kpi(_classified(spark, d))
 
 
 @register(
@@ -192,7 +199,7 @@ ORDER BY symbol DESC
 """,
 )
 def q_open_symbols(spark: SparkSession, d: str) -> DataFrame:
-    classified = audit.audit_logs(derive.crawl_log(spark, d), derive.report_index(spark, d))
+    classified = _classified(spark, d)
     clean = classified.where(F.col("status") == "clean")
     return audit.open_symbols(derive.symbol_list(spark, d), clean)
 
@@ -207,7 +214,7 @@ WHERE symbol NOT IN (SELECT symbol FROM classified WHERE status = 'clean')
 """,
 )
 def q_count_open(spark: SparkSession, d: str) -> DataFrame:
-    classified = audit.audit_logs(derive.crawl_log(spark, d), derive.report_index(spark, d))
+    classified = _classified(spark, d)
     clean = classified.where(F.col("status") == "clean")
     return audit.count_open(derive.symbol_list(spark, d), clean)
 
@@ -236,11 +243,12 @@ titles AS (
          ELSE 'quý ' || CAST(o_orderkey % 4 + 1 AS VARCHAR) END
     || ' ' ||
     CASE WHEN o_orderkey % 7 = 0 THEN '' ELSE 'năm ' || CAST(year(o_orderdate) AS VARCHAR) END AS title
+    , o_orderstatus, o_orderdate, 'K' || CAST(o_custkey AS VARCHAR) AS symbol
   FROM orders
 )"""
 TAGGED_CTE = f"""
 tagged AS (
-  SELECT o_orderkey, o_custkey, title,
+  SELECT o_orderkey, o_custkey, symbol, o_orderdate, o_orderstatus, title,
          coalesce(nullif(regexp_extract(title, '([0-9]{{4}})', 1), ''), 'nan') AS year,
          {_case_first('lower(title)', _T.PERIOD_KEYWORDS)} AS range,
          coalesce({_case_first('lower(title)', _T.TYPE_KEYWORDS)}, 'Riêng') AS type
@@ -248,31 +256,34 @@ tagged AS (
 ),
 keyed AS (SELECT *, year || '_' || range || '_' || type AS key FROM tagged),
 truth AS (
-  SELECT nullif(year, 'nan') AS year, range, type,
-         min(lpad(CAST(o_custkey AS VARCHAR), 10, '0')) AS tax_code
-  FROM keyed WHERE o_orderkey % 3 = 0 GROUP BY 1, 2, 3
+  SELECT symbol, CAST(year(o_orderdate) AS VARCHAR) AS year, range, type,
+         min(CASE WHEN o_orderstatus <> 'P' THEN lpad(CAST(o_custkey AS VARCHAR), 10, '0') END) AS tax_code
+  FROM keyed GROUP BY 1, 2, 3, 4
 ),
 truth_keyed AS (
-  SELECT nullif(regexp_extract(year, '([0-9]{{4}})', 1), '') AS year, range, type, tax_code,
+  SELECT symbol, nullif(regexp_extract(year, '([0-9]{{4}})', 1), '') AS year, range, type, tax_code,
          nullif(regexp_extract(year, '([0-9]{{4}})', 1), '') || '_' || range || '_' || type AS key
   FROM truth
 ),
 merged AS (
-  SELECT k.o_orderkey, k.o_custkey, k.title, k.year AS year_src, k.range AS range_src,
+  SELECT k.o_orderkey, k.symbol, k.title, k.year AS year_src, k.range AS range_src,
          k.type AS type_src, k.key, t.year AS year_truth, t.range AS range_truth,
          t.type AS type_truth, t.tax_code
-  FROM keyed k LEFT JOIN truth_keyed t ON k.key IS NOT DISTINCT FROM t.key
+  FROM keyed k LEFT JOIN truth_keyed t ON k.symbol = t.symbol AND k.key IS NOT DISTINCT FROM t.key
 )"""
 CROSS_WITH = "WITH " + TITLES_CTE + "," + TAGGED_CTE
 
 MERGED_COLS = [
-    "o_orderkey", "o_custkey", "title", "year_src", "range_src", "type_src", "key",
+    "o_orderkey", "symbol", "title", "year_src", "range_src", "type_src", "key",
     "year_truth", "range_truth", "type_truth", "tax_code",
 ]
 
 
-def _merged(spark: SparkSession, d: str) -> DataFrame:
-    merged = crosscheck.map_source(derive.report_titles(spark, d), derive.truth_table(spark, d))
+def _merged(spark: SparkSession, d: str, truth: DataFrame | None = None) -> DataFrame:
+    truth = derive.truth_table(spark, d) if truth is None else truth
+    merged = crosscheck.map_source(
+        derive.report_titles(spark, d), truth.withColumnRenamed("stock_code", "symbol"), by=["symbol"]
+    )
     return merged.withColumnRenamed("Tên báo cáo", "title").select(*MERGED_COLS)
 
 
@@ -329,7 +340,7 @@ WITH idx AS (
   FROM documents),
 lines AS (
   SELECT doc_id, lang, length(text) = 0 AS unreadable, unnest(string_split(text, chr(10))) AS line
-  FROM documents WHERE doc_id IN (SELECT doc_id FROM labels)),
+  FROM documents),
 flags AS (
   SELECT '/' || lang || '/' || CAST(doc_id AS VARCHAR) AS report_dir,
          bool_or(contains(split_part(line, ',', 1), '{DOC_MARKER}')) AS has_marker,
@@ -421,9 +432,10 @@ WITH lst AS (
   FROM events),
 l2 AS (SELECT symbol, event_id, event_type, ts, p // 15 + 1 AS page, p % 15 AS row_idx FROM lst),
 cp AS (
-  SELECT DISTINCT 'U' || CAST(user_id AS VARCHAR) AS symbol, user_id % 5 + 1 AS current_page,
+  SELECT 'U' || CAST(user_id AS VARCHAR) AS symbol, user_id % 5 + 1 AS current_page,
          CASE WHEN user_id % 3 = 0 THEN 0 ELSE user_id % 15 END AS last_row_index
-  FROM events WHERE user_id % 4 <> 0),
+  FROM events GROUP BY user_id
+  HAVING count(*) FILTER (WHERE event_type = 'purchase') >= count(*) FILTER (WHERE event_type = 'view')),
 res AS (
   SELECT l.* FROM l2 l LEFT JOIN cp c ON l.symbol = c.symbol
   WHERE l.page > coalesce(c.current_page, 1)
@@ -517,7 +529,7 @@ pg AS (
   FROM nums),
 arrived AS (
   SELECT 'O' || CAST(l_orderkey AS VARCHAR) AS symbol, count(*) AS a FROM lineitem
-  WHERE l_returnflag <> 'R' GROUP BY l_orderkey),
+  GROUP BY l_orderkey),
 expected AS (
   SELECT pg.symbol, CASE WHEN paged THEN total ELSE total + coalesce(a, 0) END AS expected, number_pages
   FROM pg LEFT JOIN arrived ON pg.symbol = arrived.symbol),
@@ -1110,7 +1122,7 @@ def q_append_results(spark: SparkSession, d: str) -> DataFrame:
     AUDIT_WITH + "\nSELECT symbol, STT FROM idx WHERE symbol NOT IN (SELECT symbol FROM classified WHERE status = 'error')",
 )
 def q_drop_symbols(spark: SparkSession, d: str) -> DataFrame:
-    classified = audit.audit_logs(derive.crawl_log(spark, d), derive.report_index(spark, d))
+    classified = _classified(spark, d)
     errors = classified.where(F.col("status") == "error")
     return resume.drop_symbols(derive.report_index(spark, d), errors)
 
@@ -1118,26 +1130,22 @@ def q_drop_symbols(spark: SparkSession, d: str) -> DataFrame:
 @register(
     "existing_rows",
     r"""
-SELECT l_orderkey, l_linenumber, o_orderstatus
-FROM lineitem JOIN orders
-  ON regexp_replace('./crawl_table/O' || CAST(l_orderkey AS VARCHAR), '^\./crawl_table', '') = '/O' || CAST(o_orderkey AS VARCHAR)
-WHERE l_linenumber <> 7 AND o_orderkey % 3 <> 0
+SELECT o_orderkey, o_orderstatus, n_items
+FROM orders JOIN (SELECT l_orderkey, count(*) AS n_items FROM lineitem GROUP BY l_orderkey) f
+  ON regexp_replace('./crawl_table/O' || CAST(o_orderkey AS VARCHAR), '^\./crawl_table', '') = '/O' || CAST(l_orderkey AS VARCHAR)
+WHERE o_orderstatus <> 'P'
 """,
 )
 def q_existing_rows(spark: SparkSession, d: str) -> DataFrame:
-    li = read_table(spark, d, "lineitem").select("l_orderkey", "l_linenumber")
-    index = li.select(
-        "l_orderkey",
-        "l_linenumber",
-        F.when(F.col("l_linenumber") == 7, F.lit(None).cast("string"))
-        .otherwise(F.concat(F.lit("./crawl_table/O"), F.col("l_orderkey").cast("string")))
-        .alias("Saving_path"),
-    )
-    o = read_table(spark, d, "orders").select("o_orderkey", "o_orderstatus")
-    files = o.where(F.col("o_orderkey") % 3 != 0).select(
-        F.concat(F.lit("/O"), F.col("o_orderkey").cast("string")).alias("report_dir"), "o_orderstatus"
+    # Pending orders have no saved path; orders without line items have no file.
+    index = read_table(spark, d, "orders").select(
+        "o_orderkey",
+        "o_orderstatus",
+        F.when(F.col("o_orderstatus") != "P", F.concat(F.lit("./crawl_table/O"), F.col("o_orderkey").cast("string"))).alias("Saving_path"),
     )
-    return quality.existing_index_rows(index, files).select("l_orderkey", "l_linenumber", "o_orderstatus")
+    held = read_table(spark, d, "lineitem").groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n_items"))
+    held = held.select(F.concat(F.lit("/O"), F.col("l_orderkey").cast("string")).alias("report_dir"), "n_items")
+    return quality.existing_index_rows(index, held).select("o_orderkey", "o_orderstatus", "n_items")
 
 
 # Re-scrape plan (M4) ---------------------------------------------------------------------------
@@ -1147,9 +1155,9 @@ RESCRAPE_WITH = AUDIT_WITH + r""",
 syms AS (SELECT DISTINCT 'C' || CAST(o_orderkey // 2 AS VARCHAR) AS symbol FROM orders),
 open_syms AS (SELECT symbol FROM syms WHERE symbol NOT IN (SELECT symbol FROM classified WHERE status = 'clean')),
 cps AS (
-  SELECT DISTINCT 'C' || CAST(o_orderkey // 2 AS VARCHAR) AS symbol, (o_orderkey // 2) % 4 + 1 AS current_page,
-         (o_orderkey // 2) % 3 AS last_row_index
-  FROM orders WHERE (o_orderkey // 2) % 5 <> 0)
+  SELECT 'C' || CAST(k AS VARCHAR) AS symbol, k % 4 + 1 AS current_page, k % 3 AS last_row_index
+  FROM (SELECT o_orderkey // 2 AS k, bool_or(o_orderstatus <> 'P') AS any_done FROM orders GROUP BY 1) o
+  WHERE any_done)
 """
 
 
@@ -1165,11 +1173,23 @@ SELECT symbol, 1 AS current_page, 0 AS last_row_index FROM open_syms
 def q_rescrape_plan(spark: SparkSession, d: str) -> DataFrame:
     _, cp = flows.rescrape_plan(
         derive.crawl_log(spark, d), derive.report_index(spark, d), derive.symbol_list(spark, d),
-        derive.symbol_checkpoints(spark, d),
+        derive.symbol_checkpoints(spark, d), index_files=derive.index_files(spark, d),
     )
     return cp
 
 
+@register(
+    "rescrape_purge",
+    RESCRAPE_WITH + "\nSELECT symbol, STT FROM idx WHERE symbol NOT IN (SELECT symbol FROM open_syms)",
+)
+def q_rescrape_purge(spark: SparkSession, d: str) -> DataFrame:
+    open_syms, _ = flows.rescrape_plan(
+        derive.crawl_log(spark, d), derive.report_index(spark, d), derive.symbol_list(spark, d),
+        derive.symbol_checkpoints(spark, d), index_files=derive.index_files(spark, d),
+    )
+    return flows.purge_captured(derive.report_index(spark, d), open_syms)
+
+
 # Sources and sinks through the shared work folder ------------------------------------------------
 from filingflow.session import new_work_dir  # noqa: E402
 from filingflow.sources import files  # noqa: E402
@@ -1294,20 +1314,12 @@ def q_files_roundtrip_statements(spark: SparkSession, d: str) -> DataFrame:
 
 @register(
     "files_roundtrip_truth",
-    CROSS_WITH
-    + """
-SELECT (SELECT count(*) FROM merged) AS n_source, (SELECT count(*) FROM truth) AS n_truth,
-       (SELECT count(*) FROM merged WHERE tax_code IS NOT NULL) AS n_mapped
-""",
+    CROSS_WITH + "\nSELECT * FROM merged",
 )
 def q_files_roundtrip_truth(spark: SparkSession, d: str) -> DataFrame:
     path = new_work_dir(spark, "truth")
-    derive.truth_table(spark, d).withColumn("stock_code", F.lit("ALL")).write.mode("overwrite").option(
-        "header", True
-    ).csv(path)
-    truth = files.read_truth(spark, path)
-    merged = crosscheck.map_source(derive.report_titles(spark, d), truth)
-    return crosscheck.map_counts(merged, truth)
+    derive.truth_table(spark, d).write.mode("overwrite").option("header", True).csv(path)
+    return _merged(spark, d, files.read_truth(spark, path))
 
 
 @register("file_count")

@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from filingflow.functions import text as T
 from filingflow.operators.common import explode_positions
 from filingflow.sources.tables import read_table
 
@@ -46,11 +47,11 @@ def crawl_log(spark: SparkSession, data_dir: str) -> DataFrame:
     value = (
         F.when(
             F.col("o_orderstatus") == "F",
-            F.concat(ts, F.lit(" - INFO - Scraping Successfully "), sym, F.lit(": "), expected, F.lit("/"), expected),
+            F.concat(ts, F.lit(f" - INFO - {T.SUCCESS_MESSAGE} "), sym, F.lit(": "), expected, F.lit("/"), expected),
         )
         .when(
             F.col("o_orderstatus") == "O",
-            F.concat(ts, F.lit(" - WARNING - Not enough reports "), sym, F.lit(": "), got_warn, F.lit("/"), expected),
+            F.concat(ts, F.lit(f" - WARNING - {T.WARNING_MESSAGE} "), sym, F.lit(": "), got_warn, F.lit("/"), expected),
         )
         .otherwise(F.concat(ts, F.lit(" - INFO - Opened listing page "), k.cast("string")))
     )
@@ -59,14 +60,22 @@ def crawl_log(spark: SparkSession, data_dir: str) -> DataFrame:
 
 
 def report_index(spark: SparkSession, data_dir: str) -> DataFrame:
-    """lineitem of even orders → report-index rows (symbol, STT)."""
+    """lineitem → report-index rows (symbol, STT); the two orders of a symbol
+    number their rows from 0 and from 10."""
     li = read_table(spark, data_dir, "lineitem").select("l_orderkey", "l_linenumber")
-    return li.where(F.col("l_orderkey") % 2 == 0).select(
+    return li.select(
         _sym("C", _idiv("l_orderkey", 2)).alias("symbol"),
-        F.col("l_linenumber").cast("bigint").alias("STT"),
+        (F.col("l_orderkey") % 2 * 10 + F.col("l_linenumber")).cast("bigint").alias("STT"),
     )
 
 
+def index_files(spark: SparkSession, data_dir: str) -> DataFrame:
+    """(symbol) of the index files present with a header: those of symbols with
+    a low-priority order, whether or not line items give them rows."""
+    o = read_table(spark, data_dir, "orders").select("o_orderkey", "o_orderpriority")
+    return o.where(F.col("o_orderpriority") == "5-LOW").select(_sym("C", _idiv("o_orderkey", 2)).alias("symbol"))
+
+
 def symbol_list(spark: SparkSession, data_dir: str) -> DataFrame:
     """All symbols of the crawl: ``C<o_orderkey div 2>``, distinct."""
     o = read_table(spark, data_dir, "orders").select("o_orderkey")
@@ -81,7 +90,7 @@ def report_titles(spark: SparkSession, data_dir: str) -> DataFrame:
     ``quý N`` unless ``k % 5 = 0`` (then ``bán niên`` when ``k % 3 = 0``),
     Roman ``Quý N/yyyy`` when ``k % 11 = 0``, ``năm yyyy`` unless ``k % 7 = 0``.
     """
-    o = read_table(spark, data_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    o = read_table(spark, data_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus")
     k = F.col("o_orderkey")
     yr = F.year("o_orderdate").cast("string")
     type_word = (
@@ -102,19 +111,25 @@ def report_titles(spark: SparkSession, data_dir: str) -> DataFrame:
     title = F.concat(
         F.lit("Báo cáo tài chính "), type_word, F.lit(" "), period, F.lit(" "), year_part
     )
-    return o.select("o_orderkey", "o_custkey", title.alias("Tên báo cáo"))
+    return o.select(
+        "o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus",
+        _sym("K", F.col("o_custkey")).alias("symbol"), title.alias("Tên báo cáo"),
+    )
 
 
 def truth_table(spark: SparkSession, data_dir: str) -> DataFrame:
-    """A check table from every third report: one row per (year, range,
-    type) group with the smallest zero-padded customer key as tax code.
-    Groups without a period or year give null keys (they match null keys)."""
+    """The check table of all reports: one row per (stock code, calendar year,
+    range, type) with the zero-padded customer key as tax code, missing where
+    every order of the group is pending.  A report whose title names no year
+    finds no row; one without a period has a null key and meets the null keys
+    of its symbol."""
     from filingflow.operators.crosscheck import tag_reports
 
-    t = tag_reports(report_titles(spark, data_dir)).where(F.col("o_orderkey") % 3 == 0)
+    t = tag_reports(report_titles(spark, data_dir))
+    code = F.when(F.col("o_orderstatus") != "P", F.lpad(F.col("o_custkey").cast("string"), 10, "0"))
     return t.groupBy(
-        F.nullif(F.col("year"), F.lit("nan")).alias("year"), "range", "type"
-    ).agg(F.min(F.lpad(F.col("o_custkey").cast("string"), 10, "0")).alias("tax_code"))
+        F.col("symbol").alias("stock_code"), F.year("o_orderdate").cast("string").alias("year"), "range", "type"
+    ).agg(F.min(code).alias("tax_code"))
 
 
 # Tax codes -----------------------------------------------------------------------
@@ -148,11 +163,8 @@ def document_index(spark: SparkSession, data_dir: str) -> DataFrame:
 
 
 def document_cells(spark: SparkSession, data_dir: str) -> DataFrame:
-    """Statement files = labelled documents; lines are rows, the text before
-    the first comma is the first column (only that column is produced)."""
+    """Statement files = documents; lines are rows, commas part the cells."""
     d = read_table(spark, data_dir, "documents").select("doc_id", "lang", "text")
-    lab = read_table(spark, data_dir, "labels").select("doc_id")
-    d = d.join(lab, "doc_id", "left_semi")
     d = d.select(
         F.col("lang").alias("symbol"),
         F.concat(F.lit("/"), F.col("lang"), F.lit("/"), F.col("doc_id").cast("string")).alias("report_dir"),
@@ -162,14 +174,17 @@ def document_cells(spark: SparkSession, data_dir: str) -> DataFrame:
     rows = explode_positions(
         d, F.split("text", "\n"), "row_idx", "line", ["symbol", "report_dir", "unreadable"]
     )
-    return rows.select(
+    cells = explode_positions(
+        rows, F.split("line", ","), "col_idx", "value", ["symbol", "report_dir", "row_idx", "unreadable"]
+    )
+    return cells.select(
         "symbol",
         "report_dir",
         F.lit("KQKD").alias("statement"),
         F.col("row_idx").cast("bigint").alias("row_idx"),
-        F.lit(0).cast("bigint").alias("col_idx"),
+        F.col("col_idx").cast("bigint").alias("col_idx"),
         F.lit(None).cast("string").alias("col_name"),
-        F.substring_index("line", ",", 1).alias("value"),
+        "value",
         "unreadable",
     )
 
@@ -230,10 +245,12 @@ def event_listing(spark: SparkSession, data_dir: str) -> DataFrame:
 
 
 def event_checkpoints(spark: SparkSession, data_dir: str) -> DataFrame:
-    """A stored checkpoint for users with ``user_id % 4 <> 0``."""
-    e = read_table(spark, data_dir, "events").select("user_id")
-    u = e.where(F.col("user_id") % 4 != 0).distinct()
-    return u.select(
+    """A stored checkpoint for users with at least as many purchases as views."""
+    e = read_table(spark, data_dir, "events").select("user_id", "event_type")
+    u = e.groupBy("user_id").agg(
+        F.count_if(F.col("event_type") == "purchase").alias("_buy"), F.count_if(F.col("event_type") == "view").alias("_view")
+    )
+    return u.where(F.col("_buy") >= F.col("_view")).select(
         _sym("U", F.col("user_id")).alias("symbol"),
         (F.col("user_id") % 5 + 1).cast("bigint").alias("current_page"),
         F.when(F.col("user_id") % 3 == 0, F.lit(0))
@@ -243,6 +260,17 @@ def event_checkpoints(spark: SparkSession, data_dir: str) -> DataFrame:
     )
 
 
+def event_folders(spark: SparkSession, data_dir: str) -> DataFrame:
+    """Report folders of earlier passes: rows before the checkpoint, but for
+    error events, whose reports were never saved."""
+    from filingflow.operators import naming, resume
+
+    rows = resume.with_checkpoint(event_listing_rows(spark, data_dir), event_checkpoints(spark, data_dir))
+    before = (F.col("page") < F.col("_cp_page")) | ((F.col("page") == F.col("_cp_page")) & (F.col("row_idx") < F.col("_cp_row")))
+    held = rows.where(before & (F.col("event_type") != "error"))
+    return naming.base_folders(held, max_title=50, max_path=200).select(F.col("base").alias("report_dir"))
+
+
 def event_error_symbols(spark: SparkSession, data_dir: str) -> DataFrame:
     """Users with more error events than purchases."""
     e = read_table(spark, data_dir, "events").select("user_id", "event_type")
@@ -272,9 +300,9 @@ def order_catalog(spark: SparkSession, data_dir: str) -> DataFrame:
 
 
 def order_arrivals(spark: SparkSession, data_dir: str) -> DataFrame:
-    """Listing rows processed on unpaged listings (return flag not R)."""
-    li = read_table(spark, data_dir, "lineitem").select("l_orderkey", "l_returnflag")
-    return li.where(F.col("l_returnflag") != "R").select(_sym("O", F.col("l_orderkey")).alias("symbol"))
+    """Listing rows processed on unpaged listings: one per line item."""
+    li = read_table(spark, data_dir, "lineitem").select("l_orderkey")
+    return li.select(_sym("O", F.col("l_orderkey")).alias("symbol"))
 
 
 # Report folders from pages ------------------------------------------------------------
@@ -333,7 +361,7 @@ def supplier_submissions(spark: SparkSession, data_dir: str) -> DataFrame:
 
 
 # Listing row texts ---------------------------------------------------------------------
-LISTING_HEADER = ["STT", "Tên báo cáo", "Đơn vị", "Trích yếu", "Thời gian gửi"]
+LISTING_HEADER = T.LISTING_COLUMNS[:5]
 
 
 def event_row_texts(spark: SparkSession, data_dir: str) -> DataFrame:
@@ -359,11 +387,10 @@ def event_row_texts(spark: SparkSession, data_dir: str) -> DataFrame:
 
 
 def symbol_checkpoints(spark: SparkSession, data_dir: str) -> DataFrame:
-    """Checkpoints for the audit's symbols ``C<k>`` with ``k % 5 <> 0``."""
-    o = read_table(spark, data_dir, "orders").select("o_orderkey")
-    k = F.expr("o_orderkey div 2")
-    s = o.select(k.alias("k")).distinct().where(F.col("k") % 5 != 0)
-    return s.select(
+    """Checkpoints for the audit's symbols ``C<k>`` with an order that is not pending."""
+    o = read_table(spark, data_dir, "orders").select("o_orderkey", "o_orderstatus")
+    s = o.groupBy(F.expr("o_orderkey div 2").alias("k")).agg(F.bool_or(F.col("o_orderstatus") != "P").alias("_any"))
+    return s.where("_any").select(
         _sym("C", F.col("k")).alias("symbol"),
         (F.col("k") % 4 + 1).cast("bigint").alias("current_page"),
         (F.col("k") % 3).cast("bigint").alias("last_row_index"),
