@@ -291,6 +291,16 @@ CELLS_SCHEMA = "page_id bigint, headers array<string>, cells array<string>, rows
 FIRM_SCHEMA = "page_id bigint, code string, name string, title string"
 
 
+PAGES_PER_YIELD = 64
+
+
+def _slices(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Arrow batches in pieces, so that the parsed lists of few pages are held at a time."""
+    for pdf in batches:
+        for i in range(0, len(pdf), PAGES_PER_YIELD):
+            yield pdf.iloc[i : i + PAGES_PER_YIELD]
+
+
 def extract_cells(
     pages: DataFrame, config: dict, mode: str = "flat", faithful: bool = False, html: str = "html"
 ) -> DataFrame:
@@ -298,7 +308,7 @@ def extract_cells(
     cfg = dict(config)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
+        for pdf in _slices(batches):
             out = {"page_id": [], "headers": [], "cells": [], "rows": []}
             for pid, doc in zip(pdf["page_id"], pdf[html]):
                 h, c, r = extract_page(doc, cfg, mode, faithful)
@@ -347,7 +357,7 @@ def firm_info(pages: DataFrame, config: dict, html: str = "html") -> DataFrame:
     cfg = dict(config)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
+        for pdf in _slices(batches):
             out = {"page_id": [], "code": [], "name": [], "title": []}
             for pid, doc in zip(pdf["page_id"], pdf[html]):
                 root = parse_html(doc)
@@ -375,7 +385,7 @@ def parse_pages(
     tcfg, fcfg = dict(table_config), dict(firm_config)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
+        for pdf in _slices(batches):
             out = {k: [] for k in ("page_id", "code", "name", "title", "headers", "cells", "rows")}
             for pid, doc in zip(pdf["page_id"], pdf[html]):
                 root = parse_html(doc)
@@ -392,16 +402,17 @@ def parse_pages(
 
 
 def page_summary(parsed: DataFrame, mode: str = "flat") -> DataFrame:
-    """(page_id, code, name, title, n_rows) from :func:`parse_pages`, in the
-    same stage as the parse (the row count is an array size, not a join)."""
-    n = F.size(F.coalesce(A.chunk_cells("cells", F.size("headers")), F.array().cast("array<array<string>>"))) \
-        if mode == "flat" else F.size("rows")
-    return parsed.select("page_id", "code", "name", "title", n.cast("bigint").alias("n_rows"))
+    """(page_id, code, name, title, headers, table, n_rows) from
+    :func:`parse_pages`, in the same stage as the parse (no join)."""
+    none = F.array().cast("array<array<string>>")
+    table = F.coalesce(A.chunk_cells("cells", F.size("headers")), none) if mode == "flat" else F.col("rows")
+    shaped = parsed.select("page_id", "code", "name", "title", "headers", table.alias("table"))
+    return shaped.withColumn("n_rows", F.size("table").cast("bigint"))
 
 
 def assemble_report(listing: DataFrame, summary: DataFrame, key: str = "page_id") -> DataFrame:
-    """Listing row + firm info + number of table rows, joined on the page
-    (``summary`` from :func:`page_summary`, one row per page)."""
+    """Listing row + firm info + the table and its number of rows, joined
+    on the page (``summary`` from :func:`page_summary`, one row per page)."""
     f = summary.withColumnRenamed(key, "_f_key")
     j = listing.join(f, listing[key] == f["_f_key"], "left").drop("_f_key")
     return j.withColumn("n_rows", F.coalesce("n_rows", F.lit(0)).cast("bigint"))

@@ -837,19 +837,24 @@ def q_page_title(spark: SparkSession, d: str) -> DataFrame:
     "WITH paths AS (" + PATHS_SQL + ")," + LINKS_CTE + "," + FIRM_CTE
     + """
 SELECT p.page_id, p.symbol, p.report_dir, f.code, f.name, f.title,
-       CAST(coalesce(r.n, 0) AS BIGINT) AS n_rows
+       CAST(coalesce(r.n, 0) AS BIGINT) AS n_rows, coalesce(r.table_text, '') AS table_text
 FROM paths p LEFT JOIN firm f ON p.page_id = f.page_id
-LEFT JOIN (SELECT page_id, count(*) AS n FROM lrows GROUP BY page_id) r ON p.page_id = r.page_id
+LEFT JOIN (SELECT page_id, count(*) AS n,
+                  string_agg(cell_1 || coalesce('|' || cell_2, ''), chr(10) ORDER BY row_no) AS table_text
+           FROM lrows GROUP BY page_id) r ON p.page_id = r.page_id
 """,
 )
 def q_assembled_report(spark: SparkSession, d: str) -> DataFrame:
     lst = naming.assign_paths(
         naming.base_folders(derive.page_listing(spark, d), max_title=PATH_MAX_TITLE, max_path=PATH_MAX_LEN)
     ).select("page_id", "symbol", "report_dir")
-    # One parse per page gives both the firm fields and the table row count.
+    # One parse per page gives both the firm fields and the table.
     parsed = extract.parse_pages(files.read_pages(spark, f"{d}/pages.parquet"), PAGE_FLAT, PAGE_FIRM, "flat")
     out = extract.assemble_report(lst, extract.page_summary(parsed, "flat"))
-    return out.select("page_id", "symbol", "report_dir", "code", "name", "title", "n_rows")
+    text = F.array_join(F.transform("table", lambda r: F.array_join(r, "|")), "\n")
+    return out.select(
+        "page_id", "symbol", "report_dir", "code", "name", "title", "n_rows", F.coalesce(text, F.lit("")).alias("table_text")
+    )
 
 
 @register("page_table")
@@ -859,8 +864,9 @@ def q_page_table(spark: SparkSession, d: str) -> DataFrame:
     return rows.select(
         "page_id",
         F.col("row_no").cast("bigint").alias("row_no"),
+        F.array_join("headers", "|").alias("header_text"),
         F.size("row").cast("bigint").alias("n_cells"),
-        F.try_element_at("row", F.lit(1)).alias("first_cell"),
+        F.array_join("row", "|").alias("row_text"),
         "malformed",
     )
 
@@ -873,7 +879,9 @@ def q_page_rendered(spark: SparkSession, d: str) -> DataFrame:
         "page_id",
         F.col("row_no").cast("bigint").alias("row_no"),
         F.size("headers").cast("bigint").alias("n_headers"),
+        F.array_join("headers", "|").alias("header_text"),
         F.size("row").cast("bigint").alias("n_cells"),
+        F.array_join("row", "|").alias("row_text"),
         "malformed",
     )
 
@@ -881,9 +889,13 @@ def q_page_rendered(spark: SparkSession, d: str) -> DataFrame:
 @register(
     "page_link_pairs",
     r"""
-SELECT page_id, CAST(len(regexp_extract_all(html, '<li><a href="([^"]*)">([^<]*)</a></li>', 1)) AS BIGINT) AS n_links,
-       regexp_extract_all(html, '<li><a href="([^"]*)">([^<]*)</a></li>', 1)[1] AS first_href
-FROM pages
+WITH l AS (
+  SELECT page_id, regexp_extract_all(html, '<li><a href="([^"]*)">([^<]*)</a></li>', 1) AS h,
+         regexp_extract_all(html, '<li><a href="([^"]*)">([^<]*)</a></li>', 2) AS t
+  FROM pages)
+SELECT page_id, CAST(len(h) AS BIGINT) AS n_links,
+       array_to_string(list_transform(range(1, len(h) + 1), lambda i: h[i] || '=' || t[i]), ';') AS links_text
+FROM l
 """,
 )
 def q_page_link_pairs(spark: SparkSession, d: str) -> DataFrame:
@@ -891,7 +903,7 @@ def q_page_link_pairs(spark: SparkSession, d: str) -> DataFrame:
     return lk.select(
         "page_id",
         F.size("links").cast("bigint").alias("n_links"),
-        F.try_element_at("links", F.lit(1))["href"].alias("first_href"),
+        F.array_join(F.transform("links", lambda x: F.concat(x["href"], F.lit("="), x["text"])), ";").alias("links_text"),
     )
 
 
@@ -1034,17 +1046,16 @@ def q_row_pairs(spark: SparkSession, d: str) -> DataFrame:
 WITH w AS (SELECT conv_id, turn, string_split(text, ' ') AS a, string_split(text, '.') AS b,
                   string_split(text, chr(10)) AS c FROM conversations)
 SELECT conv_id, turn, CAST(least(len(a), len(b), len(c)) AS BIGINT) AS n_aligned,
-       a[least(len(a), len(b), len(c))] || '#' || b[least(len(a), len(b), len(c))] || '#' ||
-       c[least(len(a), len(b), len(c))] AS last_triple
+       array_to_string(list_transform(range(1, least(len(a), len(b), len(c)) + 1),
+                                      lambda i: a[i] || '#' || b[i] || '#' || c[i]), ';') AS triples_text
 FROM w
 """,
 )
 def q_aligned_truncate(spark: SparkSession, d: str) -> DataFrame:
     z = _A.align_truncate(F.split("text", " "), F.split("text", "[.]"), F.split("text", "\n"))
-    last = F.element_at(z, -1)
-    fields = ["0", "1", "2"]
-    trip = F.concat(last[fields[0]], F.lit("#"), last[fields[1]], F.lit("#"), last[fields[2]])
-    return _conv(spark, d).select("conv_id", "turn", F.size(z).cast("bigint").alias("n_aligned"), trip.alias("last_triple"))
+    c = _conv(spark, d).select("conv_id", "turn", z.alias("triples"))
+    text = F.array_join(F.transform("triples", lambda t: F.concat_ws("#", t["0"], t["1"], t["2"])), ";")
+    return c.select("conv_id", "turn", F.size("triples").cast("bigint").alias("n_aligned"), text.alias("triples_text"))
 
 
 # Scalars, appends, drops -----------------------------------------------------------------------
@@ -1284,15 +1295,17 @@ def q_files_roundtrip_logs(spark: SparkSession, d: str) -> DataFrame:
     r"""
 SELECT '/r' || CAST(l_orderkey AS VARCHAR) AS report_dir,
        CASE l_orderkey % 4 WHEN 0 THEN 'BCDKT' WHEN 1 THEN 'KQKD' WHEN 2 THEN 'LCTT_TT' ELSE 'LCTT_GT' END AS statement,
-       CAST(2 * count(*) AS BIGINT) AS n_cells
-FROM lineitem GROUP BY l_orderkey
+       'C' || CAST(l_orderkey // 2 AS VARCHAR) AS symbol, CAST(l_linenumber AS BIGINT) AS row_idx,
+       CAST(c AS BIGINT) AS col_idx, CASE c WHEN 0 THEN 'returnflag' ELSE 'linestatus' END AS col_name,
+       CASE c WHEN 0 THEN l_returnflag ELSE l_linestatus END AS value, false AS unreadable
+FROM lineitem, (VALUES (0), (1)) v(c)
 """,
 )
 def q_files_roundtrip_statements(spark: SparkSession, d: str) -> DataFrame:
     path = new_work_dir(spark, "statements")
     li = read_table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus")
     cells = li.select(
-        F.lit("ALL").alias("symbol"),
+        F.concat(F.lit("C"), F.expr("l_orderkey div 2").cast("string")).alias("symbol"),
         F.concat(F.lit("/r"), F.col("l_orderkey").cast("string")).alias("report_dir"),
         F.element_at(
             F.array(*[F.lit(n) for n in files.STATEMENT_FILES]), (F.col("l_orderkey") % 4 + 1).cast("int")
@@ -1308,8 +1321,7 @@ def q_files_roundtrip_statements(spark: SparkSession, d: str) -> DataFrame:
     files.write_statements(first, path)
     # Second pass: every statement again; those already held are skipped.
     files.write_statements(cells, path, existing=files.read_statement_table(spark, path))
-    table = files.read_statement_table(spark, path)
-    return table.groupBy("report_dir", "statement").agg(F.count(F.lit(1)).alias("n_cells"))
+    return files.read_statement_table(spark, path)
 
 
 @register(
@@ -1388,14 +1400,18 @@ chunk AS (
                                                   lambda x: trim({_decode('x')}, ' ' || chr(9) || chr(10) || chr(13))), '')
               ELSE '' END AS cell
   FROM prow)"""
-ORACLE["page_table"] = "WITH " + ARTICLE_ROWS_CTE + """
-SELECT page_id, row_no, CAST(1 AS BIGINT) AS n_cells, cell AS first_cell, false AS malformed FROM chunk
+ORACLE["page_table"] = "WITH " + ARTICLE_ROWS_CTE + "," + FIRM_CTE + """
+SELECT c.page_id, row_no, coalesce(f.title, '') AS header_text, CAST(1 AS BIGINT) AS n_cells, cell AS row_text,
+       false AS malformed
+FROM chunk c JOIN firm f ON c.page_id = f.page_id
 """
-ORACLE["page_rendered"] = "WITH " + ARTICLE_ROWS_CTE + """
-SELECT page_id, row_no, CAST(n_li - n_li // 2 AS BIGINT) AS n_headers,
+ORACLE["page_rendered"] = "WITH " + ARTICLE_ROWS_CTE + "," + LINKS_CTE + """
+SELECT c.page_id, row_no, CAST(n_li - n_li // 2 AS BIGINT) AS n_headers,
+       array_to_string(list_slice(lk.cells, n_li // 2 + 1, n_li), '|') AS header_text,
+       cell || repeat('|', greatest(CASE WHEN cell = '' THEN 0 ELSE 1 END, n_li - n_li // 2, 1) - 1) AS row_text,
        CAST(greatest(CASE WHEN cell = '' THEN 0 ELSE 1 END, n_li - n_li // 2) AS BIGINT) AS n_cells,
        (CASE WHEN cell = '' THEN 0 ELSE 1 END) > n_li - n_li // 2 AS malformed
-FROM chunk
+FROM chunk c JOIN lk ON c.page_id = lk.page_id
 """
 
 
@@ -1427,20 +1443,30 @@ def q_status_log_lines(spark: SparkSession, d: str) -> DataFrame:
 
 # L1 crawl pass ---------------------------------------------------------------------------------------
 CRAWL_MAX_PATH = 200
+CRAWL_WITH = EVENTS_WITH + rf""",
+all_named AS (
+  SELECT *, './crawl_table/' || symbol || '/' ||
+         translate(event_type || ' ' || CAST(event_id AS VARCHAR), '<>:"/\|?*', '_________') || '_' ||
+         translate(strftime(ts, '%d/%m/%Y %H:%M:%S'), '<>:"/\|?*', '_________') AS base
+  FROM l2),
+named AS (SELECT * FROM all_named WHERE event_id IN (SELECT event_id FROM res)),
+held AS (SELECT symbol, base FROM all_named WHERE event_id NOT IN (SELECT event_id FROM res) AND event_type <> 'error'),
+got AS (SELECT symbol, count(DISTINCT base) AS got FROM (SELECT symbol, base FROM named UNION ALL FROM held) b GROUP BY symbol),
+expected AS (SELECT 'U' || CAST(user_id AS VARCHAR) AS symbol, count(*) AS expected FROM events GROUP BY user_id)
+"""
+
+
+def _crawl_pass(spark: SparkSession, d: str) -> dict[str, DataFrame]:
+    return flows.crawl_pass(
+        derive.event_listing_rows(spark, d), derive.event_checkpoints(spark, d), derive.event_pager(spark, d),
+        derive.event_folders(spark, d), max_path=CRAWL_MAX_PATH,
+    )
 
 
 @register(
     "crawl_pass",
-    EVENTS_WITH
-    + rf""",
-named AS (
-  SELECT symbol,
-         './crawl_table/' || symbol || '/' ||
-         translate(event_type || ' ' || CAST(event_id AS VARCHAR), '<>:"/\|?*', '_________') || '_' ||
-         translate(strftime(ts, '%d/%m/%Y %H:%M:%S'), '<>:"/\|?*', '_________') AS base
-  FROM res),
-got AS (SELECT symbol, count(DISTINCT base) AS got FROM named GROUP BY symbol),
-expected AS (SELECT 'U' || CAST(user_id AS VARCHAR) AS symbol, count(*) AS expected FROM events GROUP BY user_id)
+    CRAWL_WITH
+    + """
 SELECT e.symbol, coalesce(g.got, 0) AS got, e.expected,
        CASE WHEN coalesce(g.got, 0) = e.expected THEN 'success' ELSE 'warning' END AS status,
        CAST(coalesce(g.got, 0) AS VARCHAR) || '/' || CAST(e.expected AS VARCHAR) AS message
@@ -1448,8 +1474,26 @@ FROM expected e LEFT JOIN got g ON e.symbol = g.symbol
 """,
 )
 def q_crawl_pass(spark: SparkSession, d: str) -> DataFrame:
-    out = flows.crawl_pass(
-        derive.event_listing_rows(spark, d), derive.event_checkpoints(spark, d), derive.event_pager(spark, d),
-        max_path=CRAWL_MAX_PATH,
-    )
-    return out["status"]
+    return _crawl_pass(spark, d)["status"]
+
+
+@register("crawl_reports", CRAWL_WITH + "SELECT symbol, page, row_idx, event_id, base AS report_dir FROM named")
+def q_crawl_reports(spark: SparkSession, d: str) -> DataFrame:
+    return _crawl_pass(spark, d)["reports"].select("symbol", "page", "row_idx", "event_id", "report_dir")
+
+
+@register(
+    "crawl_checkpoints",
+    CRAWL_WITH
+    + """,
+top AS (
+  SELECT symbol, page, row_idx FROM (
+    SELECT symbol, page, row_idx, row_number() OVER (PARTITION BY symbol ORDER BY page DESC, row_idx DESC) AS rn FROM res) r
+  WHERE rn = 1)
+SELECT symbol, page + 1 AS current_page, 0 AS last_row_index FROM top
+UNION ALL
+SELECT symbol, current_page, last_row_index FROM cp WHERE symbol NOT IN (SELECT symbol FROM top)
+""",
+)
+def q_crawl_checkpoints(spark: SparkSession, d: str) -> DataFrame:
+    return _crawl_pass(spark, d)["checkpoints"]

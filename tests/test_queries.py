@@ -66,7 +66,8 @@ def test_registry_is_complete():
         "latest_log_file", "first_row", "append_results", "drop_symbols", "existing_rows", "rescrape_plan",
         "files_roundtrip_symbols", "files_roundtrip_checkpoints", "files_roundtrip_index",
         "files_roundtrip_logs", "files_roundtrip_statements", "files_roundtrip_truth", "file_count",
-        "stream_status", "stream_first_submission", "status_log_lines", "crawl_pass", "rescrape_purge",
+        "stream_status", "stream_first_submission", "status_log_lines", "crawl_pass", "rescrape_purge", "crawl_reports",
+        "crawl_checkpoints",
     }
     assert expected <= set(QUERIES)
     assert set(ORACLE) <= set(QUERIES)
