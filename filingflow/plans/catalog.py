@@ -1334,9 +1334,170 @@ def q_files_roundtrip_truth(spark: SparkSession, d: str) -> DataFrame:
     return _merged(spark, d, files.read_truth(spark, path))
 
 
-@register("file_count")
+def _page_tree(spark: SparkSession, d: str) -> tuple[str, DataFrame]:
+    """Each page as a file, up to seven folders deep; names with a leading underscore occur."""
+    root = new_work_dir(spark, "tree")
+    p = files.read_pages(spark, f"{d}/pages.parquet")
+    path = F.concat(
+        F.lit("P"), (F.col("page_id") % 7).cast("string"), F.lit("/"),
+        F.expr("repeat('_d/', CAST(page_id % 6 AS INT))"), F.col("page_id").cast("string"), F.lit(".csv"),
+    )
+    files.write_named_files(p.select(path.alias("path"), F.coalesce("html", F.lit("")).alias("content")), root)
+    return root, files.file_catalog(spark, root)
+
+
+TREE_WITH = """
+WITH tree AS (
+  SELECT 'P' || CAST(page_id % 7 AS VARCHAR) || '/' || repeat('_d/', page_id % 6) || CAST(page_id AS VARCHAR) || '.csv' AS path,
+         CAST(coalesce(strlen(html), 0) AS BIGINT) AS bytes
+  FROM pages)
+"""
+
+
+@register("file_catalog", TREE_WITH + "SELECT path, bytes FROM tree")
+def q_file_catalog(spark: SparkSession, d: str) -> DataFrame:
+    root, found = _page_tree(spark, d)
+    below = F.element_at(F.split("path", root.rsplit("/", 1)[-1] + "/"), -1)
+    return found.select(below.alias("path"), "bytes")
+
+
+@register("file_count", TREE_WITH + "SELECT count(*) AS n_files, CAST(coalesce(sum(bytes), 0) AS BIGINT) AS total_bytes FROM tree")
 def q_file_count(spark: SparkSession, d: str) -> DataFrame:
-    return files.count_files(files.file_catalog(spark, d, "*.parquet"))
+    return files.count_files(_page_tree(spark, d)[1])
+
+
+# The reference's own files, written as pandas writes them and read with the readers for them ----
+@register(
+    "reference_index",
+    r"""
+SELECT 'U' || CAST(user_id AS VARCHAR) AS symbol, CAST(event_id AS VARCHAR) AS stt,
+       nullif(props, '') AS report_name, event_type || ', "' || event_type || '"' || chr(10) || 'x' AS summary,
+       './crawl_table/U' || CAST(user_id AS VARCHAR) || '/' || CAST(event_id AS VARCHAR) AS saving_path
+FROM events
+""",
+)
+def q_reference_index(spark: SparkSession, d: str) -> DataFrame:
+    root = new_work_dir(spark, "crawl-index")
+    e = read_table(spark, d, "events").select("event_id", "user_id", "event_type", "props")
+    sym = F.concat(F.lit("U"), F.col("user_id").cast("string"))
+    rows = e.select(
+        F.concat(sym, F.lit("/success.csv")).alias("path"),
+        F.col("event_id").alias("STT"),
+        F.col("props").alias("Tên báo cáo"),
+        F.concat(F.col("event_type"), F.lit(', "'), F.col("event_type"), F.lit('"\nx')).alias("Trích yếu"),
+        F.concat(F.lit("./crawl_table/"), sym, F.lit("/"), F.col("event_id").cast("string")).alias("Saving_path"),
+    )
+    columns = ["Saving_path", "STT", "Tên báo cáo", "Trích yếu"]
+    files.write_named_files(files.csv_files(rows, "path", columns, ["STT"]), root)
+    idx = files.read_report_index(spark, root)
+    return idx.select(
+        "symbol", F.col("STT").alias("stt"), F.col("Tên báo cáo").alias("report_name"),
+        F.col("Trích yếu").alias("summary"), F.col("Saving_path").alias("saving_path"),
+    )
+
+
+@register(
+    "reference_checkpoints",
+    EVENTS_WITH
+    + """,
+users AS (SELECT DISTINCT 'U' || CAST(user_id AS VARCHAR) AS symbol FROM events)
+SELECT u.symbol, coalesce(c.current_page, 1) AS current_page, coalesce(c.last_row_index, 0) AS last_row_index
+FROM users u LEFT JOIN cp c ON u.symbol = c.symbol
+""",
+)
+def q_reference_checkpoints(spark: SparkSession, d: str) -> DataFrame:
+    root = new_work_dir(spark, "crawl-checkpoints")
+    cp = derive.event_checkpoints(spark, d)
+    texts = cp.select(
+        F.concat(F.lit("checkpoint_"), F.col("symbol"), F.lit(".json")).alias("path"),
+        F.to_json(F.struct("current_page", "last_row_index")).alias("content"),
+    )
+    files.write_named_files(texts, root)
+    users = read_table(spark, d, "events").select(F.concat(F.lit("U"), F.col("user_id").cast("string")).alias("symbol"))
+    return files.read_checkpoint_files(spark, root, symbols=users)
+
+
+TURN_COLUMNS = ["turn", "role", "text"]
+TURNS_WITH = """
+WITH rows AS (
+  SELECT 'V' || CAST(conv_id AS VARCHAR) AS symbol,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) - 1 AS i,
+         CAST(turn AS VARCHAR) AS c0, coalesce(role, '') AS c1, coalesce(text, '') AS c2
+  FROM conversations WHERE conv_id IS NOT NULL),
+named AS (
+  SELECT symbol, i, j, CASE j WHEN 0 THEN 'turn' WHEN 1 THEN 'role' ELSE 'text' END AS name,
+         CASE j WHEN 0 THEN c0 WHEN 1 THEN c1 ELSE c2 END AS value
+  FROM rows, (VALUES (0), (1), (2)) v(j)),
+heads AS (SELECT DISTINCT symbol, j, name FROM named)
+"""
+
+
+def _turn_files(spark: SparkSession, d: str, statement: str) -> str:
+    """A conversation is a statement file, a turn a row (commas, quotes and line breaks in its text)."""
+    root = new_work_dir(spark, "crawl-statements")
+    c = read_table(spark, d, "conversations").select("conv_id", *TURN_COLUMNS).where(F.col("conv_id").isNotNull())
+    rows = c.withColumn("path", F.concat(F.lit("V"), F.col("conv_id").cast("string"), F.lit(f"/_r 1/{statement}.csv")))
+    files.write_named_files(files.csv_files(rows, "path", TURN_COLUMNS, TURN_COLUMNS), root)
+    return root
+
+
+def _turn_cells(cells: DataFrame) -> DataFrame:
+    report = F.element_at(F.split("report_dir", "/"), -1)
+    return cells.withColumn("report_dir", report)
+
+
+@register(
+    "reference_statements",
+    TURNS_WITH
+    + """
+SELECT symbol, '_r 1' AS report_dir, 'KQKD' AS statement, CAST(i AS BIGINT) AS row_idx, CAST(j AS BIGINT) AS col_idx,
+       name AS col_name, value, false AS unreadable FROM named
+UNION ALL
+SELECT symbol, '_r 1', 'KQKD', -1, CAST(j AS BIGINT), name, NULL, false FROM heads
+""",
+)
+def q_reference_statements(spark: SparkSession, d: str) -> DataFrame:
+    return _turn_cells(files.read_statements(spark, _turn_files(spark, d, "KQKD")))
+
+
+@register(
+    "reference_statements_headerless",
+    TURNS_WITH
+    + """
+SELECT symbol, '_r 1' AS report_dir, 'KQKT' AS statement, CAST(i + 1 AS BIGINT) AS row_idx, CAST(j AS BIGINT) AS col_idx,
+       CAST(j AS VARCHAR) AS col_name, value, false AS unreadable FROM named
+UNION ALL
+SELECT symbol, '_r 1', 'KQKT', 0, CAST(j AS BIGINT), CAST(j AS VARCHAR), name, false FROM heads
+""",
+)
+def q_reference_statements_headerless(spark: SparkSession, d: str) -> DataFrame:
+    root = _turn_files(spark, d, "KQKT")
+    return _turn_cells(files.read_statements(spark, root, names=files.LEGACY_STATEMENT_FILES, header=False))
+
+
+@register(
+    "reference_contamination",
+    """
+WITH hit AS (
+  SELECT conv_id, bool_or(contains(coalesce(role, ''), 'user')) AS has_marker
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id)
+SELECT count(*) AS total_files, count(*) FILTER (WHERE has_marker) AS error_files,
+       CAST(0 AS BIGINT) AS unreadable_files,
+       CASE WHEN count(*) > 0 THEN 100.0 * CAST(count(*) FILTER (WHERE has_marker) AS DOUBLE)
+            / CAST(count(*) AS DOUBLE) ELSE 0.0 END AS error_rate
+FROM hit
+""",
+)
+def q_reference_contamination(spark: SparkSession, d: str) -> DataFrame:
+    root = new_work_dir(spark, "crawl-contamination")
+    c = read_table(spark, d, "conversations").select("conv_id", "role", "turn").where(F.col("conv_id").isNotNull())
+    rows = c.withColumn("path", F.concat(F.lit("V"), F.col("conv_id").cast("string"), F.lit("/r/KQKD.csv")))
+    files.write_named_files(files.csv_files(rows, "path", ["role", "turn"], ["turn", "role"]), root)
+    index = c.select(F.concat(F.lit("V"), F.col("conv_id").cast("string")).alias("symbol")).distinct().select(
+        "symbol", F.concat(F.lit("./crawl_table/"), F.col("symbol"), F.lit("/r")).alias("Saving_path")
+    )
+    cells = files.read_statements(spark, root, header=False)
+    return quality.contamination_rate(index, cells, statement="KQKD", marker="user", new_root=root)
 
 
 # Streams ----------------------------------------------------------------------------------------

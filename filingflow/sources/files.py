@@ -21,9 +21,10 @@ import csv
 import io
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from filingflow.functions import text as T
@@ -175,36 +176,48 @@ def read_report_index_table(spark: SparkSession, path: str, status: str | None =
 
 
 # S7, S8, F11, U6 -------------------------------------------------------------------
+CELLS_PER_YIELD = 100_000
+
+
+def _file_cells(path: str, text: str, header: bool) -> pd.DataFrame:
+    """Cells of one statement file; with ``header`` its labels are row -1, so
+    header-only tables keep them."""
+    try:
+        t = pd.read_csv(io.StringIO(text), header=0 if header else None, dtype=str, keep_default_na=False, na_filter=False)
+        names, values, first = [str(c) for c in t.columns], t.to_numpy(dtype=object).ravel(), 0
+        if header:
+            values, first = np.concatenate([np.full(len(names), None, dtype=object), values]), -1
+        unreadable = False
+    except (pd.errors.EmptyDataError, pd.errors.ParserError):
+        names, values, first, unreadable = [None], np.array([None], dtype=object), -1, True
+    n_rows = len(values) // len(names)
+    parts = path.rstrip("/").split("/")
+    return pd.DataFrame({
+        "symbol": parts[-3],
+        "report_dir": "/".join(parts[:-1]),
+        "statement": parts[-1].rsplit(".", 1)[0],
+        "row_idx": np.repeat(np.arange(first, first + n_rows), len(names)),
+        "col_idx": np.array([-1]) if unreadable else np.tile(np.arange(len(names)), n_rows),
+        "col_name": np.tile(np.array(names, dtype=object), n_rows),
+        "value": values,
+        "unreadable": unreadable,
+    })
+
+
 def _parse_statements(header: bool):
+    """A yield holds whole files up to about ``CELLS_PER_YIELD`` cells."""
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cols = ["symbol", "report_dir", "statement", "row_idx", "col_idx", "col_name", "value", "unreadable"]
+        held, n = [], 0
         for pdf in batches:
-            out: dict[str, list] = {c: [] for c in cols}
-            for path, text in zip(pdf["path"], pdf["value"]):
-                parts = path.rstrip("/").split("/")
-                sym, rep, stmt = parts[-3], "/".join(parts[:-1]), parts[-1].rsplit(".", 1)[0]
-                try:
-                    t = pd.read_csv(
-                        io.StringIO(text), header=0 if header else None, dtype=str,
-                        keep_default_na=False, na_filter=False,
-                    )
-                except (pd.errors.EmptyDataError, pd.errors.ParserError):
-                    t = None
-                if t is None:
-                    for c, v in zip(cols, [sym, rep, stmt, -1, -1, None, None, True]):
-                        out[c].append(v)
-                    continue
-                names = [str(c) for c in t.columns]
-                if header:
-                    # Header labels as row -1 so header-only tables keep them.
-                    for j, name in enumerate(names):
-                        for c, v in zip(cols, [sym, rep, stmt, -1, j, name, None, False]):
-                            out[c].append(v)
-                for i, row in enumerate(t.itertuples(index=False, name=None)):
-                    for j, val in enumerate(row):
-                        for c, v in zip(cols, [sym, rep, stmt, i, j, names[j], val, False]):
-                            out[c].append(v)
-            yield pd.DataFrame(out, columns=cols)
+            for path, text in zip(pdf["path"], pdf["value"], strict=True):
+                held.append(_file_cells(path, text, header))
+                n += len(held[-1])
+                if n >= CELLS_PER_YIELD:
+                    yield pd.concat(held)
+                    held, n = [], 0
+        if held:
+            yield pd.concat(held)
 
     return run
 
@@ -253,6 +266,55 @@ def read_statement_table(spark: SparkSession, path: str, statement: str | None =
     return df if statement is None else df.where(F.col("statement") == statement)
 
 
+# The reference's own layout: one named file per symbol, report or checkpoint ---------
+def csv_line(*cells: Column) -> Column:
+    """One CSV line as pandas writes it: quotes only where needed, doubled inside; nulls empty."""
+    text = [F.coalesce(c.cast("string"), F.lit("")) for c in cells]
+    quoted = [F.when(c.rlike('[",\\r\\n]'), F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"'))).otherwise(c) for c in text]
+    return F.concat_ws(",", *quoted)
+
+
+def csv_files(rows: DataFrame, path: str, columns: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """(path, content): the rows of each path as one CSV file with a header,
+    in ``order``.  A file of that layout is one value and is built as one."""
+    line = csv_line(*[F.col(f"`{c}`") for c in columns])
+    keyed = rows.select(F.col(path).alias("path"), F.struct(*[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(order)], line.alias("line")).alias("_r"))
+    head = csv_line(*[F.lit(c) for c in columns])
+    lines = F.transform(F.array_sort(F.collect_list("_r")), lambda r: r["line"])
+    return keyed.groupBy("path").agg(F.concat(F.array_join(F.concat(F.array(head), lines), "\n"), F.lit("\n")).alias("content"))
+
+
+def write_named_files(texts: DataFrame, root: str) -> None:
+    """(path, content) rows as UTF-8 files ``root/path``.
+
+    Spark's writers name their files themselves, so tasks write these through
+    the file system of ``root`` (a shared folder or a store that Arrow knows).
+    A task that runs again writes the same files.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        store, base = _store(root)
+        for pdf in batches:
+            for path, content in zip(pdf["path"], pdf["content"], strict=True):
+                name = f"{base}/{path}"
+                store.create_dir(name.rsplit("/", 1)[0], recursive=True)
+                with store.open_output_stream(name) as f:
+                    f.write(content.encode())
+            yield pdf[["path"]]
+
+    texts.select("path", "content").mapInPandas(run, "path string").write.format("noop").mode("overwrite").save()
+
+
+def _store(root: str):
+    from pyarrow import fs
+
+    local = root[len("file:"):] if root.startswith("file:") else root
+    if "://" not in root:
+        return fs.LocalFileSystem(), local.rstrip("/")
+    store, base = fs.FileSystem.from_uri(root)
+    return store, base.rstrip("/")
+
+
 # S10, S12 ----------------------------------------------------------------------
 def read_logs(spark: SparkSession, path: str, glob: str = "*.log") -> DataFrame:
     """Log files → (value, file): one row per line."""

@@ -67,8 +67,9 @@ def test_registry_is_complete():
         "files_roundtrip_symbols", "files_roundtrip_checkpoints", "files_roundtrip_index",
         "files_roundtrip_logs", "files_roundtrip_statements", "files_roundtrip_truth", "file_count",
         "stream_status", "stream_first_submission", "status_log_lines", "crawl_pass", "rescrape_purge", "crawl_reports",
-        "crawl_checkpoints",
+        "crawl_checkpoints", "file_catalog", "reference_index", "reference_checkpoints", "reference_statements",
+        "reference_statements_headerless", "reference_contamination",
     }
     assert expected <= set(QUERIES)
     assert set(ORACLE) <= set(QUERIES)
-    assert set(QUERIES) - set(ORACLE) == {"file_count"}
+    assert set(QUERIES) == set(ORACLE)
