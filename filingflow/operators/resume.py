@@ -96,18 +96,15 @@ def advance_checkpoints(
 # M2 -------------------------------------------------------------------------
 def reset_checkpoints(checkpoints: DataFrame, symbols: DataFrame, symbol: str = "symbol") -> DataFrame:
     """Listed symbols go back to ``{1, 0}`` (a row is written even where none
-    existed); other checkpoints are unchanged."""
-    reset = symbols.select(F.col(symbol).alias(symbol)).distinct().select(
-        symbol,
-        F.lit(START_PAGE).cast("bigint").alias("current_page"),
-        F.lit(START_ROW).cast("bigint").alias("last_row_index"),
+    existed); other checkpoints are unchanged.  One outer join of the two lists."""
+    reset = symbols.select(F.col(symbol).alias("_r_symbol")).distinct()
+    j = checkpoints.join(reset, checkpoints[symbol] == reset["_r_symbol"], "full")
+    redo = F.col("_r_symbol").isNotNull()
+    return j.select(
+        F.coalesce(checkpoints[symbol], "_r_symbol").alias(symbol),
+        F.when(redo, F.lit(START_PAGE)).otherwise(F.col("current_page")).cast("bigint").alias("current_page"),
+        F.when(redo, F.lit(START_ROW)).otherwise(F.col("last_row_index")).cast("bigint").alias("last_row_index"),
     )
-    others = drop_symbols(checkpoints, symbols, symbol).select(
-        symbol,
-        F.col("current_page").cast("bigint").alias("current_page"),
-        F.col("last_row_index").cast("bigint").alias("last_row_index"),
-    )
-    return others.unionByName(reset)
 
 
 # M3 -------------------------------------------------------------------------

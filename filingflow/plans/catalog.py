@@ -1511,7 +1511,7 @@ def q_stream_status(spark: SparkSession, d: str) -> DataFrame:
     derive.crawl_log(spark, d).select("value").repartition(4).write.text(src)
     q = streams.run_status(spark, src, out, ck, max_files_per_trigger=2)
     q.awaitTermination()
-    return spark.read.parquet(out)
+    return streams.read_status(spark, out)
 
 
 @register(

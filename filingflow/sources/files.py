@@ -166,8 +166,9 @@ def index_symbols(spark: SparkSession, root: str, status: str = "success") -> Da
 
 
 def write_report_index(df: DataFrame, path: str, mode: str = "append") -> None:
-    """Index rows as a table partitioned by ``status``."""
-    df.write.mode(mode).partitionBy("status").parquet(path)
+    """Index rows as a table partitioned by ``status``, each status in files of
+    the advised partition size (a hot one is split)."""
+    df.hint("rebalance", "status").write.mode(mode).partitionBy("status").parquet(path)
 
 
 def read_report_index_table(spark: SparkSession, path: str, status: str | None = "success") -> DataFrame:
@@ -257,7 +258,7 @@ def write_statements(cells: DataFrame, path: str, existing: DataFrame | None = N
         new = cells.join(
             keys, (cells["report_dir"] == keys["_e_rep"]) & (cells["statement"] == keys["_e_st"]), "left_anti"
         )
-    new.write.mode("append").partitionBy("statement").parquet(path)
+    new.hint("rebalance", "statement").write.mode("append").partitionBy("statement").parquet(path)
 
 
 def read_statement_table(spark: SparkSession, path: str, statement: str | None = None) -> DataFrame:

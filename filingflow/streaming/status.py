@@ -22,43 +22,35 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from filingflow.functions import text as T
+from filingflow.operators import audit
 from filingflow.operators.ordering import first_per_key
 
 
 def stream_status(
     spark: SparkSession, log_dir: str, max_files_per_trigger: int | None = None, glob: str | None = None
 ) -> DataFrame:
-    """Streaming DataFrame of (symbol, in_success, in_warning), update/complete
-    mode, from text files under ``log_dir`` (``glob`` e.g. ``"*.log"``)."""
+    """Streaming DataFrame of (symbol, in_success, in_warning) from text files under ``log_dir`` (``glob`` e.g. ``"*.log"``)."""
     reader = spark.readStream.format("text")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     lines = reader.load(log_dir)
-    hits = lines.select(
-        F.inline(
-            F.array(
-                F.struct(T.log_symbol("value", "success").alias("symbol"), F.lit(True).alias("ok"), F.lit(False).alias("warn")),
-                F.struct(T.log_symbol("value", "warning").alias("symbol"), F.lit(False).alias("ok"), F.lit(True).alias("warn")),
-            )
-        )
-    ).where(F.col("symbol").isNotNull())
-    return hits.groupBy("symbol").agg(F.max("ok").alias("in_success"), F.max("warn").alias("in_warning"))
+    return audit.log_sets(lines)
 
 
 def run_status(spark: SparkSession, log_dir: str, out_dir: str, checkpoint_dir: str,
                max_files_per_trigger: int | None = None, glob: str | None = None) -> StreamingQuery:
-    """Drain the available logs into a Parquet table (complete mode, the
-    table is replaced each epoch)."""
+    """Drain the available logs into a Parquet table: update mode, each epoch
+    writes the symbols it changed to its own folder (a retried epoch replaces
+    only its output).  :func:`read_status` gives the present status."""
 
     def sink(batch: DataFrame, epoch: int) -> None:
-        batch.write.mode("overwrite").parquet(out_dir)
+        batch.write.mode("overwrite").parquet(f"{out_dir}/epoch_id={epoch}")
 
     q = (
         stream_status(spark, log_dir, max_files_per_trigger, glob)
-        .writeStream.outputMode("complete")
+        .writeStream.outputMode("update")
         .option("checkpointLocation", checkpoint_dir)
         .foreachBatch(sink)
         .trigger(availableNow=True)
@@ -67,6 +59,13 @@ def run_status(spark: SparkSession, log_dir: str, out_dir: str, checkpoint_dir:
     return q
 
 
+def read_status(spark: SparkSession, out_dir: str) -> DataFrame:
+    """(symbol, in_success, in_warning) over all epochs; a flag once set stays set."""
+    return spark.read.parquet(out_dir).groupBy("symbol").agg(
+        F.bool_or("in_success").alias("in_success"), F.bool_or("in_warning").alias("in_warning")
+    )
+
+
 def run_first_submission(
     spark: SparkSession,
     source_dir: str,

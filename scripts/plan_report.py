@@ -41,7 +41,7 @@ def main() -> None:
         rows.append(
             (
                 name,
-                count(r"Exchange (hash|range|Single|Round)", plan),
+                count(r"Exchange (hash|range|rebalance|Single|Round)", plan),
                 count(r"BroadcastExchange", plan),
                 count(r"BroadcastHashJoin", plan),
                 count(r"SortMergeJoin", plan),

@@ -120,11 +120,11 @@ def test_stream_status_incremental(spark, tmp_path):
     open(os.path.join(src, "a.log"), "w").write("\n".join(LOG1) + "\n")
     open(os.path.join(src, "skip.txt"), "w").write(LOG2[0] + "\n")
     streams.run_status(spark, src, out, ck, glob="*.log").awaitTermination()
-    first = {r["symbol"]: (r["in_success"], r["in_warning"]) for r in spark.read.parquet(out).collect()}
+    first = {r["symbol"]: (r["in_success"], r["in_warning"]) for r in streams.read_status(spark, out).collect()}
     assert first == {"AAA": (True, False), "BBB": (False, True)}
     open(os.path.join(src, "b.log"), "w").write("\n".join(LOG2) + "\n")
     streams.run_status(spark, src, out, ck, glob="*.log").awaitTermination()
-    after = {r["symbol"]: (r["in_success"], r["in_warning"]) for r in spark.read.parquet(out).collect()}
+    after = {r["symbol"]: (r["in_success"], r["in_warning"]) for r in streams.read_status(spark, out).collect()}
     lines = spark.createDataFrame([(x,) for x in LOG1 + LOG2], "value string")
     batch = {r["symbol"]: (r["in_success"], r["in_warning"]) for r in audit.log_sets(lines).collect()}
     assert after == batch
