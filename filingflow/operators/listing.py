@@ -121,7 +121,7 @@ def new_submissions(df: DataFrame, known: DataFrame, key: Sequence[str] = ("symb
 
 # W3, W4 ---------------------------------------------------------------------
 def first_submission(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """First listing row per key in arrival order (map-side combined)."""
+    """First listing row per key in arrival order (groups are limited before the shuffle)."""
     return first_per_key(df, key, order, descending=False)
 
 

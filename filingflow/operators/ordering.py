@@ -62,12 +62,11 @@ def first_per_key(
 ) -> DataFrame:
     """One row per key: the first (or last) under a total order.
 
-    Done as ``min_by``/``max_by`` on a struct, an aggregation that Spark
-    combines map-side, so a hot key never collects its rows in one task.
+    A row number of 1: Spark limits every group before the shuffle, so a hot
+    key sends one row from each task.  Nulls are smallest either way.
     """
     key = list(key)
     rest = [c for c in df.columns if c not in key]
-    pick = F.max_by if descending else F.min_by
-    ordkey = F.struct(*[F.col(c) for c in order])
-    agg = df.groupBy(*key).agg(pick(F.struct(*[F.col(c) for c in rest]), ordkey).alias("_ff_row"))
-    return agg.select(*key, *[F.col("_ff_row")[c].alias(c) for c in rest])
+    place = Window.partitionBy(*key).orderBy(*[F.col(c).desc() if descending else F.col(c).asc() for c in order])
+    ranked = df.withColumn("_ff_rn", F.row_number().over(place)).where(F.col("_ff_rn") == 1)
+    return ranked.select(*key, *rest)

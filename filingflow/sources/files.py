@@ -103,7 +103,7 @@ def write_checkpoints(df: DataFrame, path: str, version: int) -> None:
 
 def read_checkpoints(spark: SparkSession, path: str, symbols: DataFrame | None = None) -> DataFrame:
     """Newest checkpoint per symbol from the checkpoint table (upsert by
-    version, map-side combined), with ``{1, 0}`` defaults for ``symbols``."""
+    version, groups limited before the shuffle), with ``{1, 0}`` defaults for ``symbols``."""
     hist = spark.read.parquet(path)
     latest = first_per_key(hist, ["symbol"], ["version"], descending=True)
     return _with_defaults(latest.drop("version"), symbols)
