@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from filingflow.functions import text as T
 
@@ -76,8 +77,13 @@ def stt_uniqueness(index: DataFrame, symbol: str = "symbol", stt: str = "STT") -
     A column whose values are all numbers is compared numerically (``1`` and
     ``1.0`` are one value), otherwise as text; a missing STT counts as one
     value.  Rows are first reduced to (symbol, STT) pairs, so a symbol with
-    a third of all rows is combined map-side like any other.
+    a third of all rows is combined map-side like any other.  An STT column
+    of an integer type needs no reading as text: its pairs are counted.
     """
+    if isinstance(index.select(stt).schema[0].dataType, IntegralType):
+        pairs = index.groupBy(F.col(symbol).alias("symbol"), F.col(stt).alias("_stt")).agg(F.count(F.lit(1)).alias("_n"))
+        per = pairs.groupBy("symbol").agg(F.sum("_n").cast("bigint").alias("n_rows"), F.count(F.lit(1)).alias("n_distinct"))
+        return per.withColumn("stt_unique", F.col("n_rows") == F.col("n_distinct"))
     pairs = index.groupBy(
         F.col(symbol).alias("symbol"), F.col(stt).cast("string").alias("_stt")
     ).agg(F.count(F.lit(1)).alias("_n"))

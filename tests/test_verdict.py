@@ -67,6 +67,9 @@ def test_wide_integers_differ(spark):
     index = spark.createDataFrame([("S", "9007199254740993"), ("S", "9007199254740992"), ("T", "1"), ("T", "1.0"), ("U", "1"), ("U", "01")], "symbol string, STT string")
     got = {r["symbol"]: r["n_distinct"] for r in audit.stt_uniqueness(index).collect()}
     assert got == {"S": 2, "T": 1, "U": 1}
+    typed = spark.createDataFrame([("S", 1), ("S", None), ("S", None), ("T", 2), ("T", 1)], "symbol string, STT long")
+    got = {r["symbol"]: (r["n_rows"], r["n_distinct"], r["stt_unique"]) for r in audit.stt_uniqueness(typed).collect()}
+    assert got == {"S": (3, 2, False), "T": (2, 2, True)}
 
 
 def test_faithful_mode_hides_the_exact_style_only():
