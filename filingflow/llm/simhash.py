@@ -20,7 +20,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from filingflow.llm.common import connected_components, star_forest, text_batches, work_table
@@ -50,17 +50,23 @@ def text_fingerprint(data: bytes, words_per_shingle: int) -> int:
 
 
 def fingerprints(docs: DataFrame, words_per_shingle: int = 4, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, fp): the SimHash of every whole text; null texts have no words."""
+    """(key, text_id, fp): the SimHash of every whole text (``text_id``: a hash
+    that names the text); null texts have no words."""
 
     text_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(1).cast(pa.binary())
+            texts = batch.column(2).cast(pa.binary())
             fps = [text_fingerprint(t.as_py() or b"", words_per_shingle) for t in texts]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, pa.int64())], [key, "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(fps, pa.int64())], [key, "text_id", "fp"])
 
-    return docs.select(key, text).mapInArrow(run, f"`{key}` {dict(docs.dtypes)[key]}, fp long")
+    rows = docs.select(key, _text_id(text).alias("text_id"), text)
+    return rows.mapInArrow(run, f"`{key}` {dict(docs.dtypes)[key]}, text_id long, fp long")
+
+
+def _text_id(text: str) -> Column:
+    return F.xxhash64(F.col(text))
 
 
 def block_edges(max_bits: int) -> list[tuple[int, int]]:
@@ -171,34 +177,38 @@ def fingerprint_links(fps: DataFrame, max_bits: int = 4, shard_rows: int = 8192)
 
 
 def near_duplicates(docs: DataFrame, words_per_shingle: int = 4, max_bits: int = 4, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per document: ``key, fp, component_id``.
+    """One row per document: ``key, text_id, fp, component, component_id``.
 
     Documents whose fingerprints differ in at most ``max_bits`` bits are
     linked; ``component_id`` is the smallest key that links reach, the
-    document's own included.  A null key takes part and never is a component's
-    name unless no member has a key (then null); null texts and texts without
-    words have fingerprint 0 and are linked like others; an empty table gives
-    an empty result; repeated rows stay rows."""
+    document's own included, and ``component`` the smallest fingerprint, which
+    names the group also where keys are null or repeat.  A null key takes part
+    and never is a component's name unless no member has a key (then null);
+    null texts and texts without words have fingerprint 0 and are linked like
+    others; an empty table gives an empty result; repeated rows stay rows."""
     rows = work_table(fingerprints(docs, words_per_shingle, key, text), "simhash")
     distinct = work_table(rows.groupBy("fp").agg(F.min(key).alias("first")), "simhash")
     found = connected_components(fingerprint_links(distinct, max_bits), "a", "b")
     named = distinct.join(found.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
     names = named.groupBy("component").agg(F.min("first").alias("component_id"))
-    named = named.select("fp", "component").join(names, "component").select("fp", "component_id")
-    return rows.join(named, "fp").select(key, "fp", "component_id")
+    named = named.select("fp", "component").join(names, "component").select("fp", "component", "component_id")
+    return rows.join(named, "fp").select(key, "text_id", "fp", "component", "component_id")
 
 
 def hex_fingerprint(fp: Column) -> Column:
     return F.lpad(F.lower(F.hex(fp)), 16, "0")
 
 
-def keep_one(docs: DataFrame, components: DataFrame, key: str = "doc_id") -> DataFrame:
-    """Rows of ``docs`` with the key that names their component, each key once;
-    of components without any key one row stays as well.  The columns of
-    ``docs`` are unchanged."""
-    kept = components.where(F.col(key).eqNullSafe(F.col("component_id"))).select(F.col(key).alias("_ff_key")).distinct()
-    joined = docs.join(kept, docs[key].eqNullSafe(F.col("_ff_key")), "inner")
-    from pyspark.sql import Window
-
-    once = Window.partitionBy("_ff_key").orderBy("_ff_key")
-    return joined.withColumn("_ff_rn", F.row_number().over(once)).where("_ff_rn = 1").drop("_ff_key", "_ff_rn")
+def keep_one(docs: DataFrame, components: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row of ``docs`` for every component of :func:`near_duplicates`: the
+    one with the key that names it; among rows that share this key (or have
+    none, in a component without keys) the text with the smallest hash.  The
+    columns of ``docs`` are unchanged."""
+    named = components.where(F.col(key).eqNullSafe(F.col("component_id")))
+    kept = named.groupBy("component").agg(F.min(F.struct(key, "text_id")).alias("_ff"))
+    kept = kept.select(F.col(f"_ff.{key}").alias("_ff_key"), F.col("_ff.text_id").alias("_ff_text"))
+    rows = docs.withColumn("_ff_id", _text_id(text))
+    joined = rows.join(kept, F.col(key).eqNullSafe(F.col("_ff_key")) & (F.col("_ff_id") == F.col("_ff_text")), "inner")
+    # Rows that repeat key and text; the limited row number prunes them before the shuffle.
+    once = Window.partitionBy("_ff_key", "_ff_text").orderBy("_ff_id")
+    return joined.withColumn("_ff_rn", F.row_number().over(once)).where("_ff_rn = 1").select(docs.columns)

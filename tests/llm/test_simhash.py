@@ -84,3 +84,12 @@ def test_edges(spark, make_docs):
     kept = simhash.keep_one(clash, simhash.near_duplicates(clash))
     assert kept.columns == clash.columns
     assert sorted([r["doc_id"] for r in kept.collect()], key=repr) == [2, 4, None]
+
+
+def test_one_of_each_group_stays_when_keys_are_null_or_repeat(make_docs):
+    a, b, c = "alpha beta gamma delta epsilon", "quite another text of some words", "a third one that is like neither"
+    docs = make_docs([(None, a), (None, a), (None, b), (5, b), (7, c), (7, "and seven once more with its own text"), (None, c), (None, "no key and no copy")])
+    kept = simhash.keep_one(docs, simhash.near_duplicates(docs)).collect()
+    got = sorted([(r["doc_id"], r["text"]) for r in kept], key=repr)
+    expect = [(None, a), (5, b), (7, c), (7, "and seven once more with its own text"), (None, "no key and no copy")]
+    assert got == sorted(expect, key=repr)
