@@ -13,9 +13,10 @@ new archive every ``records_per_file`` records.
 
 from __future__ import annotations
 
+import gzip
 import hashlib
-import zlib
-from collections.abc import Iterator
+import io
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -79,20 +80,44 @@ def write_archives(pages: DataFrame, path: str, min_payload: int = 100, date: st
     writer.option("maxRecordsPerFile", records_per_file).text(path)
 
 
-def parse_records(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """(headers, block) of every record in one archive's bytes; the blocks are
-    cut by Content-Length, so a payload may hold any byte sequence."""
-    at = 0
-    while at < len(data):
-        end = data.index(b"\r\n\r\n", at)
-        lines = data[at:end].decode("utf-8").split("\r\n")
+def _inflated(data: bytes, step: int = 1 << 20) -> Iterator[bytes]:
+    """Plain bytes of a gzip file, piece by piece, over all its members."""
+    with gzip.GzipFile(fileobj=io.BytesIO(data)) as file:
+        while piece := file.read(step):
+            yield piece
+
+
+def parse_records(pieces: Iterable[bytes]) -> Iterator[tuple[dict[str, str], bytes]]:
+    """(headers by lower-case name, block) of every record in one archive; the
+    blocks are cut by Content-Length, so a payload may hold any byte sequence.
+    One record and one piece are held at a time."""
+    pieces, held = iter(pieces), bytearray()
+
+    def fill(enough: Callable[[], bool]) -> None:
+        while not enough():
+            piece = next(pieces, None)
+            if piece is None:
+                raise ValueError("the archive ends inside a record")
+            held.extend(piece)
+
+    while True:
+        while not held.strip(b"\r\n"):
+            piece = next(pieces, None)
+            if piece is None:
+                return
+            held.extend(piece)
+        del held[: len(held) - len(held.lstrip(b"\r\n"))]
+        fill(lambda: b"\r\n\r\n" in held)
+        head, _, _ = held.partition(b"\r\n\r\n")
+        lines = head.decode("utf-8").split("\r\n")
         if not lines[0].startswith("WARC/"):
-            raise ValueError(f"no WARC record at byte {at}")
-        headers = dict(line.split(": ", 1) for line in lines[1:])
-        start = end + 4
-        stop = start + int(headers["Content-Length"])
-        yield headers, data[start:stop]
-        at = stop + 4
+            raise ValueError(f"no WARC record: {lines[0][:40]!r}")
+        headers = {name.strip().lower(): value.strip() for name, _, value in (line.partition(":") for line in lines[1:])}
+        start, length = len(head) + 4, int(headers["content-length"])
+        fill(lambda: len(held) >= start + length)
+        block = bytes(held[start : start + length])
+        del held[: start + length]
+        yield headers, block
 
 
 def _parse_files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -101,21 +126,24 @@ def _parse_files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for content in batch.column(0):
             cols: list[list] = [[] for _ in names]
             size = 0
-            for headers, block in parse_records(zlib.decompress(content.as_py(), wbits=47)):
-                page, revisit = headers.get("X-Page-Id"), headers["WARC-Type"] == "revisit"
-                payload = block.split(b"\r\n\r\n", 1)[1]
+            for headers, block in parse_records(_inflated(content.as_py())):
+                if headers["warc-type"] not in ("response", "revisit"):
+                    continue
+                page, revisit = headers.get("x-page-id"), headers["warc-type"] == "revisit"
+                payload = block.partition(b"\r\n\r\n")[2]
+                digest = headers.get("warc-payload-digest")
                 row = (
                     None if page is None else int(page),
-                    headers.get("WARC-Target-URI"),
-                    headers["WARC-Type"],
-                    headers["WARC-Payload-Digest"].removeprefix("sha256:"),
+                    headers.get("warc-target-uri"),
+                    headers["warc-type"],
+                    None if digest is None else digest.removeprefix("sha256:"),
                     None if revisit else len(payload),
                     None if revisit else hashlib.sha256(payload).hexdigest(),
-                    None if revisit else payload.decode("utf-8"),
+                    None if revisit else payload.decode("utf-8", "replace"),
                 )
                 for col, value in zip(cols, row, strict=True):
                     col.append(value)
-                size += len(payload)
+                size += len(payload) + 500
                 if size > 4 << 20:  # bounded batches go back
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, TYPES, strict=True)], names)
                     cols, size = [[] for _ in names], 0
@@ -128,7 +156,9 @@ TYPES = [pa.int64(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.strin
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
     """Records of the archives under ``path``: ``page_id, url, record_type,
     declared_digest, payload_bytes, payload_digest, html`` (the last three are
-    recomputed from the stored payload; null for revisits)."""
+    recomputed from the stored payload; null for revisits).  Archives may hold
+    one gzip member or one for each record; records of other types are passed
+    over.  A file's plain bytes are never held whole."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path).select("content")
     return files.mapInArrow(
         _parse_files,

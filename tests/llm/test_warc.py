@@ -45,3 +45,37 @@ def test_extra_columns_with_clashing_names(spark, tmp_path):
     pages = spark.createDataFrame([(1, "u", "x" * 200, "p", 3)], SCHEMA + ", payload string, first_id int")
     warc.write_archives(pages, str(tmp_path / "w"))
     assert warc.resolve_read(warc.read_archives(spark, str(tmp_path / "w"))).first()["payload_bytes"] == 200
+
+
+def test_other_archives_are_read(spark, tmp_path):
+    """One gzip member for each record, other record types, other spellings of header names."""
+    import gzip
+
+    def record(kind, body, extra=""):
+        block = b"HTTP/1.1 200 OK\r\n\r\n" + body
+        head = f"WARC/1.1\r\nwarc-type:{kind}\r\n{extra}CONTENT-LENGTH: {len(block)}\r\n\r\n"
+        return gzip.compress(head.encode() + block + b"\r\n\r\n")
+
+    bodies = [b"x" * 5_000_000, b"", "\u00e9 page".encode(), b"\r\n\r\nWARC/1.1\r\n\r\n"]
+    members = [record("warcinfo", b"software: s")] + [record("response", b, f"X-Page-Id:{i}\r\n") for i, b in enumerate(bodies)]
+    (tmp_path / "a.warc.gz").write_bytes(b"".join(members))
+    got = {r["page_id"]: (r["payload_bytes"], r["payload_digest"], r["declared_digest"]) for r in warc.read_archives(spark, str(tmp_path)).collect()}
+    assert got == {i: (len(b), hashlib.sha256(b).hexdigest(), None) for i, b in enumerate(bodies)}
+
+
+def test_pieces_may_cut_a_record_anywhere():
+    import gzip
+
+    import pytest
+
+    plain = b"".join(b"WARC/1.1\r\nContent-Length: %d\r\n\r\n%s\r\n\r\n" % (n, b"b" * n) for n in (0, 1, 40, 3))
+    whole = [(h["content-length"], b) for h, b in warc.parse_records([plain])]
+    assert [int(n) for n, _ in whole] == [0, 1, 40, 3]
+    assert [(h["content-length"], b) for h, b in warc.parse_records(plain[i : i + 1] for i in range(len(plain)))] == whole
+    zipped = gzip.compress(plain) * 3
+    for step in (1, 7, 64, 1 << 20):
+        assert b"".join(warc._inflated(zipped, step)) == plain * 3
+    with pytest.raises(EOFError):
+        list(warc._inflated(zipped[:-12]))
+    with pytest.raises(ValueError):
+        list(warc.parse_records([plain[:-60]]))
