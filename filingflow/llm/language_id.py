@@ -33,7 +33,8 @@ _SLICE = 1 << 19
 
 
 def normalise(text: str) -> str:
-    return _NOT_LETTERS.sub(" ", text.lower()).strip()
+    clean = _NOT_LETTERS.sub(" ", text.lower()).strip()
+    return clean if any(map(str.isalpha, clean)) else ""  # fractions and superscripts alone are no letters
 
 
 def gram_hash(grams: list[np.ndarray]) -> np.ndarray:

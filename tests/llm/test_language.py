@@ -107,3 +107,8 @@ def test_nothing_to_learn_from(spark, make_docs):
     assert L.predict(make_docs([]), model).count() == 0
     assert L.keep_accepted(docs, model).columns == docs.columns
     assert [r["h"] for r in docs.limit(0).union(make_docs([(None, "x")])).select(L.held_out(docs["doc_id"]).alias("h")).collect()] == [True]
+
+
+def test_numbers_and_signs_are_no_letters():
+    assert language_id.normalise("½ ² Ⅷ 12_ !?") == ""
+    assert language_id.normalise("½ Straße 2x") == "½ straße x"
