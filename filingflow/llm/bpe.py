@@ -45,6 +45,29 @@ _ENCODE = f"""
     )
     SELECT w, arg_max(toks, step) AS toks FROM state GROUP BY w
 """
+# A long piece contracts all occurrences of its minimum-rank pair in one round
+# where that is the same as one after the other: if no pair that holds the
+# merged token has a lower rank (``steady``), the same pair stays the minimum
+# until its last occurrence is gone.  Otherwise only the leftmost is contracted.
+_LONG_PICKS = """
+    WITH pairs AS (
+        SELECT w, pos, tok AS l, lead(tok) OVER (PARTITION BY w ORDER BY pos) AS r, lead(pos) OVER (PARTITION BY w ORDER BY pos) AS next FROM now
+    ),
+    found AS (SELECT w, pos, next, m, steady FROM pairs JOIN merges USING (l, r)),
+    lowest AS (SELECT *, min(m) OVER (PARTITION BY w) AS best FROM found),
+    runs AS (
+        SELECT *, lag(next) OVER (PARTITION BY w ORDER BY pos) IS NOT DISTINCT FROM pos AS touches,
+               row_number() OVER (PARTITION BY w ORDER BY pos) AS k
+        FROM lowest WHERE m = best
+    ),
+    dealt AS (SELECT *, k - max(CASE WHEN touches THEN 0 ELSE k END) OVER (PARTITION BY w ORDER BY k) AS place FROM runs)
+    SELECT w, pos, next, m FROM dealt WHERE k = 1 OR (steady AND place % 2 = 0)
+"""
+_LONG_ROUND = """
+    SELECT n.w, n.pos, coalesce(p.m, n.tok) AS tok
+    FROM (FROM now SEMI JOIN picked USING (w)) n
+    LEFT JOIN picked p ON p.w = n.w AND p.pos = n.pos ANTI JOIN picked g ON g.w = n.w AND g.next = n.pos
+"""
 _DECODE = """
     SELECT f.w, unhex(string_agg(v.hex, '' ORDER BY f.pos)) AS text
     FROM (SELECT w, unnest(toks) AS tok, unnest(range(len(toks))) AS pos FROM fixpoint) f JOIN vocabulary v ON v.id = f.tok GROUP BY f.w
@@ -70,7 +93,12 @@ class Tokenizer:
         left, right, merged = (pa.array(c, pa.int32()) for c in zip(*pairs, strict=True))
         self.con.register("pairs", pa.table({"l": left, "r": right, "m": merged}))
         self.con.register("tokens", pa.table({"id": pa.array(list(ranks.values()), pa.int32()), "hex": [t.hex() for t in ranks]}))
-        self.con.execute("CREATE TABLE merges AS FROM pairs; CREATE TABLE vocabulary AS FROM tokens")
+        self.con.execute("""
+            CREATE TABLE merges AS
+            WITH around AS (SELECT part, min(m) AS least FROM (SELECT l AS part, m FROM pairs UNION ALL SELECT r, m FROM pairs) GROUP BY part)
+            SELECT l, r, m, coalesce(least > m, true) AS steady FROM pairs LEFT JOIN around ON part = m;
+            CREATE TABLE vocabulary AS FROM tokens
+        """)
         self.known: dict[str, tuple[bytes, bytes]] = {}
         self.older: dict[str, tuple[bytes, bytes]] = {}
         self.size = 0
@@ -86,14 +114,15 @@ class Tokenizer:
         self.con.register("start", self._start(pieces))
         if max(map(len, pieces)) <= SHORT_PIECE:
             return self.con.sql(_ENCODE).to_arrow_table()
-        # Long pieces: the same round as a loop, so that only the last state is held.
-        self.con.execute("CREATE OR REPLACE TEMP TABLE now AS SELECT w, list(tok ORDER BY pos) AS toks, 0 AS step FROM start GROUP BY w")
+        # Long pieces: rounds as a loop, so that only the last state is held.
+        self.con.execute("CREATE OR REPLACE TEMP TABLE now AS SELECT w, CAST(pos AS INTEGER) AS pos, tok FROM start")
         done = []
         while True:
-            self.con.execute(f"CREATE OR REPLACE TEMP TABLE later AS {_NEXT_ROUND.format(state='now')}")
-            done.append(self.con.sql("SELECT w, toks FROM now ANTI JOIN later USING (w)").to_arrow_table())
-            if not self.con.sql("SELECT count(*) FROM later").fetchall()[0][0]:
+            self.con.execute(f"CREATE OR REPLACE TEMP TABLE picked AS {_LONG_PICKS}")
+            done.append(self.con.sql("SELECT w, list(tok ORDER BY pos) AS toks FROM now ANTI JOIN picked USING (w) GROUP BY w").to_arrow_table())
+            if not self.con.sql("SELECT count(*) FROM picked").fetchall()[0][0]:
                 return pa.concat_tables(done)
+            self.con.execute(f"CREATE OR REPLACE TEMP TABLE later AS {_LONG_ROUND}")
             self.con.execute("CREATE OR REPLACE TEMP TABLE now AS FROM later")
 
     def learn(self, pieces: list[str]) -> None:

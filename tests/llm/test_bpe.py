@@ -1,4 +1,5 @@
 import hashlib
+import random
 
 import public_tokenizers
 import tiktoken
@@ -35,3 +36,14 @@ def test_cache_limit_keeps_results(monkeypatch):
     for _ in range(3):
         assert tok.encode_batch(texts) == a and not tok.known
     assert tok.encode_batch(["new piecelike"]) and len(tok.older) == 2
+
+
+def test_long_pieces_as_the_public_library():
+    rng = random.Random(3)
+    enc = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.read_ranks(PATH), special_tokens={})
+    tok = bpe.Tokenizer(PATH, public_tokenizers.PATTERN)
+    texts = ["=" * n for n in (49, 50, 1000, 20_001)] + ["ab" * 3000, "aab" * 700, "the" * 900 + "t", "\u65e5\u672c" * 500, " " * 3000 + "x"]
+    letters = "etaoinshrdlu"
+    texts += ["".join(rng.choice(letters[:k]) for _ in range(n)) for k in (1, 2, 3, 5, 12) for n in (49, 60, 400, 2500)]
+    for t, (n, ids, decoded) in zip(texts, tok.encode_batch(texts), strict=True):
+        assert [int(i) for i in ids.split()] == enc.encode_ordinary(t) and decoded == t.encode() and n == len(ids.split())
