@@ -22,6 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from filingflow.llm.common import work_table
+
 # Fixed values of the WARC 1.1 format.
 PROFILE = "http://netpreservefoundation.org/warc/1.1/revisit/identical-payload-digest"
 HTTP_HEAD = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
@@ -168,8 +170,10 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
 
 def resolve_read(records: DataFrame) -> DataFrame:
     """Every record with the payload figures of its original response:
-    revisits are joined to responses by payload digest."""
+    revisits are joined to responses by payload digest.  The headers are
+    written once, so that the archives are parsed once."""
     rows = records.select("page_id", "record_type", F.col("declared_digest").alias("digest"), "payload_bytes", "payload_digest")
+    rows = work_table(rows, "warc_headers")
     originals = rows.where("record_type = 'response' AND page_id IS NOT NULL").groupBy("digest").agg(
         F.min("page_id").alias("o_id"), F.max("payload_bytes").alias("o_bytes"), F.max("payload_digest").alias("o_digest")
     )
