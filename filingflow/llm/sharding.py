@@ -1,10 +1,12 @@
 """Sharding by proportional stratified interleaving (operator 1).
 
 Rows are shuffled by a seeded hash inside their source, a row's fractional
-rank is ``(rank + 0.5) / rows of the source``, all rows are ordered by
+rank is ``(rank + u) / rows of the source``, all rows are ordered by
 fractional rank and the order is cut into equal counts: every shard holds
 every source in the mixture's proportion, and shard sizes differ by at most
-one row.
+one row.  The offset ``u`` is a source's own fractional rank, in seeded order,
+among the sources with as many rows up to a factor of two: sources of a long
+tail spread evenly over all shards, and one that is alone has 0.5.
 
 Ranks never need one task for a source or for the table.  A hash is uniform,
 so ``floor(hash * buckets of the source)`` deals the rows of any source, a hot
@@ -31,6 +33,23 @@ def _offsets(buckets: DataFrame, by: Sequence[str], bucket: str, name: str) -> D
     return counts.select(*by, bucket, F.coalesce(F.sum("_ff_rows").over(before), F.lit(0)).alias(name))
 
 
+def _source_offsets(sources: DataFrame, seed: int, bucket_rows: int) -> DataFrame:
+    """``sources`` (``_ff_src, _ff_n``) with the offset ``_ff_at`` in (0, 1).
+
+    Sources of one size class (``_ff_n`` in binary digits) are dealt by a
+    seeded hash into ordered buckets, as the rows of a source are."""
+    rows = sources.withColumn("_ff_class", F.length(F.bin("_ff_n")))
+    rows = rows.withColumn("_ff_h", F.xxhash64(F.lit(seed), F.lit("source"), "_ff_src").bitwiseAND(F.lit((1 << 53) - 1)) / F.lit(float(1 << 53)))
+    classes = rows.groupBy("_ff_class").agg(F.count(F.lit(1)).alias("_ff_m"))
+    rows, classes = salted(rows, classes, "_ff_src")
+    rows = rows.join(classes, ["_ff_class", "_ff_salt"]).drop("_ff_salt")
+    rows = rows.withColumn("_ff_b", F.floor(F.col("_ff_h") * F.ceil(F.col("_ff_m") / bucket_rows)))
+    offsets = _offsets(rows.select("_ff_class", "_ff_b"), ["_ff_class"], "_ff_b", "_ff_off")
+    inside = Window.partitionBy("_ff_class", "_ff_b").orderBy("_ff_h", "_ff_src")
+    ranked = rows.withColumn("_ff_r", F.row_number().over(inside)).join(offsets, ["_ff_class", "_ff_b"])
+    return ranked.select("_ff_src", "_ff_n", ((F.col("_ff_off") + F.col("_ff_r") - 0.5) / F.col("_ff_m")).alias("_ff_at"))
+
+
 def interleave_shards(
     df: DataFrame,
     shards: int = 16,
@@ -51,7 +70,8 @@ def interleave_shards(
     own = df.columns
     rows = df.withColumn("_ff_src", F.coalesce(F.concat(F.lit("="), F.col(source).cast("string")), F.lit("")))
     rows = rows.withColumn("_ff_u", F.xxhash64(F.lit(seed), *key).bitwiseAND(F.lit((1 << 53) - 1)) / F.lit(float(1 << 53)))
-    sources = rows.groupBy("_ff_src").agg(F.count(F.lit(1)).alias("_ff_n"))
+    sources = work_table(rows.groupBy("_ff_src").agg(F.count(F.lit(1)).alias("_ff_n")), "shards")
+    sources = _source_offsets(sources, seed, bucket_rows)
     rows, sources = salted(rows, sources, *key)
     rows = rows.join(sources, ["_ff_src", "_ff_salt"])
     rows = rows.withColumn("_ff_b", F.floor(F.col("_ff_u") * F.ceil(F.col("_ff_n") / bucket_rows)))
@@ -60,7 +80,7 @@ def interleave_shards(
     offsets = _offsets(rows.select("_ff_src", "_ff_b"), ["_ff_src"], "_ff_b", "_ff_off")
     inside = Window.partitionBy("_ff_src", "_ff_b").orderBy("_ff_u", *[c for c in own])
     ranked = rows.withColumn("_ff_r", F.row_number().over(inside)).join(offsets, ["_ff_src", "_ff_b"])
-    ranked = ranked.withColumn("_ff_frac", (F.col("_ff_off") + F.col("_ff_r") - 0.5) / F.col("_ff_n"))
+    ranked = ranked.withColumn("_ff_frac", (F.col("_ff_off") + F.col("_ff_r") - 1 + F.col("_ff_at")) / F.col("_ff_n"))
     ranked = work_table(ranked.select(*own, "_ff_src", "_ff_frac"), "shards")
 
     # A scalar subquery over per-source counts, not a job of its own.

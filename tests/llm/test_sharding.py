@@ -40,3 +40,18 @@ def test_seed_bucket_size_and_edges(spark, make_docs):
     clash = same.withColumn("shard", same["doc_id"]).withColumn("slot", same["text"])
     out = rows_of(interleave_shards(clash, shards=4))
     assert Counter(r["shard"] for r in out) == {0: 2, 1: 2, 2: 2, 3: 2} and out[0]["slot"] == 0
+
+
+def test_a_long_tail_of_small_sources_is_in_every_shard(spark):
+    rows = [(i, "a") for i in range(2000)] + [(2000 + i, f"one{i}") for i in range(1000)] + [(3000 + i, f"two{i // 2}") for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string")
+    placed = rows_of(interleave_shards(docs, shards=16, bucket_rows=64))
+    assert sorted((r["doc_id"], r["source"]) for r in placed) == sorted(rows)
+    for tail, n in (("a", 2000), ("one", 1000), ("two", 600)):
+        per = Counter(r["shard"] for r in placed if r["source"].startswith(tail))
+        assert all(abs(per[s] - n / 16) <= 4 for s in range(16)), (tail, per)
+    shards_of = {}
+    for r in placed:
+        if r["source"].startswith("two"):
+            shards_of.setdefault(r["source"], []).append(r["shard"])
+    assert all(abs(a - b) >= 7 for a, b in shards_of.values())
