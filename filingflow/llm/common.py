@@ -45,6 +45,17 @@ def salted(rows: DataFrame, small: DataFrame, *spread: str, salts: int = 32) ->
     return rows.withColumn("_ff_salt", salt), small.withColumn("_ff_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
 
 
+def repeated(df: DataFrame, times: str, chunk: int = 4096) -> DataFrame:
+    """Every row of ``df`` as often as its column ``times`` says; the column
+    becomes the number of the copy (from 0).  More than ``chunk`` copies of a
+    row are made by several tasks."""
+    few = df.where(F.col(times) <= chunk).withColumn(times, F.explode(F.expr(f"sequence(0L, {times} - 1)")))
+    many = df.where(F.col(times) > chunk).withColumn("_ff_chunk", F.explode(F.expr(f"sequence(0L, ({times} - 1) div {chunk})")))
+    many = many.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), "_ff_chunk", *[c for c in df.columns if c != times])
+    many = many.withColumn(times, F.explode(F.expr(f"sequence(_ff_chunk * {chunk}, least({times}, (_ff_chunk + 1) * {chunk}) - 1)")))
+    return few.unionByName(many.drop("_ff_chunk"))
+
+
 def worker_cache(name: str) -> dict:
     """A dictionary that lives as long as the Python worker process."""
     return sys.__dict__.setdefault("_filingflow_worker_cache", {}).setdefault(name, {})

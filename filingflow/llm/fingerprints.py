@@ -24,7 +24,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from filingflow.llm.common import work_table
+from filingflow.llm.common import repeated, work_table
 
 _LOW = (1 << 32) - 1
 
@@ -88,19 +88,36 @@ def fingerprint_documents(
 
     ``edit`` makes a second text of a document's and the next one's, in
     descending order of the key (after the last comes the first; null keys are
-    last, rows with equal keys follow their texts, equal rows are
+    last, rows with equal keys follow the hashes of their texts, equal rows are
     interchangeable).  A null text is empty; an empty table gives an empty
     result; other columns are ignored.  A document that is alone follows
-    itself."""
-    rows = docs.select(F.col(key).alias("_ff_key"), F.coalesce(text, F.lit("")).alias("_ff_text"))
-    bounds = _key_bounds(rows.select("_ff_key"), range_rows)
-    rows = rows.withColumn("_ff_range", _place(F.col("_ff_key"), bounds))
+    itself.
+
+    A key of more than ``range_rows`` rows has ranges of its own, by the hash
+    of the text; more copies of a row than that are two rows, of which the
+    first stands for all but the last."""
+    rows = docs.select(F.col(key).alias("_ff_key"), F.coalesce(text, F.lit("")).alias("_ff_text")).withColumn("_ff_th", F.xxhash64("_ff_text"))
+    many = rows.groupBy("_ff_key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > range_rows)
+    many = {r["_ff_key"]: r["n"] for r in many.collect()}
+    times = F.lit(1).cast("bigint").alias("_ff_times")
+    if many:
+        copies = rows.groupBy(F.col("_ff_key").alias("c_key"), F.col("_ff_th").alias("c_th")).agg(F.count(F.lit(1)).alias("n"))
+        copies = work_table(copies.where(F.col("n") > range_rows), "copies")
+        same = F.col("_ff_key").eqNullSafe(F.col("c_key")) & (F.col("_ff_th") == F.col("c_th"))
+        two = rows.join(F.broadcast(copies), same).groupBy("_ff_key", "_ff_th", "n").agg(F.min("_ff_text").alias("_ff_text"))
+        two = two.select("_ff_key", "_ff_text", "_ff_th", F.explode(F.array(F.col("n") - 1, F.lit(1).cast("bigint"))).alias("_ff_times"))
+        rows = rows.join(F.broadcast(copies), same, "left_anti").withColumn("_ff_times", times).unionByName(two)
+    else:
+        rows = rows.withColumn("_ff_times", times)
+    parts = {k: -(-n // range_rows) for k, n in many.items()}
+    bounds = sorted({*_key_bounds(rows.select("_ff_key"), range_rows), *(k for k in parts if k is not None)}, reverse=True)
+    rows = rows.withColumn("_ff_range", _place(F.col("_ff_key"), bounds, F.col("_ff_th"), parts))
 
     # The first document of every range; the range's largest key is one row per range.
-    order = [F.desc_nulls_last("_ff_key"), F.col("_ff_text")]
+    order = [F.desc_nulls_last("_ff_key"), F.col("_ff_th"), F.col("_ff_text"), F.desc("_ff_times")]
     tops = rows.groupBy("_ff_range").agg(F.max("_ff_key").alias("t_key")).withColumnRenamed("_ff_range", "t_range")
     top = (F.col("_ff_range") == F.col("t_range")) & F.col("_ff_key").eqNullSafe(F.col("t_key"))
-    first = rows.join(F.broadcast(tops), top).groupBy("_ff_range").agg(F.min("_ff_text").alias("h_text"))
+    first = rows.join(F.broadcast(tops), top).groupBy("_ff_range").agg(F.min(F.struct("_ff_th", "_ff_text"))["_ff_text"].alias("h_text"))
     first = work_table(first, "heads")
     first = first.join(signatures(first, ["_ff_range"], "h_text", samples), "_ff_range", "left")
     # Range numbers only go through one window; the last range is followed by the first.
@@ -113,8 +130,9 @@ def fingerprint_documents(
     heads = work_table(heads.drop("h_range"), "heads")
 
     # Two ranges to a partition: its bags of words fit in the memory of a task.
+    ranges = len(bounds) + sum(parts.values())
     inside = Window.partitionBy("_ff_range").orderBy(*order)
-    numbered = rows.repartition(len(bounds) // 2 + 1, "_ff_range")
+    numbered = rows.repartition(ranges // 2 + 1, "_ff_range")
     numbered = numbered.withColumns({"_ff_row": F.row_number().over(inside), "_ff_next": F.lead("_ff_text").over(inside)})
     numbered = numbered.join(heads.select("_ff_range", "h_text"), "_ff_range")
     following = F.coalesce("_ff_next", "h_text")
@@ -122,18 +140,20 @@ def fingerprint_documents(
     both = edited.select("_ff_range", "_ff_row", F.explode(F.array(F.struct(F.lit(0).alias("v"), F.col("_ff_text").alias("s")), F.struct(F.lit(1).alias("v"), F.col("_ff_edited").alias("s")))).alias("x"))
     both = both.select("_ff_range", "_ff_row", F.col("x.v").alias("_ff_v"), F.col("x.s").alias("_ff_s"))
     drawn = signatures(both, ["_ff_range", "_ff_row", "_ff_v"], "_ff_s", samples)
-    facts = edited.select("_ff_range", "_ff_row", F.lit(2).alias("_ff_v"), F.col("_ff_key").alias(key), F.length("_ff_text").cast("long").alias("n_chars"), F.sha2("_ff_edited", 256).alias("edited_sha256"))
+    facts = edited.select("_ff_range", "_ff_row", F.lit(2).alias("_ff_v"), "_ff_times", F.col("_ff_key").alias(key), F.length("_ff_text").cast("long").alias("n_chars"), F.sha2("_ff_edited", 256).alias("edited_sha256"))
     # One job for both: the texts are shuffled once.
     found = work_table(drawn.unionByName(facts, allowMissingColumns=True), "signatures")
     keys = ["_ff_range", "_ff_row"]
-    facts = found.where("_ff_v = 2").select(*keys, key, "n_chars", "edited_sha256")
+    facts = found.where("_ff_v = 2").select(*keys, "_ff_times", key, "n_chars", "edited_sha256")
     own = found.where("_ff_v = 0").select(*keys, "signature")
     other = found.where("_ff_v = 1").select(*keys, F.col("signature").alias("edited_signature"))
     joined = facts.join(own, keys, "left").join(other, keys, "left").join(heads.select("_ff_range", "h_signature"), "_ff_range")
     following = Window.partitionBy("_ff_range").orderBy("_ff_row")
     is_last = F.lead("_ff_row").over(following).isNull()
     after = F.when(is_last, F.col("h_signature")).otherwise(F.lead("signature").over(following))
-    return joined.select(key, "n_chars", "edited_sha256", "signature", "edited_signature", after.alias("next_signature"))
+    names = [key, "n_chars", "edited_sha256", "signature", "edited_signature"]
+    result = joined.select(*names, after.alias("next_signature"), "_ff_times")
+    return (repeated(work_table(result, "signatures"), "_ff_times") if many else result).drop("_ff_times")
 
 
 def _key_bounds(keys: DataFrame, range_rows: int) -> list:
@@ -149,7 +169,27 @@ def _key_bounds(keys: DataFrame, range_rows: int) -> list:
     return sorted(set(found or []), reverse=True)
 
 
-def _place(key: Column, bounds: list) -> Column:
+def _place(key: Column, bounds: list, text_hash: Column, parts: dict) -> Column:
+    """Number of the range: that of descending ``bounds`` above the key, null
+    keys last, and behind it the number of the part by ``text_hash`` for the
+    keys of ``parts``, which are bounds or null."""
+    place = _above(key, bounds)
+    if not parts:
+        return place
+    step = math.isqrt(len(bounds)) + 1
+
+    def at(values: list, kind: str) -> Column:
+        chunks = F.array(*[F.array(*map(F.lit, values[i : i + step])) for i in range(0, len(values), step)])
+        return F.get(F.get(chunks, F.floor(place / step).cast("int")), (place % step).cast("int")).cast(kind)
+
+    n = F.when(key.isNull(), parts.get(None, 0))
+    if bounds:
+        n = n.when(at(bounds, "string") == key.cast("string"), at([parts.get(b, 0) for b in bounds], "int"))
+    part = F.floor((text_hash / F.lit(float(1 << 64)) + 0.5) * n) + 1
+    return F.shiftleft(place.cast("bigint"), 32) + F.when(n > 0, part).otherwise(0)
+
+
+def _above(key: Column, bounds: list) -> Column:
     """Number of descending ``bounds`` above the key, looked up in two steps;
     null keys come last."""
     if not bounds:

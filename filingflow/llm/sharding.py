@@ -23,7 +23,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from filingflow.llm.common import salted, work_table
+from filingflow.llm.common import repeated, salted, work_table
 
 
 def _offsets(buckets: DataFrame, by: Sequence[str], bucket: str, name: str) -> DataFrame:
@@ -65,18 +65,24 @@ def interleave_shards(
     its own, a null key is an ordinary value, rows that tie in every column are
     interchangeable, an empty table gives an empty result, and input columns
     named like the two results are replaced.  Names starting with ``_ff_`` are
-    reserved."""
+    reserved.
+
+    The hash is of the ``key``, the other columns and the number of the row
+    among equal ones, so that rows of one key spread as others do."""
     df = df.drop("shard", "slot")
     own = df.columns
-    rows = df.withColumn("_ff_src", F.coalesce(F.concat(F.lit("="), F.col(source).cast("string")), F.lit("")))
-    rows = rows.withColumn("_ff_u", F.xxhash64(F.lit(seed), *key).bitwiseAND(F.lit((1 << 53) - 1)) / F.lit(float(1 << 53)))
+    rows = repeated(df.groupBy(*own).agg(F.count(F.lit(1)).alias("_ff_copy")), "_ff_copy", bucket_rows)
+    rows = rows.withColumn("_ff_src", F.coalesce(F.concat(F.lit("="), F.col(source).cast("string")), F.lit("")))
+    whole = [*key, *[c for c in own if c not in key], "_ff_copy"]
+    rows = rows.withColumn("_ff_u", F.xxhash64(F.lit(seed), *whole).bitwiseAND(F.lit((1 << 53) - 1)) / F.lit(float(1 << 53)))
+    rows = work_table(rows, "shards")
     sources = work_table(rows.groupBy("_ff_src").agg(F.count(F.lit(1)).alias("_ff_n")), "shards")
     sources = _source_offsets(sources, seed, bucket_rows)
-    rows, sources = salted(rows, sources, *key)
+    rows, sources = salted(rows, sources, *whole)
     rows = rows.join(sources, ["_ff_src", "_ff_salt"])
     rows = rows.withColumn("_ff_b", F.floor(F.col("_ff_u") * F.ceil(F.col("_ff_n") / bucket_rows)))
 
-    # The counting branch reads the key and the source only.
+    # The counting branch reads the hash and the source only.
     offsets = _offsets(rows.select("_ff_src", "_ff_b"), ["_ff_src"], "_ff_b", "_ff_off")
     inside = Window.partitionBy("_ff_src", "_ff_b").orderBy("_ff_u", *[c for c in own])
     ranked = rows.withColumn("_ff_r", F.row_number().over(inside)).join(offsets, ["_ff_src", "_ff_b"])

@@ -32,7 +32,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from filingflow.llm.common import drop_work_table, work_table, worker_cache
+from filingflow.llm.common import drop_work_table, repeated, work_table, worker_cache
 
 _BASE = 0x9E3779B97F4A7C15
 _SLICE = 1 << 20
@@ -284,26 +284,40 @@ def remove_repeats(docs: DataFrame, window: int = 200, gram: int = 64, group_row
     result; other columns are ignored.  ``gram`` must be at least ``window -
     255`` and below ``window``."""
     docs = docs.select(F.col(key).alias("id"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("th"), F.col(text).alias("text"))
-    spans = repeated_spans(docs, window, gram, group_rows).groupBy(F.col("id").alias("s_id"), F.col("th").alias("s_th"))
+    copies = work_table(docs.groupBy("id", "th").agg(F.count(F.lit(1)).alias("times")).where("times > 1"), "suffixes")
+    some = not copies.isEmpty()
+    if some:
+        # One row for all copies of a row; a string of it starts elsewhere, in the next copy.
+        copies = copies.select(F.col("id").alias("c_id"), F.col("th").alias("c_th"), "times")
+        same = F.col("id").eqNullSafe(F.col("c_id")) & (F.col("th") == F.col("c_th"))
+        one = docs.join(copies, same, "left_semi").groupBy("id", "th").agg(F.min("text").alias("text"))
+        docs = docs.join(copies, same, "left_anti").unionByName(one)
+        whole = one.where(F.octet_length("text") >= window).select("id", "th", F.lit(0).cast("bigint").alias("start"), F.octet_length("text").cast("bigint").alias("stop"))
+    spans = repeated_spans(docs, window, gram, group_rows)
+    spans = (spans.unionByName(whole) if some else spans).groupBy(F.col("id").alias("s_id"), F.col("th").alias("s_th"))
     spans = spans.agg(F.collect_list("start").alias("starts"), F.collect_list("stop").alias("stops"))
     joined = _packed(docs).join(spans, F.col("id").eqNullSafe(F.col("s_id")) & (F.col("th") == F.col("s_th")), "left")
-    names = [key, "n_bytes", "n_removed", "n_spans", "kept_sha256"] + ["kept"] * texts
+    names = ["id", "th", "n_bytes", "n_removed", "n_spans", "kept_sha256"] + ["kept"] * texts
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             first, size, rows = 0, 0, []
             for i in range(batch.num_rows):
-                data = zstandard.decompress(batch.column(1)[i].as_py())
+                data = zstandard.decompress(batch.column(2)[i].as_py())
                 kept, removed, n = data, 0, 0
-                if batch.column(2)[i].is_valid:
-                    start, stop = merge_spans(batch.column(2)[i].values.to_numpy(), batch.column(3)[i].values.to_numpy())
+                if batch.column(3)[i].is_valid:
+                    start, stop = merge_spans(batch.column(3)[i].values.to_numpy(), batch.column(4)[i].values.to_numpy())
                     kept = b"".join(data[a:b] for a, b in zip([0, *stop.tolist()], [*start.tolist(), len(data)], strict=True))
                     removed, n = int((stop - start).sum()), len(start)
                 rows.append([len(data), removed, n, hashlib.sha256(kept).hexdigest()] + [kept] * texts)
                 size += len(kept) * texts
                 if size > 8 << 20 or i == batch.num_rows - 1:
-                    yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(rows)), *map(pa.array, zip(*rows, strict=True))], names)
+                    yield pa.RecordBatch.from_arrays([*(batch.column(k).slice(first, len(rows)) for k in (0, 1)), *map(pa.array, zip(*rows, strict=True))], names)
                     first, size, rows = i + 1, 0, []
 
-    schema = f"`{key}` {dict(docs.dtypes)['id']}, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * texts
-    return joined.select("id", "packed", "starts", "stops").mapInArrow(run, schema)
+    schema = f"id {dict(docs.dtypes)['id']}, th long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * texts
+    found = joined.select("id", "th", "packed", "starts", "stops").mapInArrow(run, schema)
+    if some:
+        found = found.join(copies, same, "left").drop("c_id", "c_th")
+        found = repeated(work_table(found.withColumn("times", F.coalesce("times", F.lit(1))), "suffixes"), "times")
+    return found.select(F.col("id").alias(key), *names[2:])

@@ -64,3 +64,13 @@ def test_edges(make_docs):
     )
     by = {r["doc_id"]: r for r in shown.collect()}
     assert by[1]["s"] == "f" * 256 and by[1]["n"] == 0.0 and len(by[2]["s"]) == 256
+
+
+def test_rows_of_one_key_are_dealt_over_ranges(make_docs):
+    rows = [(i % 5, f"w{i} x y z") for i in range(60)] + [(None, f"v{i % 9}") for i in range(30)] + [(3, "same text")] * 40 + [(None, None)] * 25
+    df = make_docs(rows)
+    columns = lambda n: sorted(map(str, P.fingerprint_documents(df, range_rows=n).collect()))
+    assert columns(4) == columns(1000) and len(columns(7)) == len(rows)
+    key, th = F.col("doc_id"), F.xxhash64(F.coalesce("text", F.lit("")))
+    counts = df.where("text <> 'same text'").withColumn("r", P._place(key, [4, 3, 2, 1, 0], th, {0: 3, 1: 3, 2: 3, 3: 3, 4: 3, None: 9})).groupBy("doc_id", "r").count().collect()
+    assert max(Counter(r["doc_id"] for r in counts).values()) >= 3

@@ -55,3 +55,13 @@ def test_a_long_tail_of_small_sources_is_in_every_shard(spark):
         if r["source"].startswith("two"):
             shards_of.setdefault(r["source"], []).append(r["shard"])
     assert all(abs(a - b) >= 7 for a, b in shards_of.values())
+
+
+def test_rows_of_one_key_are_in_every_shard(spark):
+    rows = [(i, "a", i) for i in range(320)] + [(7000, "a", i) for i in range(160)] + [(None, "a", i) for i in range(160)] + [(9000, "a", 1)] * 160
+    docs = spark.createDataFrame(rows, "doc_id long, source string, size int")
+    placed = rows_of(interleave_shards(docs, shards=8, bucket_rows=32))
+    assert Counter((r["doc_id"], r["source"], r["size"]) for r in placed) == Counter(rows)
+    for key in (7000, None, 9000):
+        per = Counter(r["shard"] for r in placed if r["doc_id"] == key)
+        assert min(per[s] for s in range(8)) >= 6, (key, per)

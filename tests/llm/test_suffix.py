@@ -71,3 +71,14 @@ def test_empty_table_and_kept_bytes(make_docs):
     rows = [(1, "äbcdéfghijklmnopqrstuvwxyzäöü0123456789é" + "x" * 50 + "end"), (2, "x" * 50)]
     got = {r["doc_id"]: bytes(r["kept"]) for r in S.remove_repeats(make_docs(rows), window=40, gram=12).collect()}
     assert got == {1: "äbcdéfghijklmnopqrstuvwxyzäöü0123456789éend".encode(), 2: b""}
+
+
+def test_copies_of_one_row_are_one_row_until_the_end(spark, make_docs, monkeypatch):
+    rng = random.Random(8)
+    long, other = ("".join(rng.choices("abcdefgh ", k=700)) for _ in range(2))
+    rows = [(1, long)] * 9 + [(None, other)] * 5 + [(2, "short")] * 4 + [(3, None)] * 3 + [(4, "x" + long[:300] + other[:250]), (5, "alone" * 3)]
+    seen, spans = [], S.repeated_spans
+    monkeypatch.setattr(S, "repeated_spans", lambda docs, *a: (seen.append(docs.count()), spans(docs, *a))[1])
+    got = Counter((r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"]) for r in S.remove_repeats(make_docs(rows)).collect())
+    assert got == {(1, 700, 700, 1): 9, (None, 700, 700, 1): 5, (2, 5, 0, 0): 4, (3, 0, 0, 0): 3, (4, 551, 550, 1): 1, (5, 15, 0, 0): 1}
+    assert seen == [6]
