@@ -103,6 +103,8 @@ def mix(
     weight = F.pow(F.col("tokens") / F.lit(float(t.total)), F.lit(t.alpha)) / F.lit(t.normaliser)
     # A quota within a millionth of a token of a whole number is that number.
     quota = F.floor(F.col("weight") * F.lit(t.budget) + 1e-6)
+    if budget is None:  # every source is passed once, also where the product falls short by rounding
+        quota = F.greatest(F.col("tokens"), quota)
     quotas = sources.withColumn("weight", weight).withColumn("quota", quota)
     quotas = quotas.select(
         F.col("_ff_source").alias("_ff_s"), "weight", "quota", F.col("tokens").alias("_ff_total"),

@@ -1,4 +1,5 @@
 import math
+from dataclasses import replace
 
 import pytest
 
@@ -74,3 +75,18 @@ def test_realised_rows_and_edges(spark, make_docs):
     assert out.count() == sum(times[r["doc_id"], r["source"]] for r in docs.collect())
     empty = make_docs([]).selectExpr("doc_id", "source", "1L AS tokens")
     assert mixing.mix(empty, repetition_limit=2.0).count() == 0
+
+
+def test_rounding_of_a_large_budget_drops_no_document(spark, monkeypatch):
+    solve = mixing.solve
+
+    def short(*args):
+        """As ``solve``, the budget a few units of its last place lower."""
+        t = solve(*args)
+        return replace(t, budget=t.budget - 8 * math.ulp(t.budget))
+
+    monkeypatch.setattr(mixing, "solve", short)
+    tokens = [20_000_000_003, 7_000_000_001, 300_000_007]
+    units = [(f"s{i}-{k}", f"s{i}", part) for i, n in enumerate(tokens) for k, part in enumerate((n // 3, n - n // 3))]
+    rows = mixing.mix(spark.createDataFrame(units, "doc_id string, source string, tokens long"), repetition_limit=2.0).collect()
+    assert {r["doc_id"] for r in rows} == {u[0] for u in units}
