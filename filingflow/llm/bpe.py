@@ -129,19 +129,25 @@ class Tokenizer:
         """Encode and decode distinct pieces into the cache."""
         raw = [p.encode("utf-8", "surrogatepass") for p in pieces]
         whole = [self.ranks.get(b) for b in raw]
-        for p, b, r in zip(pieces, raw, whole, strict=True):
-            if r is not None:  # a piece that is a token needs no merges
-                self.known[p] = (b"%d " % r, b)
+        # A piece that is a token needs no merges; its bytes come from the vocabulary like any other's.
+        tokens = [i for i, r in enumerate(whole) if r is not None]
+        for part in [tokens[k : k + 100_000] for k in range(0, len(tokens), 100_000)]:
+            toks = pa.ListArray.from_arrays(np.arange(len(part) + 1, dtype=np.int32), pa.array([whole[i] for i in part], pa.int32()))
+            self._collect(pa.table({"w": np.arange(len(part), dtype=np.int32), "toks": toks}), [pieces[i] for i in part])
         rest = [i for i, r in enumerate(whole) if r is None]
         short = [i for i in rest if len(raw[i]) <= SHORT_PIECE]
         for part in [short[k : k + 100_000] for k in range(0, len(short), 100_000)] + [[i for i in rest if len(raw[i]) > SHORT_PIECE]]:
             if not part:
                 continue
-            self.con.register("fixpoint", self._fixpoint([raw[i] for i in part]))
-            for w, ids, text in zip(*(c.to_pylist() for c in self.con.sql(_COLLECT).to_arrow_table().columns), strict=True):
-                self.known[pieces[part[w]]] = (ids.encode(), text)
+            self._collect(self._fixpoint([raw[i] for i in part]), [pieces[i] for i in part])
         self.size += sum(map(len, raw)) * 3 + 260 * len(raw)
 
+    def _collect(self, fixpoint: pa.Table, pieces: list[str]) -> None:
+        """Cache the ids of each piece and the bytes that they decode to."""
+        self.con.register("fixpoint", fixpoint)
+        for w, ids, text in zip(*(c.to_pylist() for c in self.con.sql(_COLLECT).to_arrow_table().columns), strict=True):
+            self.known[pieces[w]] = (ids.encode(), text)
+
     def encode_batch(self, texts: list[str]) -> list[tuple[int, bytes, bytes]]:
         """(number of ids, ids joined by one blank, decoded bytes) per text."""
         cut = [self.pattern.findall(t) for t in texts]

@@ -47,3 +47,10 @@ def test_long_pieces_as_the_public_library():
     texts += ["".join(rng.choice(letters[:k]) for _ in range(n)) for k in (1, 2, 3, 5, 12) for n in (49, 60, 400, 2500)]
     for t, (n, ids, decoded) in zip(texts, tok.encode_batch(texts), strict=True):
         assert [int(i) for i in ids.split()] == enc.encode_ordinary(t) and decoded == t.encode() and n == len(ids.split())
+
+
+def test_bytes_of_whole_token_pieces_come_from_the_vocabulary():
+    tok = bpe.Tokenizer(PATH, public_tokenizers.PATTERN)
+    tok.con.execute("UPDATE vocabulary SET hex = '3f' WHERE id = ?", [tok.ranks[b" word"]])
+    (n, ids, decoded), = tok.encode_batch(["a word"])
+    assert (n, ids, decoded) == (2, b"%d %d" % (tok.ranks[b"a"], tok.ranks[b" word"]), b"a?")
