@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from filingflow.llm import fingerprints as P
+from filingflow.llm import queries
 
 
 def jaccard(a, b):
@@ -74,3 +75,24 @@ def test_rows_of_one_key_are_dealt_over_ranges(make_docs):
     key, th = F.col("doc_id"), F.xxhash64(F.coalesce("text", F.lit("")))
     counts = df.where("text <> 'same text'").withColumn("r", P._place(key, [4, 3, 2, 1, 0], th, {0: 3, 1: 3, 2: 3, 3: 3, 4: 3, None: 9})).groupBy("doc_id", "r").count().collect()
     assert max(Counter(r["doc_id"] for r in counts).values()) >= 3
+
+
+def test_error_of_the_registered_draws(spark, make_docs, tmp_path):
+    """README gives these errors: op4's likeness against the true similarity."""
+    error, pairs = {}, 300
+    for true, common in ((0.5, 40), (0.8, 80), (0.9, 90)):
+        texts = []
+        for k in range(pairs):  # words of both texts, then those of one
+            words = [f"{k}x{i}y{true}" for i in range(common + (100 - common if true > 0.5 else 40))]
+            own = words[common:]
+            texts += [" ".join(words[:common] + own[: len(own) // 2]), " ".join(words[:common] + own[len(own) // 2 :])]
+        make_docs([(-i, t) for i, t in enumerate(texts)]).write.parquet(f"{tmp_path}/{true}/documents.parquet")
+        found = {r["doc_id"]: r["near_next"] for r in queries.op4_fingerprints(spark, f"{tmp_path}/{true}").collect()}
+        likeness = [found[-2 * k] for k in range(pairs)]
+        assert all((x * 32).is_integer() for x in likeness)
+        error[true] = (sum((x - true) ** 2 for x in likeness) / pairs) ** 0.5
+        assert abs(sum(likeness) / pairs - true) < 0.03
+        if true == 0.9:
+            error["below 0.8"] = sum(x < 0.8 for x in likeness) / pairs
+    print({k: round(v, 3) for k, v in error.items()})
+    assert 0.07 < error[0.5] < 0.11 and 0.05 < error[0.8] < 0.09 and 0.04 < error[0.9] < 0.07 and error["below 0.8"] < 0.1
