@@ -192,6 +192,9 @@ def _groups(texts: list, limit: int = 1 << 19) -> Iterator[list]:
         yield group
 
 
+_FIT_SLICE = 1 << 18
+
+
 def _gram_counts(sample: DataFrame, order: int) -> DataFrame:
     """(lang, c0 .., n): counts of the sample's n-grams."""
     names = [f"c{i}" for i in range(order)]
@@ -203,11 +206,13 @@ def _gram_counts(sample: DataFrame, order: int) -> DataFrame:
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 by_lang.setdefault(lang, []).append(normalise(text))
             for lang, texts in by_lang.items():
-                for group in _groups(texts):
-                    pad = " " * (order - 1)
-                    codes = np.frombuffer("".join(pad + t + " " for t in group if t).encode("utf-32-le", "surrogatepass"), np.uint32)
+                pad = " " * (order - 1)
+                # Slices overlap by order - 1 characters: every n-gram ends in one of them.
+                slices = [(pad + t + " ")[a : a + _FIT_SLICE + order - 1] for t in texts if t for a in range(0, len(t) + 1, _FIT_SLICE)]
+                for group in _groups(slices):
+                    codes = np.frombuffer("".join(group).encode("utf-32-le", "surrogatepass"), np.uint32)
                     keep = np.ones(len(codes), bool)
-                    size = np.array([len(t) + order for t in group if t], int)
+                    size = np.array([len(t) for t in group], int)
                     first = np.cumsum(size) - size
                     for i in range(order - 1):
                         keep[first + i] = False
@@ -227,19 +232,24 @@ def fit(
 ) -> Model:
     """Model from ``labelled`` (key, text, lang).
 
-    The bound on what is learned from: the ``max_languages`` most frequent
-    languages, of each about ``docs_per_language`` documents of up to
-    ``max_chars`` characters, whole, chosen by a seeded hash of the key.  A
-    tenth of them is held back to calibrate the rejection.  Rows without
+    Every language is learned.  The bound on what is learned from: of each
+    about ``docs_per_language`` documents, whole, and ``max_chars`` characters
+    for each of these on average, in proportion less for more than
+    ``max_languages`` languages, but one document at least, chosen by a seeded
+    hash of the key.  Of a language with ten chosen documents a tenth is held
+    back to calibrate the rejection; others reject nothing.  Rows without
     language or text are left out; without any row nothing is learned and
     every prediction is ``und``."""
-    usable = labelled.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.length("text") <= max_chars))
-    sizes = usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages).collect()
+    draw = F.coalesce(F.pmod(F.xxhash64(F.lit(seed), F.col(key)), F.lit(1_000_000)) / 1e6, F.lit(0.0))
+    usable = labelled.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("lang", "text", draw.alias("draw"))
+    chars = F.sum(F.greatest(F.length("text"), F.lit(1)).cast("bigint"))
+    sizes = usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), chars.alias("chars"), F.min("draw").alias("least")).collect()
     spark = labelled.sparkSession
-    shares = spark.createDataFrame([(r["lang"], min(1.0, docs_per_language / r["count"])) for r in sizes], "lang string, share double")
-    draw = F.pmod(F.xxhash64(F.lit(seed), F.col(key)), F.lit(1_000_000)) / 1e6
-    sample = usable.select("lang", "text", draw.alias("draw")).join(F.broadcast(shares), "lang").where(F.coalesce("draw", F.lit(0.0)) < F.col("share"))
-    held_back = F.coalesce("draw", F.lit(0.0)) >= 0.9 * F.col("share")
+    most = docs_per_language * min(1.0, max_languages / max(len(sizes), 1))
+    shares = [(r["lang"], min(1.0, most / r["n"], most * max_chars / r["chars"]), r["least"], r["n"]) for r in sizes]
+    shares = spark.createDataFrame(shares, "lang string, share double, least double, n long")
+    sample = usable.join(F.broadcast(shares), "lang").where((F.col("draw") < F.col("share")) | (F.col("draw") == F.col("least")))
+    held_back = (F.col("draw") >= 0.9 * F.col("share")) & (F.col("draw") > F.col("least")) & (F.col("n") * F.col("share") >= 10)
     counts = _gram_counts(sample.where(~held_back), order).toPandas()
     model = Model.build(counts, order)
 

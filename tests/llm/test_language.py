@@ -112,3 +112,20 @@ def test_nothing_to_learn_from(spark, make_docs):
 def test_numbers_and_signs_are_no_letters():
     assert L.normalise("½ ² Ⅷ 12_ !?") == ""
     assert L.normalise("½ Straße 2x") == "½ straße x"
+
+
+def test_no_language_is_left_out_of_the_fit(make_docs):
+    rng = random.Random(9)
+    rare = [(i, sentence(rng, "bb"), f"rare{i}") for i in range(40)]
+    long = [(100 + i, sentence(rng, "cc", 200), "long") for i in range(3)]
+    often = [(200 + i, sentence(rng, "aa"), "often") for i in range(60)]
+    model = L.fit(make_docs(rare + long + often), docs_per_language=20, max_languages=30, max_chars=300)
+    assert set(model.languages) == {lang for _, _, lang in rare + long + often}
+
+
+def test_slices_of_long_texts_hold_the_same_grams(make_docs, monkeypatch):
+    rng = random.Random(10)
+    docs = make_docs([(i, sentence(rng, "cc", 40), "cc") for i in range(4)])
+    whole = sorted(map(tuple, L._gram_counts(docs, 3).collect()))
+    monkeypatch.setattr(L, "_FIT_SLICE", 7)
+    assert whole == sorted(map(tuple, L._gram_counts(docs, 3).collect()))
