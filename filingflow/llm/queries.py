@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from filingflow.llm import bpe, embedding_dedup, fingerprints, language_id, line_dedup, mixing, sharding, simhash, suffix_dedup, warc
+from filingflow.llm import bpe, embedding_dedup, fingerprints, language_id, lexical, line_dedup, merkle, mixing, rank_bpe, sharding, simhash, suffix_dedup, warc
 from filingflow.session import new_work_dir
 
 
@@ -79,6 +79,26 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.resolve_read(warc.read_archives(spark, path))
 
 
+def op11_rank_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rank_bpe.encode_documents(_read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), ids=False)
+
+
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verified rows: those with an even CRC-32 of the key claim the leaf of a text without line feeds."""
+    docs = _read(spark, sf_dir, "documents")
+    fields = ["doc_id", "source", "lang", "n_chars", "text"]
+    tampered = F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8")) % 2 == 0
+    rows = docs.select(*fields, merkle.leaf_digest(*fields).alias("leaf"))
+    rows = rows.withColumn("text", F.when(tampered, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text")))
+    rows = rows.select("doc_id", "source", "leaf", merkle.leaf_digest(*fields).alias("claimed_leaf"))
+    found = merkle.verify(merkle.manifest(rows, "source", "doc_id", "leaf", keep=["claimed_leaf"]), claimed="claimed_leaf")
+    return found.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
+def op13_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"), top=20)
+
+
 QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_embedding_dedup": op2_embedding_dedup,
@@ -90,6 +110,9 @@ QUERIES = {
     "op8_line_dedup": op8_line_dedup,
     "op9_bpe": op9_bpe,
     "op10_warc": op10_warc,
+    "op11_rank_bpe": op11_rank_bpe,
+    "op12_merkle": op12_merkle,
+    "op13_lexical": op13_lexical,
 }
 
 ORACLE = {
@@ -161,4 +184,78 @@ ORACLE = {
                CASE WHEN first_id <> p.page_id THEN first_id END AS refers_to
         FROM p LEFT JOIN firsts ON firsts.payload_digest = p.payload_digest AND p.payload_bytes >= 100
     """,
+    "op12_merkle": """
+        WITH RECURSIVE field AS (
+            SELECT row_number() OVER () AS r, doc_id, source, text,
+                   xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+                       lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), range(8)), lambda x, step: xor(x >> 1, 3988292384 * (x & 1))))) AS crc,
+                   coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+                   || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') AS head
+            FROM documents
+        ),
+        leaf AS (
+            SELECT r, doc_id, source, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+                   replace(text, chr(10), '') AS cut, head, crc % 2 = 0 AS tampered
+            FROM field
+        ),
+        leaves AS (
+            SELECT r, doc_id, source, leaf,
+                   CASE WHEN tampered THEN sha256(head || coalesce(strlen(cut) || ':' || cut, '-')) ELSE leaf END AS claimed,
+                   row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+                   count(*) OVER (PARTITION BY source) AS n
+            FROM leaf
+        ),
+        nodes AS (
+            SELECT 0 AS level, source, pos, leaf AS h, n FROM leaves
+            UNION ALL
+            SELECT level + 1, source, pos // 3, sha256(string_agg(h, '' ORDER BY pos)), (n + 2) // 3 FROM nodes WHERE n > 1 GROUP BY level, source, pos // 3, n
+        ),
+        subroots AS (SELECT source, level AS top, h AS subroot, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS pos, count(*) OVER () AS n FROM nodes WHERE n = 1),
+        tops AS (
+            SELECT 0 AS level, pos, subroot AS h, n FROM subroots
+            UNION ALL
+            SELECT level + 1, pos // 3, sha256(string_agg(h, '' ORDER BY pos)), (n + 2) // 3 FROM tops WHERE n > 1 GROUP BY level, pos // 3, n
+        ),
+        every AS (
+            SELECT source, level, pos, h, n FROM nodes
+            UNION ALL
+            SELECT s.source, s.top + t.level + 1, t.pos, t.h, t.n FROM tops t, (SELECT DISTINCT source, top FROM subroots) s
+        ),
+        runs AS (SELECT source, level, pos // 3 AS run, list(h ORDER BY pos) AS hs FROM every WHERE n > 1 GROUP BY ALL),
+        path AS (
+            SELECT l.r, l.source, 0 AS level, l.pos, l.claimed AS h, '' AS proof, s.top, s.pos AS top_pos,
+                   s.top + (SELECT max(level) FROM tops) + 1 AS last
+            FROM leaves l JOIN subroots s ON l.source IS NOT DISTINCT FROM s.source
+            UNION ALL
+            SELECT p.r, p.source, p.level + 1, CASE WHEN p.level = p.top THEN p.top_pos ELSE p.pos // 3 END,
+                   CASE WHEN p.level = p.top THEN p.h
+                        ELSE sha256(array_to_string(u.hs[1 : p.pos % 3], '') || p.h || array_to_string(u.hs[p.pos % 3 + 2 :], '')) END,
+                   CASE WHEN p.level = p.top THEN p.proof
+                        ELSE p.proof || array_to_string(u.hs[1 : p.pos % 3], '') || array_to_string(u.hs[p.pos % 3 + 2 :], '') END,
+                   p.top, p.top_pos, p.last
+            FROM path p LEFT JOIN runs u ON u.source IS NOT DISTINCT FROM p.source AND u.level = p.level AND u.run = p.pos // 3
+            WHERE p.level < p.last
+        )
+        SELECT l.doc_id, l.leaf, s.subroot, t.h AS root, sha256(p.proof) AS proof_sha256, p.h AS folded_root, p.h = t.h AS verified
+        FROM path p JOIN leaves l USING (r) JOIN subroots s ON l.source IS NOT DISTINCT FROM s.source, (SELECT h FROM tops WHERE n = 1) t
+        WHERE p.level = p.last
+    """,
+    "op13_lexical": """
+        WITH d AS (
+            SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), {terms}) AS t FROM documents
+        ),
+        b AS (
+            SELECT row_number() OVER () AS b, item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), {terms})) AS w
+            FROM benchmark
+        ),
+        facts AS (SELECT CAST(count(*) AS BIGINT) AS nn, CAST(sum(len(t)) AS BIGINT) AS ll FROM d WHERE len(t) > 0),
+        tf AS (SELECT r, doc_id, w, len(t) AS n, count(*) AS tf FROM (SELECT r, doc_id, t, unnest(t) AS w FROM d) SEMI JOIN b USING (w) GROUP BY ALL),
+        df AS (SELECT w, CAST(floor(1000 * ln((2 * nn + 2)::DOUBLE / (2 * count(*) + 1))) AS BIGINT) AS weight FROM tf, facts GROUP BY w, nn),
+        s AS (
+            SELECT b, item_id, r, doc_id, CAST(sum(weight * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * nn) // ll)))) AS BIGINT) AS score
+            FROM b JOIN tf USING (w) JOIN df USING (w), facts GROUP BY b, item_id, r, doc_id
+        ),
+        ranked AS (SELECT *, row_number() OVER (PARTITION BY b ORDER BY score DESC, doc_id NULLS FIRST) AS rank FROM s WHERE score > 0)
+        SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 20
+    """.replace("{terms}", r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'"),
 }

@@ -67,14 +67,14 @@ def test_stages_on_odd_tables(spark, make_docs):
 def test_registered():
     names = entry.queries()
     assert set(QUERIES) <= set(names) and "pipeline" in names
-    assert {int(n.split("_")[0][2:]) for n in QUERIES} == set(range(1, 11))
+    assert {int(n.split("_")[0][2:]) for n in QUERIES} == set(range(1, 14))
     assert set(ORACLE) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_against_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "embeddings", "pages"):
+    for t in ("documents", "embeddings", "pages", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS FROM read_parquet('{SF}/{t}.parquet')")
     sql = con.sql(ORACLE[name])
     order = sorted(sql.columns)
