@@ -57,6 +57,28 @@ def ordered_index(
     return out.drop("_ff_b", "_ff_sb", "_ff_rn", "_ff_off", *[f"_ff_s_{i}" for i in range(len(by))])
 
 
+def range_index(df: DataFrame, order: Sequence[Column | str], name: str = "rn") -> DataFrame:
+    """Add ``name`` = 1-based position of the row in a total ``order`` of any types.
+
+    Spark samples the order's values and deals the rows by ranges of about equal size
+    (:meth:`DataFrame.repartitionByRange`), whatever the values look like; each range
+    is sorted by one task.  The ranges are written, so that the rows before each range,
+    a running sum over one number per range, belong to the same ranges."""
+    from filingflow.session import new_work_dir
+
+    spark = df.sparkSession
+    keys = [F.asc_nulls_first(o) if isinstance(o, str) else o for o in order]
+    path = new_work_dir(spark, "ranges")
+    dealt = df.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("_ff_id", F.monotonically_increasing_id())
+    dealt.write.mode("overwrite").parquet(path)
+    ranges = spark.read.schema(dealt.schema).parquet(path).withColumn("_ff_part", F.shiftright("_ff_id", 33))
+    counts = ranges.groupBy("_ff_part").agg(F.count(F.lit(1)).alias("_ff_cnt"), F.min("_ff_id").alias("_ff_first"))
+    before = Window.orderBy("_ff_part").rowsBetween(Window.unboundedPreceding, -1)
+    shift = counts.select("_ff_part", (F.coalesce(F.sum("_ff_cnt").over(before), F.lit(0)) - F.col("_ff_first") + 1).alias("_ff_shift"))
+    out = ranges.join(shift, "_ff_part").withColumn(name, F.col("_ff_id") + F.col("_ff_shift"))
+    return out.drop("_ff_id", "_ff_part", "_ff_shift")
+
+
 def first_per_key(
     df: DataFrame, key: Sequence[str], order: Sequence[str], descending: bool = False
 ) -> DataFrame:

@@ -148,3 +148,73 @@ def test_filter_listing_styles_and_purge(spark):
     captured = spark.createDataFrame([("AAA", 1), ("BBB", 2)], "symbol string, v long")
     gone = spark.createDataFrame([("BBB",)], "symbol string")
     assert [r["symbol"] for r in flows.purge_captured(captured, gone).collect()] == ["AAA"]
+
+
+def plain_paths(bases, folders):
+    """The free numbers of every base in order, in plain Python."""
+    import re
+
+    used = {}
+    for name, own in [*((b, False) for b in set(bases)), *((f, True) for f in set(folders))]:
+        if m := re.fullmatch(r"(.*)__([1-9][0-9]{0,17})", name):
+            used.setdefault(m[1], set()).add(int(m[2]))
+        if own:
+            used.setdefault(name, set()).add(0)
+    at, out = {}, []
+    for b in bases:
+        n = at.get(b, 0)
+        while n in used.get(b, ()):
+            n += 1
+        at[b] = n + 1
+        out.append(b if n == 0 else f"{b}__{n}")
+    return out
+
+
+def test_hot_base_with_many_folders_and_gaps(spark, monkeypatch):
+    import random
+
+    from filingflow.operators import naming
+
+    monkeypatch.setattr(naming, "RANGE", 64)
+    rng = random.Random(7)
+    folders = [f"r/S/HOT__{n}" for n in range(1, 6000) if rng.random() < 0.8] + [f"r/S/HOT__{10 ** 6 + n}" for n in range(300)]
+    folders += ["r/S/HOT", "r/S/b__2", "r/S/b__02", "r/S/c__1", "r/S/c__1__1", "r/S/d__3"] + folders[:50]
+    bases = rng.choices(["r/S/HOT", "r/S/b", "r/S/c__1", "r/S/c", "r/S/d", "r/S/b__4"], [30, 2, 1, 1, 1, 1], k=3000)
+    rows = [("S", i // 15, i % 15, b) for i, b in enumerate(bases)]
+    listing = spark.createDataFrame(rows, "symbol string, page long, row_idx long, base string")
+    got = naming.assign_paths(listing, spark.createDataFrame([(f,) for f in folders], "report_dir string"))
+    assert got.columns == ["symbol", "page", "row_idx", "base", "report_dir"]
+    paths = [r["report_dir"] for r in got.orderBy("page", "row_idx").collect()]
+    assert paths == plain_paths(bases, folders)
+    assert naming.assign_paths(listing).count() == 3000
+
+
+def test_no_task_orders_more_than_a_range(spark):
+    from pyspark.sql import functions as F
+
+    from filingflow.operators import naming
+
+    used = spark.range(40_000).where("id % 10 <> 3").selectExpr("'HOT' AS base", "id AS n")
+    steps = naming._steps(used)
+    assert steps.groupBy("base", F.expr(f"at div {naming.RANGE}")).count().agg(F.max("count")).first()[0] <= naming.RANGE
+    assert steps.count() == 4001 and steps.agg(F.max("used")).first()[0] == 36_000
+
+
+def test_batches_of_urls_use_many_ranges(spark):
+    from pyspark.sql import functions as F
+
+    from filingflow.operators import batches, ordering
+
+    urls = [f"https://example.org/report/{(i * 7919) % 20_000:06d}" for i in range(20_000)]
+    df = spark.createDataFrame([(u, i) for i, u in enumerate(urls)], "url string, i long").repartition(8)
+    got = {r["url"]: r["batch"] for r in batches.assign_batches(df, ["url"]).collect()}
+    assert got == {u: k // 20 for k, u in enumerate(sorted(urls))}
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sizes = [r["count"] for r in ordering.range_index(df, ["url"]).groupBy(F.floor((F.col("rn") - 1) / 1)).count().limit(1).collect()]
+        ranges = df.repartitionByRange("url").groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert sizes == [1] and len(ranges) >= 6 and max(r["count"] for r in ranges) < 6000
+    odd = spark.createDataFrame([("b",), (None,), ("a",), ("",)], "url string")
+    assert [(r["url"], r["batch"]) for r in batches.assign_batches(odd, ["url"], size=1).orderBy("batch").collect()] == [(None, 0), ("", 1), ("a", 2), ("b", 3)]
