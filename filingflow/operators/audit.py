@@ -115,18 +115,24 @@ def classify_symbols(sets: DataFrame, index_stats: DataFrame, index_files: DataF
     error = (warning − success) ∪ (success without a readable index)
             ∪ (success whose index repeats an STT); clean = the rest of success.
 
-    ``index_files`` (column ``symbol``) lists the index files present; one
-    with a header and no rows repeats nothing.  Without it only symbols with
-    index rows have an index.
+    ``index_files`` holds the index files present: ``symbol`` and, as in
+    :func:`filingflow.sources.files.index_inventory`, ``has_stt`` (the file can be
+    read and has the column; without it every file counts as such).  A file that is
+    not ``has_stt`` is no index, whatever rows ``index_stats`` has; one with a header
+    and no rows repeats nothing.  Without ``index_files`` only symbols with index
+    rows have an index.
     """
     stats = index_stats.select(
         F.col("symbol").alias("_idx_symbol"), F.col("stt_unique").alias("_stt_unique")
     )
     if index_files is not None:
-        present = index_files.select(F.col("symbol").alias("_file_symbol")).distinct()
+        usable = F.col("has_stt") if "has_stt" in index_files.columns else F.lit(True)
+        present = index_files.groupBy(F.col("symbol").alias("_file_symbol")).agg(F.bool_and(usable).alias("_usable"))
         stats = present.join(stats, F.col("_file_symbol") == F.col("_idx_symbol"), "full").select(
-            F.coalesce("_idx_symbol", "_file_symbol").alias("_idx_symbol"), F.coalesce("_stt_unique", F.lit(True)).alias("_stt_unique")
-        )
+            F.coalesce("_idx_symbol", "_file_symbol").alias("_idx_symbol"),
+            F.coalesce("_stt_unique", F.lit(True)).alias("_stt_unique"),
+            F.coalesce("_usable", F.lit(True)).alias("_usable"),
+        ).where("_usable").drop("_usable")
     joined = sets.join(stats, sets["symbol"] == stats["_idx_symbol"], "left")
     reason = (
         F.when(~F.col("in_success"), F.lit("warning_only"))

@@ -13,6 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from filingflow.functions import text as T
 from filingflow.operators import audit
 from filingflow.plans import derive
 
@@ -1203,7 +1204,40 @@ def q_rescrape_purge(spark: SparkSession, d: str) -> DataFrame:
 
 # Sources and sinks through the shared work folder ------------------------------------------------
 from filingflow.session import new_work_dir  # noqa: E402
-from filingflow.sources import files  # noqa: E402
+from filingflow.sources import buckets, files, search  # noqa: E402
+
+
+@register(
+    "purge_stored",
+    RESCRAPE_WITH + "\nSELECT symbol, STT FROM idx WHERE symbol NOT IN (SELECT symbol FROM open_syms)",
+)
+def q_purge_stored(spark: SparkSession, d: str) -> DataFrame:
+    """The captured rows as a stored table, from which the symbols to capture again are removed."""
+    path = f"{new_work_dir(spark, 'captured')}/rows"
+    buckets.write_captured(derive.report_index(spark, d).select("symbol", "STT"), path, buckets=32)
+    open_syms, _ = flows.rescrape_plan(
+        derive.crawl_log(spark, d), derive.report_index(spark, d), derive.symbol_list(spark, d),
+        derive.symbol_checkpoints(spark, d), index_files=derive.index_files(spark, d),
+    )
+    buckets.purge_symbols(spark, path, open_syms, buckets=32)
+    return buckets.read_captured(spark, path, buckets=32)
+
+
+def _search_table(spark: SparkSession, d: str) -> str:
+    path = new_work_dir(spark, "search")
+    search.write_search_table(derive.order_submissions(spark, d), path, buckets=16)
+    return path
+
+
+@register("stored_search", ORACLE["search_listing"])
+def q_stored_search(spark: SparkSession, d: str) -> DataFrame:
+    """The substring search on the stored table: symbols from the grams, their buckets from the symbols."""
+    return search.search_stored(spark, _search_table(spark, d), symbol_contains="12", date_from="1998-01-01", date_to="1998-12-31", buckets=16)
+
+
+@register("stored_search_symbol", ORACLE["search_symbol"])
+def q_stored_search_symbol(spark: SparkSession, d: str) -> DataFrame:
+    return search.search_stored(spark, _search_table(spark, d), symbol="K100", buckets=16)
 
 
 @register(
@@ -1335,21 +1369,25 @@ def q_files_roundtrip_truth(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _page_tree(spark: SparkSession, d: str) -> tuple[str, DataFrame]:
-    """Each page as a file, up to seven folders deep; names with a leading underscore occur."""
+    """Each page as a file, up to seven folders deep; names with a leading underscore,
+    files without content and files of another kind occur."""
     root = new_work_dir(spark, "tree")
     p = files.read_pages(spark, f"{d}/pages.parquet")
     path = F.concat(
         F.lit("P"), (F.col("page_id") % 7).cast("string"), F.lit("/"),
         F.expr("repeat('_d/', CAST(page_id % 6 AS INT))"), F.col("page_id").cast("string"), F.lit(".csv"),
     )
-    files.write_named_files(p.select(path.alias("path"), F.coalesce("html", F.lit("")).alias("content")), root)
+    content = F.when(F.col("page_id") % 5 != 0, F.coalesce("html", F.lit(""))).otherwise(F.lit(""))
+    other = F.struct(F.concat(path, F.lit(".txt")).alias("path"), F.col("url").alias("content"))
+    both = F.array(F.struct(path.alias("path"), content.alias("content")), other)
+    files.write_named_files(p.select(F.inline(both)), root)
     return root, files.file_catalog(spark, root)
 
 
 TREE_WITH = """
 WITH tree AS (
   SELECT 'P' || CAST(page_id % 7 AS VARCHAR) || '/' || repeat('_d/', page_id % 6) || CAST(page_id AS VARCHAR) || '.csv' AS path,
-         CAST(coalesce(strlen(html), 0) AS BIGINT) AS bytes
+         CASE WHEN page_id % 5 = 0 THEN 0 ELSE CAST(coalesce(strlen(html), 0) AS BIGINT) END AS bytes
   FROM pages)
 """
 
@@ -1385,7 +1423,7 @@ def q_reference_index(spark: SparkSession, d: str) -> DataFrame:
         F.col("event_id").alias("STT"),
         F.col("props").alias("Tên báo cáo"),
         F.concat(F.col("event_type"), F.lit(', "'), F.col("event_type"), F.lit('"\nx')).alias("Trích yếu"),
-        F.concat(F.lit("./crawl_table/"), sym, F.lit("/"), F.col("event_id").cast("string")).alias("Saving_path"),
+        F.concat(F.lit(T.CRAWL_ROOT + "/"), sym, F.lit("/"), F.col("event_id").cast("string")).alias("Saving_path"),
     )
     columns = ["Saving_path", "STT", "Tên báo cáo", "Trích yếu"]
     files.write_named_files(files.csv_files(rows, "path", columns, ["STT"]), root)
@@ -1396,6 +1434,66 @@ def q_reference_index(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+# Users' index files by user_id % 6: 0 as written, 1 a header only, 2 without STT, 3 no
+# content, 4 a row longer than its header, 5 STT that may repeat; no file at all for user_id % 11 = 0.
+ODD_INDEX_WITH = r"""
+WITH u AS (
+  SELECT user_id, 'U' || CAST(user_id AS VARCHAR) AS symbol, user_id % 6 AS kind, count(*) AS n, count(DISTINCT event_id % 3) AS n3
+  FROM events GROUP BY user_id),
+inv AS (
+  SELECT symbol, kind NOT IN (3, 4) AS readable, kind NOT IN (2, 3, 4) AS has_stt,
+         CASE WHEN kind IN (3, 4) THEN NULL WHEN kind = 1 THEN 0 ELSE n END AS n_rows
+  FROM u WHERE user_id % 11 <> 0)
+"""
+
+
+def _odd_index_tree(spark: SparkSession, d: str) -> str:
+    root = new_work_dir(spark, "crawl-odd-index")
+    e = read_table(spark, d, "events").select("event_id", "user_id").where(F.col("user_id") % 11 != 0)
+    kind = F.col("user_id") % 6
+    rows = e.select(
+        F.concat(F.lit("U"), F.col("user_id").cast("string"), F.lit("/success.csv")).alias("path"),
+        F.when(kind == 5, F.col("event_id") % 3).otherwise(F.col("event_id")).alias("STT"),
+        F.col("event_id").alias("Saving_path"),
+    )
+    texts = files.csv_files(rows, "path", ["STT", "Saving_path"], ["Saving_path"])
+    kind = F.regexp_extract("path", "U([0-9]+)/", 1).cast("bigint") % 6
+    content = (
+        F.when(kind == 1, F.lit("STT,Saving_path\n"))
+        .when(kind == 2, F.regexp_replace("content", "^STT", "No"))
+        .when(kind == 3, F.lit(""))
+        .when(kind == 4, F.concat("content", F.lit("1,2,3\n")))
+        .otherwise(F.col("content"))
+    )
+    files.write_named_files(texts.select("path", content.alias("content")), root)
+    return root
+
+
+@register("index_inventory", ODD_INDEX_WITH + "SELECT symbol, readable, has_stt, n_rows FROM inv")
+def q_index_inventory(spark: SparkSession, d: str) -> DataFrame:
+    return files.index_inventory(spark, _odd_index_tree(spark, d)).select("symbol", "readable", "has_stt", "n_rows")
+
+
+@register(
+    "reference_audit",
+    ODD_INDEX_WITH
+    + """
+SELECT u.symbol, CASE WHEN reason IS NULL THEN 'clean' ELSE 'error' END AS status, reason FROM (
+  SELECT u.symbol, CASE WHEN u.user_id % 7 = 0 THEN 'warning_only'
+                        WHEN NOT coalesce(i.has_stt, false) THEN 'no_index'
+                        WHEN u.kind = 5 AND u.n3 <> u.n THEN 'duplicate_stt' END AS reason
+  FROM u LEFT JOIN inv i ON u.symbol = i.symbol) u
+""",
+)
+def q_reference_audit(spark: SparkSession, d: str) -> DataFrame:
+    """Logs and index files, some of them unusable, classified as the reference does."""
+    root = _odd_index_tree(spark, d)
+    users = read_table(spark, d, "events").select("user_id").distinct()
+    line = F.when(F.col("user_id") % 7 == 0, F.lit("WARNING - Not enough reports U")).otherwise(F.lit("INFO - Scraping Successfully U"))
+    logs = users.select(F.concat(F.lit("2024-01-01 00:00:00,000 - "), line, F.col("user_id").cast("string"), F.lit(": 1/1")).alias("value"))
+    return audit.audit_logs(logs, files.read_report_index(spark, root), index_files=files.index_symbols(spark, root))
+
+
 @register(
     "reference_checkpoints",
     EVENTS_WITH
@@ -1475,27 +1573,61 @@ def q_reference_statements_headerless(spark: SparkSession, d: str) -> DataFrame:
     return _turn_cells(files.read_statements(spark, root, names=files.LEGACY_STATEMENT_FILES, header=False))
 
 
+# Conversations' statement files by conv_id % 7: 3 no content, 4 a row longer than the first.
+ODD_STATEMENTS_WITH = """
+WITH conv AS (
+  SELECT conv_id, conv_id % 7 IN (3, 4) AS unreadable, bool_or(contains(coalesce(role, ''), 'user')) AS marked, count(*) AS n
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id)
+"""
+
+
+def _odd_statement_tree(spark: SparkSession, d: str) -> tuple[str, DataFrame]:
+    root = new_work_dir(spark, "crawl-contamination")
+    c = read_table(spark, d, "conversations").select("conv_id", "role", "turn").where(F.col("conv_id").isNotNull())
+    rows = c.withColumn("path", F.concat(F.lit("V"), F.col("conv_id").cast("string"), F.lit("/r/KQKD.csv")))
+    texts = files.csv_files(rows, "path", ["role", "turn"], ["turn", "role"])
+    kind = F.regexp_extract("path", "V(-?[0-9]+)/", 1).cast("bigint") % 7
+    content = F.when(kind == 3, F.lit("")).when(kind == 4, F.concat("content", F.lit("a,b,c\n"))).otherwise(F.col("content"))
+    files.write_named_files(texts.select("path", content.alias("content")), root)
+    return root, c.select("conv_id").distinct()
+
+
+@register(
+    "reference_unreadable",
+    ODD_STATEMENTS_WITH
+    + """
+SELECT 'V' || CAST(conv_id AS VARCHAR) AS symbol, 'KQKD' AS statement, unreadable, CASE WHEN unreadable THEN 0 ELSE 2 * n END AS n_cells FROM conv
+""",
+)
+def q_reference_unreadable(spark: SparkSession, d: str) -> DataFrame:
+    """Every statement file is in the cell table, also those that a CSV read refuses."""
+    cells = files.read_statements(spark, _odd_statement_tree(spark, d)[0])
+    return cells.groupBy("symbol", "statement").agg(
+        F.bool_or("unreadable").alias("unreadable"), F.count_if(F.col("row_idx") >= 0).alias("n_cells")
+    )
+
+
 @register(
     "reference_contamination",
-    """
-WITH hit AS (
-  SELECT conv_id, bool_or(contains(coalesce(role, ''), 'user')) AS has_marker
-  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id)
-SELECT count(*) AS total_files, count(*) FILTER (WHERE has_marker) AS error_files,
-       CAST(0 AS BIGINT) AS unreadable_files,
-       CASE WHEN count(*) > 0 THEN 100.0 * CAST(count(*) FILTER (WHERE has_marker) AS DOUBLE)
+    ODD_STATEMENTS_WITH
+    + """,
+idx AS (  -- rows with a saved path whose file exists: some paths are listed twice
+  SELECT c.* FROM conv c UNION ALL SELECT c.* FROM conv c WHERE conv_id % 5 = 0)
+SELECT count(*) AS total_files, count(*) FILTER (WHERE marked AND NOT unreadable) AS error_files,
+       count(*) FILTER (WHERE unreadable) AS unreadable_files,
+       CASE WHEN count(*) > 0 THEN 100.0 * CAST(count(*) FILTER (WHERE marked AND NOT unreadable) AS DOUBLE)
             / CAST(count(*) AS DOUBLE) ELSE 0.0 END AS error_rate
-FROM hit
+FROM idx
 """,
 )
 def q_reference_contamination(spark: SparkSession, d: str) -> DataFrame:
-    root = new_work_dir(spark, "crawl-contamination")
-    c = read_table(spark, d, "conversations").select("conv_id", "role", "turn").where(F.col("conv_id").isNotNull())
-    rows = c.withColumn("path", F.concat(F.lit("V"), F.col("conv_id").cast("string"), F.lit("/r/KQKD.csv")))
-    files.write_named_files(files.csv_files(rows, "path", ["role", "turn"], ["turn", "role"]), root)
-    index = c.select(F.concat(F.lit("V"), F.col("conv_id").cast("string")).alias("symbol")).distinct().select(
-        "symbol", F.concat(F.lit("./crawl_table/"), F.col("symbol"), F.lit("/r")).alias("Saving_path")
-    )
+    """Index rows that repeat a path, have none, or name an absent file; files without content or unreadable."""
+    root, convs = _odd_statement_tree(spark, d)
+    symbol, k = F.concat(F.lit("V"), F.col("conv_id").cast("string")), F.col("conv_id")
+    path = F.concat(F.lit(T.CRAWL_ROOT + "/"), symbol, F.lit("/r"))
+    none = F.lit(None).cast("string")
+    paths = F.array(path, F.when(k % 5 == 0, path), F.when(k % 8 == 0, F.concat(path, F.lit("-absent"))), none)
+    index = convs.select(symbol.alias("symbol"), F.explode(paths).alias("Saving_path"))
     cells = files.read_statements(spark, root, header=False)
     return quality.contamination_rate(index, cells, statement="KQKD", marker="user", new_root=root)
 

@@ -11,25 +11,25 @@ Two kinds of layout are handled:
   (checkpoints carry a version; readers take the newest per symbol).
 
 Nothing is inferred: CSVs are read as strings and cast with ``try_cast``.
-Directory trees are read with explicit globs, because a recursive listing
-hides folders whose name starts with ``_`` (a sanitised title can).
+Folder trees are listed, and their files opened, by executors
+(:mod:`filingflow.sources.tree`): Spark's file sources leave out empty files and
+names that start with ``_`` (a sanitised title can).
 """
 
 from __future__ import annotations
 
-import csv
-import io
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from filingflow.functions import text as T
 from filingflow.operators.ordering import first_per_key
 from filingflow.operators.quality import NA_TOKENS
+from filingflow.sources import tree
+from filingflow.sources.epochs import MERGE_EVERY, EpochTable
 
 STATEMENT_FILES = ("BCDKT", "KQKD", "LCTT_TT", "LCTT_GT")
 # Older trees name the same statements differently.
@@ -43,10 +43,6 @@ CELL_SCHEMA = (
 TRUTH_COLUMNS = ("stock_code", "year", "range", "type", "tax_code")
 
 
-def _file_path() -> F.Column:
-    return T.decode_path(F.col("_metadata.file_path"))
-
-
 def _pandas_csv(spark: SparkSession):
     """Reader of CSV files as pandas writes them: quotes are doubled, a cell may hold newlines."""
     return spark.read.option("header", True).option("inferSchema", False).option("escape", '"').option("multiLine", True)
@@ -91,22 +87,26 @@ def _with_defaults(cp: DataFrame, symbols: DataFrame | None) -> DataFrame:
     )
 
 
-def write_checkpoints(df: DataFrame, path: str, version: int) -> None:
-    """Append checkpoint rows with a version; see :func:`read_checkpoints`."""
-    df.select(
+def checkpoint_table(spark: SparkSession, path: str, every: int = MERGE_EVERY) -> EpochTable:
+    """The versions written to ``path``; merged, the newest row of each symbol is left."""
+    return EpochTable(spark, path, lambda rows: first_per_key(rows, ["symbol"], ["epoch_id"], descending=True), every)
+
+
+def write_checkpoints(df: DataFrame, path: str, version: int, every: int = MERGE_EVERY) -> None:
+    """Write checkpoint rows as a version (the same one again replaces it); after
+    ``every`` versions the earlier ones are merged.  See :func:`read_checkpoints`."""
+    rows = df.select(
         "symbol",
         F.col("current_page").cast("bigint").alias("current_page"),
         F.col("last_row_index").cast("bigint").alias("last_row_index"),
-        F.lit(version).cast("bigint").alias("version"),
-    ).write.mode("append").parquet(path)
+    )
+    checkpoint_table(df.sparkSession, path, every).write(rows, version)
 
 
 def read_checkpoints(spark: SparkSession, path: str, symbols: DataFrame | None = None) -> DataFrame:
-    """Newest checkpoint per symbol from the checkpoint table (upsert by
-    version, groups limited before the shuffle), with ``{1, 0}`` defaults for ``symbols``."""
-    hist = spark.read.parquet(path)
-    latest = first_per_key(hist, ["symbol"], ["version"], descending=True)
-    return _with_defaults(latest.drop("version"), symbols)
+    """Newest checkpoint per symbol from the checkpoint table (merged base and later
+    versions, groups limited before the shuffle), with ``{1, 0}`` defaults for ``symbols``."""
+    return _with_defaults(checkpoint_table(spark, path).rows().drop("epoch_id"), symbols)
 
 
 # S5, S6 ----------------------------------------------------------------------
@@ -120,49 +120,100 @@ def read_report_index(
     (``NA``, ``null``, ``nan``, …) are missing here as well, as in the
     reference's reads; empty fields are missing either way.
     """
-    raw = _index_texts(spark, root, status)
-    if raw is None:
-        return spark.createDataFrame([], ", ".join(f"`{c}` string" for c in (*T.LISTING_COLUMNS, "symbol", "status")))
-    rows = raw.mapInPandas(_parse_index, ", ".join(f"`{c}` string" for c in ("path", *T.LISTING_COLUMNS)))
+    rows = _parsed_index(spark, root, status).where("row >= 0")
     cols = [
         F.when((F.col(f"`{c}`") == "") | (F.col(f"`{c}`").isin(NA_TOKENS) if pandas_na else F.lit(False)), F.lit(None).cast("string"))
         .otherwise(F.col(f"`{c}`")).alias(c)
         for c in T.LISTING_COLUMNS
     ]
-    return rows.select(*cols, T.symbol_from_path("path").alias("symbol"), F.lit(status).alias("status"))
+    return rows.select(*cols, "symbol", F.lit(status).alias("status"))
 
 
-def _index_texts(spark: SparkSession, root: str, status: str) -> DataFrame | None:
-    try:
-        raw = spark.read.text(f"{root.rstrip('/')}/*/{status}.csv", wholetext=True)
-    except AnalysisException as e:
-        if "PATH_NOT_FOUND" not in str(e):
-            raise
-        return None
-    return raw.select(_file_path().alias("path"), "value")
-
-
-def _parse_index(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Columns are found by each file's own header; a yield holds one file."""
-    for pdf in batches:
-        for path, text in zip(pdf["path"], pdf["value"], strict=True):
-            lines = csv.reader(io.StringIO(text, newline=""))
-            header = next(lines, [])
-            rows = [r for r in lines if r]
-            at = {c: header.index(c) for c in T.LISTING_COLUMNS if c in header}
-            cells = {c: [r[at[c]] if c in at and at[c] < len(r) else None for r in rows] for c in T.LISTING_COLUMNS}
-            yield pd.DataFrame({"path": [path] * len(rows), **cells}, dtype=object)
+def index_inventory(spark: SparkSession, root: str, status: str = "success") -> DataFrame:
+    """One row per index file ``root/SYM/<status>.csv``: (symbol, path, header,
+    n_rows, readable, has_stt, error).
+
+    ``readable`` is what a plain read of the file as a CSV gives: not for a file
+    without content, with a row longer than its header, or with bytes that are no
+    UTF-8.  A file with a header and no rows is readable.  ``has_stt``: it is
+    readable and has the column ``STT``."""
+    seen = _parsed_index(spark, root, status).where("row < 0")
+    path = F.concat(F.lit(tree.plain(tree.qualified(spark, root)) + "/"), "symbol", F.lit(f"/{status}.csv"))
+    has_stt = F.col("error").isNull() & F.array_contains(F.coalesce("header", F.array().cast("array<string>")), "STT")
+    return seen.select("symbol", path.alias("path"), "header", "n_rows", F.col("error").isNull().alias("readable"), has_stt.alias("has_stt"), "error")
 
 
 def index_symbols(spark: SparkSession, root: str, status: str = "success") -> DataFrame:
-    """(symbol) of the index files present, rows or not (a listing, no content)."""
-    try:
-        files = spark.read.format("binaryFile").load(f"{root.rstrip('/')}/*/{status}.csv")
-    except AnalysisException as e:
-        if "PATH_NOT_FOUND" not in str(e):
-            raise
-        return spark.createDataFrame([], "symbol string")
-    return files.select(T.symbol_from_path(T.decode_path(F.col("path"))).alias("symbol"))
+    """(symbol, has_stt) of the index files present, for :func:`filingflow.operators.audit.classify_symbols`."""
+    return index_inventory(spark, root, status).select("symbol", "has_stt")
+
+
+_INDEX_SCHEMA = "symbol string, row bigint, header array<string>, n_rows bigint, error string, " + ", ".join(f"`{c}` string" for c in T.LISTING_COLUMNS)
+
+
+def _parsed_index(spark: SparkSession, root: str, status: str) -> DataFrame:
+    """A row -1 for each index file with what is known of it, then its rows from 0."""
+    symbols = tree.list_tree(spark, root, levels=1).where("is_dir").select(F.col("name").alias("rel"))
+    dealt = symbols.repartition(4 * spark.sparkContext.defaultParallelism, "rel")
+    return dealt.mapInPandas(_parse_index(tree.qualified(spark, root), status), _INDEX_SCHEMA)
+
+
+#: Rows of a file that are held before the rest is known to be readable.
+ROWS_PER_CHUNK = 20_000
+
+
+def _read_chunks(store, name: str, header: int | None) -> Iterator[pd.DataFrame]:
+    """A CSV file as strings, in chunks; raises what a plain read of it raises."""
+    with store.open_input_stream(name) as f, pd.read_csv(
+        f, header=header, dtype=str, keep_default_na=False, na_filter=False, chunksize=ROWS_PER_CHUNK, encoding="utf-8"
+    ) as chunks:
+        yield from chunks
+
+
+def _csv_error(e: Exception) -> str:
+    return f"{type(e).__name__}: {str(e).strip()}"[:200]
+
+
+CSV_ERRORS = (pd.errors.EmptyDataError, pd.errors.ParserError, UnicodeError, ValueError)
+
+
+def _whole_csv(store, name: str, header: int | None) -> tuple[list[str], int, Iterator[pd.DataFrame]]:
+    """(labels, rows, chunks) of a readable file.  The first chunk is held; a file of
+    more is read to its end before any row is given, and then again."""
+    chunks = _read_chunks(store, name, header)
+    first = next(chunks)
+    labels, rows = [str(c) for c in first.columns], len(first)
+    rest = 0
+    for chunk in chunks:
+        rest += len(chunk)
+    return labels, rows + rest, _read_chunks(store, name, header) if rest else iter([first])
+
+
+def _parse_index(uri: str, status: str):
+    """Columns are found by each file's own header; a yield holds a chunk of one file."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        store, base = tree.open_store(uri)
+        for pdf in batches:
+            for symbol in pdf["rel"]:
+                name = f"{base}/{symbol}/{status}.csv"
+                if not store.get_file_info(name).is_file:
+                    continue
+                fact = {"symbol": symbol, "row": -1, "header": None, "n_rows": None, "error": None, **dict.fromkeys(T.LISTING_COLUMNS)}
+                try:
+                    labels, n, chunks = _whole_csv(store, name, 0)
+                except CSV_ERRORS as e:
+                    yield pd.DataFrame([fact | {"error": _csv_error(e)}], dtype=object)
+                    continue
+                yield pd.DataFrame([fact | {"header": labels, "n_rows": n}], dtype=object)
+                row = 0
+                for chunk in chunks:
+                    cells = {c: chunk[c].astype(object).where(chunk[c].notna(), None).to_numpy() if c in chunk else None for c in T.LISTING_COLUMNS}
+                    fixed = {"symbol": symbol, "row": np.arange(row, row + len(chunk)), "header": None, "n_rows": None, "error": None}
+                    yield pd.DataFrame({**fixed, **cells}, columns=[*fact], index=range(len(chunk)), dtype=object)
+                    row += len(chunk)
+
+    return run
 
 
 def write_report_index(df: DataFrame, path: str, mode: str = "append") -> None:
@@ -180,43 +231,55 @@ def read_report_index_table(spark: SparkSession, path: str, status: str | None =
 CELLS_PER_YIELD = 100_000
 
 
-def _file_cells(path: str, text: str, header: bool) -> pd.DataFrame:
-    """Cells of one statement file; with ``header`` its labels are row -1, so
-    header-only tables keep them."""
-    try:
-        t = pd.read_csv(io.StringIO(text), header=0 if header else None, dtype=str, keep_default_na=False, na_filter=False)
-        names, values, first = [str(c) for c in t.columns], t.to_numpy(dtype=object).ravel(), 0
-        if header:
-            values, first = np.concatenate([np.full(len(names), None, dtype=object), values]), -1
-        unreadable = False
-    except (pd.errors.EmptyDataError, pd.errors.ParserError):
-        names, values, first, unreadable = [None], np.array([None], dtype=object), -1, True
-    n_rows = len(values) // len(names)
-    parts = path.rstrip("/").split("/")
+def _chunk_cells(labels: list[str], chunk: pd.DataFrame, first: int) -> pd.DataFrame:
+    """Cells of some rows of a statement file; the first one has number ``first``."""
+    values = chunk.to_numpy(dtype=object).ravel()
     return pd.DataFrame({
-        "symbol": parts[-3],
-        "report_dir": "/".join(parts[:-1]),
-        "statement": parts[-1].rsplit(".", 1)[0],
-        "row_idx": np.repeat(np.arange(first, first + n_rows), len(names)),
-        "col_idx": np.array([-1]) if unreadable else np.tile(np.arange(len(names)), n_rows),
-        "col_name": np.tile(np.array(names, dtype=object), n_rows),
+        "row_idx": np.repeat(np.arange(first, first + len(chunk)), len(labels)),
+        "col_idx": np.tile(np.arange(len(labels)), len(chunk)),
+        "col_name": np.tile(np.array(labels, dtype=object), len(chunk)),
         "value": values,
-        "unreadable": unreadable,
+        "unreadable": False,
     })
 
 
-def _parse_statements(header: bool):
-    """A yield holds whole files up to about ``CELLS_PER_YIELD`` cells."""
+_UNREADABLE = pd.DataFrame([{"row_idx": -1, "col_idx": -1, "col_name": None, "value": None, "unreadable": True}])
+
+
+def _file_cells(store, name: str, header: bool) -> Iterator[pd.DataFrame]:
+    """Cells of one statement file; with ``header`` its labels are row -1, so
+    header-only tables keep them.  A file that cannot be read is one row."""
+    try:
+        labels, _, chunks = _whole_csv(store, name, 0 if header else None)
+    except CSV_ERRORS:
+        yield _UNREADABLE
+        return
+    if header:
+        yield _chunk_cells(labels, pd.DataFrame([[None] * len(labels)], dtype=object), -1)
+    first = 0
+    for chunk in chunks:
+        step = max(1, CELLS_PER_YIELD // len(labels))
+        for at in range(0, len(chunk), step):
+            yield _chunk_cells(labels, chunk.iloc[at : at + step], first + at)
+        first += len(chunk)
+
+
+def _parse_statements(uri: str, header: bool):
+    """A yield holds about ``CELLS_PER_YIELD`` cells, of one file or many."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        store, base = tree.open_store(uri)
         held, n = [], 0
         for pdf in batches:
-            for path, text in zip(pdf["path"], pdf["value"], strict=True):
-                held.append(_file_cells(path, text, header))
-                n += len(held[-1])
-                if n >= CELLS_PER_YIELD:
-                    yield pd.concat(held)
-                    held, n = [], 0
+            for rel in pdf["rel"]:
+                parts = f"{tree.plain(uri)}/{rel}".split("/")
+                place = {"symbol": parts[-3], "report_dir": "/".join(parts[:-1]), "statement": parts[-1].rsplit(".", 1)[0]}
+                for cells in _file_cells(store, f"{base}/{rel}", header):
+                    held.append(cells.assign(**place))
+                    n += len(cells)
+                    if n >= CELLS_PER_YIELD:
+                        yield pd.concat(held)
+                        held, n = [], 0
         if held:
             yield pd.concat(held)
 
@@ -231,20 +294,15 @@ def read_statements(
 ) -> DataFrame:
     """Statement CSVs of a crawl tree → the long cell table (one row per cell).
 
-    One file is one row of a whole-text scan (file order is kept inside a
-    file); the CSV parse runs in ``mapInPandas``.  ``header=False`` counts the
-    header line as row 0.  Unparseable files give one row with
-    ``unreadable`` true.  All reports of all symbols end up in one table (U6).
+    The files come from a listing of the tree by executors, dealt by their bytes and
+    opened by the tasks that parse them.  ``header=False`` counts the header line as
+    row 0.  A file that a plain CSV read refuses (no content, a row longer than the
+    first, bytes that are no UTF-8) gives one row with ``unreadable`` true, so every
+    file is in the table.  All reports of all symbols end up in one table (U6).
     """
-    pattern = f"{root.rstrip('/')}/*/*/{{{','.join(names)}}}.csv"
-    try:
-        raw = spark.read.text(pattern, wholetext=True)
-    except AnalysisException as e:
-        if "PATH_NOT_FOUND" not in str(e):
-            raise
-        return spark.createDataFrame([], CELL_SCHEMA)
-    raw = raw.select(_file_path().alias("path"), "value")
-    return raw.mapInPandas(_parse_statements(header), CELL_SCHEMA)
+    entries = tree.list_tree(spark, root, levels=3).where((F.col("level") == 2) & F.col("name").isin([f"{n}.csv" for n in names]))
+    found = tree.files_of(spark, root, entries).select("rel", "bytes")
+    return tree.dealt_by_bytes(found).mapInPandas(_parse_statements(tree.qualified(spark, root), header), CELL_SCHEMA)
 
 
 def write_statements(cells: DataFrame, path: str, existing: DataFrame | None = None) -> None:
@@ -286,34 +344,9 @@ def csv_files(rows: DataFrame, path: str, columns: Sequence[str], order: Sequenc
 
 
 def write_named_files(texts: DataFrame, root: str) -> None:
-    """(path, content) rows as UTF-8 files ``root/path``.
-
-    Spark's writers name their files themselves, so tasks write these through
-    the file system of ``root`` (a shared folder or a store that Arrow knows).
-    A task that runs again writes the same files.
-    """
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        store, base = _store(root)
-        for pdf in batches:
-            for path, content in zip(pdf["path"], pdf["content"], strict=True):
-                name = f"{base}/{path}"
-                store.create_dir(name.rsplit("/", 1)[0], recursive=True)
-                with store.open_output_stream(name) as f:
-                    f.write(content.encode())
-            yield pdf[["path"]]
-
-    texts.select("path", "content").mapInPandas(run, "path string").write.format("noop").mode("overwrite").save()
-
-
-def _store(root: str):
-    from pyarrow import fs
-
-    local = root[len("file:"):] if root.startswith("file:") else root
-    if "://" not in root:
-        return fs.LocalFileSystem(), local.rstrip("/")
-    store, base = fs.FileSystem.from_uri(root)
-    return store, base.rstrip("/")
+    """(path, content) rows as UTF-8 files ``root/path``: staged and renamed under a
+    commit, see :func:`filingflow.sources.tree.write_files`."""
+    tree.write_files(texts, root)
 
 
 # S10, S12 ----------------------------------------------------------------------
@@ -344,38 +377,11 @@ def write_log_lines(lines: DataFrame, path: str) -> None:
 
 
 # S13, A2 ------------------------------------------------------------------------
-def _folder_depth(spark: SparkSession, root: str) -> int:
-    """Levels of folders below ``root``, by globs of one level each."""
-    path = spark._jvm.org.apache.hadoop.fs.Path
-    fs = path(root).getFileSystem(spark._jsc.hadoopConfiguration())
-    depth, pattern = 0, root.rstrip("/") + "/*"
-    while any(s.isDirectory() for s in fs.globStatus(path(pattern)) or ()):
-        depth, pattern = depth + 1, pattern + "/*"
-    return depth
-
-
 def file_catalog(spark: SparkSession, root: str, glob: str = "*.csv") -> DataFrame:
-    """Listing of matching files in folders of any depth, as a table
-    (path, bytes, mtime); file contents are not read (the binary source
-    prunes ``content``).
-
-    One glob with alternatives per depth (``{*.csv,*/*.csv,...}``): a
-    recursive listing would skip folders whose name starts with ``_`` or
-    ``.``, and a sanitised report title can start with ``_``.
-    """
-    alts = ",".join("/".join(["*"] * k + [glob]) for k in range(_folder_depth(spark, root) + 1))
-    pattern = f"{root.rstrip('/')}/{{{alts}}}"
-    try:
-        df = spark.read.format("binaryFile").load(pattern)
-    except AnalysisException as e:
-        if "PATH_NOT_FOUND" not in str(e):
-            raise
-        return spark.createDataFrame([], "path string, bytes bigint, mtime timestamp")
-    return df.select(
-        T.decode_path(F.col("path")).alias("path"),
-        F.col("length").alias("bytes"),
-        F.col("modificationTime").alias("mtime"),
-    )
+    """Listing of matching files in folders of any depth, as a table (path, bytes,
+    mtime); empty files and any folder names count, contents are not read."""
+    entries = tree.list_tree(spark, root)
+    return tree.files_of(spark, root, entries.where(tree.matches(F.col("name"), glob))).drop("rel")
 
 
 def count_files(catalog: DataFrame) -> DataFrame:

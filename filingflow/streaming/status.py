@@ -9,7 +9,8 @@ symbols, not with the log volume.
 R2 admits each (symbol, submission time) once: the first arrival wins, and
 inside one micro-batch the smallest arrival order.  Admitted keys are state
 of a streaming aggregation; the sink writes one folder per epoch (a retried
-epoch overwrites its own folder, so the sink is idempotent).  File sources
+epoch overwrites its own folder, so the sink is idempotent) and merges them now
+and then (:mod:`filingflow.sources.epochs`).  File sources
 treat files as immutable, so logs must be rotated (complete) before they are
 picked up.
 """
@@ -24,6 +25,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from filingflow.operators import audit
 from filingflow.operators.ordering import first_per_key
+from filingflow.sources.epochs import MERGE_EVERY, EpochTable
 
 
 def stream_status(
@@ -39,20 +41,29 @@ def stream_status(
     return audit.log_sets(lines)
 
 
+def status_table(spark: SparkSession, out_dir: str, every: int = MERGE_EVERY) -> EpochTable:
+    """The epochs of :func:`run_status`; a flag once set stays set, so they merge by symbol."""
+
+    def merge(rows: DataFrame) -> DataFrame:
+        return rows.groupBy("symbol").agg(
+            F.bool_or("in_success").alias("in_success"), F.bool_or("in_warning").alias("in_warning"), F.max("epoch_id").alias("epoch_id")
+        )
+
+    return EpochTable(spark, out_dir, merge, every)
+
+
 def run_status(spark: SparkSession, log_dir: str, out_dir: str, checkpoint_dir: str,
-               max_files_per_trigger: int | None = None, glob: str | None = None) -> StreamingQuery:
+               max_files_per_trigger: int | None = None, glob: str | None = None, merge_every: int = MERGE_EVERY) -> StreamingQuery:
     """Drain the available logs into a Parquet table: update mode, each epoch
     writes the symbols it changed to its own folder (a retried epoch replaces
-    only its output).  :func:`read_status` gives the present status."""
-
-    def sink(batch: DataFrame, epoch: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{out_dir}/epoch_id={epoch}")
-
+    only its output), and after ``merge_every`` epochs the earlier ones become a
+    new base.  :func:`read_status` gives the present status."""
+    table = status_table(spark, out_dir, merge_every)
     q = (
         stream_status(spark, log_dir, max_files_per_trigger, glob)
         .writeStream.outputMode("update")
         .option("checkpointLocation", checkpoint_dir)
-        .foreachBatch(sink)
+        .foreachBatch(table.write)
         .trigger(availableNow=True)
         .start()
     )
@@ -60,10 +71,8 @@ def run_status(spark: SparkSession, log_dir: str, out_dir: str, checkpoint_dir:
 
 
 def read_status(spark: SparkSession, out_dir: str) -> DataFrame:
-    """(symbol, in_success, in_warning) over all epochs; a flag once set stays set."""
-    return spark.read.parquet(out_dir).groupBy("symbol").agg(
-        F.bool_or("in_success").alias("in_success"), F.bool_or("in_warning").alias("in_warning")
-    )
+    """(symbol, in_success, in_warning): the base and the epochs after it."""
+    return status_table(spark, out_dir).rows().drop("epoch_id")
 
 
 def run_first_submission(
@@ -75,6 +84,7 @@ def run_first_submission(
     key: Sequence[str] = ("symbol", "submitted_at"),
     order: Sequence[str] = ("page", "row_idx"),
     max_files_per_trigger: int | None = 1,
+    merge_every: int = MERGE_EVERY,
 ) -> StreamingQuery:
     """R2: admit the first arrival of each key into the table at ``out_dir``.
 
@@ -85,8 +95,9 @@ def run_first_submission(
     nothing rescanned), and the aggregation combines map-side, so a key
     repeated many times in one batch is reduced before its shuffle.  Update
     mode re-emits keys touched again with the same row; each epoch is
-    written to its own folder (a retried epoch replaces only its output) and
-    :func:`read_admitted` keeps one row per key.
+    written to its own folder (a retried epoch replaces only its output), and
+    after ``merge_every`` epochs the earlier ones become a new base with one row
+    per key; :func:`read_admitted` keeps one row per key.
     """
     key, order = list(key), list(order)
     reader = spark.readStream.schema(schema).format("parquet")
@@ -105,18 +116,23 @@ def run_first_submission(
     )
     admitted = first.select(*key, *[F.col("_row")[c].alias(c) for c in rest])
 
-    def sink(batch: DataFrame, epoch: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{out_dir}/epoch_id={epoch}")
-
+    table = admitted_table(spark, out_dir, key, merge_every)
     return (
         admitted.writeStream.outputMode("update")
         .option("checkpointLocation", checkpoint_dir)
-        .foreachBatch(sink)
+        .foreachBatch(table.write)
         .trigger(availableNow=True)
         .start()
     )
 
 
+def admitted_table(
+    spark: SparkSession, out_dir: str, key: Sequence[str] = ("symbol", "submitted_at"), every: int = MERGE_EVERY
+) -> EpochTable:
+    """The epochs of :func:`run_first_submission`; merged, the earliest row of each key is left."""
+    return EpochTable(spark, out_dir, lambda rows: first_per_key(rows, list(key), ["epoch_id"]), every)
+
+
 def read_admitted(spark: SparkSession, out_dir: str, key: Sequence[str] = ("symbol", "submitted_at")) -> DataFrame:
     """The admitted rows, one per key (the earliest epoch that wrote it)."""
-    return first_per_key(spark.read.parquet(out_dir), list(key), ["epoch_id"]).drop("epoch_id")
+    return admitted_table(spark, out_dir, key).rows().drop("epoch_id")

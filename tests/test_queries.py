@@ -68,7 +68,8 @@ def test_registry_is_complete():
         "files_roundtrip_logs", "files_roundtrip_statements", "files_roundtrip_truth", "file_count",
         "stream_status", "stream_first_submission", "status_log_lines", "crawl_pass", "rescrape_purge", "crawl_reports",
         "crawl_checkpoints", "file_catalog", "reference_index", "reference_checkpoints", "reference_statements",
-        "reference_statements_headerless", "reference_contamination",
+        "reference_statements_headerless", "reference_contamination", "reference_unreadable", "index_inventory", "reference_audit",
+        "purge_stored", "stored_search", "stored_search_symbol",
     }
     assert expected <= set(QUERIES)
     assert set(ORACLE) <= set(QUERIES)
