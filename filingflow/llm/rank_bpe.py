@@ -1,20 +1,22 @@
 """Byte-level BPE encoding and decoding by contiguous rank arrays (operator 11).
 
 A text is parted at the tokenizer's added tokens and cut by its pattern.  A word
-starts as single bytes: an array holds the boundaries of its parts and a second one
-the rank of each two neighbouring parts.  The minimum of the ranks is looked for
-again and again, leftmost first; the boundary between its two parts is deleted, and
-the ranks of the pairs on both sides are looked up anew, until no pair has a rank.
+starts as single bytes: one contiguous array holds its parts (their ids, in the order
+of their boundaries), a second one the rank of each two neighbouring parts.  The
+minimum of the ranks is looked for again and again, leftmost first; the boundary
+between its two parts is deleted, and the ranks on both sides are looked up anew,
+until no pair has a rank.  New words of a batch that are of like length are rows of
+one matrix, so each step is one array operation over all of them.
 
 That scan is quadratic, so it is for short words, as the method says.  A word of
 more than ``SCAN_BYTES`` bytes (whitespace and letters without end in odd texts)
 deletes the same boundaries in the same order from a heap of ranked pairs over
-linked boundaries, in time n log n; ``tests/llm/test_rank_bpe.py`` holds both against
+linked parts, in time n log n; ``tests/llm/test_rank_bpe.py`` holds both against
 each other and the public library.
 
 Decoding looks up each id's bytes.  Words seen before come from a cache of the worker
-process, whose older half goes when the newer one holds ``CACHE_BYTES``.  A task holds
-the words of at most ``HELD_WORDS`` places at a time, also within one text.
+process, which is begun anew when it holds ``CACHE_BYTES``.  A task holds the words of
+at most ``HELD_WORDS`` places at a time, also within one text.
 
 Defined results: a null text is an empty one (no ids, digests of nothing); rows with
 equal ids or texts stay rows of their own; an empty table gives an empty result.
@@ -26,8 +28,9 @@ from __future__ import annotations
 import hashlib
 import heapq
 import json
+from array import array
 from collections.abc import Iterator
-from itertools import islice
+from itertools import islice, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -38,12 +41,14 @@ from filingflow.llm.common import text_batches, worker_cache
 
 #: Longest word, in bytes, whose ranks are scanned.
 SCAN_BYTES = 256
-#: Estimated memory of each half of a worker's cache of words.
-CACHE_BYTES = 32 << 20
+#: Estimated memory of a worker's cache of words.
+CACHE_BYTES = 96 << 20
 #: Word places whose ids are laid out together.
 HELD_WORDS = 200_000
+#: Cells of a matrix of words.
+CELLS = 1 << 20
 #: Rank of a pair that no merge joins.
-NONE = 1 << 60
+NONE = np.iinfo(np.int32).max
 
 #: How the byte-level tokenizer cuts text (fixed value of the public format).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -63,101 +68,159 @@ class RankTokenizer:
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
-        to_byte = {c: b for b, c in enumerate(byte_letters())}
-        raw = lambda token: bytes(to_byte[c] for c in token)
+        letters, vocab = byte_letters(), spec["model"]["vocab"]
+        to_byte = {c: b for b, c in enumerate(letters)}
         merges = [m.split(" ") if isinstance(m, str) else m for m in spec["model"]["merges"]]
-        self.ranks = {(raw(a), raw(b)): rank for rank, (a, b) in enumerate(merges)}
-        self.ids = {raw(token): i for token, i in spec["model"]["vocab"].items()}
         self.added = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        texts = dict(zip(self.ids.values(), self.ids)) | {i: t.encode() for t, i in self.added.items()}
-        size = max(texts) + 1
+        texts = {i: bytes(to_byte[c] for c in token) for token, i in vocab.items()} | {i: t.encode() for t, i in self.added.items()}
+        self.width = max(texts) + 1
         #: Bytes of every id, and its decimal form with a comma.
-        self.bytes_of = pa.array([texts.get(i, b"") for i in range(size)], pa.large_binary())
-        self.digits_of = pa.array([b"%d," % i for i in range(size)], pa.large_binary())
+        self.bytes_of = pa.array([texts.get(i, b"") for i in range(self.width)], pa.large_binary())
+        self.digits_of = pa.array([b"%d," % i for i in range(self.width)], pa.large_binary())
+        #: Id of each byte; the merges' pairs of ids in ascending order with their ranks; the id that a rank makes.
+        self.byte_ids = np.array([vocab[c] for c in letters], np.int32)
+        keys = np.array([vocab[a] * self.width + vocab[b] for a, b in merges], np.int64)
+        order = np.argsort(keys, kind="stable")
+        self.keys, self.key_ranks = keys[order], order.astype(np.int32)
+        self.made = np.array([vocab[a + b] for a, b in merges], np.int32)
+        self.rank = dict(zip(keys.tolist(), range(len(keys)), strict=True))
+        self.byte_ranks = self.ranks_of(np.repeat(self.byte_ids, 256), np.tile(self.byte_ids, 256)).reshape(256, 256)
         self.cut = regex.compile(PATTERN)
         longest_first = sorted(self.added, key=len, reverse=True)
         self.part = regex.compile("(" + "|".join(map(regex.escape, longest_first)) + ")") if longest_first else None
-        self.known: dict[str, list[int]] = {}
-        self.older: dict[str, list[int]] = {}
-        self.size = 0
-
-    def words(self, text: str) -> Iterator[str | int]:
-        """The text's words in order; an added token as its id."""
+        self._forget()
+
+    def _forget(self) -> None:
+        """An empty cache: word → number, and the numbers' ids end to end.  An added token is known by its id."""
+        self.known: dict[str | int, int] = {}
+        self.flat, self.ends, self.size = array("i"), array("q", [0]), 0
+        self._learn(list(self.added.values()), np.array(list(self.added.values()), np.int32), np.ones(len(self.added), np.int64))
+
+    def _learn(self, words: list[str | int], ids: np.ndarray, sizes: np.ndarray) -> None:
+        self.known.update(zip(words, range(len(self.ends) - 1, len(self.ends) - 1 + len(words)), strict=True))
+        self.ends.frombytes((np.cumsum(sizes) + self.ends[-1]).astype(np.int64).tobytes())
+        self.flat.frombytes(ids.astype(np.int32).tobytes())
+        self.size += 170 * len(words) + 4 * len(ids)
+
+    def words(self, text: str) -> Iterator[list[str | int]]:
+        """The text's words in order, in lists; an added token as its id."""
         for piece in self.part.splititer(text) if self.part else [text]:
             if piece in self.added:
-                yield self.added[piece]
+                yield [self.added[piece]]
+            elif len(piece) <= 1 << 20:
+                yield self.cut.findall(piece)
             else:
-                yield from self.cut.findall(piece) if len(piece) < 1 << 20 else (m.group() for m in self.cut.finditer(piece))
-
-    def scan(self, word: bytes) -> list[int]:
-        """Boundaries of the word's tokens, by the scanned rank array."""
-        rank = self.ranks.get
-        ends = list(range(len(word) + 1))
-        ranks = [rank((word[i : i + 1], word[i + 1 : i + 2]), NONE) for i in range(len(word) - 1)]
-        while ranks and (least := min(ranks)) < NONE:
-            i = ranks.index(least)
-            del ends[i + 1], ranks[i]
-            if i:
-                ranks[i - 1] = rank((word[ends[i - 1] : ends[i]], word[ends[i] : ends[i + 1]]), NONE)
-            if i < len(ranks):
-                ranks[i] = rank((word[ends[i] : ends[i + 1]], word[ends[i + 1] : ends[i + 2]]), NONE)
-        return ends
+                found = (m.group() for m in self.cut.finditer(piece))
+                while some := list(islice(found, HELD_WORDS)):
+                    yield some
+
+    def ranks_of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Ranks of pairs of ids; a right side below 0 is no part."""
+        wanted = left.astype(np.int64) * self.width + right
+        at = np.searchsorted(self.keys, wanted)
+        at[at == len(self.keys)] = 0
+        return np.where((self.keys[at] == wanted) & (right >= 0), self.key_ranks[at], NONE)
+
+    def scan(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words end to end, and the number of each word's: the scanned rank arrays."""
+        sizes = np.array([len(w) for w in words], np.int64)
+        width = int(sizes.max(initial=1))
+        data = np.frombuffer(b"".join(w.ljust(width, b"\0") for w in words), np.uint8).reshape(len(words), width)
+        parts = self.byte_ids[data]
+        parts[np.arange(width) >= sizes[:, None]] = -1
+        ranks = self.byte_ranks[data[:, :-1], data[:, 1:]]
+        ranks[parts[:, 1:] < 0] = NONE
+        at, ended = np.arange(len(words)), []
+        while True:
+            least = ranks.min(axis=1, initial=NONE)
+            open_ = least < NONE
+            if not open_.all():
+                ended.append((at[~open_], parts[~open_]))
+                at, parts, ranks, least = at[open_], parts[open_], ranks[open_], least[open_]
+            if not len(at):
+                break
+            rows, i = np.arange(len(at)), ranks.argmin(axis=1)
+            parts[rows, i] = self.made[least]
+            parts, ranks = _without(parts, rows, i + 1), _without(ranks, rows, i)
+            back = np.flatnonzero(i > 0)
+            ranks[back, i[back] - 1] = self.ranks_of(parts[back, i[back] - 1], parts[back, i[back]])
+            ahead = np.flatnonzero(i < ranks.shape[1])
+            ranks[ahead, i[ahead]] = self.ranks_of(parts[ahead, i[ahead]], parts[ahead, i[ahead] + 1])
+        counts = np.zeros(len(words), np.int64)
+        for rows, parts in ended:
+            counts[rows] = (parts >= 0).sum(axis=1)
+        flat, starts = np.empty(int(counts.sum()), np.int32), np.cumsum(counts) - counts
+        for rows, parts in ended:
+            there = parts >= 0
+            flat[(starts[rows][:, None] + np.arange(parts.shape[1]))[there]] = parts[there]
+        return flat, counts
 
     def linked(self, word: bytes) -> list[int]:
-        """The same boundaries for a long word: least rank, then leftmost, from a heap."""
-        n, rank = len(word), self.ranks.get
-        after, before = list(range(1, n + 2)), list(range(-1, n))
-        alive = bytearray(b"\1") * (n + 1)
-
-        def pair(i: int) -> tuple[int, int, int, int] | None:
-            """The pair whose left part begins at boundary i."""
-            mid = after[i]
-            if mid >= n:
-                return None
-            found = rank((word[i:mid], word[mid : after[mid]]))
-            return None if found is None else (found, i, mid, after[mid])
-
-        heap = [p for i in range(n) if (p := pair(i))]
+        """Ids of a long word: the same merges, least rank, then leftmost, from a heap."""
+        n, rank, width = len(word), self.rank.get, self.width
+        ids = self.byte_ids[np.frombuffer(word, np.uint8)].tolist()
+        after, before, alive = list(range(1, n + 1)), list(range(-1, n - 1)), bytearray(b"\1") * n
+        heap = [(r, i, ids[i], ids[i + 1]) for i in range(n - 1) if (r := rank(ids[i] * width + ids[i + 1])) is not None]
         heapq.heapify(heap)
         while heap:
-            _, i, mid, end = heapq.heappop(heap)
-            if not alive[i] or after[i] != mid or not alive[mid] or after[mid] != end:
-                continue  # one of its parts has grown since
-            alive[mid] = 0
-            after[i], before[end] = end, i
+            found, i, left, right = heapq.heappop(heap)
+            j = after[i]
+            if not alive[i] or j == n or ids[i] != left or ids[j] != right:
+                continue  # one of the two parts has grown since
+            alive[j], ids[i], after[i] = 0, int(self.made[found]), after[j]
+            if after[i] < n:
+                before[after[i]] = i
             for start in (before[i], i):
-                if start >= 0 and (p := pair(start)):
-                    heapq.heappush(heap, p)
-        return [i for i in range(n + 1) if alive[i]]
-
-    def encode_word(self, word: str) -> list[int]:
-        raw = word.encode("utf-8", "surrogatepass")
-        ends = self.scan(raw) if len(raw) <= SCAN_BYTES else self.linked(raw)
-        return [self.ids[raw[a:b]] for a, b in zip(ends, ends[1:])]
-
-    def encode_words(self, words: list[str | int]) -> tuple[pa.Array, np.ndarray]:
+                if start >= 0 and after[start] < n and (r := rank(ids[start] * width + ids[after[start]])) is not None:
+                    heapq.heappush(heap, (r, start, ids[start], ids[after[start]]))
+        return [t for t, a in zip(ids, alive, strict=True) if a]
+
+    def encode_new(self, words: list[str]) -> None:
+        """Puts distinct words into the cache."""
+        raw = [w.encode("utf-8", "surrogatepass") for w in words]
+        sizes = np.array([len(b) for b in raw])
+        order = np.argsort(sizes, kind="stable")  # words of like length together
+        sizes, first = sizes[order], 0
+        short = int(np.searchsorted(sizes, SCAN_BYTES, "right"))
+        while first < short:
+            limit = min(max(16, 2 * int(sizes[first])), SCAN_BYTES)
+            end = min(int(np.searchsorted(sizes, limit, "right")), first + CELLS // limit)
+            part = order[first:end].tolist()
+            self._learn([words[i] for i in part], *self.scan([raw[i] for i in part]))
+            first = end
+        for i in order[short:].tolist():
+            ids = self.linked(raw[i])
+            self._learn([words[i]], np.array(ids, np.int32), np.array([len(ids)]))
+
+    def encode_words(self, words: list[str | int]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the words end to end, and the offset of each word's."""
-        distinct: dict[str | int, int] = {}
-        places = np.array([distinct.setdefault(w, len(distinct)) for w in words], np.int64)
-        rows = []
-        for w in distinct:
-            ids = self.known.get(w) if isinstance(w, str) else [w]
-            if ids is None:
-                ids = self.known[w] = self.older.get(w) or self.encode_word(w)
-                self.size += 180 + 3 * len(w) + 40 * len(ids)
-            rows.append(ids)
         if self.size > CACHE_BYTES:
-            self.known, self.older, self.size = {}, self.known, 0
-        sizes = np.array([len(r) for r in rows], np.int64)
-        starts = np.concatenate([[0], np.cumsum(sizes)])
-        lists = pa.LargeListArray.from_arrays(pa.array(starts), pa.array([i for r in rows for i in r], pa.int32()))
-        offsets = np.concatenate([[0], np.cumsum(sizes[places])])
-        return lists.take(pa.array(places)).flatten(), offsets
-
-
-def _laid_out(values: pa.Array, ids: pa.Array) -> tuple[memoryview, np.ndarray]:
+            self._forget()
+        numbers = np.fromiter(map(self.known.get, words, repeat(-1)), np.int64, len(words))
+        new = np.flatnonzero(numbers < 0).tolist()
+        if new:
+            self.encode_new(list(dict.fromkeys(words[i] for i in new)))
+            numbers[new] = [self.known[words[i]] for i in new]
+        ends, flat = np.frombuffer(self.ends, np.int64), np.frombuffer(self.flat, np.int32)
+        sizes = ends[numbers + 1] - ends[numbers]
+        offsets = np.concatenate([[0], np.cumsum(sizes)])
+        return flat[np.arange(offsets[-1]) + np.repeat(ends[numbers] - offsets[:-1], sizes)], offsets
+
+    def encode(self, text: str) -> list[int]:
+        """Ids of one text."""
+        return [i for words in self.words(text) for i in self.encode_words(words)[0].tolist()]
+
+
+def _without(matrix: np.ndarray, rows: np.ndarray, column: np.ndarray) -> np.ndarray:
+    """The matrix without one cell of each row."""
+    keep = np.ones(matrix.shape, bool)
+    keep[rows, column] = False
+    return matrix[keep].reshape(len(matrix), matrix.shape[1] - 1)
+
+
+def _laid_out(values: pa.Array, ids: np.ndarray) -> tuple[memoryview, np.ndarray]:
     """The values of the ids end to end, and the offset of each."""
-    taken = values.take(ids)
+    taken = values.take(pa.array(ids, pa.int32()))
     _, offsets, data = taken.buffers()
     at = np.frombuffer(offsets, np.int64, len(taken) + 1) if len(taken) else np.zeros(1, np.int64)
     return memoryview(data or b""), at
@@ -192,29 +255,33 @@ def tokenizer(path: str) -> RankTokenizer:
 
 def _encoded(tok: RankTokenizer, texts: list[str | None], ids: bool) -> Iterator[tuple[int, str, str, list]]:
     """(number of ids, digest of ids, digest of decoded bytes, ids) of each text."""
-    places = ((k, w) for k, t in enumerate(texts) for w in tok.words(t or ""))
-    at, open_ = 0, _Document()
-
-    def closed(doc: _Document) -> tuple[int, str, str, list]:
-        return doc.count, doc.ids.hexdigest(), doc.decoded.hexdigest(), doc.held
+    open_ = [_Document() for _ in texts]
+    held: list[str | int] = []
+    parts: list[tuple[int, int]] = []  # text and end of its words in ``held``
 
-    while part := list(islice(places, HELD_WORDS)):
-        of = np.array([k for k, _ in part], np.int64)
-        found, offsets = tok.encode_words([w for _, w in part])
+    def feed() -> None:
+        nonlocal held, parts
+        found, offsets = tok.encode_words(held)
         digits, digits_at = _laid_out(tok.digits_of, found)
         decoded, decoded_at = _laid_out(tok.bytes_of, found)
-        cuts = np.flatnonzero(np.diff(of)) + 1
-        for first, end in zip([0, *cuts.tolist()], [*cuts.tolist(), len(part)], strict=True):
-            while at < of[first]:
-                yield closed(open_)
-                at, open_ = at + 1, _Document()
+        first = 0
+        for k, end in parts:
             a, b = int(offsets[first]), int(offsets[end])
-            open_.feed(digits[digits_at[a] : digits_at[b]], decoded[decoded_at[a] : decoded_at[b]], b - a)
+            open_[k].feed(digits[digits_at[a] : digits_at[b]], decoded[decoded_at[a] : decoded_at[b]], b - a)
             if ids:
-                open_.held.append(found.slice(a, b - a))
-    while at < len(texts):
-        yield closed(open_)
-        at, open_ = at + 1, _Document()
+                open_[k].held.append(found[a:b])
+            first = end
+        held, parts = [], []
+
+    for k, text in enumerate(texts):
+        for words in tok.words(text or ""):
+            held += words
+            parts.append((k, len(held)))
+            if len(held) >= HELD_WORDS:
+                feed()
+    feed()
+    for doc in open_:
+        yield doc.count, doc.ids.hexdigest(), doc.decoded.hexdigest(), doc.held
 
 
 def encode_documents(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", ids: bool = True) -> DataFrame:
@@ -232,7 +299,7 @@ def encode_documents(docs: DataFrame, path: str, key: str = "doc_id", text: str
                 if ids:
                     ends = np.concatenate([[0], np.cumsum([r[0] for r in rows])]).astype(np.int32)
                     flat = [x for r in rows for x in r[3]]
-                    cols.append(pa.ListArray.from_arrays(pa.array(ends), pa.concat_arrays(flat) if flat else pa.array([], pa.int32())))
+                    cols.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(flat) if flat else [], pa.int32())))
                 yield pa.RecordBatch.from_arrays(cols, names)
         pa.default_memory_pool().release_unused()
 
@@ -254,7 +321,7 @@ def decode_documents(encoded: DataFrame, path: str, key: str = "doc_id", ids: st
                 texts = []
                 for row in part.column(1).to_pylist():
                     known = [i for i in row or [] if i is not None and 0 <= i < len(tok.bytes_of)]
-                    texts.append(bytes(_laid_out(tok.bytes_of, pa.array(known, pa.int32()))[0]).decode("utf-8", "replace"))
+                    texts.append(bytes(_laid_out(tok.bytes_of, known)[0]).decode("utf-8", "replace"))
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(texts, pa.string())], [key, "decoded"])
 
     return encoded.select(key, ids).mapInArrow(run, f"`{key}` {dict(encoded.dtypes)[key]}, decoded string")
