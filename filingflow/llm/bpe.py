@@ -22,7 +22,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from filingflow.llm.common import text_batches, worker_cache
+from filingflow.llm.common import lean, text_batches, worker_cache
 
 #: Estimated memory of each of the two generations of pieces that a worker process remembers.
 CACHE_BYTES = 48 << 20
@@ -239,13 +239,12 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, key: str = "doc_i
             if ids:
                 cols.append(pa.array([np.fromstring(i.decode(), np.int32, sep=" ") for _, i, _ in rows], pa.list_(pa.int32())))
             yield pa.RecordBatch.from_arrays(cols, names)
-        pa.default_memory_pool().release_unused()
 
     text_batches(docs.sparkSession)
     names = [key, "n_tokens", "ids_sha256", "decoded_sha256"] + ["ids"] * ids
     kind = dict(docs.dtypes)[key]
     schema = f"`{key}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * ids
-    return docs.select(key, text).mapInArrow(run, schema)
+    return docs.select(key, text).mapInArrow(lean(run), schema)
 
 
 def decode_documents(encoded: DataFrame, path: str, pattern: str, key: str = "doc_id", ids: str = "ids") -> DataFrame:
@@ -259,4 +258,4 @@ def decode_documents(encoded: DataFrame, path: str, pattern: str, key: str = "do
                 decoded = tok.decode_batch([i or [] for i in part.column(1).to_pylist()])
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(decoded, pa.binary())], [key, "decoded"])
 
-    return encoded.select(key, ids).mapInArrow(run, f"`{key}` {dict(encoded.dtypes)[key]}, decoded binary")
+    return encoded.select(key, ids).mapInArrow(lean(run), f"`{key}` {dict(encoded.dtypes)[key]}, decoded binary")

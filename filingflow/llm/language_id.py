@@ -19,12 +19,11 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from filingflow.llm.common import text_batches
+from filingflow.llm.common import lean, text_batches
 
 UNDETERMINED = "und"
 _NOT_LETTERS = re.compile(r"[\W\d_]+")
@@ -47,6 +46,18 @@ def gram_hash(grams: list[np.ndarray]) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
+def _distinct(grams: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:
+    """Distinct n-grams, one array per position, and how often each occurs."""
+    if not len(grams[0]):
+        return grams, np.empty(0, np.int64)
+    order = np.lexsort(grams[::-1])
+    grams = [g[order] for g in grams]
+    new = np.ones(len(order), bool)
+    new[1:] = np.logical_or.reduce([g[1:] != g[:-1] for g in grams])
+    first = np.flatnonzero(new)
+    return [g[first] for g in grams], np.diff(np.append(first, len(order)))
+
+
 def _lookup(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     at = np.minimum(np.searchsorted(keys, wanted), max(len(keys) - 1, 0))
     return at, keys[at] == wanted if len(keys) else np.zeros(len(wanted), bool)
@@ -82,9 +93,8 @@ class KneserNey:
         self.orders = [_Order.of(grams, counts.astype(float))]
         while len(grams) > 1:
             # A lower-order count is the number of different left neighbours.
-            shorter = pd.DataFrame({i: g for i, g in enumerate(grams[1:])}).groupby(list(range(len(grams) - 1)), sort=False).size()
-            grams = [shorter.index.get_level_values(i).to_numpy() for i in range(shorter.index.nlevels)]
-            self.orders.insert(0, _Order.of(grams, shorter.to_numpy().astype(float)))
+            grams, neighbours = _distinct(grams[1:])
+            self.orders.insert(0, _Order.of(grams, neighbours.astype(float)))
 
     def probability(self, grams: list[np.ndarray]) -> np.ndarray:
         """p(last | those before) for n-grams of up to the model's order."""
@@ -113,8 +123,8 @@ class Model:
     spread: np.ndarray = field(default_factory=lambda: np.empty(0))
 
     @classmethod
-    def build(cls, counts: pd.DataFrame, order: int) -> Model:
-        """``counts``: columns lang, c0 .. c{order-1}, n."""
+    def build(cls, counts, order: int) -> Model:
+        """``counts``: a pandas table with columns lang, c0 .. c{order-1}, n."""
         names = [f"c{i}" for i in range(order)]
         languages = sorted(counts["lang"].unique())
         alphabet = counts[names[-1]].nunique() + 1
@@ -158,24 +168,28 @@ class Model:
                 square[:, k] += np.bincount(o, cost[:, k] ** 2, len(texts))
         return size, total / size[:, None], square / size[:, None]
 
-    def predict(self, texts: list[str | None]) -> pd.DataFrame:
+    def predict(self, texts: list[str | None]) -> dict[str, np.ndarray]:
         """lang_pred, score, cross_entropy, deviation (of a character's cost), chars, rejected."""
         clean = [normalise(t or "") for t in texts]
-        out = pd.DataFrame({"lang_pred": UNDETERMINED, "score": 0.0, "cross_entropy": np.nan, "deviation": np.nan, "chars": [len(t) for t in clean], "rejected": True})
-        some = [i for i, t in enumerate(clean) if t]
-        if not some or not self.languages:
+        n = len(clean)
+        out = {
+            "lang_pred": np.full(n, UNDETERMINED, object), "score": np.zeros(n), "cross_entropy": np.full(n, np.nan),
+            "deviation": np.full(n, np.nan), "chars": np.array([len(t) for t in clean], np.int64), "rejected": np.ones(n, bool),
+        }
+        some = np.flatnonzero(out["chars"])
+        if not len(some) or not self.languages:
             return out
         size, cost, square = self.cross_entropies([clean[i] for i in some])
         best = cost.argmin(axis=1)
         rows = np.arange(len(some))
         lowest = cost[rows, best]
         gap = (cost - lowest[:, None]) * np.minimum(size, 40)[:, None]
-        out.loc[some, "lang_pred"] = np.array(self.languages, object)[best]
-        out.loc[some, "score"] = 1.0 / np.exp(-gap).sum(axis=1)
-        out.loc[some, "cross_entropy"] = lowest
-        out.loc[some, "deviation"] = np.sqrt(np.maximum(square[rows, best] - lowest**2, 0))
+        out["lang_pred"][some] = np.array(self.languages, object)[best]
+        out["score"][some] = 1.0 / np.exp(-gap).sum(axis=1)
+        out["cross_entropy"][some] = lowest
+        out["deviation"][some] = np.sqrt(np.maximum(square[rows, best] - lowest**2, 0))
         if len(self.limit):
-            out.loc[some, "rejected"] = lowest > self.limit[best] + self.spread[best] / np.sqrt(size)
+            out["rejected"][some] = lowest > self.limit[best] + self.spread[best] / np.sqrt(size)
         return out
 
 
@@ -218,12 +232,11 @@ def _gram_counts(sample: DataFrame, order: int) -> DataFrame:
                         keep[first + i] = False
                     at = np.flatnonzero(keep)
                     if len(at):
-                        rows = pd.DataFrame({n: codes[at - (order - 1) + i].astype(np.int32) for i, n in enumerate(names)}).value_counts().reset_index(name="n")
-                        rows.insert(0, "lang", lang)
-                        yield pa.RecordBatch.from_pandas(rows.astype({"n": np.int64}), preserve_index=False)
+                        grams, n = _distinct([codes[at - (order - 1) + i].astype(np.int32) for i in range(order)])
+                        yield pa.RecordBatch.from_arrays([pa.array([lang] * len(n), pa.string()), *map(pa.array, grams), pa.array(n, pa.int64())], ["lang", *names, "n"])
 
     schema = "lang string, " + ", ".join(f"{n} int" for n in names) + ", n long"
-    return sample.select("lang", "text").mapInArrow(run, schema).groupBy("lang", *names).agg(F.sum("n").alias("n"))
+    return sample.select("lang", "text").mapInArrow(lean(run), schema).groupBy("lang", *names).agg(F.sum("n").alias("n"))
 
 
 def fit(
@@ -289,7 +302,7 @@ def predict(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "tex
                 at += len(group)
 
     schema = f"`{key}` {dict(docs.dtypes)[key]}, lang_pred string, score double, cross_entropy double, deviation double, rejected boolean"
-    return docs.select(key, text).mapInArrow(run, schema)
+    return docs.select(key, text).mapInArrow(lean(run, shared), schema)
 
 
 def held_out(key) -> F.Column:
@@ -308,8 +321,8 @@ def keep_accepted(docs: DataFrame, model: Model, text: str = "text") -> DataFram
         for batch in batches:
             at = 0
             for group in _groups(batch.column(place).to_pylist()):
-                keep = ~shared.value.predict(group)["rejected"].to_numpy(bool)
+                keep = ~shared.value.predict(group)["rejected"]
                 yield batch.slice(at, len(group)).filter(pa.array(keep))
                 at += len(group)
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(lean(run, shared), docs.schema)

@@ -19,7 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from filingflow.llm.common import salted, work_table
+from filingflow.llm.common import repeated, salted, work_table
 
 
 @dataclass
@@ -113,9 +113,8 @@ def mix(
     rows, quotas = salted(rows, quotas, "_ff_key")
     joined = rows.join(quotas.withColumnRenamed("_ff_salt", "_ff_q"), F.col("_ff_source").eqNullSafe(F.col("_ff_s")) & (F.col("_ff_salt") == F.col("_ff_q")))
     last = F.col("passes") - F.when(F.col("rest") > 0, 0).otherwise(1)
-    passes = joined.where(last >= 0).withColumn("epoch", F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
-    draw = F.xxhash64(F.lit(seed), "epoch", "_ff_key").bitwiseAND(F.lit((1 << 53) - 1)) / F.lit(float(1 << 53))
-    passes = passes.withColumn("draw", draw).withColumn("bucket", F.floor(F.col("draw") * F.col("buckets")))
+    passes = repeated(joined.withColumn("epoch", last + 1).where("epoch > 0"), "epoch")
+    passes = passes.withColumn("draw", _draw(seed, "epoch", "_ff_key")).withColumn("bucket", F.floor(F.col("draw") * F.col("buckets")))
 
     group = ["_ff_source", "epoch"]
     before = Window.partitionBy(*group).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -137,7 +136,24 @@ def mix(
     )
 
 
-def realise(docs: DataFrame, mixture: DataFrame, key: str = "doc_id", source: str = "source") -> DataFrame:
-    """``docs`` with every row as often as the mixture holds its key and source."""
-    picks = mixture.select(F.col(key).alias("_ff_k"), F.col(source).alias("_ff_s"))
-    return docs.join(picks, docs[key].eqNullSafe(F.col("_ff_k")) & docs[source].eqNullSafe(F.col("_ff_s"))).drop("_ff_k", "_ff_s")
+def _draw(seed: int, epoch: str, key: str) -> Column:
+    """Place of a key in a pass, in [0, 1)."""
+    return F.xxhash64(F.lit(seed), F.col(epoch), F.col(key)).bitwiseAND(F.lit((1 << 53) - 1)) / F.lit(float(1 << 53))
+
+
+def realise(docs: DataFrame, mixture: DataFrame, key: str = "doc_id", source: str = "source", seed: int = 5) -> DataFrame:
+    """``docs`` with every row as often as the mixture holds its key and source.
+
+    A source's passes before the last are whole, and the last one takes the rows up
+    to a place in its permutation.  So one row for each source, its last pass and the
+    place reached, says how often a document comes: no text is shuffled by its key.
+    ``seed`` is that of :func:`mix`; sources that the mixture lacks have no rows."""
+    held = mixture.select(F.col(source).alias("_ff_s"), F.col("epoch").alias("_ff_epoch"), F.col(key).alias("_ff_key"))
+    place = F.struct("_ff_epoch", _draw(seed, "_ff_epoch", "_ff_key").alias("_ff_draw"), "_ff_key")
+    reached = work_table(held.groupBy("_ff_s").agg(F.max(place).alias("_ff_last")), "mixing").select("_ff_s", "_ff_last", "_ff_last._ff_epoch")
+    rows, reached = salted(docs, reached, key)
+    same = F.col(source).eqNullSafe(F.col("_ff_s")) & (rows["_ff_salt"] == F.col("_ff_q"))
+    rows = rows.join(reached.withColumnRenamed("_ff_salt", "_ff_q"), same)
+    own = F.struct("_ff_epoch", _draw(seed, "_ff_epoch", key), F.col(key))
+    rows = rows.withColumn("_ff_times", F.col("_ff_epoch") + (own <= F.col("_ff_last")).cast("bigint"))
+    return repeated(rows.where("_ff_times > 0"), "_ff_times").select(docs.columns)

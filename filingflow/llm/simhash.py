@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from filingflow.llm.common import connected_components, star_forest, text_batches, work_table
+from filingflow.llm.common import connected_components, lean, star_forest, text_batches, work_table
 
 _BITS = 64
 
@@ -62,7 +62,7 @@ def fingerprints(docs: DataFrame, words_per_shingle: int = 4, key: str = "doc_id
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(fps, pa.int64())], [key, "text_id", "fp"])
 
     rows = docs.select(key, _text_id(text).alias("text_id"), text)
-    return rows.mapInArrow(run, f"`{key}` {dict(docs.dtypes)[key]}, text_id long, fp long")
+    return rows.mapInArrow(lean(run), f"`{key}` {dict(docs.dtypes)[key]}, text_id long, fp long")
 
 
 def _text_id(text: str) -> Column:
@@ -173,7 +173,7 @@ def fingerprint_links(fps: DataFrame, max_bits: int = 4, shard_rows: int = 8192)
                 held = [rows[:, whole:]]
         yield links(np.concatenate(held, axis=1))
 
-    return rows.repartition("shard").sortWithinPartitions("shard").mapInArrow(run, "a long, b long")
+    return rows.repartition("shard").sortWithinPartitions("shard").mapInArrow(lean(run), "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, words_per_shingle: int = 4, max_bits: int = 4, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -73,8 +73,9 @@ def test_cross_entropy_does_not_depend_on_slices(monkeypatch):
     texts = [sentence(rng, "aa", 50), "x", sentence(rng, "bb", 400)]
     whole = model.predict(texts)
     monkeypatch.setattr(L, "_SLICE", 37)
-    pd.testing.assert_frame_equal(whole, model.predict(texts))
-    alone = pd.concat([model.predict([t]) for t in texts], ignore_index=True)
+    whole = pd.DataFrame(whole)
+    pd.testing.assert_frame_equal(whole, pd.DataFrame(model.predict(texts)))
+    alone = pd.concat([pd.DataFrame(model.predict([t])) for t in texts], ignore_index=True)
     pd.testing.assert_frame_equal(whole, alone)
 
 
@@ -129,3 +130,22 @@ def test_slices_of_long_texts_hold_the_same_grams(make_docs, monkeypatch):
     whole = sorted(map(tuple, L._gram_counts(docs, 3).collect()))
     monkeypatch.setattr(L, "_FIT_SLICE", 7)
     assert whole == sorted(map(tuple, L._gram_counts(docs, 3).collect()))
+
+
+def test_distinct_grams_are_counted():
+    rng = random.Random(4)
+    grams = [tuple(rng.randrange(3) for _ in range(3)) for _ in range(200)]
+    found, counts = L._distinct([np.array(c) for c in zip(*grams, strict=True)])
+    assert dict(zip(zip(*(f.tolist() for f in found), strict=True), counts.tolist(), strict=True)) == Counter(grams)
+    assert L._distinct([np.empty(0, np.int32)])[1].tolist() == []
+
+
+def test_clashing_extra_columns(spark):
+    rows = [(i, sentence(random.Random(i), lang), lang, "x", 1, True) for i, lang in enumerate(["aa", "bb"] * 30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, lang_pred string, draw int, rejected boolean")
+    model = L.fit(docs)
+    found = L.predict(docs, model)
+    assert found.columns == ["doc_id", "lang_pred", "score", "cross_entropy", "deviation", "rejected"]
+    assert {(r["doc_id"], r["lang_pred"]) for r in found.collect()} == {(i, lang) for i, _, lang, *_ in rows}
+    kept = L.keep_accepted(docs, model)
+    assert kept.columns == docs.columns and kept.count() == len(rows)

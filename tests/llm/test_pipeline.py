@@ -51,7 +51,11 @@ def test_rows_of_the_run_as_in_plain_python(spark, tmp_path):
     for r in single:
         ids = enc.encode_ordinary(r["text"] or "")
         expect.add((r["doc_id"], len(ids), sha(" ".join(map(str, ids)).encode()), sha((r["text"] or "").encode())))
-    rows = Counter(tuple(r) for r in corpus_pipeline.run(spark, SF).collect())
+    corpus_pipeline.run(spark, SF).write.parquet(f"{tmp_path}/encoded")
+    encoded = spark.read.parquet(f"{tmp_path}/encoded").collect()
+    rows = Counter((r["doc_id"], r["n_tokens"], r["ids_sha256"], r["decoded_sha256"]) for r in encoded)
+    for r in encoded:  # the written ids are those of the digests, and decode to the text
+        assert (len(r["ids"]), sha(" ".join(map(str, r["ids"])).encode()), sha(enc.decode_bytes(r["ids"]))) == (r["n_tokens"], r["ids_sha256"], r["decoded_sha256"])
     # Nothing is dropped or changed by mixing; the rarest source is passed at most twice.
     assert set(rows) == expect and max(rows.values()) <= 2
 
