@@ -16,6 +16,9 @@ from pyspark.sql import functions as F
 from filingflow.functions import text as T
 from filingflow.operators import audit
 from filingflow.plans import derive
+from filingflow.session import new_work_dir
+from filingflow.sources import files
+from filingflow.sources.tables import written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -189,6 +192,15 @@ def q_log_summary(spark: SparkSession, d: str) -> DataFrame:
     return audit.log_summary(derive.crawl_log(spark, d))
 
 
+@register("newest_log_summary", ORACLE["log_summary"])
+def q_newest_log_summary(spark: SparkSession, d: str) -> DataFrame:
+    """The logs as files, of which the newest is found by its name and read alone."""
+    path = new_work_dir(spark, "newest-log")
+    logs = derive.crawl_log(spark, d).select(F.col("file").alias("log"), "value")
+    logs.write.partitionBy("log").text(f"{path}/logs")
+    return audit.log_summary(files.read_latest_log(spark, f"{path}/logs"))
+
+
 @register(
     "open_symbols",
     AUDIT_WITH
@@ -481,7 +493,7 @@ FROM allcp a LEFT JOIN np ON a.symbol = np.symbol
 """,
 )
 def q_advance_checkpoint(spark: SparkSession, d: str) -> DataFrame:
-    lst = derive.event_listing(spark, d)
+    lst = written(derive.event_listing(spark, d), "listing")  # numbered once, read three times
     cps = derive.event_checkpoints(spark, d)
     processed = resume.resume_rows(lst, cps).where(F.col("ts") < F.lit(CUTOFF).cast("timestamp_ntz"))
     sizes = lst.groupBy("symbol", "page").agg(F.count(F.lit(1)).alias("n_rows"))
@@ -1203,8 +1215,7 @@ def q_rescrape_purge(spark: SparkSession, d: str) -> DataFrame:
 
 
 # Sources and sinks through the shared work folder ------------------------------------------------
-from filingflow.session import new_work_dir  # noqa: E402
-from filingflow.sources import buckets, files, search  # noqa: E402
+from filingflow.sources import buckets, search  # noqa: E402
 
 
 @register(
@@ -1751,7 +1762,7 @@ expected AS (SELECT 'U' || CAST(user_id AS VARCHAR) AS symbol, count(*) AS expec
 
 def _crawl_pass(spark: SparkSession, d: str) -> dict[str, DataFrame]:
     return flows.crawl_pass(
-        derive.event_listing_rows(spark, d), derive.event_checkpoints(spark, d), derive.event_pager(spark, d),
+        written(derive.event_listing_rows(spark, d), "listing"), derive.event_checkpoints(spark, d), derive.event_pager(spark, d),
         derive.event_folders(spark, d), max_path=CRAWL_MAX_PATH,
     )
 
@@ -1770,6 +1781,25 @@ def q_crawl_pass(spark: SparkSession, d: str) -> DataFrame:
     return _crawl_pass(spark, d)["status"]
 
 
+@register(
+    "crawl_index",
+    CRAWL_WITH
+    + """
+SELECT n.symbol, CASE WHEN coalesce(g.got, 0) = e.expected THEN 'success' ELSE 'warning' END AS status,
+       CAST(n.event_id AS VARCHAR) AS stt, n.base AS saving_path
+FROM named n JOIN expected e ON n.symbol = e.symbol LEFT JOIN got g ON n.symbol = g.symbol
+""",
+)
+def q_crawl_index(spark: SparkSession, d: str) -> DataFrame:
+    """The pass's index as success.csv or warning.csv of each symbol, written and read back."""
+    out = _crawl_pass(spark, d)
+    out["reports"] = out["reports"].withColumns({"STT": F.col("event_id"), "Saving_path": F.col("report_dir")})
+    root = new_work_dir(spark, "crawl-pass")
+    flows.write_pass(out, root, ["STT", "Tiêu đề", "Saving_path"], ["page", "row_idx"])
+    index = files.read_report_index(spark, root).unionByName(files.read_report_index(spark, root, "warning"))
+    return index.select("symbol", "status", F.col("STT").alias("stt"), F.col("Saving_path").alias("saving_path"))
+
+
 @register("crawl_reports", CRAWL_WITH + "SELECT symbol, page, row_idx, event_id, base AS report_dir FROM named")
 def q_crawl_reports(spark: SparkSession, d: str) -> DataFrame:
     return _crawl_pass(spark, d)["reports"].select("symbol", "page", "row_idx", "event_id", "report_dir")

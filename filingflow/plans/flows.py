@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from filingflow.operators import audit, naming, quality, reconcile, resume
+from filingflow.sources import files
 
 
 def rescrape_plan(
@@ -71,3 +72,12 @@ def crawl_pass(
     sizes = listing.groupBy("symbol", "page").agg(F.count(F.lit(1)).alias("n_rows"))
     new_cp = resume.advance_checkpoints(todo, sizes, checkpoints)
     return {"reports": named, "status": status, "checkpoints": new_cp}
+
+
+def write_pass(out: dict[str, DataFrame], root: str, columns: list[str], order: list[str]) -> None:
+    """The index of a :func:`crawl_pass` in the crawl's layout: the reports of a symbol
+    whose folders are complete as ``root/SYM/success.csv``, of others as ``warning.csv``."""
+    status = out["status"].select(F.col("symbol").alias("_p_symbol"), F.col("status").alias("_p_status"))
+    rows = out["reports"].join(status, F.col("symbol") == F.col("_p_symbol"))
+    rows = rows.withColumn("_p_path", F.concat("symbol", F.lit("/"), "_p_status", F.lit(".csv")))
+    files.write_csv_files(rows, "_p_path", columns, order, root)

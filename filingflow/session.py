@@ -8,8 +8,7 @@ knobs that decide how the plans run at scale:
   landing in one task.
 * Broadcast joins only through ``spark.sql.autoBroadcastJoinThreshold``; AQE
   checks the real size of the small side after its stage ran and falls back to
-  a sort-merge join when it is larger.  No code path forces a broadcast of a
-  side whose size is not bounded.
+  a sort-merge join when it is larger.
 * UTC session time zone: log times and submission times carry no zone.
 """
 
@@ -66,6 +65,11 @@ def work_root(spark: SparkSession) -> str:
         root = tempfile.mkdtemp(prefix="filingflow-work-", dir="/tmp")
         spark.sparkContext.setCheckpointDir(root)
         spark.conf.set("spark.checkpoint.dir", root)
+    if "://" not in root and not root.startswith("file:"):
+        # A root without a scheme belongs to the cluster's default file system.
+        path = spark._jvm.org.apache.hadoop.fs.Path(root)
+        root = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
+        root = "/" + root[len("file:"):].lstrip("/") if root.startswith("file:") else root
     return root.rstrip("/")
 
 

@@ -343,6 +343,18 @@ def csv_files(rows: DataFrame, path: str, columns: Sequence[str], order: Sequenc
     return keyed.groupBy("path").agg(F.concat(F.array_join(F.concat(F.array(head), lines), "\n"), F.lit("\n")).alias("content"))
 
 
+def write_csv_files(rows: DataFrame, path: str, columns: Sequence[str], order: Sequence[str], root: str) -> None:
+    """The rows of each value of ``path`` as one CSV file with a header below ``root``, in
+    ``order``; all files or none (:func:`filingflow.sources.tree.commit_staged`).  A file
+    is written line by line as its sorted rows come, so its size is not a task's memory."""
+    line = csv_line(*[F.col(f"`{c}`") for c in columns])
+    keys = [f"_k{i}" for i in range(len(order))]
+    lines = rows.select(F.col(path).alias("path"), *[F.col(f"`{c}`").alias(k) for c, k in zip(order, keys, strict=True)], line.alias("line"))
+    lines = lines.repartition("path").sortWithinPartitions("path", *keys).select("path", "line")
+    header = rows.sparkSession.range(1).select(csv_line(*[F.lit(c) for c in columns])).first()[0]
+    tree.write_lines(lines, root, header)
+
+
 def write_named_files(texts: DataFrame, root: str) -> None:
     """(path, content) rows as UTF-8 files ``root/path``: staged and renamed under a
     commit, see :func:`filingflow.sources.tree.write_files`."""
@@ -359,17 +371,14 @@ def read_logs(spark: SparkSession, path: str, glob: str = "*.log") -> DataFrame:
 def read_latest_log(spark: SparkSession, path: str, glob: str = "*.log") -> DataFrame:
     """S11 on a log folder: only the file greatest by name is scanned.
 
-    The newest name comes from the file listing (no file content is read);
-    the one name is the only value that reaches the driver.
-    """
-    names = (
-        spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
-        .select(F.col("path")).agg(F.max("path").alias("p"))
-    )
-    newest = names.first()["p"]
+    The newest name comes from a listing of the folder (no line of an older log is
+    read); the one name is the only value that reaches the driver.  A log may be a
+    folder of parts, as Spark writes one; an empty newest log has no lines."""
+    entries = tree.list_tree(spark, path, levels=1).where(tree.matches(F.col("name"), glob))
+    newest = entries.agg(F.max("name")).first()[0]
     if newest is None:
         return spark.createDataFrame([], "value string, file string")
-    return spark.read.text(newest).select("value", F.col("_metadata.file_name").alias("file"))
+    return spark.read.text(f"{path.rstrip('/')}/{newest}").select("value", F.lit(newest).alias("file"))
 
 
 def write_log_lines(lines: DataFrame, path: str) -> None:

@@ -16,3 +16,13 @@ def read_table(spark: SparkSession, data_dir: str, name: str) -> DataFrame:
     if name not in TABLE_NAMES:
         raise ValueError(f"unknown table {name!r}")
     return spark.read.parquet(f"{data_dir.rstrip('/')}/{name}.parquet")
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a table in the shared work folder: computed once for all that read it,
+    and not again when an executor is lost."""
+    from filingflow.session import new_work_dir
+
+    path = new_work_dir(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

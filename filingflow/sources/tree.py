@@ -133,7 +133,7 @@ def dealt_by_bytes(files: DataFrame) -> DataFrame:
     share = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
     n, size = files.agg(F.count(F.lit(1)), F.coalesce(F.sum("bytes"), F.lit(0))).first()
     wanted = max(spark.sparkContext.defaultParallelism, -(-size // share))
-    return files.repartition(max(1, min(n, wanted)), "rel")
+    return files.repartition(max(1, min(n, wanted)))
 
 
 # Named files, written as one --------------------------------------------------------------
@@ -150,10 +150,8 @@ def write_files(texts: DataFrame, root: str) -> None:
     If the job ends before the commit, the tree is as it was; if it ends after,
     :func:`finish_writes` (called by the next write) does the rest."""
     spark = texts.sparkSession
-    uri = qualified(spark, root)
     finish_writes(spark, root)
-    run_id = uuid.uuid4().hex
-    staging = f"{STAGING}{run_id}"
+    uri, staging = qualified(spark, root), new_staging()
 
     def stage(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, base = open_store(uri)
@@ -168,8 +166,52 @@ def write_files(texts: DataFrame, root: str) -> None:
                     f.write((content or "").encode())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(names, pa.string())], ["path", "staged"])
 
+    commit_staged(texts.select("path", "content").mapInArrow(stage, "path string, staged string"), root, staging)
+
+
+def write_lines(lines: DataFrame, root: str, header: str) -> None:
+    """(path, line) rows, those of a path next to each other in one partition, as files
+    ``root/path`` with a first line; all or none, as :func:`write_files`."""
+    spark = lines.sparkSession
+    finish_writes(spark, root)
+    uri, staging = qualified(spark, root), new_staging()
+
+    def stage(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, base = open_store(uri)
+        folder, now, out, made = f"{staging}/{uuid.uuid4().hex}", None, None, []
+        store.create_dir(f"{base}/{folder}", recursive=True)
+        for batch in batches:
+            for path, line in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if path != now:
+                    if out is not None:
+                        out.close()
+                    now = path
+                    made.append((path, f"{folder}/{len(made)}"))
+                    out = store.open_output_stream(f"{base}/{made[-1][1]}")
+                    out.write(f"{header}\n".encode())
+                out.write(f"{line}\n".encode())
+        if out is not None:
+            out.close()
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in zip(*made, strict=True)], ["path", "staged"])
+
+    commit_staged(lines.where("path IS NOT NULL").mapInArrow(stage, "path string, staged string"), root, staging)
+
+
+def new_staging() -> str:
+    """Name of a staging folder in a root."""
+    return f"{STAGING}{uuid.uuid4().hex}"
+
+
+def commit_staged(staged: DataFrame, root: str, staging: str, index: str | None = None) -> None:
+    """Runs ``staged``, whose tasks write files into the staging folder and report each
+    as ``path`` (its place below the root) and ``staged``, and puts them in place.  The
+    reported rows, with any columns more, are kept as a table at ``index``."""
+    spark = staged.sparkSession
+    uri = qualified(spark, root)
     table = f"{uri}/{staging}/table"
-    texts.select("path", "content").mapInArrow(stage, "path string, staged string").write.parquet(table)
+    staged.write.parquet(table)
+    if index is not None:
+        spark.read.schema(staged.schema).parquet(table).drop("staged").write.mode("overwrite").parquet(index)
     put_marker(spark, f"{uri}/{staging}/committed")
     _move(spark, root, staging)
 

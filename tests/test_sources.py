@@ -47,6 +47,8 @@ def test_read_latest_log(spark, tmp_path):
     (d / "20241113_090000_crawl.log").write_text("new1\nnew2\n")
     got = sorted(r["value"] for r in files.read_latest_log(spark, str(d)).collect())
     assert got == ["new1", "new2"]
+    (d / "20241114_090000_crawl.log").write_text("")
+    assert files.read_latest_log(spark, str(d)).count() == 0  # the newest log has no line yet
 
 
 def test_scale_conf():

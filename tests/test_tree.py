@@ -208,3 +208,15 @@ def test_folders_of_symbols_are_deleted(spark, tmp_path):
     for _ in range(2):
         tree.delete_folders(spark, str(tmp_path / "t"), names)
         assert os.listdir(tmp_path / "t") == ["BBB"]
+
+
+def test_csv_files_line_by_line(spark, tmp_path):
+    rows = [(f"S{i % 3}/success.csv", i, ['a,"b"', "x\ny", None, "é"][i % 4]) for i in range(40)] + [(None, 1, "z")]
+    df = spark.createDataFrame(rows, "path string, STT long, `Tiêu đề` string").repartition(5)
+    files.write_csv_files(df, "path", ["STT", "Tiêu đề"], ["STT"], str(tmp_path / "out"))
+    assert sorted(os.listdir(tmp_path / "out")) == ["S0", "S1", "S2"]
+    for s in range(3):
+        got = pd.read_csv(tmp_path / "out" / f"S{s}" / "success.csv", keep_default_na=False)
+        assert [tuple(r) for r in got.itertuples(index=False)] == [(n, t or "") for p, n, t in rows if p == f"S{s}/success.csv"]
+    files.write_csv_files(df.limit(0), "path", ["STT"], ["STT"], str(tmp_path / "none"))
+    assert files.count_files(files.file_catalog(spark, str(tmp_path / "none"))).first()["n_files"] == 0
