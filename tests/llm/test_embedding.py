@@ -55,6 +55,40 @@ def test_keyless_repeated_and_empty(spark):
     assert E.near_duplicates(df.limit(0)).count() == 0
 
 
+def brute_rows(rows):
+    """As ``brute``, for rows whose keys repeat: every row is a vector."""
+    numbered = brute([(i, v, label, x) for i, (_, v, label, x) in enumerate(rows)])
+    members = {}
+    for i, (_, component, _) in numbered.items():
+        members.setdefault(component, []).append(rows[i][0])
+    return sorted((rows[i][0], n, min(members[c]), rows[i][0] == min(members[c])) for i, (n, c, _) in numbered.items())
+
+
+def test_repeated_keys_with_equal_and_unequal_vectors(spark):
+    rng = np.random.default_rng(5)
+    rows = [[1, [1.0, 0.0], 0, ""], [1, [0.0, 1.0], 0, ""], [2, [1.0, 0.01], 0, ""], [3, [0.01, 1.0], 0, ""]]
+    small = [tuple(r) for r in E.near_duplicates(spark.createDataFrame(rows, SCHEMA)).collect()]
+    assert sorted(small) == [(1, 1, 1, True), (1, 1, 1, True), (2, 1, 1, False), (3, 1, 1, False)]
+    rows += [[1, [1.0, 0.0], 1, ""], [2, [1.0, 0.0], 1, ""], [4, [-1.0, 0.0], 1, ""]]
+    for _ in range(150):
+        angle = rng.choice([0.0, 1.5, 3.0]) + rng.uniform(0, 0.6)
+        rows.append([int(rng.integers(0, 40)), [float(np.cos(angle)), float(np.sin(angle))], int(rng.integers(0, 2)), ""])
+    for schema in (SCHEMA, SCHEMA.replace("array<float>", "array<double>")):
+        kind = np.float32 if "float" in schema else float
+        exact = [[i, [float(kind(x)) for x in v], label, x_] for i, v, label, x_ in rows]
+        for block_rows in (8192, 7):
+            got = E.near_duplicates(spark.createDataFrame(exact, schema), block_rows=block_rows).collect()
+            assert sorted(map(tuple, got)) == brute_rows(exact)
+
+
+def test_long_vectors_make_smaller_blocks(spark, monkeypatch):
+    monkeypatch.setattr(E, "BLOCK_BYTES", 8 * 16 * 5)  # five vectors of 16
+    rng = np.random.default_rng(6)
+    base = rng.standard_normal((6, 16))
+    rows = [[i, [float(np.float32(x)) for x in base[i % 6] + 0.05 * rng.standard_normal(16)], 0, ""] for i in range(40)]
+    assert sorted(map(tuple, E.near_duplicates(spark.createDataFrame(rows, SCHEMA)).collect())) == brute_rows(rows)
+
+
 def test_estimates_are_unbiased_and_bounded():
     rng = np.random.default_rng(1)
     a, b = E.unit_rows(rng.standard_normal((2, 64))), None
