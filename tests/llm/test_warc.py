@@ -14,7 +14,7 @@ def test_round_trip_and_revisits(spark, tmp_path):
     ]
     pages = spark.createDataFrame(rows, SCHEMA).withColumnRenamed("url", "url")
     path = str(tmp_path / "w")
-    warc.write_archives(pages, path, records_per_file=4)
+    warc.write_archives(pages, path, max_bytes=1500)
     records = warc.read_archives(spark, path)
     got = warc.resolve_read(records).collect()
     assert len(got) == len(rows)
@@ -35,6 +35,44 @@ def test_round_trip_and_revisits(spark, tmp_path):
     assert sum(r["html"] == "z" * 300_000 for r in stored) == 1
 
 
+def test_members_rolls_and_parts(spark, tmp_path):
+    """Archives roll by bytes, also under records that exceed the roll; each record is a member that a reader can seek to."""
+    import gzip
+    import random
+
+    rng = random.Random(4)
+    noise = lambda n: "".join(map(chr, rng.choices(range(33, 127), k=n)))
+    rows = [(i, f"http://a/{i}", noise(rng.choice([50, 2_000, 30_000]))) for i in range(60)] + [(60 + i, "u", "c" * 500) for i in range(20)]
+    path = str(tmp_path / "w")
+    for _ in range(2):  # a second write replaces the first
+        warc.write_archives(spark.createDataFrame(rows, SCHEMA).repartition(2), path, max_bytes=20_000)
+    index = {r["path"]: r for r in spark.read.parquet(f"{path}/_index").collect()}
+    archives = sorted(p.name for p in (tmp_path / "w").iterdir() if p.name.endswith(".warc.gz"))
+    assert archives == sorted(index) and len(archives) > 20 and sum(len(r["starts"]) for r in index.values()) == len(rows)
+    for name, r in index.items():
+        data = (tmp_path / "w" / name).read_bytes()
+        assert len(data) == r["bytes"] and (r["bytes"] <= 20_000 or len(r["starts"]) == 1)
+        for a, b in zip(r["starts"], [*r["starts"][1:], r["bytes"]], strict=True):
+            member = gzip.decompress(data[a:b])
+            assert member.startswith(b"WARC/1.1\r\n") and member.endswith(b"\r\n\r\n")
+    whole = {r["page_id"]: r["html"] for r in warc.read_archives(spark, path).collect()}
+    parts = warc.archive_parts(spark, path, split_bytes=4_000)
+    assert parts.count() > len(archives)
+    split = {r["page_id"]: r["html"] for r in warc.read_archives(spark, path, split_bytes=4_000).collect()}
+    assert whole == split and {i: h for i, _, h in rows if i <= 60} == {i: h for i, h in whole.items() if i <= 60}
+    assert sum(h is None for h in whole.values()) == 19
+
+
+def test_ids_of_other_types(spark, tmp_path):
+    rows = [("b/\u00e9 1\r\nX: y", "u", "x" * 200), ("a", "u", "x" * 200), ("a%20+", "u", "y"), (None, "u", "x" * 200)]
+    path = str(tmp_path / "w")
+    warc.write_archives(spark.createDataFrame(rows, "page_id string, url string, html string"), path)
+    got = warc.resolve_read(warc.read_archives(spark, path, page_id="string")).collect()
+    assert {(r["page_id"], r["record_type"], r["refers_to"]) for r in got} == {
+        ("b/\u00e9 1\r\nX: y", "revisit", "a"), ("a", "response", None), ("a%20+", "response", None), (None, "revisit", "a"),
+    }
+
+
 def test_empty_table(spark, tmp_path):
     path = str(tmp_path / "w")
     warc.write_archives(spark.createDataFrame([], SCHEMA), path)
