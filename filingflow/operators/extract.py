@@ -1,13 +1,16 @@
 """Extraction from captured pages.
 
-The only Python-worker code of the package: one ``mapInPandas`` pass over the
-pages table parses each page with the standard library's ``html.parser`` and
-returns plain lists of texts.  Everything after that — chunking a flat cell
-list into rows, padding, de-duplication, the second half of a header — is a
-JVM column expression from :mod:`filingflow.functions.arrays`.
-
-Pages are processed independently, so the job partitions like the pages
-table; one Arrow batch per task bounds the worker's memory.
+One ``mapInArrow`` pass over the pages table reads each page's tags with the
+standard library's ``html.parser`` into flat lists: elements in document order, each
+with the range of elements and of text pieces below it.  "Inside" is then a range, so
+nothing is recursive and no nesting is too deep.  Everything after the texts of the
+configured elements — chunking a flat cell list into rows, padding, de-duplication,
+the second half of a header — is a JVM column expression from
+:mod:`filingflow.functions.arrays`.
+
+Pages are processed independently, so the job partitions like the pages table; a
+few pages at a time are held.  A null page has no elements; ids may be of any type,
+null or repeated.
 
 Selectors are a small CSS subset: ``tag``, ``.class``, ``#id``,
 ``[attr="value"]`` compounds, descendant combinator (space) and selector
@@ -30,275 +33,248 @@ Three capture modes, one per crawler flavour of the reference:
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Callable, Iterator
 from html.parser import HTMLParser
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from filingflow.functions import arrays as A
 from filingflow.operators.common import explode_positions
 
+# Fixed values of the HTML standard: elements without an end, elements whose text is
+# no text, and which open element a start tag ends if its end tag was left out.
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 RAW_TEXT = {"script", "style"}
-# A start tag of these closes an open <p> (HTML's implied end tag).
 CLOSES_P = {
     "address", "article", "aside", "blockquote", "div", "dl", "fieldset", "footer", "form",
     "h1", "h2", "h3", "h4", "h5", "h6", "header", "hr", "main", "nav", "ol", "p", "pre",
     "section", "table", "ul",
 }
-
-
-class Node:
-    __slots__ = ("tag", "attrs", "children", "parent", "removed")
-
-    def __init__(self, tag: str, attrs: dict, parent: "Node | None"):
-        self.tag = tag
-        self.attrs = attrs
-        self.children: list = []
-        self.parent = parent
-        self.removed = False
-
-    def iter(self):
-        for ch in self.children:
-            if isinstance(ch, Node):
-                yield ch
-                yield from ch.iter()
-
-    def strings(self, skip=lambda n: False):
-        for ch in self.children:
-            if isinstance(ch, Node):
-                if ch.removed or skip(ch):
-                    continue
-                if ch.tag == "br":
-                    yield "\n"
-                yield from ch.strings(skip)
-            else:
-                yield ch
-
-
-class _Builder(HTMLParser):
-    def __init__(self):
+P_SCOPE = {"div", "article", "section", "body", "td", "th", "li", "button"}
+ENDS = {
+    "li": ({"li"}, {"ul", "ol"}),
+    "td": ({"td", "th"}, {"tr", "table"}),
+    "th": ({"td", "th"}, {"tr", "table"}),
+    "tr": ({"tr"}, {"table"}),
+    "option": ({"option"}, {"select"}),
+    "dt": ({"dt", "dd"}, {"dl"}),
+    "dd": ({"dt", "dd"}, {"dl"}),
+}
+
+
+class Page(HTMLParser):
+    """A page as lists: element ``e`` holds the elements ``e + 1 .. stop[e] - 1`` and the
+    pieces ``first[e] .. last[e] - 1``; a piece is (text, innermost hidden span around
+    it, the same for spans hidden by exactly the reference's style)."""
+
+    def __init__(self, html: str | None):
         super().__init__(convert_charrefs=True)
-        self.root = Node("#root", {}, None)
-        self.cur = self.root
-
-    def _close(self, tag: str, stop: set[str] | None = None) -> bool:
-        n = self.cur
-        while n is not self.root:
-            if n.tag == tag:
-                self.cur = n.parent
-                return True
-            if stop and n.tag in stop:
-                return False
-            n = n.parent
-        return False
+        self.tags, self.attrs, self.stop, self.first, self.last, self.pieces = [], [], [], [], [], []
+        self.veiled, self.veiled_exact = [], []  # is the element a hidden span
+        self._open, self._tags, self._veils, self._exact = [], Counter(), [-1], [-1]
+        self.feed(html or "")
+        self.close()
+        self._pop(0)
+
+    def _pop(self, depth: int) -> None:
+        while len(self._open) > depth:
+            e = self._open.pop()
+            self._tags[self.tags[e]] -= 1
+            self.stop[e], self.last[e] = len(self.tags), len(self.pieces)
+            for veils in (self._veils, self._exact):
+                if veils[-1] == e:
+                    veils.pop()
+
+    def _end(self, tags: set[str], scope: set[str] = frozenset()) -> None:
+        """Ends the innermost open element of some tags, unless one of ``scope`` is inside it."""
+        if not any(self._tags[t] for t in tags):
+            return
+        for depth in range(len(self._open) - 1, -1, -1):
+            tag = self.tags[self._open[depth]]
+            if tag in tags:
+                return self._pop(depth)
+            if tag in scope:
+                return
 
     def handle_starttag(self, tag, attrs):
         if tag in CLOSES_P:
-            self._close("p", stop={"div", "article", "section", "body", "td", "th", "li", "button"})
-        if tag == "li":
-            self._close("li", stop={"ul", "ol"})
-        node = Node(tag, {k: (v or "") for k, v in attrs}, self.cur)
-        self.cur.children.append(node)
+            self._end({"p"}, P_SCOPE)
+        if tag in ENDS:
+            self._end(*ENDS[tag])
+        attrs, e = {k: v or "" for k, v in attrs}, len(self.tags)
+        style = attrs.get("style", "") if tag == "span" else ""
+        self.tags.append(tag)
+        self.attrs.append(attrs)
+        self.veiled.append(style.replace(" ", "").lower().rstrip(";") == "display:none")
+        self.veiled_exact.append(style == "display:none")
+        self.first.append(len(self.pieces))
+        if tag == "br":
+            self.pieces.append(("\n", self._veils[-1], self._exact[-1]))
+        self.stop.append(e + 1)
+        self.last.append(len(self.pieces))
         if tag not in VOID:
-            self.cur = node
+            self._open.append(e)
+            self._tags[tag] += 1
+            if self.veiled[e]:
+                self._veils.append(e)
+            if self.veiled_exact[e]:
+                self._exact.append(e)
 
     def handle_startendtag(self, tag, attrs):
-        self.cur.children.append(Node(tag, {k: (v or "") for k, v in attrs}, self.cur))
+        self.handle_starttag(tag, attrs)
+        if tag not in VOID:
+            self._pop(len(self._open) - 1)
 
     def handle_endtag(self, tag):
-        if tag in VOID:
-            return
-        self._close(tag)
+        if tag not in VOID:
+            self._end({tag})
 
     def handle_data(self, data):
-        if self.cur.tag not in RAW_TEXT:
-            self.cur.children.append(data)
-
-
-def parse_html(html: str) -> Node:
-    b = _Builder()
-    b.feed(html or "")
-    b.close()
-    return b.root
+        if not self._open or self.tags[self._open[-1]] not in RAW_TEXT:
+            self.pieces.append((data, self._veils[-1], self._exact[-1]))
+
+    # Texts ----------------------------------------------------------------------------
+    def whole_text(self, e: int) -> str:
+        """All text, trimmed."""
+        return "".join(t for t, _, _ in self.pieces[self.first[e] : self.last[e]]).strip()
+
+    def inner_text(self, e: int) -> str:
+        """Rendered text: hidden spans contribute nothing; trimmed."""
+        if self.veiled[e]:
+            return ""
+        return "".join(t for t, veil, _ in self.pieces[self.first[e] : self.last[e]] if veil <= e).strip()
+
+    def stripped(self, e: int, veil: int | None = None) -> str:
+        """Text pieces stripped and concatenated; with ``veil`` (1: any hidden span, 2: the
+        exact style) without the pieces of hidden spans inside the element."""
+        pieces = self.pieces[self.first[e] : self.last[e]]
+        return "".join(p[0].strip() for p in pieces if veil is None or p[veil] <= e)
+
+    def inside(self, e: int, tag: str) -> list[int]:
+        return [i for i in range(e + 1, self.stop[e]) if self.tags[i] == tag]
+
+    # Selectors ------------------------------------------------------------------------
+    def select(self, selector: str, within: int | None = None) -> list[int]:
+        """Elements that match a selector list, in document order, each once."""
+        found: set[int] = set()
+        for alternative in selector.split(","):
+            ranges = [(0, len(self.tags)) if within is None else (within + 1, self.stop[within])]
+            for compound in map(_compound, alternative.split()):
+                hits, end = [], 0
+                for a, b in ranges:  # in order; one inside the last was looked at
+                    hits += [e for e in range(max(a, end), b) if self._matches(e, compound)]
+                    end = max(end, b)
+                ranges = [(e + 1, self.stop[e]) for e in hits]
+            found.update(hits)
+        return sorted(found)
+
+    def _matches(self, e: int, compound: tuple) -> bool:
+        tag, classes, wanted = compound
+        attrs = self.attrs[e]
+        return (
+            (not tag or self.tags[e] == tag)
+            and (not classes or classes <= set(attrs.get("class", "").split()))
+            and all(k in attrs and v in (None, attrs[k]) for k, v in wanted)
+        )
 
 
-# Selectors ------------------------------------------------------------------------
 _COMPOUND = re.compile(r"""([a-zA-Z0-9_-]+)|\.([\w-]+)|#([\w-]+)|\[([\w-]+)(?:=["']?([^"'\]]*)["']?)?\]""")
 
 
-def _parse_compound(text: str):
-    tag, classes, ident, attrs = None, [], None, []
-    for m in _COMPOUND.finditer(text):
-        if m.group(1):
-            tag = m.group(1).lower()
-        elif m.group(2):
-            classes.append(m.group(2))
-        elif m.group(3):
-            ident = m.group(3)
-        elif m.group(4):
-            attrs.append((m.group(4), m.group(5)))
-    return tag, classes, ident, attrs
-
-
-def _matches(node: Node, comp) -> bool:
-    tag, classes, ident, attrs = comp
-    if tag and node.tag != tag:
-        return False
-    if classes:
-        have = node.attrs.get("class", "").split()
-        if any(c not in have for c in classes):
-            return False
-    if ident and node.attrs.get("id") != ident:
-        return False
-    for k, v in attrs:
-        if k not in node.attrs or (v is not None and node.attrs[k] != v):
-            return False
-    return True
-
-
-def select(root: Node, selector: str) -> list[Node]:
-    """Elements matching a selector list, in document order, each once."""
-    found: list[Node] = []
-    for alt in selector.split(","):
-        parts = [_parse_compound(p) for p in alt.split()]
-        scope = [root]
-        for comp in parts:
-            nxt, seen = [], set()
-            for s in scope:
-                for n in s.iter():
-                    if id(n) not in seen and _matches(n, comp):
-                        seen.add(id(n))
-                        nxt.append(n)
-            scope = nxt
-        found.extend(scope)
-    order = {id(n): i for i, n in enumerate(root.iter())}
-    uniq = {id(n): n for n in found}
-    return sorted(uniq.values(), key=lambda n: order[id(n)])
-
-
-def _hidden(n: Node) -> bool:
-    return n.tag == "span" and n.attrs.get("style", "").replace(" ", "").lower().rstrip(";") == "display:none"
-
-
-def _hidden_exact(n: Node) -> bool:
-    return n.tag == "span" and n.attrs.get("style") == "display:none"
-
-
-def inner_text(n: Node) -> str:
-    """Rendered text: hidden spans contribute nothing; trimmed."""
-    if _hidden(n):
-        return ""
-    return "".join(n.strings(skip=_hidden)).strip()
-
-
-def stripped_text(n: Node) -> str:
-    """Text pieces stripped and concatenated (get_text(strip=True))."""
-    return "".join(s.strip() for s in n.strings() if s.strip())
+def _compound(text: str) -> tuple[str | None, set[str], list[tuple[str, str | None]]]:
+    """(tag, classes, attributes with the value asked for or none) of one compound selector."""
+    tag, classes, wanted = None, set(), []
+    for name, cls, ident, attr, value in _COMPOUND.findall(text):
+        tag = name.lower() or tag
+        classes |= {cls} - {""}
+        wanted += [("id", ident)] * bool(ident) + [(attr, value or None)] * bool(attr)
+    return tag, classes, wanted
 
 
 # One page → lists --------------------------------------------------------------------
-def _spans_faithful(row: Node, cell: str) -> list[str]:
-    out = []
-    spans = [n for n in row.iter() if n.tag == cell]
-    for s in spans:
-        if s.removed:
-            continue
-        for h in s.iter():
-            if _hidden_exact(h):
-                h.removed = True
-        text = stripped_text(s)
-        if text:
-            out.append(text)
+def _listed_spans(page: Page, row: int, cell: str) -> list[str]:
+    """Non-empty texts of every cell element in the row, as the reference lists them: a
+    hidden span inside a cell element is taken out, and with it what is inside."""
+    out, end_cell, end_gone = [], row, 0
+    for e in range(row + 1, page.stop[row]):
+        if page.veiled_exact[e] and e < end_cell:
+            end_gone = max(end_gone, page.stop[e])
+        if page.tags[e] == cell:
+            end_cell = max(end_cell, page.stop[e])
+            if e >= end_gone and (text := page.stripped(e, 2)):
+                out.append(text)
     return out
 
 
-def _spans_visible(row: Node, cell: str) -> list[str]:
-    out = []
-
-    def walk(n: Node):
-        for ch in n.children:
-            if not isinstance(ch, Node):
-                continue
-            if ch.tag == cell:
-                if _hidden(ch):
-                    continue
-                text = "".join(s.strip() for s in ch.strings(skip=_hidden) if s.strip())
-                if text:
-                    out.append(text)
-            else:
-                walk(ch)
-
-    walk(row)
+def _visible_spans(page: Page, row: int, cell: str) -> list[str]:
+    """Non-empty texts of the outermost cell elements that are not hidden."""
+    out, end = [], 0
+    for e in page.inside(row, cell):
+        if e >= end:
+            end = page.stop[e]
+            if not page.veiled[e] and (text := page.stripped(e, 1)):
+                out.append(text)
     return out
 
 
-def extract_page(html: str, cfg: dict, mode: str, faithful: bool = False):
+def page_lists(page: Page, cfg: dict, mode: str, faithful: bool = False) -> tuple[list[str], list[str], list[list[str]]]:
     """One page → (headers, flat cells, rows of cells).
 
     ``header`` is matched inside the first ``header_scope`` element (the
     document when unset); ``row`` inside the first ``table`` element (the
     document when unset).  A selector can carry its own ancestors, so "all
-    matches anywhere" and "inside the first container" are both expressible.
-    """
-    return extract_tree(parse_html(html), cfg, mode, faithful)
-
-
-def extract_tree(root: Node, cfg: dict, mode: str, faithful: bool = False):
-    """:func:`extract_page` on an already parsed page."""
-
-    def scope(key: str) -> Node | None:
-        sel = cfg.get(key)
-        if not sel:
-            return root
-        found = select(root, sel)
-        return found[0] if found else None
-
-    hscope, tscope = scope("header_scope"), scope("table")
-    headers: list[str] = []
-    rows: list[list[str]] = []
-    cells: list[str] = []
-    if hscope is not None and cfg.get("header"):
-        hs = select(hscope, cfg["header"])
-        headers = [stripped_text(h) if mode == "spans" else inner_text(h) for h in hs]
-    row_nodes = select(tscope, cfg["row"]) if tscope is not None and cfg.get("row") else []
-    cell = cfg.get("cell", "span")
+    matches anywhere" and "inside the first container" are both expressible."""
+
+    def matched(scope: str, key: str) -> list[int]:
+        if not cfg.get(key):
+            return []
+        if not cfg.get(scope):
+            return page.select(cfg[key])
+        around = page.select(cfg[scope])
+        return page.select(cfg[key], around[0]) if around else []
+
+    headers = [page.stripped(e) if mode == "spans" else page.inner_text(e) for e in matched("header_scope", "header")]
+    rows, cell = matched("table", "row"), cfg.get("cell", "span")
     if mode == "flat":
-        cells = [inner_text(r) for r in row_nodes]
-    elif mode == "spans":
-        pick = _spans_faithful if faithful else _spans_visible
-        rows = [pick(r, cell) for r in row_nodes]
-    elif mode == "rendered":
-        rows = [[inner_text(s) for s in r.iter() if s.tag == cell] for r in row_nodes]
-    else:
-        raise ValueError(f"unknown mode {mode!r}")
-    return headers, cells, rows
+        return headers, [page.inner_text(e) for e in rows], []
+    if mode == "spans":
+        pick = _listed_spans if faithful else _visible_spans
+        return headers, [], [pick(page, e, cell) for e in rows]
+    if mode == "rendered":
+        return headers, [], [[page.inner_text(s) for s in page.inside(e, cell)] for e in rows]
+    raise ValueError(f"unknown mode {mode!r}")
 
 
-def _first_text(root: Node, selector: str | None, strip_pieces: bool = False) -> str | None:
-    if not selector:
-        return None
-    found = select(root, selector)
-    if not found:
-        return None
-    return stripped_text(found[0]) if strip_pieces else "".join(found[0].strings()).strip()
+def firm_texts(page: Page, cfg: dict) -> tuple[str | None, ...]:
+    """Company code, company name and report title: the first match's text."""
+    found = (page.select(cfg[k])[:1] if cfg.get(k) else [] for k in ("code", "name", "title"))
+    return tuple(page.whole_text(e[0]) if e else None for e in found)
 
 
 # Spark jobs ---------------------------------------------------------------------------
-CELLS_SCHEMA = "page_id bigint, headers array<string>, cells array<string>, rows array<array<string>>"
-FIRM_SCHEMA = "page_id bigint, code string, name string, title string"
+PAGES_PER_YIELD = 64
+_TEXTS = pa.list_(pa.string())
+_FIRM = {"code": pa.string(), "name": pa.string(), "title": pa.string()}
+_LISTS = {"headers": _TEXTS, "cells": _TEXTS, "rows": pa.list_(_TEXTS)}
+_SQL = {pa.string(): "string", _TEXTS: "array<string>", pa.list_(_TEXTS): "array<array<string>>"}
 
 
-PAGES_PER_YIELD = 64
+def _per_page(pages: DataFrame, html: str, columns: dict[str, pa.DataType], of: Callable[[Page], tuple]) -> DataFrame:
+    """(page_id, columns) of every page; a few pages' lists are held at a time."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, PAGES_PER_YIELD):
+                part = batch.slice(at, PAGES_PER_YIELD)
+                found = [of(Page(text.as_py())) for text in part.column(1)]
+                lists = [pa.array([f[k] for f in found], t) for k, t in enumerate(columns.values())]
+                yield pa.RecordBatch.from_arrays([part.column(0), *lists], ["page_id", *columns])
 
-def _slices(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Arrow batches in pieces, so that the parsed lists of few pages are held at a time."""
-    for pdf in batches:
-        for i in range(0, len(pdf), PAGES_PER_YIELD):
-            yield pdf.iloc[i : i + PAGES_PER_YIELD]
+    schema = f"page_id {dict(pages.dtypes)['page_id']}, " + ", ".join(f"{c} {_SQL[t]}" for c, t in columns.items())
+    return pages.select("page_id", html).mapInArrow(run, schema)
 
 
 def extract_cells(
@@ -306,19 +282,7 @@ def extract_cells(
 ) -> DataFrame:
     """(page_id, headers, cells, rows) per page; see the module doc for modes."""
     cfg = dict(config)
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in _slices(batches):
-            out = {"page_id": [], "headers": [], "cells": [], "rows": []}
-            for pid, doc in zip(pdf["page_id"], pdf[html]):
-                h, c, r = extract_page(doc, cfg, mode, faithful)
-                out["page_id"].append(int(pid))
-                out["headers"].append(h)
-                out["cells"].append(c)
-                out["rows"].append(r)
-            yield pd.DataFrame(out)
-
-    return pages.select("page_id", html).mapInPandas(run, CELLS_SCHEMA)
+    return _per_page(pages, html, _LISTS, lambda page: page_lists(page, cfg, mode, faithful))
 
 
 def table_rows(extracted: DataFrame, mode: str = "flat") -> DataFrame:
@@ -355,25 +319,7 @@ def table_rows(extracted: DataFrame, mode: str = "flat") -> DataFrame:
 def firm_info(pages: DataFrame, config: dict, html: str = "html") -> DataFrame:
     """Company code, company name and report title per page."""
     cfg = dict(config)
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in _slices(batches):
-            out = {"page_id": [], "code": [], "name": [], "title": []}
-            for pid, doc in zip(pdf["page_id"], pdf[html]):
-                root = parse_html(doc)
-                out["page_id"].append(int(pid))
-                out["code"].append(_first_text(root, cfg.get("code")))
-                out["name"].append(_first_text(root, cfg.get("name")))
-                out["title"].append(_first_text(root, cfg.get("title")))
-            yield pd.DataFrame(out)
-
-    return pages.select("page_id", html).mapInPandas(run, FIRM_SCHEMA)
-
-
-PAGE_SCHEMA = (
-    "page_id bigint, code string, name string, title string, "
-    "headers array<string>, cells array<string>, rows array<array<string>>"
-)
+    return _per_page(pages, html, _FIRM, lambda page: firm_texts(page, cfg))
 
 
 def parse_pages(
@@ -383,22 +329,7 @@ def parse_pages(
     """X5 and X1-X3 from one parse of each page: firm fields plus the table
     lists (what :func:`firm_info` and :func:`extract_cells` give apart)."""
     tcfg, fcfg = dict(table_config), dict(firm_config)
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in _slices(batches):
-            out = {k: [] for k in ("page_id", "code", "name", "title", "headers", "cells", "rows")}
-            for pid, doc in zip(pdf["page_id"], pdf[html]):
-                root = parse_html(doc)
-                h, c, r = extract_tree(root, tcfg, mode, faithful)
-                out["page_id"].append(int(pid))
-                for k in ("code", "name", "title"):
-                    out[k].append(_first_text(root, fcfg.get(k)))
-                out["headers"].append(h)
-                out["cells"].append(c)
-                out["rows"].append(r)
-            yield pd.DataFrame(out)
-
-    return pages.select("page_id", html).mapInPandas(run, PAGE_SCHEMA)
+    return _per_page(pages, html, _FIRM | _LISTS, lambda page: firm_texts(page, fcfg) + page_lists(page, tcfg, mode, faithful))
 
 
 def page_summary(parsed: DataFrame, mode: str = "flat") -> DataFrame:

@@ -884,6 +884,19 @@ def q_page_table(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+@register("page_hidden_spans")
+def q_page_hidden_spans(spark: SparkSession, d: str) -> DataFrame:
+    """The rows of ``page_table`` from pages whose cells are spans that hold, or stand
+    beside, hidden ones: the hidden ones leave no trace."""
+    html = F.replace("html", F.lit("<b>"), F.lit('<span style="DISPLAY: none;">no</span><span><span style="display:none">x<i>y</i></span>'))
+    pages = files.read_pages(spark, f"{d}/pages.parquet").withColumn("html", F.replace(html, F.lit("</b>"), F.lit("</span>")))
+    rows = extract.table_rows(extract.extract_cells(pages, PAGE_SPANS | {"cell": "span"}, "spans"), "spans")
+    return rows.select(
+        "page_id", F.col("row_no").cast("bigint").alias("row_no"), F.array_join("headers", "|").alias("header_text"),
+        F.size("row").cast("bigint").alias("n_cells"), F.array_join("row", "|").alias("row_text"), "malformed",
+    )
+
+
 @register("page_rendered")
 def q_page_rendered(spark: SparkSession, d: str) -> DataFrame:
     ex = extract.extract_cells(files.read_pages(spark, f"{d}/pages.parquet"), PAGE_RENDERED, "rendered")
@@ -1709,6 +1722,7 @@ SELECT c.page_id, row_no, coalesce(f.title, '') AS header_text, CAST(1 AS BIGINT
        false AS malformed
 FROM chunk c JOIN firm f ON c.page_id = f.page_id
 """
+ORACLE["page_hidden_spans"] = ORACLE["page_table"]
 ORACLE["page_rendered"] = "WITH " + ARTICLE_ROWS_CTE + "," + LINKS_CTE + """
 SELECT c.page_id, row_no, CAST(n_li - n_li // 2 AS BIGINT) AS n_headers,
        array_to_string(list_slice(lk.cells, n_li // 2 + 1, n_li), '|') AS header_text,

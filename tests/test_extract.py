@@ -62,3 +62,40 @@ def test_header_scope_first_container(spark):
     assert ex["headers"] == ["A"] and ex["rows"] == [["1"]]
     cfg = {"header": '.h th[scope="col"]', "row": ".t .r span"}
     assert extract.extract_cells(pages(spark, html), cfg, "flat").first()["headers"] == ["A", "B"]
+
+
+def test_ids_of_any_type_and_null_pages(spark):
+    rows = [(None, "u", PAGE), ("a", "u", None), ("a", "u", PAGE), ("b", "u", "")]
+    df = spark.createDataFrame(rows, "page_id string, url string, html string")
+    got = {(r["page_id"], len(r["rows"])) for r in extract.extract_cells(df, CFG, "spans").collect()}
+    assert got == {(None, 2), ("a", 0), ("a", 2), ("b", 0)}
+    assert extract.firm_info(spark.createDataFrame([(None, "u", PAGE)], "page_id long, url string, html string"), {"code": "#code .k"}).first()["code"] == "0100"
+
+
+def test_deep_and_unclosed_markup(spark):
+    deep = "<div>" * 20_000 + '<div class="r"><span>x<span style="display:none">h</span></span></div>'
+    cells = "".join(f"<tr class=r><td><span>{i}</span><td><span>{i * i}</span>" for i in range(3_000))
+    for html, expect in ((deep, [["x"]]), (f"<table>{cells}", [[str(i), str(i * i)] for i in range(3_000)])):
+        assert extract.extract_cells(pages(spark, html), {"row": ".r", "cell": "span"}, "spans").first()["rows"] == expect
+    assert extract.extract_cells(pages(spark, "</p></b>" * 50_000 + "<p>a"), {"row": "p"}, "flat").first()["cells"] == ["a"]
+
+
+def test_spans_as_the_reference_lists_them(spark):
+    """Every span of a row is a cell; a hidden one goes when it is inside a span, with what it holds."""
+    row = (
+        '<span>a<span style="display:none">b<span>c</span></span>d</span><span style="display:none">e</span>'
+        '<i><span style="display: none">f</span></i><span> g <b> h </b><span>i</span></span><span><br></span>'
+    )
+    html = f'<div class="r">{row}</div>'
+    listed = extract.extract_cells(pages(spark, html), {"row": ".r", "cell": "span"}, "spans", faithful=True).first()["rows"]
+    assert listed == [["ad", "e", "f", "ghi", "i"]]
+    visible = extract.extract_cells(pages(spark, html), {"row": ".r", "cell": "span"}, "spans").first()["rows"]
+    assert visible == [["ad", "ghi"]]
+
+
+def test_ranges_hold_what_is_inside():
+    page = extract.Page('<div id=a><p>1<p>2<b>3</b><ul><li>4<li>5</ul></div><p class="x y">6<script>7</script>')
+    assert [page.tags[e] for e in page.select("div p, div b, .x.y, #a li")] == ["p", "p", "b", "li", "li", "p"]
+    assert [page.whole_text(e) for e in page.select("p")] == ["1", "23", "6"]
+    assert [page.whole_text(e) for e in page.select("li", page.select("ul")[0])] == ["4", "5"]
+    assert page.select("[id]") == page.select("[id=a]") == [0] and page.select("p p") == []

@@ -69,7 +69,7 @@ def test_registry_is_complete():
         "stream_status", "stream_first_submission", "status_log_lines", "crawl_pass", "rescrape_purge", "crawl_reports",
         "crawl_checkpoints", "file_catalog", "reference_index", "reference_checkpoints", "reference_statements",
         "reference_statements_headerless", "reference_contamination", "reference_unreadable", "index_inventory", "reference_audit",
-        "purge_stored", "stored_search", "stored_search_symbol", "newest_log_summary", "crawl_index",
+        "purge_stored", "stored_search", "stored_search_symbol", "newest_log_summary", "crawl_index", "page_hidden_spans",
     }
     assert expected <= set(QUERIES)
     assert set(ORACLE) <= set(QUERIES)
