@@ -90,3 +90,27 @@ def test_rounding_of_a_large_budget_drops_no_document(spark, monkeypatch):
     units = [(f"s{i}-{k}", f"s{i}", part) for i, n in enumerate(tokens) for k, part in enumerate((n // 3, n - n // 3))]
     rows = mixing.mix(spark.createDataFrame(units, "doc_id string, source string, tokens long"), repetition_limit=2.0).collect()
     assert {r["doc_id"] for r in rows} == {u[0] for u in units}
+
+
+def test_very_long_texts_are_counted_whole(make_docs):
+    docs = make_docs([(1, "é \t" * 1_000_000, "en", "a"), (2, "w" * 3_000_000, "en", "a"), (3, None, "en", "b")])
+    got = {r["doc_id"]: r["t"] for r in docs.select("doc_id", mixing.word_tokens(docs["text"]).alias("t")).collect()}
+    assert got == {1: 1_000_001, 2: 2, 3: 1}
+
+
+def test_realised_last_pass_is_cut_where_the_mixture_is(spark, make_docs):
+    """Every (key, source) comes as often as the mixture holds it, whatever the passes."""
+    docs = make_docs([(i, "w " * (i % 7 + 1), "en", ["a", "b", None][min(i % 20, 2)]) for i in range(200)] + [(None, "w w", "en", "a"), (None, "w w", "en", "a")])
+    units = docs.select("doc_id", "source", mixing.word_tokens(docs["text"]).alias("tokens"))
+    for kw in ({"repetition_limit": 3.7}, {"budget": 400.0}, {"entropy": 1.09, "budget": 2500.0}):
+        mixture = mixing.mix(units, **kw)
+        times = {}
+        for r in mixture.collect():
+            times[r["doc_id"], r["source"]] = times.get((r["doc_id"], r["source"]), 0) + 1
+        out = {}
+        for r in mixing.realise(docs, mixture).collect():
+            out[r["doc_id"], r["source"]] = out.get((r["doc_id"], r["source"]), 0) + 1
+        rows = {}
+        for r in docs.collect():
+            rows[r["doc_id"], r["source"]] = rows.get((r["doc_id"], r["source"]), 0) + 1
+        assert out == {k: n * rows[k] for k, n in times.items()}

@@ -65,3 +65,16 @@ def test_rows_of_one_key_are_in_every_shard(spark):
     for key in (7000, None, 9000):
         per = Counter(r["shard"] for r in placed if r["doc_id"] == key)
         assert min(per[s] for s in range(8)) >= 6, (key, per)
+
+
+def test_very_long_texts_are_sized_whole(spark, make_docs):
+    from pyspark.sql import functions as F
+
+    long = "é " * 2_000_000
+    docs = make_docs([(i, long if i == 3 else f"text {i}", "en", f"s{i % 2}") for i in range(64)])
+    rows = docs.select("doc_id", "source", F.octet_length("text").alias("size"))
+    placed = interleave_shards(rows, shards=4, seed=1).collect()
+    assert sorted(r["doc_id"] for r in placed) == list(range(64))
+    assert max(r["size"] for r in placed) == len(long.encode())
+    counts = [sum(r["shard"] == s for r in placed) for s in range(4)]
+    assert max(counts) - min(counts) <= 1

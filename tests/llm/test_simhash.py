@@ -93,3 +93,12 @@ def test_one_of_each_group_stays_when_keys_are_null_or_repeat(make_docs):
     got = sorted([(r["doc_id"], r["text"]) for r in kept], key=repr)
     expect = [(None, a), (5, b), (7, c), (7, "and seven once more with its own text"), (None, "no key and no copy")]
     assert got == sorted(expect, key=repr)
+
+
+def test_very_long_texts(make_docs):
+    rng = random.Random(21)
+    words = [f"w{rng.randrange(10 ** 6)}" for _ in range(300_000)]
+    near = words[:150_000] + ["changed"] + words[150_001:]
+    docs = make_docs([(1, " ".join(words)), (2, " \t".join(words).upper()), (3, " ".join(near)), (4, " ".join(words[:200]))])
+    got = {r["doc_id"]: (r["fp"], r["component_id"]) for r in simhash.near_duplicates(docs, words_per_shingle=4, max_bits=4).collect()}
+    assert got[1] == got[2] and got[3][1] == 1 and got[4][1] == 4
