@@ -47,6 +47,9 @@ HEADLINE = [
     "assembled_report",
     "rescrape_plan",
     "stream_status",
+    "crawl_pass",
+    "reference_index",
+    "file_catalog",
 ]
 
 

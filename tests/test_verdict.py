@@ -74,8 +74,9 @@ def test_wide_integers_differ(spark):
 
 def test_faithful_mode_hides_the_exact_style_only():
     page = '<div class="row"><span>a<span style="display:none">x</span></span><span>b<span style="DISPLAY: none;">y</span></span></div>'
-    row = extract.parse_html(page)
-    assert "x" not in "".join(extract._spans_faithful(row, "span")) and "y" in "".join(extract._spans_faithful(row, "span"))
+    page = extract.Page(page)
+    (row,) = page.select(".row")
+    assert "x" not in "".join(extract._listed_spans(page, row, "span")) and "y" in "".join(extract._listed_spans(page, row, "span"))
 
 
 def test_work_folder_must_be_shared_on_a_cluster(spark, monkeypatch):
