@@ -47,9 +47,6 @@ HEADLINE = [
     "assembled_report",
     "rescrape_plan",
     "stream_status",
-    "crawl_pass",
-    "reference_index",
-    "file_catalog",
 ]
 
 
