@@ -70,6 +70,22 @@ def salted(rows: DataFrame, small: DataFrame, *spread: str, salts: int = 32) ->
     return rows.withColumn("_ff_salt", salt), small.withColumn("_ff_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
 
 
+def join_spread(rows: DataFrame, table: DataFrame, by: list[str], n: str, parts: int = 4096) -> DataFrame:
+    """Inner join of ``rows`` with ``table`` (one row per value of ``by``, none
+    null; its column ``n`` counts the value's rows and is dropped).
+
+    A value with more than a ``parts``-th of all rows is dealt over tasks by a
+    hash of the row.  At most ``parts`` values can have that share: their list
+    is broadcast, and ``table`` gets at most twice ``parts`` rows more."""
+    share = (table.agg(F.coalesce(F.sum(n), F.lit(0))).first()[0] // parts) + 1
+    hot = table.where(F.col(n) > share).select(*by, F.ceil(F.col(n) / share).cast("int").alias("_ff_deal"))
+    salt = F.pmod(F.xxhash64(F.lit("deal"), *[c for c in rows.columns if c not in by]), F.coalesce("_ff_deal", F.lit(1))).cast("int")
+    left = rows.join(F.broadcast(hot), by, "left").withColumn("_ff_salt", salt).drop("_ff_deal")
+    deals = F.when(F.col(n) > share, F.ceil(F.col(n) / share).cast("int")).otherwise(1)
+    right = table.withColumn("_ff_salt", F.explode(F.sequence(F.lit(0), deals - 1))).drop(n)
+    return left.join(right, [*by, "_ff_salt"]).drop("_ff_salt")
+
+
 def repeated(df: DataFrame, times: str, chunk: int = 4096) -> DataFrame:
     """Every row of ``df`` as often as its column ``times`` says; the column
     becomes the number of the copy (from 0).  More than ``chunk`` copies of a

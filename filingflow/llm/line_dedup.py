@@ -1,11 +1,17 @@
 """Line dedup over line-ID sequences by distributed prefix doubling (operator 8).
 
-A text is a sequence of line IDs (hashes of the lines without blanks at their
-ends).  Suffixes of these sequences are grouped by prefix doubling: the class
-of the 2^(k+1) lines from a position is the hash of two neighbouring classes
-of 2^k lines, so equal classes are equal prefixes of suffixes, and suffixes
-that share one form a longest-common-prefix interval.  Only positions whose
-line occurs elsewhere take part, and a run never crosses a line that does not.
+A text is a sequence of line IDs (two hashes of the line without blanks at its
+ends).  Its suffixes are sorted by prefix doubling: the rank of a suffix by its
+first line is the place of the line's ID among the sorted IDs, and the rank by
+the first 2^(k+1) lines is the place of the pair (rank by 2^k lines, rank by
+2^k lines at the position 2^k further on) among the sorted pairs.  Ranks follow
+the order of the suffixes and are equal where the prefixes are.  Only suffixes
+whose prefix occurs elsewhere go on to the next level, so a rank that is absent
+stands for a prefix that does not repeat.
+
+The suffixes with a common prefix of n lines form a longest-common-prefix
+interval.  Two ranks of the level 2^k <= n < 2^(k+1), at the first of the n
+lines and 2^k lines before their end, name it without a search.
 
 Deleted is every line of a maximal run of lines that has at least
 ``min_words`` words and occurs earlier, in another document or before itself
@@ -13,20 +19,20 @@ without overlap; of equal runs the one in the smallest (document, position)
 stays.  A maximal run of that size is exactly the union of the smallest runs
 with ``min_words`` words inside it: those that start at one of its lines, and
 those that end at one.  These have at most ``min_words`` lines (a line counts
-as one word at least), so doubling ends after log2(min_words) levels, and each
-is the union of two overlapping classes of one level.
+as one word at least), so doubling ends at the last power of two up to
+``min_words``: deeper levels would order suffixes that are deleted alike.
 
-Everything is DataFrame code.  Windows partition by document only; hot lines
-and hot runs are counted with partial aggregations and joined back, where AQE
-splits them.
+Everything is DataFrame code.  Windows partition by document only.  Ranks and
+intervals are joined to their rows by :func:`join_spread`, which deals the rows
+of each hot line or run over tasks.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from filingflow.llm.common import work_table
+from filingflow.llm.common import join_spread, work_table
 
 _DOC = ["_ff_id", "_ff_text"]
 
@@ -35,77 +41,88 @@ def _lines(text: Column) -> Column:
     return F.split(F.coalesce(text, F.lit("")), "\n", -1)
 
 
+def _along() -> WindowSpec:
+    return Window.partitionBy(*_DOC).orderBy("pos")
+
+
 def _keyed(docs: DataFrame, key: str, text: str) -> DataFrame:
     """Adds the document's identity: its key and a hash of its text."""
     return docs.withColumns({"_ff_id": F.col(key), "_ff_text": F.xxhash64(text)})
 
 
-def repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(_ff_id, _ff_text, pos, c0, words) of the lines whose content occurs at
-    two places at least."""
+def rank_repeated(rows: DataFrame, by: list[str]) -> DataFrame:
+    """``rows`` whose values of ``by`` (not null) occur twice at least, with
+    their ``rank`` in place of ``by``: ranks ascend with the values, with gaps."""
+    classes = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    classes = classes.repartitionByRange(*by).sortWithinPartitions(*by).withColumn("rank", F.monotonically_increasing_id())
+    return join_spread(rows, work_table(classes, "ranks"), by, "n").drop(*by)
+
+
+def repeated_lines(docs: DataFrame, min_words: int, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(document, pos, island, words, rank) of the lines whose content occurs at
+    two places at least; an island is a run of such lines, and those below
+    ``min_words`` words hold nothing to delete."""
     rows = _keyed(docs.select(key, text).where(F.col(text).isNotNull()), key, text).select(*_DOC, F.posexplode(_lines(F.col(text))).alias("pos", "line"))
-    words = F.greatest(F.lit(1), F.regexp_count("line", F.lit(r"[^\s]+")))
-    rows = rows.select(*_DOC, "pos", F.xxhash64(F.trim("line")).alias("c0"), words.cast("long").alias("words"))
-    often = rows.groupBy("c0").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("c0")
-    return rows.join(often, "c0", "left_semi").distinct()  # rows that repeat a whole document count once
+    words = F.greatest(F.lit(1), F.regexp_count("line", F.lit(r"[^\s]+"))).cast("long")
+    content = F.trim("line")
+    rows = rows.select(*_DOC, "pos", words.alias("words"), F.xxhash64(content).alias("a"), F.xxhash64(F.lit(1), content).alias("b"))
+    rows = rank_repeated(rows, ["a", "b"])
+    rows = rows.withColumn("before", F.lag("pos").over(_along())).where("before IS NULL OR before < pos").drop("before")  # equal rows count once
+    rows = rows.withColumn("island", F.col("pos") - F.row_number().over(_along()))
+    total = F.sum("words").over(Window.partitionBy(*_DOC, "island"))
+    return rows.withColumn("total", total).where(F.col("total") >= min_words).drop("total")
+
+
+def suffix_ranks(lines: DataFrame, depth: int) -> DataFrame:
+    """(document, pos, k, rank): rank of the suffix at ``pos`` by its first 2^k
+    lines, for every 2^k up to ``depth`` and every prefix that repeats."""
+    level = lines.select(*_DOC, "pos", "rank")
+    levels = level.withColumn("k", F.lit(0))
+    for k in range(depth.bit_length() - 1):
+        further = F.max("rank").over(_along().rangeBetween(1 << k, 1 << k))
+        pairs = level.select(*_DOC, "pos", F.col("rank").alias("a"), further.alias("b")).where("b IS NOT NULL")
+        level = work_table(rank_repeated(pairs, ["a", "b"]), "suffixes")
+        levels = levels.unionByName(level.withColumn("k", F.lit(k + 1)))
+    return levels
 
 
 def qualifying_runs(lines: DataFrame, min_words: int) -> DataFrame:
-    """Smallest runs of ``min_words`` words: (document, start, len, run), where
-    ``run`` names the content."""
-    levels = max(1, (max(min_words, 1) - 1).bit_length())
-    island = F.col("pos") - F.row_number().over(Window.partitionBy(*_DOC).orderBy("pos"))
-    rows = lines.withColumn("island", island)
+    """Smallest runs of ``min_words`` words that start or end at a line:
+    (document, start, len)."""
     block = [*_DOC, "island"]
-    along = Window.partitionBy(*block).orderBy("pos")
-    so_far = F.sum("words").over(along.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    rows = rows.withColumn("ends", so_far).withColumn("begins", F.col("ends") - F.col("words"))
-    for k in range(levels):  # c(k+1): the 2^(k+1) lines from here; null where the island ends before
-        rows = rows.withColumn(f"c{k + 1}", F.when(F.lead(f"c{k}", 1 << k).over(along).isNotNull(), F.xxhash64(f"c{k}", F.lead(f"c{k}", 1 << k).over(along))))
-    for k in range(levels + 1):  # b(k): the 2^k lines up to here
-        rows = rows.withColumn(f"b{k}", F.lag(f"c{k}", (1 << k) - 1).over(along))
+    along = Window.partitionBy(*block).orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = lines.withColumn("ends", F.sum("words").over(along)).withColumn("begins", F.col("ends") - F.col("words"))
     ahead = Window.partitionBy(*block).orderBy("begins").rangeBetween(0, min_words - 1)
     behind = Window.partitionBy(*block).orderBy("ends").rangeBetween(-(min_words - 1), 0)
-    rows = rows.withColumns(
-        {
-            "f_end": F.when(F.max("ends").over(ahead) - F.col("begins") >= min_words, F.max("pos").over(ahead)),
-            "b_start": F.when(F.col("ends") - F.min("begins").over(behind) >= min_words, F.min("pos").over(behind)),
-        }
-    )
-    rows = work_table(rows.where("f_end IS NOT NULL OR b_start IS NOT NULL OR c0 IS NOT NULL").drop("island", "begins", "ends", "words"), "lines")
-
-    def level(length: str) -> Column:
-        """k with 2^k <= length < 2^(k+1)."""
-        return F.floor(F.log2(F.col(length) + 0.5))
+    f_end = F.when(F.max("ends").over(ahead) - F.col("begins") >= min_words, F.max("pos").over(ahead))
+    b_start = F.when(F.col("ends") - F.min("begins").over(behind) >= min_words, F.min("pos").over(behind))
+    rows = rows.select(*_DOC, "pos", f_end.alias("f_end"), b_start.alias("b_start"))
+    both = F.expr("array(struct(pos AS start, f_end AS stop), struct(b_start AS start, pos AS stop))")
+    runs = rows.select(*_DOC, F.explode(both).alias("run")).select(*_DOC, "run.start", "run.stop")
+    return runs.where("start IS NOT NULL AND stop IS NOT NULL").select(*_DOC, "start", F.expr("stop - start + 1").alias("len")).distinct()
 
-    def pick(name: str) -> Column:
-        return F.coalesce(*[F.when(F.col("k") == k, F.col(f"{name}{k}")) for k in range(levels + 1)])
 
-    def same(a: str, pos: str) -> Column:
-        return F.col("_ff_id").eqNullSafe(F.col(f"{a}_id")) & (F.col("_ff_text") == F.col(f"{a}_text")) & (F.col(pos) == F.col(f"{a}_pos"))
+def repeated_runs(runs: DataFrame, ranks: DataFrame) -> DataFrame:
+    """``runs`` with the name (``len, first, second``) of their
+    longest-common-prefix interval; runs without a rank do not repeat."""
 
-    def other(a: str, name: str) -> DataFrame:
-        named = {"_ff_id": f"{a}_id", "_ff_text": f"{a}_text", "pos": f"{a}_pos"}
-        return rows.select(*[F.col(c).alias(n) for c, n in named.items()], *[F.col(f"{name}{k}").alias(f"o{k}") for k in range(levels + 1)])
+    def look_up(found: DataFrame, pos: str, name: str) -> DataFrame:
+        place = ranks.select(F.col("_ff_id").alias("r_id"), F.col("_ff_text").alias("r_text"), F.col("pos").alias("r_pos"), F.col("k").alias("r_k"), F.col("rank").alias(name))
+        same = F.col("_ff_id").eqNullSafe(F.col("r_id")) & (F.col("_ff_text") == F.col("r_text")) & (F.expr(pos) == F.col("r_pos")) & (F.col("k") == F.col("r_k"))
+        return found.join(place, same).drop("r_id", "r_text", "r_pos", "r_k")
 
-    ahead_runs = rows.where("f_end IS NOT NULL").withColumns({"start": F.col("pos"), "len": F.expr("f_end - pos + 1")}).withColumn("k", level("len"))
-    ahead_runs = ahead_runs.withColumn("own", pick("c")).select(*_DOC, "start", "len", "k", "own", "f_end")
-    ahead_runs = ahead_runs.join(other("e", "b"), same("e", "f_end")).select(*_DOC, "start", "len", F.col("own").alias("first"), pick("o").alias("second"))
-    back_runs = rows.where("b_start IS NOT NULL").withColumns({"start": F.col("b_start"), "len": F.expr("pos - b_start + 1")}).withColumn("k", level("len"))
-    back_runs = back_runs.withColumn("own", pick("b")).select(*_DOC, "start", "len", "k", "own")
-    back_runs = back_runs.join(other("s", "c"), same("s", "start")).select(*_DOC, "start", "len", pick("o").alias("first"), F.col("own").alias("second"))
-    runs = ahead_runs.unionByName(back_runs).distinct()
-    return runs.select(*_DOC, "start", "len", F.xxhash64("first", "second", "len").alias("run"))
+    runs = runs.withColumn("k", F.floor(F.log2(F.col("len") + 0.5)).cast("int"))  # 2^k <= len < 2^(k+1)
+    return look_up(look_up(runs, "start", "first"), "start + len - shiftleft(1, k)", "second").drop("k")
 
 
 def copied_lines(runs: DataFrame) -> DataFrame:
     """(document, pos) of every line in a run that has an earlier copy."""
     runs = work_table(runs, "runs")
-    place = F.struct(*_DOC, "start")
-    firsts = runs.groupBy("run").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    both = runs.join(firsts, "run")
-    elsewhere = ~(F.col("_ff_id").eqNullSafe(F.col("first._ff_id")) & (F.col("_ff_text") == F.col("first._ff_text")))
-    later = both.where(elsewhere | (F.col("start") - F.col("first.start") >= F.col("len")))
+    interval = ["len", "first", "second"]
+    firsts = runs.groupBy(*interval).agg(F.min(F.struct(*_DOC, "start")).alias("origin"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    both = join_spread(runs, work_table(firsts, "intervals"), interval, "n")
+    elsewhere = ~(F.col("_ff_id").eqNullSafe(F.col("origin._ff_id")) & (F.col("_ff_text") == F.col("origin._ff_text")))
+    later = both.where(elsewhere | (F.col("start") - F.col("origin.start") >= F.col("len")))
     return later.select(*_DOC, F.explode(F.expr("sequence(start, start + len - 1)")).alias("pos")).distinct()
 
 
@@ -120,8 +137,10 @@ def dedup_lines(docs: DataFrame, min_words: int = 25, key: str = "doc_id", text:
     result and are no copies of each other.  An empty table gives an empty
     result; input columns named like the three results are replaced."""
     docs = docs.drop("n_lines", "n_removed", "n_runs")
-    gone = copied_lines(qualifying_runs(repeated_lines(docs, key, text), min_words))
-    new_run = F.coalesce(F.col("pos") - F.lag("pos").over(Window.partitionBy(*_DOC).orderBy("pos")) > 1, F.lit(True))
+    min_words = max(min_words, 1)
+    lines = work_table(repeated_lines(docs, min_words, key, text), "lines")
+    gone = copied_lines(repeated_runs(qualifying_runs(lines, min_words), suffix_ranks(lines, min_words)))
+    new_run = F.coalesce(F.col("pos") - F.lag("pos").over(_along()) > 1, F.lit(True))
     gone = gone.withColumn("opens", new_run.cast("long")).groupBy(*_DOC).agg(
         F.collect_list("pos").alias("_ff_gone"), F.sum("opens").alias("_ff_runs")
     )

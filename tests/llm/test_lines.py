@@ -1,5 +1,7 @@
 import random
 
+from pyspark.sql import functions as F
+
 from filingflow.llm import line_dedup
 
 
@@ -51,3 +53,36 @@ def test_edges(make_docs):
     assert len(out) == 5
     kept = line_dedup.dedup_lines(make_docs(rows), 10)
     assert kept.columns == ["doc_id", "text", "lang", "source", "n_chars", "n_lines", "n_removed", "n_runs"]
+
+
+def test_ranks_follow_the_order_of_suffixes(spark, make_docs):
+    rng = random.Random(5)
+    rows = [(i, "\n".join(rng.choice("abc") for _ in range(20))) for i in range(12)]
+    lines = line_dedup.repeated_lines(make_docs(rows), 1)
+    ranks = line_dedup.suffix_ranks(lines, 9).collect()
+    first = {r["_ff_id"]: {} for r in ranks}
+    for r in ranks:
+        if r["k"] == 0:
+            first[r["_ff_id"]][r["pos"]] = r["rank"]
+    for k in range(4):
+        windows = {}
+        for key, at in first.items():
+            for pos in at:
+                if all(pos + j in at for j in range(1 << k)):
+                    windows[key, pos] = tuple(at[pos + j] for j in range(1 << k))
+        got = {(r["_ff_id"], r["pos"]): r["rank"] for r in ranks if r["k"] == k}
+        values = list(windows.values())
+        assert set(got) == {place for place, w in windows.items() if values.count(w) > 1}
+        assert len(set(got.values())) == len({windows[p] for p in got})
+        by_rank = sorted(got, key=lambda p: (got[p], windows[p]))
+        assert [windows[p] for p in by_rank] == sorted(windows[p] for p in got)
+
+
+def test_join_spread_deals_hot_values(spark):
+    rows = spark.range(3000).selectExpr("id", "if(id < 2000, 0, id) AS a", "if(id < 2000, 'x', 'y') AS b")
+    table = rows.groupBy("a", "b").agg(F.count("*").alias("n"), F.max("id").alias("top"))
+    for parts in (1, 4, 4096):
+        joined = line_dedup.join_spread(rows, table, ["a", "b"], "n", parts)
+        assert joined.columns == ["a", "b", "id", "top"]
+        assert sorted((r["id"], r["top"]) for r in joined.collect()) == [(i, 1999 if i < 2000 else i) for i in range(3000)]
+    assert line_dedup.join_spread(rows.limit(0), table.limit(0), ["a", "b"], "n").count() == 0
