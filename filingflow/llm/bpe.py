@@ -22,10 +22,15 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from filingflow.llm.common import lean, text_batches, worker_cache
+from filingflow.llm.common import give_back, lean, text_batches, worker_cache
 
 #: Estimated memory of each of the two generations of pieces that a worker process remembers.
 CACHE_BYTES = 48 << 20
+#: Characters of the texts of a batch, and distinct pieces that go through the rounds together.
+BATCH_CHARS = 3 << 20
+PIECES_PER_ROUND = 20_000
+#: Characters of the texts whose pieces are Python strings at once.
+STRING_CHARS = 256 << 10
 #: Pieces up to this many bytes keep all rounds of the recursion until it ends; longer ones only the last.
 SHORT_PIECE = 48
 
@@ -131,12 +136,12 @@ class Tokenizer:
         whole = [self.ranks.get(b) for b in raw]
         # A piece that is a token needs no merges; its bytes come from the vocabulary like any other's.
         tokens = [i for i, r in enumerate(whole) if r is not None]
-        for part in [tokens[k : k + 100_000] for k in range(0, len(tokens), 100_000)]:
+        for part in _parts(tokens):
             toks = pa.ListArray.from_arrays(np.arange(len(part) + 1, dtype=np.int32), pa.array([whole[i] for i in part], pa.int32()))
             self._collect(pa.table({"w": np.arange(len(part), dtype=np.int32), "toks": toks}), [pieces[i] for i in part])
         rest = [i for i, r in enumerate(whole) if r is None]
         short = [i for i in rest if len(raw[i]) <= SHORT_PIECE]
-        for part in [short[k : k + 100_000] for k in range(0, len(short), 100_000)] + [[i for i in rest if len(raw[i]) > SHORT_PIECE]]:
+        for part in [*_parts(short), [i for i in rest if len(raw[i]) > SHORT_PIECE]]:
             if not part:
                 continue
             self._collect(self._fixpoint([raw[i] for i in part]), [pieces[i] for i in part])
@@ -150,9 +155,17 @@ class Tokenizer:
 
     def encode_batch(self, texts: list[str]) -> list[tuple[int, bytes, bytes]]:
         """(number of ids, ids joined by one blank, decoded bytes) per text."""
-        cut = [self.pattern.findall(t) for t in texts]
-        ends = np.cumsum([len(c) for c in cut])
-        pieces = pa.array(chain.from_iterable(cut), pa.large_string(), size=int(ends[-1])).dictionary_encode()
+        # A piece as a Python string takes 15 times its bytes: those of a few texts at a time are.
+        cut, counts, first, size = [], [], 0, 0
+        for i, t in enumerate(texts):
+            size += len(t)
+            if size >= STRING_CHARS or i == len(texts) - 1:
+                found = [self.pattern.findall(t) for t in texts[first : i + 1]]
+                counts += map(len, found)
+                cut.append(pa.array(chain.from_iterable(found), pa.large_string(), size=sum(counts[first:])))
+                first, size = i + 1, 0
+        found, ends = None, np.cumsum(counts)
+        pieces = pa.concat_arrays(cut).dictionary_encode()
         distinct = pieces.dictionary.to_pylist()
         new = []
         for p in distinct:
@@ -184,6 +197,10 @@ class Tokenizer:
         return [got.get(i, b"") for i in range(len(ids))]
 
 
+def _parts(places: list[int]) -> list[list[int]]:
+    return [places[k : k + PIECES_PER_ROUND] for k in range(0, len(places), PIECES_PER_ROUND)]
+
+
 def _gather(values: list[bytes], indices: pa.Array) -> tuple[memoryview, np.ndarray]:
     """Bytes of the indexed values end to end, and the offset of each."""
     taken = pa.array(values, pa.large_binary()).take(indices)
@@ -197,10 +214,11 @@ def tokenizer(path: str, pattern: str) -> Tokenizer:
     cache = worker_cache("bpe")
     if (path, pattern) not in cache:
         cache[path, pattern] = Tokenizer(path, pattern)
+        give_back()
     return cache[path, pattern]
 
 
-def _held(batches: Iterator[pa.RecordBatch], limit: int = 4 << 20) -> Iterator[tuple[pa.Array, list[str]]]:
+def _held(batches: Iterator[pa.RecordBatch], limit: int = BATCH_CHARS) -> Iterator[tuple[pa.Array, list[str]]]:
     """Keys and texts of whole rows with about ``limit`` characters together,
     across Arrow batches: DuckDB's rounds cost the same for few pieces."""
     keys, texts, size = [], [], 0
@@ -224,7 +242,7 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, key: str = "doc_i
 
     A null text is an empty one (no ids); repeated rows and ids stay rows of
     their own; no row of a large text is cut, a batch holds at most one text
-    more than 4 million characters.  ``path`` must be readable on executors."""
+    more than 3 million characters.  ``path`` must be readable on executors."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok = tokenizer(path, pattern)
@@ -239,6 +257,8 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, key: str = "doc_i
             if ids:
                 cols.append(pa.array([np.fromstring(i.decode(), np.int32, sep=" ") for _, i, _ in rows], pa.list_(pa.int32())))
             yield pa.RecordBatch.from_arrays(cols, names)
+            rows = cols = None
+            give_back()
 
     text_batches(docs.sparkSession)
     names = [key, "n_tokens", "ids_sha256", "decoded_sha256"] + ["ids"] * ids

@@ -55,13 +55,18 @@ def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], *s
             for value in shared:
                 value.__dict__.pop("_value", None)
             gc.collect()
-            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-            if trim:
-                trim(0)
+            give_back()
 
     return wrapped
 
 
+def give_back() -> None:
+    """Memory that was freed goes back to the system (the C library keeps it)."""
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def salted(rows: DataFrame, small: DataFrame, *spread: str, salts: int = 32) -> tuple[DataFrame, DataFrame]:
     """Both sides of a join with a column ``_ff_salt`` more: a hash of the
     ``spread`` columns of ``rows``, every value of it in ``small``.  Joined on

@@ -1,5 +1,6 @@
 import hashlib
 import random
+import tracemalloc
 
 import public_tokenizers
 import tiktoken
@@ -54,3 +55,21 @@ def test_bytes_of_whole_token_pieces_come_from_the_vocabulary():
     tok.con.execute("UPDATE vocabulary SET hex = '3f' WHERE id = ?", [tok.ranks[b" word"]])
     (n, ids, decoded), = tok.encode_batch(["a word"])
     assert (n, ids, decoded) == (2, b"%d %d" % (tok.ranks[b"a"], tok.ranks[b" word"]), b"a?")
+
+
+def test_pieces_of_a_batch_are_not_strings_all_at_once(monkeypatch):
+    tok = bpe.Tokenizer(PATH, public_tokenizers.PATTERN)
+    texts = ["word " * 20_000] * 30
+    a = tok.encode_batch(texts[:1])
+    tracemalloc.start()
+    try:
+        assert tok.encode_batch(texts) == a * 30
+        # 600,000 pieces are 39 MB as strings; those of a few texts and the results take 7 MB.
+        assert tracemalloc.get_traced_memory()[1] < 15e6
+    finally:
+        tracemalloc.stop()
+    calls = []
+    monkeypatch.setattr(bpe, "PIECES_PER_ROUND", 10)
+    monkeypatch.setattr(tok, "_fixpoint", lambda pieces, run=tok._fixpoint: calls.append(len(pieces)) or run(pieces))
+    tok.encode_batch([" ".join(f"wordlikest{i}" for i in range(40)), " ".join("qzx" + chr(97 + i) + "vvk" for i in range(25))])
+    assert len(calls) > 2 and max(calls) <= 10
