@@ -181,7 +181,8 @@ def statement_fingerprints(cells: DataFrame, key: Sequence[str] = STATEMENT_KEY)
     }
     pos = [F.col("row_idx"), F.col("col_idx")]
     aggs = [
-        F.min("col_name").alias("_name"),
+        # A text has no place in a hash aggregation: its rows would be sorted first.
+        F.min(F.when(F.col("col_name").isNotNull(), F.xxhash64("col_name"))).alias("_name"),
         F.count_if(data).alias("_n"),
         F.count_if(data & pv.isNotNull()).alias("_present"),
         F.count_if(data & is_int).alias("_int"),

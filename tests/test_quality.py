@@ -115,3 +115,14 @@ def test_contamination_rate_wrapper(spark, tmp_path):
     assert (r["total_files"], r["error_files"]) == (1, 1)
     r = quality.contamination_rate(idx, cells, statement="LCTT_TT", new_root=root).first()
     assert (r["total_files"], r["error_files"]) == (1, 0)
+
+
+def test_fingerprints_are_aggregated_without_sorting_cells(spark):
+    cells = spark.range(6).selectExpr(
+        "'S' AS symbol", "'/r' AS report_dir", "cast(id div 2 AS string) AS statement", "id % 2 AS row_idx", "0L AS col_idx",
+        "CASE id div 2 WHEN 0 THEN 'a' WHEN 1 THEN 'a' END AS col_name", "'1' AS value", "false AS unreadable",
+    )
+    fps = quality.statement_fingerprints(cells)
+    assert "SortAggregate" not in fps._jdf.queryExecution().executedPlan().toString()
+    fp = {r["statement"]: r["fp"] for r in fps.collect()}
+    assert fp["0"] == fp["1"] != fp["2"]
