@@ -22,7 +22,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from filingflow.llm.common import give_back, lean, text_batches, worker_cache
+from filingflow.llm.common import lean, text_batches, worker_cache
+from filingflow.session import give_back
 
 #: Estimated memory of each of the two generations of pieces that a worker process remembers.
 CACHE_BYTES = 48 << 20

@@ -3,7 +3,6 @@ forests inside one task."""
 
 from __future__ import annotations
 
-import ctypes
 import gc
 import sys
 from collections.abc import Callable, Iterator
@@ -13,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from filingflow.session import new_work_dir
+from filingflow.session import give_back, new_work_dir
 
 
 def work_table(df: DataFrame, name: str) -> DataFrame:
@@ -60,13 +59,6 @@ def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], *s
     return wrapped
 
 
-def give_back() -> None:
-    """Memory that was freed goes back to the system (the C library keeps it)."""
-    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-    if trim:
-        trim(0)
-
-
 def salted(rows: DataFrame, small: DataFrame, *spread: str, salts: int = 32) -> tuple[DataFrame, DataFrame]:
     """Both sides of a join with a column ``_ff_salt`` more: a hash of the
     ``spread`` columns of ``rows``, every value of it in ``small``.  Joined on

@@ -14,6 +14,7 @@ knobs that decide how the plans run at scale:
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 
@@ -86,6 +87,13 @@ def new_work_dir(spark: SparkSession, name: str) -> str:
     return f"{root}/{name}-{uuid.uuid4().hex}"
 
 
+def give_back() -> None:
+    """Memory that was freed goes back to the system (the C library keeps it)."""
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def scale_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
     """Partition sizing for a cluster run over ``input_bytes`` of input.
 

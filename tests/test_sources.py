@@ -3,6 +3,8 @@
 import json
 import os
 
+import pyarrow as pa
+
 from filingflow.sources import files
 
 
@@ -85,3 +87,30 @@ def test_report_index_pandas_missing_words(spark, tmp_path):
     assert [(r["Mã doanh nghiệp"], r["Saving_path"]) for r in rows] == [(None, None), ("0100", "./crawl_table/AAA/r")]
     raw = files.read_report_index(spark, str(tmp_path / "crawl"), pandas_na=False).orderBy("STT").first()
     assert raw["Mã doanh nghiệp"] == "NA"
+
+
+def test_many_small_files_share_a_batch_and_rows_of_large_ones_are_parted(tmp_path, monkeypatch):
+    for i in range(40):
+        folder = tmp_path / f"S{i}" / "r"
+        folder.mkdir(parents=True)
+        (folder / "KQKD.csv").write_text("" if i == 3 else "a,b\n1,x\n2\n")
+        (folder.parent / "success.csv").write_text("" if i == 3 else "STT,Saving_path\n1,p\n2\n")
+    (tmp_path / "S0" / "r" / "KQKD.csv").write_text("a,b\n" + "1,x\n" * 100)
+
+    def given():
+        return iter([pa.RecordBatch.from_arrays([pa.array([f"S{i}{rest}" for i in range(40)])], ["rel"])])
+
+    rest = "/r/KQKD.csv"
+    cells = list(files._parse_statements(f"file:{tmp_path}", True)(given()))
+    assert len(cells) == 1 and cells[0].num_rows == 202 + 38 * 6 + 1
+    monkeypatch.setattr(files, "ROWS_PER_YIELD", 20)
+    parted = list(files._parse_statements(f"file:{tmp_path}", True)(given()))
+    assert pa.Table.from_batches(parted) == pa.Table.from_batches(cells).combine_chunks() and max(b.num_rows for b in parted) <= 40
+    rows = pa.Table.from_batches(cells).to_pylist()
+    assert [r["value"] for r in rows if r["symbol"] == "S1"] == [None, None, "1", "x", "2", ""]
+    assert [(r["row_idx"], r["unreadable"]) for r in rows if r["symbol"] == "S3"] == [(-1, True)]
+    monkeypatch.undo()
+    rest = ""
+    index, = files._parse_index(f"file:{tmp_path}", "success")(given())
+    assert index.num_rows == 39 * 3 + 1
+    assert [(r["row"], r["n_rows"], r["STT"], r["Saving_path"]) for r in index.to_pylist() if r["symbol"] == "S1"] == [(-1, 2, None, None), (0, None, "1", "p"), (1, None, "2", "")]
